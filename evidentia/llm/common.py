@@ -46,13 +46,25 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/evidentia-scratch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Keep Arrow batches small enough for very long texts; it holds for the session from then on."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def scratch_table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """df written once to the shared folder and read back: cuts the lineage and survives lost executors.
 
     Tables stay until `drop_scratch` or the folder's own clean-up removes them, as results are read lazily.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/evidentia-scratch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -74,3 +86,10 @@ def prefix_sums(sizes: Iterable[int]) -> Iterator[int]:
     for size in sizes:
         yield total
         total += size
+
+
+def tokenizer_path(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
