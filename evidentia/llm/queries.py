@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.llm import quality, token_output
+from evidentia.llm import packing, quality, token_output
 from evidentia.llm.common import documents, scratch_path, tokenizer_path
 
 
@@ -15,6 +15,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_output.write(documents(spark, sf_dir), folder, tokenizer_path("byte_bpe_50k.json"))
@@ -23,6 +27,7 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_packing": op3_packing,
     "op7_token_output": op7_token_output,
 }
 ORACLE_SQL: dict[str, str] = {}
