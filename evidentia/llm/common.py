@@ -80,6 +80,11 @@ def spread(spark: SparkSession, units: int, per_task: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-units // per_task))
 
 
+def table_bytes(df: DataFrame) -> int:
+    """What the plan's statistics say of df's size; the size of its files for a table just read."""
+    return min(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())), 1 << 60)
+
+
 def prefix_sums(sizes: Iterable[int]) -> Iterator[int]:
     """Sum of all sizes before each."""
     total = 0

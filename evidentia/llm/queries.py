@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.llm import packing, quality, token_output
+from evidentia.llm import packing, pii, quality, token_output
 from evidentia.llm.common import documents, scratch_path, tokenizer_path
 
 
@@ -19,6 +19,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = pii.pseudonymise(documents(spark, sf_dir).select("doc_id", "text"))
+    return made.withColumnsRenamed({"__n": "n_replaced", "__kinds": "kinds"})
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_output.write(documents(spark, sf_dir), folder, tokenizer_path("byte_bpe_50k.json"))
@@ -28,6 +33,7 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
+    "op4_pii": op4_pii,
     "op7_token_output": op7_token_output,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 
 MAGIC = b"EVRANS1\0"
-LANES, STEPS = 32, 512
+LANES, STEPS = 64, 256
 SEGMENT = LANES * STEPS
 SCALE = 20
 LOW = np.uint64(1 << 31)

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Words remembered by one worker; beyond it new words are encoded whenever they come.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 #: A word that ends in one of these after a letter is its stem and the mark.
 MARKS = ".,;:!?"
 _CUT = re.compile(r" (?=\S)")

@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.llm import rans
-from evidentia.llm.common import bounded_batches, scratch_table, spread, text_or_empty
+from evidentia.llm.common import bounded_batches, scratch_table, spread, table_bytes, text_or_empty
 from evidentia.llm.token_ids import IdEncoder
 
 END = 0
 BLOCK_IDS = 1 << 20
-#: Characters of text that one range of doc_id should hold.
-RANGE_CHARS = 16 << 20
+#: Bytes of the table, as its files tell, that one range of doc_id should hold.
+RANGE_BYTES = 10 << 20
 NULL_ID = -(1 << 63)
 
 _RAW = "part int, block int, before long, n long, doc_ids binary, lengths binary, ids binary, symbols array<int>, counts array<long>"
@@ -96,8 +96,7 @@ def write(docs: DataFrame, to: str, tokenizer: str, block_ids: int = BLOCK_IDS)
     spark = docs.sparkSession
     bounded_batches(spark)
     slim = docs.select("doc_id", text_or_empty().alias("text"))
-    chars = slim.agg(F.sum(F.length("text"))).first()[0] or 0
-    ranges = spread(spark, chars, RANGE_CHARS)
+    ranges = spread(spark, table_bytes(docs), RANGE_BYTES)
     ordered = slim.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     raw = scratch_table(ordered.mapInArrow(lambda b: _tokenised(b, tokenizer, block_ids), _RAW), "token-ids")
     tallies = raw.select(F.explode(F.arrays_zip("symbols", "counts")).alias("x")).groupBy("x.symbols").agg(F.sum("x.counts").alias("n")).collect()
