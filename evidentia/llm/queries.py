@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.llm import packing, pii, quality, simhash, token_output
+from evidentia.llm import fingerprints, packing, pii, quality, simhash, token_output
 from evidentia.llm.common import documents, scratch_path, tokenizer_path
 
 
@@ -24,6 +24,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumnsRenamed({"__n": "n_replaced", "__kinds": "kinds"})
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(documents(spark, sf_dir))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
@@ -38,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
     "op4_pii": op4_pii,
+    "op5_fingerprints": op5_fingerprints,
     "op6_simhash": op6_simhash,
     "op7_token_output": op7_token_output,
 }
