@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.llm import fingerprints, packing, pii, quality, simhash, token_output
-from evidentia.llm.common import documents, scratch_path, tokenizer_path
+from evidentia.llm import fingerprints, langid, packing, pii, quality, simhash, token_output
+from evidentia.llm.common import documents, fold_column, scratch_path, tokenizer_path
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,13 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read(spark, folder)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = fold_column("doc_id", 4) == 2
+    models = langid.fit(docs.filter(~held_out))
+    return langid.predict(docs, models).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
@@ -45,5 +52,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_fingerprints": op5_fingerprints,
     "op6_simhash": op6_simhash,
     "op7_token_output": op7_token_output,
+    "op8_language_id": op8_language_id,
 }
 ORACLE_SQL: dict[str, str] = {}
