@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.llm import fingerprints, langid, packing, pii, quality, simhash, token_output
+from evidentia.llm import fingerprints, langid, packing, pii, quality, sentencepiece_fst, simhash, token_output
 from evidentia.llm.common import documents, fold_column, scratch_path, tokenizer_path
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_fst.digest(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(documents(spark, sf_dir))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -46,6 +50,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
     "op4_pii": op4_pii,
