@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.llm import fingerprints, langid, packing, pii, quality, sentencepiece_fst, simhash, token_output
+from evidentia.llm import fingerprints, langid, linededup, packing, pii, quality, sentencepiece_fst, simhash, token_output
 from evidentia.llm.common import documents, fold_column, scratch_path, tokenizer_path
 
 
@@ -49,6 +49,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, models).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return cleaned.withColumnsRenamed({"__n_lines": "n_lines", "__n_removed": "n_removed"})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
@@ -58,5 +63,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_token_output": op7_token_output,
     "op8_language_id": op8_language_id,
+    "op9_line_dedup": op9_line_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
