@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.llm import fingerprints, langid, linededup, packing, pii, quality, sentencepiece_fst, simhash, token_output
+from evidentia.llm import fingerprints, langid, linededup, lm, packing, pii, quality, sentencepiece_fst, simhash, token_output
 from evidentia.llm.common import documents, fold_column, scratch_path, tokenizer_path
 
 
@@ -54,6 +54,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.withColumnsRenamed({"__n_lines": "n_lines", "__n_removed": "n_removed"})
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
@@ -64,5 +68,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_output": op7_token_output,
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 ORACLE_SQL: dict[str, str] = {}
