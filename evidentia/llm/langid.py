@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evidentia.llm.common import bounded_batches
 
@@ -32,7 +33,6 @@ UND = "und"
 SLACK = 12.0
 _START, _END = 2, 3
 _WORDS = re.compile(r"[^\W\d_]+")
-_PREDICTED = "lang_pred string, score double, accepted boolean"
 #: Words remembered by one worker, and the longest of them.
 REMEMBERED, LONGEST = 400_000, 40
 
@@ -256,21 +256,23 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int =
     return models
 
 
-def _predicted(batches: Iterator[pa.RecordBatch], models: Models, at: int) -> Iterator[pa.RecordBatch]:
+def _predicted(batches: Iterator[pa.RecordBatch], models: Models) -> Iterator[pa.RecordBatch]:
+    """The text is the last column; it gives way to the prediction."""
     scorer = Scorer(models)
     for batch in batches:
-        texts = batch.column(at).to_pylist()
+        *kept, text = batch.columns
+        texts = text.to_pylist()
         if models.langs:
             scorer.learn([t for t in texts if t])
         langs, scores, accepted = zip(*map(scorer.predict, texts), strict=True) if texts else ((), (), ())
         made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())]
-        kept = [k for k in range(batch.num_columns) if k != at]
-        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), *made], names=[*(batch.schema.names[k] for k in kept), "lang_pred", "score", "accepted"])
+        yield pa.RecordBatch.from_arrays([*kept, *made], names=[*batch.schema.names[:-1], "lang_pred", "score", "accepted"])
 
 
-def predict(docs: DataFrame, models: Models, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """keep, lang_pred, score and accepted of every row's whole text."""
+def predict(docs: DataFrame, models: Models, keep: list[str | Column] | None = None) -> DataFrame:
+    """keep (doc_id by default), lang_pred, score and accepted of every row's whole text."""
     bounded_batches(docs.sparkSession)
-    slim = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    schema = ", ".join([*(f"`{n}` {t}" for n, t in slim.dtypes if n != "text" or "text" in keep), _PREDICTED])
-    return slim.mapInArrow(lambda b: _predicted(b, models, len(keep)), schema)
+    kept = docs.select(*(["doc_id"] if keep is None else keep))
+    slim = docs.select(*(["doc_id"] if keep is None else keep), F.col("text").cast("string").alias("__text"))
+    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("accepted", T.BooleanType())])
+    return slim.mapInArrow(lambda b: _predicted(b, models), schema)

@@ -31,6 +31,7 @@ SEED = 42
 #: Distinct fingerprints up to which a shard gets a tree.
 SHARD = 2048
 #: First bit and width of the blocks.
+_NULL = -(1 << 63)
 BLOCKS = ((0, 22), (22, 21), (43, 21))
 
 
@@ -52,14 +53,15 @@ def _signed(x: int) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        values = [_signed(fingerprint(x, shingle)) for x in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], names=["doc_id", "fp"])
+        values = [_signed(fingerprint(x, shingle)) for x in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values, pa.int64())], names=["doc_id", "text_hash", "fp"])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long, of every row's whole text."""
+    """doc_id, text_hash (XXH64 of the text) and fp, the fingerprint as a signed long, of every row's whole text."""
     bounded_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(lambda b: _fingerprints(b, shingle), "doc_id long, fp long")
+    slim = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text"))
+    return slim.mapInArrow(lambda b: _fingerprints(b, shingle), "doc_id long, text_hash long, fp long")
 
 
 class BKTree:
@@ -171,14 +173,24 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Per row: doc_id, fp, component_id."""
+    """Per row: doc_id, text_hash, fp, group (the least fingerprint of its component) and component_id."""
     found = scratch_table(fingerprints(docs, shingle), "fingerprints")
     distinct = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(distinct.select("fp")))
-    grouped = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = grouped.join(ids, "root").select("fp", "component_id")
-    return found.join(labels, "fp").select("doc_id", "fp", "component_id")
+    grouped = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("group"))
+    ids = grouped.groupBy("group").agg(F.min("least").alias("component_id"))
+    labels = grouped.join(ids, "group").select("fp", "group", "component_id")
+    return found.join(labels, "fp").select("doc_id", "text_hash", "fp", "group", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """docs with one row of each component: the smallest doc_id (any before null), of its rows the least text hash."""
+    found = near_duplicates(docs, shingle)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    kept = found.groupBy("group").agg(first).select(F.coalesce("first.doc_id", F.lit(_NULL)).alias("__d"), F.col("first.text_hash").alias("__h"))
+    keys = [F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)).alias("__d"), F.xxhash64(text_or_empty()).alias("__h")]
+    rows = docs.select(*keys, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"))
+    return rows.join(kept, ["__d", "__h"], "left_semi").dropDuplicates(["__d", "__h"]).select("__row.*")
 
 
 def hex_digits(fp: str = "fp"):
