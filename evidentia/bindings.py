@@ -1,6 +1,442 @@
-"""Queries that bind the engine's operators to the driver's tables."""
+"""Queries that bind the engine's operators to the driver's tables, each beside its DuckDB SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from evidentia.functions import geo, keys, parse, similarity, text
+from evidentia.operators import calibrate, facts, linkage, profile, quality, store
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def add(run):
+        QUERIES[run.__name__] = run
+        if sql:
+            ORACLE_SQL[run.__name__] = sql
+        return run
+
+    return add
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _key_sql(namespace: str, version: str, *fields: str) -> str:
+    part = "CASE WHEN {0} IS NULL THEN 'N;' ELSE 'V' || lpad(CAST(octet_length(encode(CAST({0} AS VARCHAR))) AS VARCHAR), 20, '0') || ':' || CAST({0} AS VARCHAR) || ';' END"
+    framed = "".join(f" || 'P{k:020d}=' || ({part.format(x)})" for k, x in enumerate(fields, 1))
+    head = "".join(f"{tag}=V{len(v):020d}:{v};" for tag, v in (("NS", namespace), ("PV", version)))
+    return f"sha256('SK1;{head}'{framed})"
+
+
+_CHECKSUM = "bit_xor(CAST('0x' || substr(sha256(CAST({0} AS VARCHAR)), 1, 15) AS BIGINT))"
+
+
+@_query(f"SELECT o_orderkey, {_key_sql('orders', 'v1', 'o_orderkey', 'o_orderpriority', 'maybe')} AS record_key FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS maybe FROM orders)")
+def stable_key_orders(spark, sf_dir):
+    maybe = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus"))
+    return _table(spark, sf_dir, "orders").select("o_orderkey", keys.stable_sha256("orders", "v1", "o_orderkey", "o_orderpriority", maybe).alias("record_key"))
+
+
+_CLASS = "CASE WHEN count(*) = 1 THEN 'UNIQUE' WHEN count(DISTINCT {0}) = 1 THEN 'EXACT_DUPLICATE' ELSE 'CONFLICT' END"
+_PAYLOAD = "l_partkey || '|' || l_suppkey || '|' || CAST(l_quantity AS INTEGER) || '|' || l_returnflag"
+
+
+@_query(f"SELECT l_orderkey, l_linenumber, count(*) AS row_count, count(DISTINCT {_PAYLOAD}) AS distinct_payloads, {_CLASS.format(_PAYLOAD)} AS conflict_status FROM lineitem GROUP BY ALL")
+def natural_key_conflict(spark, sf_dir):
+    payload = F.concat_ws("|", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int"), "l_returnflag")
+    return profile.natural_key_classes(_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], payload)
+
+
+@_query("SELECT text_key, count(*) AS row_count, count(DISTINCT lang) AS distinct_payloads, " + _CLASS.format("lang") + " AS conflict_status FROM (SELECT sha256(text) AS text_key, lang FROM documents) GROUP BY text_key")
+def exact_duplicate_classes(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("text_key"), "lang")
+    return profile.natural_key_classes(docs, ["text_key"], F.col("lang"))
+
+
+@_query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) = 1")
+def duplicate_representative(spark, sf_dir):
+    items = _table(spark, sf_dir, "lineitem")
+    order = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    return profile.representatives(items, ["l_orderkey", "l_linenumber"], order).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@_query("SELECT doc_id, nullif(trim(regexp_replace(upper(text), '[^A-Z0-9]+', ' ', 'g')), '') AS comparison FROM documents")
+def normalise_text_comparison(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", text.normalise_address(F.col("text")).alias("comparison"))
+
+
+_POSTCODE_RAW = "CASE o_orderkey % 5 WHEN 0 THEN ' s' || (o_orderkey % 10) || ' ' || (o_custkey % 10) || 'gg ' WHEN 1 THEN 'SW1A ' || (o_custkey % 10) || 'AA' WHEN 2 THEN 'UNKNOWN' WHEN 3 THEN '  ' ELSE 'm' || (o_orderkey % 10) || (o_custkey % 10) || '1ae' END"
+
+
+@_query(f"""WITH raw AS (SELECT o_orderkey, {_POSTCODE_RAW} AS r FROM orders), c AS (SELECT *, upper(regexp_replace(trim(r), '\\s+', '', 'g')) AS d FROM raw),
+s AS (SELECT *, CASE WHEN nullif(trim(r), '') IS NULL THEN 'MISSING' WHEN regexp_full_match(d, '{text.POSTCODE}') THEN 'VALID' ELSE 'INVALID' END AS status FROM c)
+SELECT o_orderkey, status AS postcode_status, CASE WHEN status = 'VALID' THEN left(d, length(d) - 3) || ' ' || right(d, 3) END AS postcode,
+CASE WHEN status = 'VALID' THEN left(d, length(d) - 3) || ' ' || substr(right(d, 3), 1, 1) END AS sector FROM s""")
+def postcode_parse(spark, sf_dir):
+    raw = F.expr(_POSTCODE_RAW)
+    return _table(spark, sf_dir, "orders").withColumn("r", raw).select(
+        "o_orderkey", text.postcode_status(F.col("r")).alias("postcode_status"), text.postcode(F.col("r")).alias("postcode"), text.postcode_sector(F.col("r")).alias("sector")
+    )
+
+
+_DIGITS = "CASE event_id % 6 WHEN 0 THEN ' ' || user_id || ' ' WHEN 1 THEN '00' || user_id WHEN 2 THEN user_id || '.5' WHEN 3 THEN '-' || user_id WHEN 4 THEN '184467440737095516' || (10 + user_id % 20) ELSE user_id || 'e3' END"
+
+
+@_query(f"""SELECT event_id, CAST(CASE WHEN regexp_full_match(trim(r), '[0-9]+') THEN try_cast(trim(r) AS UBIGINT) END AS VARCHAR) AS unsigned_value,
+CASE WHEN regexp_full_match(trim(r), '-?[0-9]+') THEN try_cast(trim(r) AS INTEGER) END AS signed_value FROM (SELECT event_id, {_DIGITS} AS r FROM events)""")
+def strict_integer_parse(spark, sf_dir):
+    raw = _table(spark, sf_dir, "events").withColumn("r", F.expr(_DIGITS))
+    return raw.select("event_id", parse.strict_unsigned(F.col("r")).cast("string").alias("unsigned_value"), parse.strict_integer(F.col("r")).alias("signed_value"))
+
+
+_COST = "CASE l_orderkey % 7 WHEN 0 THEN '£' || l_partkey WHEN 1 THEN 'GBP ' || l_partkey || ' - GBP ' || l_suppkey WHEN 2 THEN '£1,' || (100 + l_linenumber) || '.50 - £' || (2000 + l_suppkey) WHEN 3 THEN '$' || l_partkey WHEN 4 THEN '' || l_partkey WHEN 5 THEN ' ' ELSE 'about ' || l_partkey END"
+_AMOUNT = r"[0-9][0-9,]*(\.[0-9]{1,2})?"
+
+
+@_query(rf"""WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, nullif(trim({_COST}), '') AS t FROM lineitem),
+s AS (SELECT *, CASE WHEN t IS NULL THEN 'MISSING' WHEN regexp_matches(t, '[$€₹¥]') THEN 'NON_GBP_CURRENCY'
+ WHEN regexp_full_match(upper(t), '(£|GBP\s*){_AMOUNT}\s*-\s*(£|GBP\s*){_AMOUNT}') THEN 'RANGE' WHEN regexp_full_match(upper(t), '(£|GBP\s*){_AMOUNT}') THEN 'SINGLE'
+ WHEN regexp_full_match(t, '{_AMOUNT}') THEN 'BARE_NUMBER_UNSUPPORTED' ELSE 'UNSUPPORTED_FORMAT' END AS shape, regexp_replace(upper(t), 'GBP|£|,|\s', '', 'g') AS d FROM r),
+v AS (SELECT *, CASE WHEN shape IN ('RANGE', 'SINGLE') THEN try_cast(split_part(d, '-', 1) AS DECIMAL(18,2)) END AS lo, CASE shape WHEN 'RANGE' THEN try_cast(split_part(d, '-', 2) AS DECIMAL(18,2)) WHEN 'SINGLE' THEN try_cast(d AS DECIMAL(18,2)) END AS hi FROM s)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN lo <= hi THEN CAST(lo AS DOUBLE) END AS low, CASE WHEN lo <= hi THEN CAST(hi AS DOUBLE) END AS high,
+CASE WHEN shape = 'RANGE' AND lo > hi THEN 'INVALID_BOUNDS' WHEN shape = 'RANGE' THEN 'RANGE_PARSED' WHEN shape = 'SINGLE' THEN 'SINGLE_VALUE_PARSED' ELSE shape END AS status FROM v""")
+def money_text_parse(spark, sf_dir):
+    raw = _table(spark, sf_dir, "lineitem").withColumn("r", F.expr(_COST))
+    cost = parse.money(F.col("r"))
+    return raw.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cost["low"].cast("double").alias("low"), cost["high"].cast("double").alias("high"), cost["status"].alias("status"))
+
+
+_BANDS_SQL = "".join(f" WHEN s >= {n} THEN '{b}'" for n, b in parse.BANDS)
+
+
+@_query(f"SELECT c_custkey, CASE WHEN s IS NULL THEN NULL{_BANDS_SQL} ELSE 'G' END AS band FROM (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey % 101 END AS s FROM customer)")
+def status_ladder_band(spark, sf_dir):
+    score = F.when(F.col("c_custkey") % 11 != 0, F.col("c_custkey") % 101)
+    return _table(spark, sf_dir, "customer").select("c_custkey", parse.band(score).alias("band"))
+
+
+_RULES = (quality.Rule("LOW_VALUE", "value < 5"), quality.Rule("BAD_TYPE", "event_type = 'error'"), quality.Rule("ODD_USER", "user_id % 7 = 0"))
+_EVENTS_SQL = " UNION ALL ".join(f"SELECT CAST(event_id AS VARCHAR) AS record_key, '{r.code}' AS rule_code FROM events WHERE {r.fails}" for r in _RULES)
+
+
+@_query(f"SELECT record_key, rule_code, {_key_sql('quarantine', 'v1', 'record_key', 'rule_code')} AS quarantine_key FROM ({_EVENTS_SQL})")
+def quarantine_events(spark, sf_dir):
+    found = quality.quarantine(_table(spark, sf_dir, "events"), F.col("event_id"), _RULES, ["event_id", "user_id", "event_type"])
+    return found.select("record_key", "rule_code", "quarantine_key")
+
+
+_FAILS = " OR ".join(f"({r.fails})" for r in _RULES)
+
+
+@_query(f"SELECT event_type, count(*) AS observed_count, count(*) FILTER (WHERE NOT ({_FAILS})) AS accepted_count, count(*) FILTER (WHERE {_FAILS}) AS quarantined_count, 'PASSED' AS reconciliation_status FROM events GROUP BY event_type")
+def accept_reject_reconciliation(spark, sf_dir):
+    events = _table(spark, sf_dir, "events")
+    marked = quality.quarantine(events, F.col("event_id"), _RULES, ["event_id", "event_type"])
+    return quality.reconcile(events, quality.accepted(events, _RULES), marked.withColumn("event_type", F.get_json_object("raw_record", "$.event_type")), "event_type")
+
+
+_METRICS = (("orders", "row_count", "count(*)"), ("orders", "open_count", "count_if(o_orderstatus = 'O')"), ("customer", "row_count", "count(*)"), ("customer", "negative_balance", "count_if(c_acctbal < 0)"), ("documents", "short_text", "count_if(n_chars < 200)"))
+
+
+@_query(" UNION ALL ".join(f"SELECT '{t}' AS dataset, '{m}' AS metric, CAST({e} AS BIGINT) AS metric_value FROM {t}" for t, m, e in _METRICS))
+def quality_profile(spark, sf_dir):
+    out = None
+    for name in dict.fromkeys(t for t, *_ in _METRICS):
+        mine = [(m, e) for t, m, e in _METRICS if t == name]
+        row = _table(spark, sf_dir, name).agg(F.array(*(F.struct(F.lit(m).alias("metric"), F.expr(e).cast("long").alias("metric_value")) for m, e in mine)).alias("x"))
+        row = row.select(F.lit(name).alias("dataset"), F.inline("x"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@_query("""SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, coalesce(p.n, 0) AS parent_count, CASE WHEN p.n IS NULL THEN 'ORPHAN' WHEN p.bad > 0 THEN 'CONFLICTING' ELSE 'MATCHED' END AS parent_status
+FROM lineitem l LEFT JOIN (SELECT o_orderkey, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'P') AS bad FROM orders WHERE o_orderkey % 5 <> 0 GROUP BY o_orderkey) p ON l.l_orderkey = p.o_orderkey""")
+def parent_status_left_join(spark, sf_dir):
+    parents = _table(spark, sf_dir, "orders").filter("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("l_orderkey"), F.when(F.col("o_orderstatus") == "P", "CONFLICT").otherwise("UNIQUE").alias("conflict_status"))
+    items = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return facts.parent_status(items, parents, "l_orderkey")
+
+
+@_query("""SELECT o.o_orderkey, coalesce(c.line_count, 0) AS line_count, coalesce(c.returned_count, 0) AS returned_count, c.total_cents, c.min_part, c.max_part, c.line_checksum
+FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS line_count, count(*) FILTER (WHERE l_returnflag = 'R') AS returned_count, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) FILTER (WHERE l_returnflag <> 'N') AS BIGINT) AS total_cents, min(l_partkey) AS min_part, max(l_partkey) AS max_part, """ + _CHECKSUM.format("l_partkey") + """ AS line_checksum FROM lineitem GROUP BY l_orderkey) c ON o.o_orderkey = c.l_orderkey""")
+def child_aggregate_with_zero(spark, sf_dir):
+    items = _table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    measures = {
+        "line_count": F.count("*"), "returned_count": F.count_if(F.col("l_returnflag") == "R"), "total_cents": F.sum(F.when(F.col("l_returnflag") != "N", cents)),
+        "min_part": F.min("l_partkey"), "max_part": F.max("l_partkey"), "line_checksum": keys.checksum(F.col("l_partkey")),
+    }
+    return facts.aggregate_all_parents(_table(spark, sf_dir, "orders").select("o_orderkey"), items, "o_orderkey", measures, ["line_count", "returned_count"])
+
+
+@_query(f"SELECT count(*) AS row_count, min(o_orderkey) AS min_key, max(o_orderkey) AS max_key, {_CHECKSUM.format('o_orderkey')} AS key_checksum FROM orders")
+def portable_checksum(spark, sf_dir):
+    return profile.population_checksum(_table(spark, sf_dir, "orders"), F.col("o_orderkey"))
+
+
+@_query("SELECT sha256(string_agg(n_name, '|' ORDER BY n_name)) AS fingerprint FROM nation")
+def ordered_fingerprint(spark, sf_dir):
+    return profile.ordered_fingerprint(_table(spark, sf_dir, "nation"), "n_name")
+
+
+@_query("""SELECT p_brand, count(*) AS row_count, count(DISTINCT struct_pack(a := t, b := p_size)) AS distinct_representations, arg_min(t, p_partkey) AS t, arg_min(p_size, p_partkey) AS p_size,
+CASE WHEN count(*) = 1 THEN 'UNIQUE' WHEN count(DISTINCT struct_pack(a := t, b := p_size)) = 1 THEN 'EXACT_DUPLICATE' ELSE 'CONFLICT' END AS conflict_status FROM (SELECT *, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_type END AS t FROM part) GROUP BY p_brand""")
+def reference_profile_argmin(spark, sf_dir):
+    parts = _table(spark, sf_dir, "part").withColumn("t", F.when(F.col("p_partkey") % 4 != 0, F.col("p_type")))
+    return profile.reference_profile(parts, "p_brand", ["t", "p_size"], F.col("p_partkey"))
+
+
+@_query("SELECT n_nationkey, n_name, r_name, CAST(n_regionkey = 1 AS BOOLEAN) AS is_current_release FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey NOT IN (SELECT n_nationkey FROM nation GROUP BY n_nationkey HAVING count(DISTINCT n_name) > 1)")
+def dimension_publish(spark, sf_dir):
+    nation, region = _table(spark, sf_dir, "nation"), _table(spark, sf_dir, "region")
+    good = profile.natural_key_classes(nation, ["n_nationkey"], F.col("n_name")).filter("conflict_status <> 'CONFLICT'").select("n_nationkey")
+    return nation.join(good, "n_nationkey").join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name", (F.col("n_regionkey") == 1).alias("is_current_release"))
+
+
+_POINTS = "SELECT l_suppkey AS g, CAST(l_partkey % 500 AS DOUBLE) AS x, CAST(l_orderkey % 300 AS DOUBLE) AS y FROM lineitem"
+_CENTROIDS = "SELECT {g} AS g, count(*) AS point_count, avg(x) AS centre_x, avg(y) AS centre_y, sqrt(pow(max(x) - min(x), 2) + pow(max(y) - min(y), 2)) AS spread FROM (SELECT DISTINCT {g}, x, y FROM {t}) GROUP BY {g}"
+
+
+@_query(f"WITH p AS ({_POINTS}), c AS ({_CENTROIDS.format(g='g', t='p')}), s AS (SELECT g % 10 AS h, centre_x AS x, centre_y AS y FROM c) SELECT h AS sector, count(*) AS point_count, round(avg(x), 6) AS centre_x, round(avg(y), 6) AS centre_y, round(sqrt(pow(max(x) - min(x), 2) + pow(max(y) - min(y), 2)), 6) AS spread FROM s GROUP BY h")
+def centroid_two_level(spark, sf_dir):
+    points = _table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("g"), (F.col("l_partkey") % 500).cast("double").alias("x"), (F.col("l_orderkey") % 300).cast("double").alias("y"))
+    inner = facts.centroids(points, "g", "x", "y").select((F.col("g") % 10).alias("sector"), F.col("centre_x").alias("x"), F.col("centre_y").alias("y"))
+    outer = facts.centroids(inner, "sector", "x", "y")
+    return outer.select("sector", "point_count", *(F.round(c, 6).alias(c) for c in ("centre_x", "centre_y", "spread")))
+
+
+@_query("""SELECT x, y, count(*) AS request_count, bool_or(m = 'ORDER') AS is_order, bool_or(m = 'SUPPLY') AS is_supply, bool_or(m = 'EVENT') AS is_event,
+array_to_string(list_concat(list_concat(CASE WHEN bool_or(m = 'ORDER') THEN ['ORDER'] ELSE [] END, CASE WHEN bool_or(m = 'SUPPLY') THEN ['SUPPLY'] ELSE [] END), CASE WHEN bool_or(m = 'EVENT') THEN ['EVENT'] ELSE [] END), ',') AS methods
+FROM (SELECT o_custkey % 100 AS x, o_orderkey % 50 AS y, 'ORDER' AS m FROM orders UNION ALL SELECT l_suppkey % 100, l_partkey % 60, 'SUPPLY' FROM lineitem UNION ALL SELECT user_id % 110, event_id % 40, 'EVENT' FROM events) GROUP BY x, y""")
+def coordinate_contraction(spark, sf_dir):
+    pick = lambda t, x, y: _table(spark, sf_dir, t).select(F.expr(x).alias("x"), F.expr(y).alias("y"))
+    requests = [("ORDER", pick("orders", "o_custkey % 100", "o_orderkey % 50")), ("SUPPLY", pick("lineitem", "l_suppkey % 100", "l_partkey % 60")), ("EVENT", pick("events", "user_id % 110", "event_id % 40"))]
+    return facts.contract_requests(requests, "x", "y")
+
+
+@_query()
+def bng_to_wgs84(spark, sf_dir):
+    points = _table(spark, sf_dir, "part").select("p_partkey", (F.lit(200000.0) + F.col("p_partkey") * 7919 % 400000).alias("e"), (F.lit(50000.0) + F.col("p_partkey") * 104729 % 900000).alias("n"))
+    lon, lat = geo.grid_to_lonlat(F.col("e"), F.col("n"))
+    out = points.select("p_partkey", "e", "n", lon.alias("lon"), lat.alias("lat"), geo.coordinate_key("coordinate", "v3", F.col("e"), F.col("n")).alias("coordinate_key"))
+    return out.withColumn("bounds_status", geo.bounds_status(F.col("lon"), F.col("lat")))
+
+
+@_query("""SELECT user_id, l AS left_count, r AS right_count, l * r AS pair_product, CASE WHEN greatest(l, r) <= 20 AND l * r <= 300 THEN 'ADMIT' ELSE 'SUPPRESS' END AS admission
+FROM (SELECT user_id, count(*) FILTER (WHERE event_id % 2 = 0) AS l, count(*) FILTER (WHERE event_id % 2 = 1) AS r FROM events WHERE event_id % 3 = 0 GROUP BY user_id) WHERE l > 0 AND r > 0""")
+def block_profile_caps(spark, sf_dir):
+    events = _table(spark, sf_dir, "events").filter("event_id % 3 = 0").withColumn("side", F.when(F.col("event_id") % 2 == 0, "L").otherwise("R"))
+    return linkage.block_profile(events, ["user_id"], "side", "L", "R", 20, 300)
+
+
+@_query("SELECT block_size, count(*) AS blocks, CAST(sum(block_size * (block_size - 1) // 2) AS BIGINT) AS pairs FROM (SELECT user_id, count(*) AS block_size FROM events GROUP BY user_id) GROUP BY block_size")
+def block_size_histogram(spark, sf_dir):
+    sizes = linkage.self_block_sizes(_table(spark, sf_dir, "events"), ["user_id"])
+    return sizes.groupBy("block_size").agg(F.count("*").alias("blocks"), F.sum("pair_count").alias("pairs"))
+
+
+@_query("SELECT a.event_id AS key_l, b.event_id AS key_r, a.user_id AS user_id, a.event_type AS event_type FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = b.event_type AND a.event_id < b.event_id")
+def candidate_pairs_self(spark, sf_dir):
+    return linkage.self_pairs(_table(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id")
+
+
+@_query("SELECT c_custkey, s_suppkey, c_nationkey AS nation FROM customer JOIN supplier ON c_nationkey = s_nationkey WHERE c_custkey % 10 <> s_suppkey % 10")
+def candidate_pairs_cross(spark, sf_dir):
+    left = _table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"))
+    right = _table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"))
+    return linkage.cross_pairs(left, right, ["nation"], F.col("c_custkey") % 10 != F.col("s_suppkey") % 10).select("c_custkey", "s_suppkey", "nation")
+
+
+@_query("""SELECT a.p_partkey AS key_l, b.p_partkey AS key_r FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey WHERE contains(' ' || upper(a.p_name) || ' ', ' ' || split_part(upper(b.p_name), ' ', 1) || ' ')""")
+def candidate_containment(spark, sf_dir):
+    part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", F.upper("p_name").alias("name"))
+    right = part.select("p_brand", "p_size", F.col("p_partkey").alias("key_r"), F.split_part("name", F.lit(" "), F.lit(1)).alias("road"))
+    pairs = linkage.cross_pairs(part.withColumnRenamed("p_partkey", "key_l"), right, ["p_brand", "p_size"], F.col("key_l") < F.col("key_r"))
+    return pairs.filter(text.has_token(F.col("name"), F.col("road"))).select("key_l", "key_r")
+
+
+_PAIRS_SQL = """SELECT a.p_partkey AS key_l, b.p_partkey AS key_r, a.p_name AS name_l, b.p_name AS name_r, CASE WHEN a.p_partkey % 9 = 0 THEN NULL ELSE a.p_type END AS type_l, b.p_type AS type_r, a.p_size AS size_l, b.p_size AS size_r, a.p_brand AS brand
+FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey AND a.p_partkey % 3 = b.p_partkey % 3"""
+
+
+def _pairs(spark, sf_dir):
+    part = _table(spark, sf_dir, "part")
+    left = part.select("p_brand", F.col("p_partkey").alias("key_l"), F.col("p_name").alias("name_l"), F.when(F.col("p_partkey") % 9 != 0, F.col("p_type")).alias("type_l"), F.col("p_size").alias("size_l"), (F.col("p_partkey") % 3).alias("m"))
+    right = part.select("p_brand", F.col("p_partkey").alias("key_r"), F.col("p_name").alias("name_r"), F.col("p_type").alias("type_r"), F.col("p_size").alias("size_r"), (F.col("p_partkey") % 3).alias("m"))
+    return linkage.cross_pairs(left, right, ["p_brand", "m"], F.col("key_l") < F.col("key_r"))
+
+
+@_query(f"SELECT key_l, key_r, round(jaro_winkler_similarity(name_l, name_r), 9) AS similarity, CASE WHEN name_l = name_r THEN 'EXACT' WHEN jaro_winkler_similarity(name_l, name_r) >= 0.95 THEN 'HIGH' WHEN jaro_winkler_similarity(name_l, name_r) >= 0.88 THEN 'MEDIUM' ELSE 'ELSE' END AS level FROM ({_PAIRS_SQL}) WHERE size_l = size_r")
+def jaro_winkler_levels(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir).filter("size_l = size_r").withColumn("s", similarity.jaro_winkler("name_l", "name_r"))
+    level = F.when(F.col("name_l") == F.col("name_r"), "EXACT").when(F.col("s") >= 0.95, "HIGH").when(F.col("s") >= 0.88, "MEDIUM").otherwise("ELSE")
+    return pairs.select("key_l", "key_r", F.round("s", 9).alias("similarity"), level.alias("level"))
+
+
+COMPARISONS = (
+    linkage.Comparison("name", "name_l IS NULL OR name_r IS NULL", (linkage.Level("EXACT", "name_l = name_r", 0.9, 0.01), linkage.Level("FIRST_WORD", "split_part(name_l, ' ', 1) = split_part(name_r, ' ', 1)", 0.06, 0.05), linkage.Level("ELSE", "true", 0.04, 0.94))),
+    linkage.Comparison("type", "type_l IS NULL OR type_r IS NULL", (linkage.Level("EXACT", "type_l = type_r", 0.8, 0.1), linkage.Level("ELSE", "true", 0.2, 0.9))),
+    linkage.Comparison("size", "size_l IS NULL OR size_r IS NULL", (linkage.Level("EXACT", "size_l = size_r", 0.7, 0.02), linkage.Level("ELSE", "true", 0.3, 0.98))),
+)
+
+
+def _weight_sql(c: linkage.Comparison) -> str:
+    cases = "".join(f" WHEN {x.condition} THEN log2({x.m}::DOUBLE / {x.u}::DOUBLE)" for x in c.levels)
+    return f"(CASE WHEN {c.null} THEN 0.0::DOUBLE{cases} END)"
+
+
+def _level_sql(c: linkage.Comparison) -> str:
+    return f"(CASE WHEN {c.null} THEN 'NULL'" + "".join(f" WHEN {x.condition} THEN '{x.name}'" for x in c.levels) + " END)"
+
+
+_SCORED_SQL = f"SELECT *, round(log2(0.000001::DOUBLE / 0.999999::DOUBLE) + {' + '.join(map(_weight_sql, COMPARISONS))}, 6) AS match_weight, {', '.join(_level_sql(c) + ' AS gamma_' + c.name for c in COMPARISONS)} FROM ({_PAIRS_SQL})"
+
+
+def _scored(spark, sf_dir):
+    return linkage.score(_pairs(spark, sf_dir), COMPARISONS).withColumn("match_weight", F.round("match_weight", 6))
+
+
+@_query(f"SELECT key_l, key_r, gamma_name, gamma_type, gamma_size, match_weight, round(1 / (1 + pow(2.0::DOUBLE, -match_weight)), 9) AS match_probability FROM ({_SCORED_SQL})")
+def fellegi_sunter_score(spark, sf_dir):
+    probability = F.round(1 / (1 + F.pow(F.lit(2.0), -F.col("match_weight"))), 9)
+    return _scored(spark, sf_dir).select("key_l", "key_r", "gamma_name", "gamma_type", "gamma_size", "match_weight", probability.alias("match_probability"))
+
+
+@_query()
+def em_training(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir)
+    u = linkage.estimate_u(pairs, COMPARISONS)
+    m, prior, rounds = linkage.estimate_m(pairs, COMPARISONS, u, 0.01)
+    rows = [(c.name, x.name, float(m[c.name][x.name]), float(u[c.name][x.name]), float(prior), rounds) for c in COMPARISONS for x in c.levels]
+    return spark.createDataFrame(rows, "comparison string, level string, m double, u double, prior double, rounds int")
+
+
+@_query("SELECT p_name, count(*) * 1.0::DOUBLE / (SELECT count(*) FROM part WHERE p_name IS NOT NULL) AS tf FROM part WHERE p_name IS NOT NULL GROUP BY p_name")
+def term_frequencies(spark, sf_dir):
+    return linkage.term_frequencies(_table(spark, sf_dir, "part"), "p_name")
+
+
+@_query(f"""SELECT key_l, key_r, CASE WHEN size_l = size_r AND gamma_name <> 'EXACT' THEN 'UNCALIBRATED_DIRECT_IDENTIFIER_HETEROGENEOUS' WHEN size_l = size_r THEN 'UNCALIBRATED_DIRECT_IDENTIFIER_CONSISTENT' ELSE 'UNCALIBRATED_PROBABILISTIC_MODEL' END AS decision_reason,
+CASE WHEN size_l = size_r AND gamma_name <> 'EXACT' THEN 'HIGH' WHEN gamma_type = 'EXACT' THEN 'MEDIUM' ELSE 'STANDARD' END AS review_priority, 'REVIEW' AS decision_outcome, false AS is_accepted_edge FROM ({_SCORED_SQL})""")
+def decision_policy(spark, sf_dir):
+    scored = _scored(spark, sf_dir)
+    out = linkage.decisions(scored, F.col("size_l") == F.col("size_r"), F.col("gamma_name") == "EXACT", F.col("gamma_type") == "EXACT")
+    return out.select("key_l", "key_r", "decision_reason", "review_priority", "decision_outcome", "is_accepted_edge")
+
+
+_ENDS_SQL = f"WITH s AS ({_SCORED_SQL}), e AS (SELECT key_l AS key, key_r AS other, match_weight FROM s UNION ALL SELECT key_r, key_l, match_weight FROM s)"
+
+
+@_query(f"{_ENDS_SQL} SELECT key, other, match_weight, CAST(row_number() OVER w AS INTEGER) AS alternative_rank, round(match_weight - lead(match_weight) OVER w, 6) AS margin_to_next FROM e WINDOW w AS (PARTITION BY key ORDER BY match_weight DESC, other)")
+def endpoint_rank_margin(spark, sf_dir):
+    return linkage.alternatives(_scored(spark, sf_dir)).withColumn("margin_to_next", F.round("margin_to_next", 6))
+
+
+@_query(f"{_ENDS_SQL} SELECT key, count(*) AS candidate_count, max(match_weight) AS top_weight, arg_max(other, struct_pack(a := match_weight, b := -other)) AS top_other FROM e GROUP BY key")
+def endpoint_summary(spark, sf_dir):
+    return linkage.endpoint_summary(_scored(spark, sf_dir))
+
+
+@_query(f"""{_ENDS_SQL}, g AS (SELECT key, p_type AS target, count(*) AS member_count, max(match_weight) AS top_weight FROM e JOIN part ON other = p_partkey GROUP BY ALL)
+SELECT *, CAST(row_number() OVER w AS INTEGER) AS target_rank, count(*) OVER (PARTITION BY key) AS target_count, round(top_weight - lead(top_weight) OVER w, 6) AS margin_to_next FROM g WINDOW w AS (PARTITION BY key ORDER BY top_weight DESC, target)""")
+def target_alternatives(spark, sf_dir):
+    targets = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("other"), F.col("p_type").alias("target"))
+    return linkage.target_alternatives(_scored(spark, sf_dir), targets).withColumn("margin_to_next", F.round("margin_to_next", 6))
+
+
+@_query(f"""{_ENDS_SQL}, c AS (SELECT key, count(*) AS n FROM e WHERE match_weight > -20 GROUP BY key)
+SELECT p_partkey AS key, coalesce(n, 0) AS candidate_count, CASE WHEN n IS NULL THEN 'SINGLETON_NO_CANDIDATE' ELSE 'UNRESOLVED_REVIEW' END AS hypothesis_type FROM part LEFT JOIN c ON p_partkey = key""")
+def hypothesis_closure(spark, sf_dir):
+    population = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"))
+    return linkage.hypotheses(population, _scored(spark, sf_dir).filter("match_weight > -20"))
+
+
+@_query("""SELECT c_custkey AS record_key, 'run-1' AS run_key, c_mktsegment AS target, TIMESTAMP '2020-01-01' AS valid_from, TIMESTAMP '2021-01-01' AS valid_to, false AS is_current FROM customer WHERE c_custkey % 2 = 0
+UNION ALL SELECT c_custkey, 'run-2', c_mktsegment, TIMESTAMP '2021-01-01', NULL, true FROM customer""")
+def assignment_ledger(spark, sf_dir):
+    customers = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("record_key"), F.col("c_mktsegment").alias("target"))
+    then, now = F.to_timestamp(F.lit("2020-01-01")), F.to_timestamp(F.lit("2021-01-01"))
+    old = customers.filter("record_key % 2 = 0").select("record_key", F.lit("run-1").alias("run_key"), "target", then.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"), F.lit(True).alias("is_current"))
+    return store.publish_assignments(old, customers, "record_key", "run-2", customers.count(), now)
+
+
+_STATES = ((0, 0, 5), (5, 5, 5), (3, 3, 5), (5, 3, 5), (5, 0, 5), (0, 3, 5), (0, 5, 5))
+
+
+@_query("SELECT a, b, c, CASE WHEN a > 0 AND b = 0 THEN 'REACTIVATION_BLOCKED' WHEN a > 0 AND (a <> c OR b <> c) THEN 'INCOMPLETE_BLOCKED' WHEN a = 0 THEN 'PUBLISH' ELSE 'NO_OP' END AS action, CASE WHEN a = 0 AND b <> c THEN 'INCOMPLETE_BLOCKED' ELSE 'PASS' END AS preaction FROM (VALUES " + ", ".join(map(str, _STATES)) + ") t(a, b, c)")
+def publication_state_machine(spark, sf_dir):
+    return spark.createDataFrame([(*s, store.publication_action(*s), store.prepublication_action(*s)) for s in _STATES], "a int, b int, c int, action string, preaction string")
+
+
+@_query("SELECT doc_id FROM documents WHERE substr(sha256(CAST(doc_id AS VARCHAR)), 1, 2) < '40'")
+def hash_prefix_sample(spark, sf_dir):
+    return calibrate.prefix_sample(_table(spark, sf_dir, "documents").select("doc_id"), F.col("doc_id"), 0x40)
+
+
+@_query("SELECT o_orderpriority, o_orderstatus, o_orderkey, CAST(row_number() OVER w AS INTEGER) AS sample_rank FROM orders WINDOW w AS (PARTITION BY o_orderpriority, o_orderstatus ORDER BY sha256('seed|' || o_orderkey)) QUALIFY row_number() OVER w <= 20")
+def stratified_quota_sample(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderstatus", "o_orderkey")
+    return calibrate.quota_sample(orders, ["o_orderpriority", "o_orderstatus"], F.col("o_orderkey"), "seed", 20)
+
+
+@_query("SELECT doc_id FROM documents ORDER BY sha256('v1|' || doc_id) LIMIT 100")
+def seeded_top_n(spark, sf_dir):
+    return calibrate.top_sample(_table(spark, sf_dir, "documents").select("doc_id"), F.col("doc_id"), "v1", 100)
+
+
+_CONFUSION = "count(*) FILTER (WHERE w >= t AND y) AS tp, count(*) FILTER (WHERE w >= t AND NOT y) AS fp, count(*) FILTER (WHERE w < t AND y) AS fn, count(*) FILTER (WHERE w < t AND NOT y) AS tn"
+
+
+@_query(f"""WITH l AS (SELECT log2(n_chars + 1.0::DOUBLE) * 3 - 20 AS w, quality = 1 AS y FROM documents JOIN labels USING (doc_id)), c AS (SELECT t, {_CONFUSION} FROM l, range(-20, 41) r(t) GROUP BY t),
+r AS (SELECT *, tp / nullif(tp + fp, 0)::DOUBLE AS p, tp / nullif(tp + fn, 0)::DOUBLE AS q, tn / nullif(tn + fp, 0)::DOUBLE AS s FROM c)
+SELECT t AS threshold, tp AS true_positive, fp AS false_positive, fn AS false_negative, tn AS true_negative, round(p, 9) AS precision, round(q, 9) AS recall, round(s, 9) AS specificity, round(2 * p * q / nullif(p + q, 0), 9) AS f1_score FROM r""")
+def threshold_sweep(spark, sf_dir):
+    rows = _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id").select((F.log2(F.col("n_chars") + 1.0) * 3 - 20).alias("w"), (F.col("quality") == 1).alias("y"))
+    found = calibrate.evaluate(rows, "w", "y")
+    return found.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "specificity", "f1_score")})
+
+
+@_query("SELECT conv_id, turn, role, length(text) AS n_chars FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, role) = 1")
+def latest_label_per_row(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations")
+    return calibrate.latest(turns, ["conv_id"], [F.desc_nulls_last("turn"), F.asc("role")]).select("conv_id", "turn", "role", F.length("text").cast("long").alias("n_chars"))
+
+
+@_query("SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
+def anti_join_increment(spark, sf_dir):
+    orders, known = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return orders.join(known, "o_orderkey", "left_anti")
+
+
+@_query("SELECT coalesce(a.k, b.k) AS k, coalesce(a.n, 0) AS order_count, coalesce(b.n, 0) AS customer_count, CASE WHEN a.n IS NULL THEN 'ORPHAN' WHEN b.n IS NULL THEN 'MISSING' ELSE 'BOTH' END AS outcome FROM (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) a FULL JOIN (SELECT c_custkey AS k, count(*) AS n FROM customer WHERE c_custkey % 4 <> 0 GROUP BY 1) b ON a.k = b.k")
+def full_outer_reconcile(spark, sf_dir):
+    a = _table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("a"))
+    b = _table(spark, sf_dir, "customer").filter("c_custkey % 4 <> 0").groupBy(F.col("c_custkey").alias("k")).agg(F.count("*").alias("b"))
+    outcome = F.when(F.col("a").isNull(), "ORPHAN").when(F.col("b").isNull(), "MISSING").otherwise("BOTH")
+    return a.join(b, "k", "full").select("k", F.coalesce("a", F.lit(0)).alias("order_count"), F.coalesce("b", F.lit(0)).alias("customer_count"), outcome.alias("outcome"))
+
+
+@_query("SELECT user_id, count(*) AS event_count, count(DISTINCT event_type) AS kinds FROM events GROUP BY user_id ORDER BY event_count DESC, user_id LIMIT 20")
+def top_groups(spark, sf_dir):
+    groups = _table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("event_count"), F.countDistinct("event_type").alias("kinds"))
+    return groups.orderBy(F.desc("event_count"), "user_id").limit(20)
+
+
+@_query("SELECT k AS doc_id, CASE WHEN a THEN 'MISSING' ELSE 'ORPHAN' END AS violation FROM (SELECT doc_id AS k, true AS a FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT doc_id, false FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents))")
+def two_way_closure(spark, sf_dir):
+    return quality.closure(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), "doc_id")
+
+
+@_query("""WITH a AS (SELECT l_partkey AS k, count(DISTINCT struct_pack(a := l_suppkey, b := l_returnflag)) AS n, min(l_suppkey) AS s, min(l_returnflag) AS f FROM lineitem WHERE l_orderkey % 20 = 0 GROUP BY 1)
+SELECT p_partkey AS k, coalesce(n, 0) AS allocation_count, CASE WHEN n = 1 THEN s END AS l_suppkey, CASE WHEN n = 1 THEN f END AS l_returnflag, CASE WHEN n IS NULL THEN 'MISSING_IN_RELEASE' WHEN n = 1 THEN 'RESOLVED_UNIQUE' ELSE 'CONFLICTING_ALLOCATIONS' END AS location_status FROM part LEFT JOIN a ON p_partkey = k""")
+def resolved_location(spark, sf_dir):
+    required = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"))
+    allocations = _table(spark, sf_dir, "lineitem").filter("l_orderkey % 20 = 0").select(F.col("l_partkey").alias("k"), "l_suppkey", "l_returnflag")
+    return facts.located(required, allocations, "k", ["l_suppkey", "l_returnflag"])
