@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -66,6 +67,8 @@ def scratch_table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", codec).parquet(path)
+    gc.collect()  # so that Spark drops the shuffle files of what the table now stands for
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,8 +5,7 @@ A line is a \\n-split part of a text with at least one word; its tokens are its
 token set with Jaccard similarity THRESHOLD or more, itself removed or not. Parts without a word stay; null text stays
 null. Rows alike in doc_id and text count as one document and keep the same lines. Any other column is passed through.
 
-Equal token sets are met by one aggregation. Between different sets the join is a prefix filter: tokens are ordered by
-rarity (uses of their hash bucket in all texts, of a table of fixed size), lines that are similar enough share a token
+Equal lines are met by one aggregation. Between different ones the join is a prefix filter: tokens are ordered by rarity (uses of their hash bucket in all texts, of a table of fixed size), lines that are similar enough share a token
 among their first n - ceil(t n) + 1, and a pair goes on only if sizes, the places of the shared token and the parity
 bitmaps of both sets (whose differing bits never exceed the differing tokens) allow the similarity. What is left is
 verified on the words themselves. Tokens with long lists do not pair all their lines: lines are first held against the
@@ -54,25 +53,28 @@ def _rarity(docs: DataFrame) -> bytes:
     return bytes(levels)
 
 
-def _keyed(lines: DataFrame, levels: bytes) -> DataFrame:
-    """d, s, the set's 128-bit key, its size, parity bitmap and prefix of tokens by rarity."""
+def _hashed() -> list[Column]:
+    """128 bits of a line's text."""
+    return [F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2")]
+
+
+def _sketched(lines: DataFrame, levels: bytes) -> DataFrame:
+    """d, s, the line's token number, parity bitmap and prefix of tokens by rarity."""
     num, den = THRESHOLD
-    tokens = lines.select("d", "s", F.sort_array(F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)))).alias("tokens"))
+    tokens = lines.select("d", "s", "k1", "k2", F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))).alias("tokens"))
     level = lambda t: F.ascii(F.substring(F.lit(levels), t.bitwiseAND(BUCKETS - 1).cast("int") + 1, 1).cast("string")).cast("long")
     ranked = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(level(t), 56).bitwiseOR(t.bitwiseAND((1 << 56) - 1))))
-    half = lambda at: F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.when(t.bitwiseAND(64) == at, F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))).otherwise(F.lit(0).cast("long"))))
-    n = F.size("tokens")
-    return tokens.select(
-        "d", "s", F.xxhash64("tokens").alias("k1"), F.xxhash64(F.lit(1), "tokens").alias("k2"), n.alias("n"), half(0).alias("b1"), half(64).alias("b2"),
-        F.slice(ranked, 1, n - F.expr(f"(size(tokens) * {num} + {den - 1}) DIV {den}").cast("int") + 1).alias("prefix"),
-    )
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(t, 58).cast("int"))
+    bitmap = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(bit(t)))
+    prefix = F.slice(ranked, 1, F.expr(f"cast(size(tokens) - (size(tokens) * {num} + {den - 1}) DIV {den} + 1 AS int)"))
+    return tokens.select("d", "s", "k1", "k2", F.size("tokens").alias("n"), bitmap.alias("b"), prefix.alias("prefix"))
 
 
 def _may_match() -> Column:
     """Later line x and earlier line y that share a token at their places p: sizes, places and bitmaps allow the similarity."""
     num, den = THRESHOLD
     overlap = f"((x.n + y.n) * {num} + {num + den - 1}) DIV {num + den}"
-    differ = "bit_count(x.b1 ^ y.b1) + bit_count(x.b2 ^ y.b2)"
+    differ = "bit_count(x.b ^ y.b)"
     return F.expr(
         f"(x.d > y.d OR (x.d = y.d AND x.s > y.s)) AND x.n * {den} >= y.n * {num} AND y.n * {den} >= x.n * {num} "
         f"AND least(x.n - x.p, y.n - y.p) >= {overlap} AND {differ} <= x.n + y.n - 2 * ({overlap})"
@@ -98,15 +100,16 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(d, s) of every line to remove."""
-    keyed = _keyed(_lines(docs), _rarity(docs))
-    first = F.min(F.struct("d", "s", "n", "b1", "b2", "prefix")).alias("first")
-    sets = scratch_table(keyed.groupBy("k1", "k2").agg(first).select("k1", "k2", "first.*"), "line-keys")
-    posted = sets.select("d", "s", "n", "b1", "b2", F.posexplode("prefix").alias("p", "token"))
+    lines = _lines(docs)
+    first = F.min(F.struct("d", "s", "line")).alias("first")
+    texts = lines.select(*_hashed(), "d", "s", "line").groupBy("k1", "k2").agg(first).select("k1", "k2", "first.*")
+    sets = scratch_table(_sketched(texts, _rarity(docs)), "line-keys")
+    posted = sets.select("d", "s", "n", "b", F.posexplode("prefix").alias("p", "token")).filter("token IS NOT NULL")
     listed = posted.withColumn("long", F.count("*").over(Window.partitionBy("token")))
     short = listed.filter((F.col("long") > 1) & (F.col("long") <= LIST))
     at_once = short.alias("x").join(short.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR)
-    columns = ["d", "s", "n", "b1", "b2", "p", "token"]
-    empty = [F.lit(None).cast(t).alias(c) for c, t in zip(columns, ["long", "long", "int", "long", "long", "int", "long"], strict=True)]
+    columns = ["d", "s", "n", "b", "p", "token"]
+    empty = [F.lit(None).cast(t).alias(c) for c, t in zip(columns, ["long", "long", "int", "long", "int", "long"], strict=True)]
     found = at_once.select("xd", "xs", "yd", "ys", *empty).unionByName(
         listed.filter(F.col("long") > LIST).select(*(F.lit(None).cast("long").alias(c) for c in ("xd", "xs", "yd", "ys")), *columns)
     )
@@ -115,14 +118,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     hot = found.filter("token IS NOT NULL").select(*columns)
     near = None
     if not hot.isEmpty():
-        leaders = hot.groupBy("token").agg(F.min(F.struct("d", "s", "n", "b1", "b2", "p")).alias("y")).select("token", "y.*")
+        leaders = hot.groupBy("token").agg(F.min(F.struct("d", "s", "n", "b", "p")).alias("y")).select("token", "y.*")
         to_leaders = hot.alias("x").join(leaders.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR).distinct()
         near = scratch_table(_verified(docs, scratch_table(to_leaders, "leader-pairs")), "near-lines")
         rest = hot.join(near, ["d", "s"], "left_anti")
         pairs = pairs.unionByName(rest.alias("x").join(hot.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR))
     late = _verified(docs, scratch_table(pairs.distinct(), "pairs"))
     firsts = sets.select("k1", "k2", F.col("d").alias("fd"), F.col("s").alias("fs"))
-    repeats = keyed.select("k1", "k2", "d", "s").join(firsts, ["k1", "k2"]).filter((F.col("d") != F.col("fd")) | (F.col("s") != F.col("fs"))).select("d", "s")
+    repeats = lines.select(*_hashed(), "d", "s").join(firsts, ["k1", "k2"]).filter((F.col("d") != F.col("fd")) | (F.col("s") != F.col("fs"))).select("d", "s")
     out = repeats.unionByName(late)
     return out if near is None else out.unionByName(near)
 
@@ -131,10 +134,13 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with its text rid of removed lines, and `__n_lines` and `__n_removed` (lines with a word, and those removed)."""
     gone = removed_lines(docs).select("d", F.shiftrightunsigned("s", _LINE_BITS).alias("h"), F.col("s").bitwiseAND((1 << _LINE_BITS) - 1).cast("int").alias("line_no"))
     gone = scratch_table(gone.groupBy("d", "h").agg(F.collect_set("line_no").alias("gone")), "removed-lines")
+    few = gone.agg(F.count("*"), F.sum(F.size("gone"))).first()
     names = docs.columns
     d, h = _doc_key()
     mine = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("__row"), d.alias("__d"), h.alias("__h"), F.col("text").cast("string").alias("__text"))
     gone = gone.select(F.col("d").alias("__d"), F.col("h").alias("__h"), "gone")
+    if few[0] <= BROADCAST_ROWS and (few[1] or 0) <= 10 * BROADCAST_ROWS:
+        gone = F.broadcast(gone)
     joined = mine.join(gone, ["__d", "__h"], "left").withColumn("__parts", F.split("__text", "\n", -1))
     left = F.expr("transform(array_except(sequence(0, size(__parts) - 1), gone), i -> __parts[i])")
     joined = joined.withColumn("__new", F.when(F.col("gone").isNull(), F.col("__text")).otherwise(F.array_join(left, "\n")))
