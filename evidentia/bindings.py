@@ -399,7 +399,7 @@ r AS (SELECT *, tp / nullif(tp + fp, 0)::DOUBLE AS p, tp / nullif(tp + fn, 0)::D
 SELECT t AS threshold, tp AS true_positive, fp AS false_positive, fn AS false_negative, tn AS true_negative, round(p, 9) AS precision, round(q, 9) AS recall, round(s, 9) AS specificity, round(2 * p * q / nullif(p + q, 0), 9) AS f1_score FROM r""")
 def threshold_sweep(spark, sf_dir):
     rows = _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id").select((F.log2(F.col("n_chars") + 1.0) * 3 - 20).alias("w"), (F.col("quality") == 1).alias("y"))
-    found = calibrate.evaluate(rows, "w", "y")
+    found = calibrate.threshold_sweep(rows, "w", "y")
     return found.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "specificity", "f1_score")})
 
 
