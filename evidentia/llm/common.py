@@ -69,7 +69,16 @@ def scratch_table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     df.write.option("compression", codec).parquet(path)
     gc.collect()  # so that Spark drops the shuffle files of what the table now stands for
     spark._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Remove scratch tables that no unread result depends on."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._scratch_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_scratch(spark: SparkSession) -> None:
@@ -78,14 +87,21 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def spread(spark: SparkSession, units: int, per_task: int) -> int:
-    """Partitions for so many units at so many a task; never fewer than the session's shuffle partitions."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-units // per_task))
+def spread(spark: SparkSession, units: int, per_task: int, most: int = 1 << 24) -> int:
+    """Partitions for so many units at so many a task; never fewer than the session's shuffle partitions, or more than most."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(most, -(-units // per_task)))
+
+
+#: Sizes from here on are a plan's way to say that it does not know.
+_UNKNOWN_BYTES = 1 << 50
 
 
-def table_bytes(df: DataFrame) -> int:
-    """What the plan's statistics say of df's size; the size of its files for a table just read."""
-    return min(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())), 1 << 60)
+def table_bytes(df: DataFrame, column: str = "text") -> int:
+    """What the plan's statistics say of df's size, which for a table just read is that of its files; else half the text's bytes."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < _UNKNOWN_BYTES:
+        return size
+    return (df.agg(F.sum(F.octet_length(F.col(column).cast("string")))).first()[0] or 0) // 2
 
 
 def prefix_sums(sizes: Iterable[int]) -> Iterator[int]:

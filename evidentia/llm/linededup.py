@@ -17,14 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import SPACES, scratch_table, words_of
+from evidentia.llm.common import SPACES, drop_tables, scratch_table, words_of
 
 #: Similarity as a fraction.
 THRESHOLD = (4, 5)
 #: Buckets of the rarity table.
 BUCKETS = 1 << 16
 #: Lists up to this length pair their lines at once.
-LIST = 256
+LIST = 1024
 #: A side of a join is broadcast up to so many rows of two longs, counted before.
 BROADCAST_ROWS = 200_000
 _LINE_BITS = 24
@@ -44,8 +44,11 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _rarity(docs: DataFrame) -> bytes:
-    """A level from 1 to 127 for every token bucket, by the logarithm of its uses in all texts."""
-    words = docs.select(F.explode(words_of(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("w"))
+    """A level from 1 to 127 for every token bucket, by the logarithm of its uses in all texts.
+
+    It only orders tokens, for which any order is right, so texts are split at spaces alone.
+    """
+    words = docs.select(F.explode(F.split(F.col("text").cast("string"), " ")).alias("w"))
     uses = words.select(F.xxhash64("w").bitwiseAND(BUCKETS - 1).cast("int").alias("b")).groupBy("b").agg(F.count("*").alias("n")).collect()
     levels = bytearray([1] * BUCKETS)
     for r in uses:
@@ -61,12 +64,12 @@ def _hashed() -> list[Column]:
 def _sketched(lines: DataFrame, levels: bytes) -> DataFrame:
     """d, s, the line's token number, parity bitmap and prefix of tokens by rarity."""
     num, den = THRESHOLD
-    tokens = lines.select("d", "s", "k1", "k2", F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))).alias("tokens"))
     level = lambda t: F.ascii(F.substring(F.lit(levels), t.bitwiseAND(BUCKETS - 1).cast("int") + 1, 1).cast("string")).cast("long")
-    ranked = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(level(t), 56).bitwiseOR(t.bitwiseAND((1 << 56) - 1))))
-    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(t, 58).cast("int"))
+    key = lambda t: F.shiftleft(level(t), 56).bitwiseOR(t.bitwiseAND((1 << 56) - 1))
+    tokens = lines.select("d", "s", "k1", "k2", F.sort_array(F.array_distinct(F.transform(words_of(F.col("line")), lambda w: key(F.xxhash64(w))))).alias("tokens"))
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))
     bitmap = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(bit(t)))
-    prefix = F.slice(ranked, 1, F.expr(f"cast(size(tokens) - (size(tokens) * {num} + {den - 1}) DIV {den} + 1 AS int)"))
+    prefix = F.slice("tokens", 1, F.expr(f"cast(size(tokens) - (size(tokens) * {num} + {den - 1}) DIV {den} + 1 AS int)"))
     return tokens.select("d", "s", "k1", "k2", F.size("tokens").alias("n"), bitmap.alias("b"), prefix.alias("prefix"))
 
 
@@ -98,8 +101,8 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return similar.select(F.col("xd").alias("d"), F.col("xs").alias("s")).distinct()
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
-    """(d, s) of every line to remove."""
+def removed_lines(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(d, s) of every line to remove, and the scratch tables that this is read from."""
     lines = _lines(docs)
     first = F.min(F.struct("d", "s", "line")).alias("first")
     texts = lines.select(*_hashed(), "d", "s", "line").groupBy("k1", "k2").agg(first).select("k1", "k2", "first.*")
@@ -123,21 +126,26 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         near = scratch_table(_verified(docs, scratch_table(to_leaders, "leader-pairs")), "near-lines")
         rest = hot.join(near, ["d", "s"], "left_anti")
         pairs = pairs.unionByName(rest.alias("x").join(hot.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR))
-    late = _verified(docs, scratch_table(pairs.distinct(), "pairs"))
+    pairs = scratch_table(pairs.distinct(), "pairs")
+    drop_tables(found)
+    late = _verified(docs, pairs)
     firsts = sets.select("k1", "k2", F.col("d").alias("fd"), F.col("s").alias("fs"))
     repeats = lines.select(*_hashed(), "d", "s").join(firsts, ["k1", "k2"]).filter((F.col("d") != F.col("fd")) | (F.col("s") != F.col("fs"))).select("d", "s")
     out = repeats.unionByName(late)
-    return out if near is None else out.unionByName(near)
+    return (out, [sets, pairs]) if near is None else (out.unionByName(near), [sets, pairs, near])
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with its text rid of removed lines, and `__n_lines` and `__n_removed` (lines with a word, and those removed)."""
-    gone = removed_lines(docs).select("d", F.shiftrightunsigned("s", _LINE_BITS).alias("h"), F.col("s").bitwiseAND((1 << _LINE_BITS) - 1).cast("int").alias("line_no"))
+    removed, tables = removed_lines(docs)
+    gone = removed.select("d", F.shiftrightunsigned("s", _LINE_BITS).alias("h"), F.col("s").bitwiseAND((1 << _LINE_BITS) - 1).cast("int").alias("line_no"))
     gone = scratch_table(gone.groupBy("d", "h").agg(F.collect_set("line_no").alias("gone")), "removed-lines")
+    drop_tables(*tables)
     few = gone.agg(F.count("*"), F.sum(F.size("gone"))).first()
     names = docs.columns
+    rest = [F.col(f"`{c}`") for c in names if c != "text"]
     d, h = _doc_key()
-    mine = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("__row"), d.alias("__d"), h.alias("__h"), F.col("text").cast("string").alias("__text"))
+    mine = docs.select(F.struct(*(rest or [F.lit(0).alias("none")])).alias("__row"), d.alias("__d"), h.alias("__h"), F.col("text").cast("string").alias("__text"))
     gone = gone.select(F.col("d").alias("__d"), F.col("h").alias("__h"), "gone")
     if few[0] <= BROADCAST_ROWS and (few[1] or 0) <= 10 * BROADCAST_ROWS:
         gone = F.broadcast(gone)
@@ -145,5 +153,5 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     left = F.expr("transform(array_except(sequence(0, size(__parts) - 1), gone), i -> __parts[i])")
     joined = joined.withColumn("__new", F.when(F.col("gone").isNull(), F.col("__text")).otherwise(F.array_join(left, "\n")))
     with_word = F.size(F.filter("__parts", lambda x: F.btrim(x, F.lit(SPACES)) != ""))
-    kept = [F.col("__new").alias("text") if c == "text" else F.col("__row")[c].alias(c) for c in names]
+    kept = [F.col("__new").alias("text") if c == "text" else F.col("__row").getField(c).alias(c) for c in names]
     return joined.select(*kept, F.coalesce(with_word, F.lit(0)).cast("long").alias("__n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("__n_removed"))
