@@ -29,6 +29,8 @@ K, S = 16, 8
 SKETCH = 128
 #: Bytes of the table, as its files tell, that one range of doc_id should hold.
 RANGE_BYTES = 2 << 20
+#: Ranges at most: their bounds go to the driver. A range is streamed, so larger ones need no more memory.
+MOST_RANGES = 1 << 14
 _NULL = -(1 << 63)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _FINGERPRINTED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -135,7 +137,7 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)).alias("key"), text_or_empty().alias("text"))
-    ranges = spread(spark, table_bytes(docs), RANGE_BYTES)
+    ranges = spread(spark, table_bytes(docs), RANGE_BYTES, MOST_RANGES)
     found = slim.agg(F.percentile_approx("key", [k / ranges for k in range(1, ranges)] or [0.5], 10_000).alias("x")).first().x or []
     splits = np.unique(np.array(found, np.int64))
 

@@ -230,24 +230,25 @@ _VALUES = re.compile(
 )
 
 
-def _rewritten(batches: Iterator[pa.RecordBatch], at: int, key: bytes) -> Iterator[pa.RecordBatch]:
+def _rewritten(batches: Iterator[pa.RecordBatch], key: bytes) -> Iterator[pa.RecordBatch]:
     tool = Pseudonyms(key)
     for batch in batches:
         texts, counts, kinds = [], [], []
-        for text in batch.column(at).to_pylist():
+        for text in batch.column(1).to_pylist():
             new, found = (None, {}) if text is None else tool.rewrite(text)
             texts.append(new)
             counts.append(sum(found.values()))
             kinds.append(",".join(sorted(found)))
-        columns = list(batch.columns)
-        columns[at] = pa.array(texts, pa.string())
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(kinds, pa.string())], names=[*batch.schema.names, "__n", "__kinds"])
+        columns = [batch.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(kinds, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=["__row", "__text", "__n", "__kinds"])
 
 
 def pseudonymise(docs: DataFrame, key: bytes = KEY, column: str = "text") -> DataFrame:
     """docs with its text rewritten, and `__n` (values replaced) and `__kinds` (their kinds, sorted, by commas)."""
     bounded_batches(docs.sparkSession)
-    docs = docs.withColumn(column, F.col(column).cast("string"))
-    schema = T.StructType([*docs.schema.fields, T.StructField("__n", T.LongType()), T.StructField("__kinds", T.StringType())])
-    at = docs.columns.index(column)
-    return docs.mapInArrow(lambda b: _rewritten(b, at, key), schema)
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != column]
+    slim = docs.select(F.struct(*(rest or [F.lit(0).alias("none")])).alias("__row"), F.col(column).cast("string").alias("__text"))
+    schema = T.StructType([slim.schema[0], T.StructField("__text", T.StringType()), T.StructField("__n", T.LongType()), T.StructField("__kinds", T.StringType())])
+    out = slim.mapInArrow(lambda b: _rewritten(b, key), schema)
+    shown = [F.col("__text").alias(column) if c == column else F.col("__row").getField(c).alias(c) for c in docs.columns]
+    return out.select(*shown, "__n", "__kinds")

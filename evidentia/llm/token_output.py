@@ -28,6 +28,8 @@ END = 0
 BLOCK_IDS = 1 << 20
 #: Bytes of the table, as its files tell, that one range of doc_id should hold.
 RANGE_BYTES = 10 << 20
+#: Ranges at most: their offsets go to the driver. A range is streamed, so larger ones need no more memory.
+MOST_RANGES = 1 << 17
 NULL_ID = -(1 << 63)
 
 _RAW = "part int, block int, before long, n long, doc_ids binary, lengths binary, ids binary, symbols array<int>, counts array<long>"
@@ -96,7 +98,7 @@ def write(docs: DataFrame, to: str, tokenizer: str, block_ids: int = BLOCK_IDS)
     spark = docs.sparkSession
     bounded_batches(spark)
     slim = docs.select("doc_id", text_or_empty().alias("text"))
-    ranges = spread(spark, table_bytes(docs), RANGE_BYTES)
+    ranges = spread(spark, table_bytes(docs), RANGE_BYTES, MOST_RANGES)
     ordered = slim.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     raw = scratch_table(ordered.mapInArrow(lambda b: _tokenised(b, tokenizer, block_ids), _RAW), "token-ids")
     tallies = raw.select(F.explode(F.arrays_zip("symbols", "counts")).alias("x")).groupBy("x.symbols").agg(F.sum("x.counts").alias("n")).collect()
