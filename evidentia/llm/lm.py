@@ -29,7 +29,7 @@ from evidentia.llm.ngram_trie import CODEBOOK, Trie
 END, BEGIN = 1, 2
 MU = 20.0
 #: Tokens of a chunk, and bytes of the table, as its files tell, that one shard should serve.
-CHUNK = 1 << 20
+CHUNK = 1 << 21
 SHARD_BYTES = 12 << 20
 REMEMBERED = 400_000
 _NULL = -(1 << 63)
@@ -88,26 +88,19 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["kind", "shard", "chunk", "a", "b", "c"])
 
 
-def _chunked(batches: Iterator[pa.RecordBatch], shards: int, folds: int, fold: int, pairs: bool) -> Iterator[pa.RecordBatch]:
-    """Pair rows, or else token and text rows, of the chunks of a partition."""
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A text row for each chunk of a partition: distinct names, each token's place among them, ids and lengths."""
     doc_ids: list[int] = []
     lengths: list[int] = []
     tokens: list[np.ndarray] = []
+    size = 0
 
-    def rows() -> list[tuple]:
+    def row() -> pa.RecordBatch:
         ids, sizes = np.array(doc_ids, np.int64), np.array(lengths, np.int64)
         names, token = np.unique(np.concatenate(tokens), return_inverse=True)
-        chunk = _Chunk(names, token, sizes)
-        trained = np.repeat([i == _NULL or fold_of(i, folds) != fold for i in doc_ids], sizes)
-        name = xxhash.xxh64_intdigest(ids.tobytes() + sizes.tobytes() + names[:1000].tobytes()) >> 1
-        if pairs:
-            uses = np.bincount(chunk.pair[trained], minlength=len(chunk.first)).astype("<u4")
-            return [(PAIRS, k, name, chunk.first[at].tobytes(), chunk.second[at].tobytes(), uses[at].tobytes()) for k, at in chunk.sent(shards, True)]
-        uses = np.bincount(token[trained], minlength=len(names)).astype("<u4")
-        out = [(TOKENS, k, name, names[at].tobytes(), uses[at].tobytes(), None) for k, at in chunk.sent(shards, False)]
-        return [*out, (TEXTS, -1, name, names.tobytes(), token.astype("<u4").tobytes(), ids.tobytes() + sizes.tobytes())]
+        name = xxhash.xxh64_intdigest(ids.tobytes() + sizes.tobytes() + token.tobytes() + names.tobytes()) >> 1
+        return _batch([(TEXTS, -1, name, names.tobytes(), token.astype("<u4").tobytes(), ids.tobytes() + sizes.tobytes())])
 
-    size = 0
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = text.encode("utf-8", "surrogatepass").lower().split()
@@ -116,10 +109,27 @@ def _chunked(batches: Iterator[pa.RecordBatch], shards: int, folds: int, fold: i
             tokens.append(np.append(np.fromiter(map(_NAMES.__getitem__, words), np.uint64, len(words)), np.uint64(END)))
             size += len(words) + 1
             if size >= CHUNK:
-                yield _batch(rows())
+                yield row()
                 doc_ids, lengths, tokens, size = [], [], [], 0
     if doc_ids:
-        yield _batch(rows())
+        yield row()
+
+
+def _asked(batches: Iterator[pa.RecordBatch], shards: int, folds: int, fold: int, pairs: bool) -> Iterator[pa.RecordBatch]:
+    """What each chunk sends to the shards: its distinct pairs, or else tokens, with their uses in training rows."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            names, token = np.frombuffer(row["a"], "<u8"), np.frombuffer(row["b"], "<u4").astype(np.int64)
+            ids, sizes = np.frombuffer(row["c"], "<i8").reshape(2, -1)
+            trained = np.repeat([i == _NULL or fold_of(i, folds) != fold for i in ids.tolist()], sizes)
+            chunk = _Chunk(names, token, sizes)
+            if pairs:
+                uses = np.bincount(chunk.pair[trained], minlength=len(chunk.first)).astype("<u4")
+                rows = [(PAIRS, k, row["chunk"], chunk.first[at].tobytes(), chunk.second[at].tobytes(), uses[at].tobytes()) for k, at in chunk.sent(shards, True)]
+            else:
+                uses = np.bincount(token[trained], minlength=len(names)).astype("<u4")
+                rows = [(TOKENS, k, row["chunk"], names[at].tobytes(), uses[at].tobytes(), None) for k, at in chunk.sent(shards, False)]
+            yield _batch(rows)
 
 
 def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
@@ -189,7 +199,7 @@ def _scored(batches: Iterator[pa.RecordBatch], shards: int, folds: int, fold: in
                 places = np.concatenate([at for _, at in texts.sent(shards, pairs)])
                 given = np.frombuffer(b"".join(values), kind)
                 if len(given) != len(places):
-                    raise ValueError("a chunk and its answers differ; its input changed between two reads")
+                    raise ValueError("a chunk and its answers differ")
                 target[places] = given
             p1 = (counts + 1) / (total + (distinct + 1))
             heads = np.append(counts, documents)[texts.pair_keys // (len(texts.names) + 1)]
@@ -218,14 +228,13 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
     def dealt(rows: DataFrame) -> DataFrame:
         return rows.repartition(parts, "shard").sortWithinPartitions("shard", "chunk")
 
-    read = scratch_table(slim.mapInArrow(lambda b: _chunked(b, shards, folds, fold, False), _ROW), "lm-texts")
-    tokens = scratch_table(dealt(read.filter(F.col("kind") == TOKENS)).mapInArrow(_answered_tokens, _ROW), "lm-tokens")
+    texts = scratch_table(slim.mapInArrow(_chunked, _ROW), "lm-texts")
+    tokens = scratch_table(dealt(texts.mapInArrow(lambda b: _asked(b, shards, folds, fold, False), _ROW)).mapInArrow(_answered_tokens, _ROW), "lm-tokens")
     sums = [np.frombuffer(bytes(r.a), "<i8") for r in tokens.filter(F.col("kind") == TOTALS).select("a").collect()]
     total, distinct = (int(sum(s[k] for s in sums)) for k in (0, 1))
     trained = F.col("doc_id").isNull() | (F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != fold)
     documents = slim.filter(trained).count()
-    pairs = dealt(slim.mapInArrow(lambda b: _chunked(b, shards, folds, fold, True), _ROW)).mapInArrow(_answered_pairs, _ROW)
-    pairs = scratch_table(pairs, "lm-pairs")
-    together = read.filter(F.col("kind") == TEXTS).unionByName(tokens.filter(F.col("kind") == TOKENS)).unionByName(pairs)
+    pairs = scratch_table(dealt(texts.mapInArrow(lambda b: _asked(b, shards, folds, fold, True), _ROW)).mapInArrow(_answered_pairs, _ROW), "lm-pairs")
+    together = texts.unionByName(tokens.filter(F.col("kind") == TOKENS)).unionByName(pairs)
     ordered = together.repartition(parts, "chunk").sortWithinPartitions("chunk", F.when(F.col("kind") == TEXTS, 9).otherwise(F.col("kind")), "shard")
     return ordered.mapInArrow(lambda b: _scored(b, shards, folds, fold, total, distinct, documents), _SCORED)
