@@ -122,6 +122,8 @@ class _Tally:
 
 def _fit_counts(samples: dict[str, dict[str, int]]) -> Models:
     langs = sorted(samples)
+    if not langs:
+        return Models([], [], [], [], [], 1.0, 1.0, 0.0, np.zeros(0))
     tallies = {lang: _Tally(samples[lang]) for lang in langs}
     grams, shares, contexts, weights = [np.zeros(0, np.uint64)], [np.zeros((1, len(langs)))], [np.zeros(0, np.uint64)], [np.zeros((1, len(langs)))]
     for k in range(1, ORDER + 1):
@@ -178,7 +180,7 @@ def _calibrate(models: Models, held: list[tuple[str, str]]) -> None:
                 break
         models.slope, models.offset = max(float(slope), 0.0), float(offset)
     for k, values in best.items():
-        if len(values) >= 20:  # as far above the highest that was right as that is above the middle
+        if len(values) >= 5:  # as far above the highest that was right as that is above the middle
             models.limits[k] = 2 * max(values) - float(np.median(values))
 
 
