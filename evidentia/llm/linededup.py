@@ -14,7 +14,7 @@ earliest of each list, and only those not yet removed meet the rest.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.llm.common import SPACES, drop_tables, scratch_table, words_of
@@ -26,7 +26,7 @@ BUCKETS = 1 << 16
 #: Lists up to this length pair their lines at once.
 LIST = 1024
 #: A side of a join is broadcast up to so many rows of two longs, counted before.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 1_000_000
 _LINE_BITS = 24
 _LEAST = -(1 << 63)
 
@@ -108,26 +108,23 @@ def removed_lines(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     texts = lines.select(*_hashed(), "d", "s", "line").groupBy("k1", "k2").agg(first).select("k1", "k2", "first.*")
     sets = scratch_table(_sketched(texts, _rarity(docs)), "line-keys")
     posted = sets.select("d", "s", "n", "b", F.posexplode("prefix").alias("p", "token")).filter("token IS NOT NULL")
-    listed = posted.withColumn("long", F.count("*").over(Window.partitionBy("token")))
-    short = listed.filter((F.col("long") > 1) & (F.col("long") <= LIST))
-    at_once = short.alias("x").join(short.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR)
-    columns = ["d", "s", "n", "b", "p", "token"]
-    empty = [F.lit(None).cast(t).alias(c) for c, t in zip(columns, ["long", "long", "int", "long", "int", "long"], strict=True)]
-    found = at_once.select("xd", "xs", "yd", "ys", *empty).unionByName(
-        listed.filter(F.col("long") > LIST).select(*(F.lit(None).cast("long").alias(c) for c in ("xd", "xs", "yd", "ys")), *columns)
-    )
-    found = scratch_table(found, "line-pairs")
-    pairs = found.filter("token IS NULL").select("xd", "xs", "yd", "ys")
-    hot = found.filter("token IS NOT NULL").select(*columns)
-    near = None
-    if not hot.isEmpty():
+    long_lists = posted.groupBy("token").agg(F.count("*").alias("long")).filter(F.col("long") > LIST).select("token")
+    long_lists = scratch_table(long_lists, "long-lists")
+    few = long_lists.count()
+    marked = F.broadcast(long_lists) if few <= BROADCAST_ROWS else long_lists
+    short = posted.join(marked, "token", "left_anti") if few else posted
+    found = scratch_table(short.alias("x").join(short.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR).distinct(), "line-pairs")
+    pairs, near = found, None
+    if few:
+        hot = scratch_table(posted.join(marked, "token", "left_semi").select("d", "s", "n", "b", "p", "token"), "long-lists")
         leaders = hot.groupBy("token").agg(F.min(F.struct("d", "s", "n", "b", "p")).alias("y")).select("token", "y.*")
         to_leaders = hot.alias("x").join(leaders.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR).distinct()
         near = scratch_table(_verified(docs, scratch_table(to_leaders, "leader-pairs")), "near-lines")
         rest = hot.join(near, ["d", "s"], "left_anti")
         pairs = pairs.unionByName(rest.alias("x").join(hot.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR))
-    pairs = scratch_table(pairs.distinct(), "pairs")
-    drop_tables(found)
+    if few:
+        pairs = scratch_table(pairs.distinct(), "pairs")
+        drop_tables(found)
     late = _verified(docs, pairs)
     firsts = sets.select("k1", "k2", F.col("d").alias("fd"), F.col("s").alias("fs"))
     repeats = lines.select(*_hashed(), "d", "s").join(firsts, ["k1", "k2"]).filter((F.col("d") != F.col("fd")) | (F.col("s") != F.col("fs"))).select("d", "s")
