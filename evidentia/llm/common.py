@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -59,16 +60,29 @@ def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, rows)
 
 
-def scratch_table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that are done with; it does when the driver's garbage is collected.
+
+    The second round finds what listeners still held in the first.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(1)
+
+
+def scratch_table(df: DataFrame, name: str, codec: str = "zstd", large: bool = False) -> DataFrame:
     """df written once to the shared folder and read back: cuts the lineage and survives lost executors.
 
+    large: much was shuffled to make it, which is freed at once.
+
     Tables stay until `drop_scratch` or the folder's own clean-up removes them, as results are read lazily.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", codec).parquet(path)
-    gc.collect()  # so that Spark drops the shuffle files of what the table now stands for
-    spark._jvm.System.gc()
+    if large:
+        free_shuffles(spark)
     table = spark.read.schema(df.schema).parquet(path)
     table._scratch_path = path
     return table

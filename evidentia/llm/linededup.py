@@ -94,7 +94,7 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     sets = _lines(docs).join(wanted, ["d", "s"]).groupBy("d", "s").agg(F.min("line").alias("line"))
-    sets = scratch_table(sets.select("d", "s", F.array_distinct(words_of(F.col("line"))).alias("w")), "line-sets")
+    sets = scratch_table(sets.select("d", "s", F.array_distinct(words_of(F.col("line"))).alias("w")), "line-sets", large=True)
     x, y = sets.select(F.col("d").alias("xd"), F.col("s").alias("xs"), F.col("w").alias("xw")), sets.select(F.col("d").alias("yd"), F.col("s").alias("ys"), F.col("w").alias("yw"))
     both = pairs.join(x, ["xd", "xs"]).join(y, ["yd", "ys"]).withColumn("o", F.size(F.array_intersect("xw", "yw")))
     similar = both.filter(F.expr(f"o * {den} >= (size(xw) + size(yw) - o) * {num}"))
@@ -106,14 +106,14 @@ def removed_lines(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     lines = _lines(docs)
     first = F.min(F.struct("d", "s", "line")).alias("first")
     texts = lines.select(*_hashed(), "d", "s", "line").groupBy("k1", "k2").agg(first).select("k1", "k2", "first.*")
-    sets = scratch_table(_sketched(texts, _rarity(docs)), "line-keys")
+    sets = scratch_table(_sketched(texts, _rarity(docs)), "line-keys", large=True)
     posted = sets.select("d", "s", "n", "b", F.posexplode("prefix").alias("p", "token")).filter("token IS NOT NULL")
     long_lists = posted.groupBy("token").agg(F.count("*").alias("long")).filter(F.col("long") > LIST).select("token")
     long_lists = scratch_table(long_lists, "long-lists")
     few = long_lists.count()
     marked = F.broadcast(long_lists) if few <= BROADCAST_ROWS else long_lists
     short = posted.join(marked, "token", "left_anti") if few else posted
-    found = scratch_table(short.alias("x").join(short.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR).distinct(), "line-pairs")
+    found = scratch_table(short.alias("x").join(short.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR).distinct(), "line-pairs", large=True)
     pairs, near = found, None
     if few:
         hot = scratch_table(posted.join(marked, "token", "left_semi").select("d", "s", "n", "b", "p", "token"), "long-lists")
@@ -136,7 +136,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with its text rid of removed lines, and `__n_lines` and `__n_removed` (lines with a word, and those removed)."""
     removed, tables = removed_lines(docs)
     gone = removed.select("d", F.shiftrightunsigned("s", _LINE_BITS).alias("h"), F.col("s").bitwiseAND((1 << _LINE_BITS) - 1).cast("int").alias("line_no"))
-    gone = scratch_table(gone.groupBy("d", "h").agg(F.collect_set("line_no").alias("gone")), "removed-lines")
+    gone = scratch_table(gone.groupBy("d", "h").agg(F.collect_set("line_no").alias("gone")), "removed-lines", large=True)
     drop_tables(*tables)
     few = gone.agg(F.count("*"), F.sum(F.size("gone"))).first()
     names = docs.columns

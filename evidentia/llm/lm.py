@@ -229,12 +229,12 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
         return rows.repartition(parts, "shard").sortWithinPartitions("shard", "chunk")
 
     texts = scratch_table(slim.mapInArrow(_chunked, _ROW), "lm-texts")
-    tokens = scratch_table(dealt(texts.mapInArrow(lambda b: _asked(b, shards, folds, fold, False), _ROW)).mapInArrow(_answered_tokens, _ROW), "lm-tokens")
+    tokens = scratch_table(dealt(texts.mapInArrow(lambda b: _asked(b, shards, folds, fold, False), _ROW)).mapInArrow(_answered_tokens, _ROW), "lm-tokens", large=True)
     sums = [np.frombuffer(bytes(r.a), "<i8") for r in tokens.filter(F.col("kind") == TOTALS).select("a").collect()]
     total, distinct = (int(sum(s[k] for s in sums)) for k in (0, 1))
     trained = F.col("doc_id").isNull() | (F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != fold)
     documents = slim.filter(trained).count()
-    pairs = scratch_table(dealt(texts.mapInArrow(lambda b: _asked(b, shards, folds, fold, True), _ROW)).mapInArrow(_answered_pairs, _ROW), "lm-pairs")
+    pairs = scratch_table(dealt(texts.mapInArrow(lambda b: _asked(b, shards, folds, fold, True), _ROW)).mapInArrow(_answered_pairs, _ROW), "lm-pairs", large=True)
     together = texts.unionByName(tokens.filter(F.col("kind") == TOKENS)).unionByName(pairs)
     ordered = together.repartition(parts, "chunk").sortWithinPartitions("chunk", F.when(F.col("kind") == TEXTS, 9).otherwise(F.col("kind")), "shard")
     return ordered.mapInArrow(lambda b: _scored(b, shards, folds, fold, total, distinct, documents), _SCORED)

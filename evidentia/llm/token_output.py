@@ -100,7 +100,7 @@ def write(docs: DataFrame, to: str, tokenizer: str, block_ids: int = BLOCK_IDS)
     slim = docs.select("doc_id", text_or_empty().alias("text"))
     ranges = spread(spark, table_bytes(docs), RANGE_BYTES, MOST_RANGES)
     ordered = slim.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    raw = scratch_table(ordered.mapInArrow(lambda b: _tokenised(b, tokenizer, block_ids), _RAW), "token-ids")
+    raw = scratch_table(ordered.mapInArrow(lambda b: _tokenised(b, tokenizer, block_ids), _RAW), "token-ids", large=True)
     tallies = raw.select(F.explode(F.arrays_zip("symbols", "counts")).alias("x")).groupBy("x.symbols").agg(F.sum("x.counts").alias("n")).collect()
     counts = np.zeros(max((r.symbols for r in tallies), default=-1) + 1, np.int64)
     for r in tallies:
