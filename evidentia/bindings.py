@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.functions import geo, keys, parse, similarity, text
-from evidentia.operators import calibrate, facts, linkage, profile, quality, store
+from evidentia.operators import calibrate, candidates, facts, linkage, profile, quality, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -35,7 +35,7 @@ def _key_sql(namespace: str, version: str, *fields: str) -> str:
     return f"sha256('SK1;{head}'{framed})"
 
 
-_CHECKSUM = "bit_xor(CAST('0x' || substr(sha256(CAST({0} AS VARCHAR)), 1, 15) AS BIGINT))"
+_CHECKSUM = "bit_xor(CAST('0x' || substr(sha256(CAST(({0}) AS VARCHAR)), 1, 15) AS BIGINT))"
 
 
 @_query(f"SELECT o_orderkey, {_key_sql('orders', 'v1', 'o_orderkey', 'o_orderpriority', 'maybe')} AS record_key FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS maybe FROM orders)")
@@ -440,3 +440,42 @@ def resolved_location(spark, sf_dir):
     required = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"))
     allocations = _table(spark, sf_dir, "lineitem").filter("l_orderkey % 20 = 0").select(F.col("l_partkey").alias("k"), "l_suppkey", "l_returnflag")
     return facts.located(required, allocations, "k", ["l_suppkey", "l_returnflag"])
+
+
+_OBSERVED = """SELECT o_orderkey AS key, CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'B' END AS source, CASE WHEN o_orderkey % 2 = 1 AND o_custkey % 3 = 0 THEN o_custkey % 700 END AS identifier,
+CAST(o_custkey % 1000 AS VARCHAR(9)) AS postcode, CAST(o_custkey % 250 AS VARCHAR(9)) AS sector, o_orderpriority AS premise, CASE WHEN o_custkey % 4 > 0 THEN o_custkey % 7 END AS unit, o_custkey % 5 AS building, CASE WHEN o_orderkey % 2 = 0 THEN 'HIGH STREET' ELSE 'THE ' || CASE WHEN o_custkey % 2 = 0 THEN 'OLD HIGH STREET' ELSE 'LANE' END END AS road FROM orders"""
+_HITS = f"""WITH o AS ({_OBSERVED}), a AS (SELECT * FROM o WHERE source = 'A'), b AS (SELECT * FROM o WHERE source = 'B'),
+k AS (SELECT postcode, unit, building FROM o WHERE unit IS NOT NULL GROUP BY ALL HAVING count(*) FILTER (WHERE source = 'A') BETWEEN 1 AND 20 AND count(*) FILTER (WHERE source = 'B') BETWEEN 1 AND 20 AND count(*) FILTER (WHERE source = 'A') * count(*) FILTER (WHERE source = 'B') <= 100),
+h AS (SELECT x.key AS l, y.key AS r, 'DIRECT_IDENTIFIER' AS rule_code, 10 AS priority FROM b x JOIN b y ON x.identifier = y.identifier AND x.key < y.key
+UNION ALL SELECT a.key, b.key, 'POSTCODE_PREMISE', 20 FROM a JOIN b ON a.postcode = b.postcode AND a.premise = b.premise
+UNION ALL SELECT a.key, b.key, 'SECTOR_PREMISE', 30 FROM a JOIN b ON a.sector = b.sector AND a.premise = b.premise WHERE a.postcode <> b.postcode
+UNION ALL SELECT a.key, b.key, 'UNIT_BUILDING_ROAD', 40 FROM a JOIN b ON a.postcode = b.postcode AND a.unit = b.unit AND a.building = b.building JOIN k ON k.postcode = a.postcode AND k.unit = a.unit AND k.building = a.building WHERE contains(' ' || b.road || ' ', ' ' || a.road || ' ') AND a.premise IS DISTINCT FROM b.premise),
+hits AS (SELECT least(l, r) AS key_l, greatest(l, r) AS key_r, rule_code, priority FROM h)"""
+
+
+def _rule_hits(spark, sf_dir):
+    return candidates.rule_hits(spark.sql(_OBSERVED.replace("FROM orders", "FROM {orders}"), orders=_table(spark, sf_dir, "orders")))
+
+
+@_query(f"{_HITS} SELECT {_key_sql('candidate-pair', 'v1', 'key_l', 'key_r')} AS candidate_pair_key, key_l, key_r, string_agg(DISTINCT rule_code, ',' ORDER BY rule_code) AS rule_codes, arg_min(rule_code, priority) AS primary_rule_code FROM hits GROUP BY key_l, key_r")
+def candidate_registry(spark, sf_dir):
+    return candidates.candidate_pairs(_rule_hits(spark, sf_dir))
+
+
+_PAIR_TEXT = "key_l || '|' || key_r"
+
+
+@_query(f"{_HITS} SELECT rule_code, count(*) AS hit_count, count(DISTINCT key_l) AS left_count, count(DISTINCT key_r) AS right_count, min(key_l) AS min_key, max(key_r) AS max_key, {_CHECKSUM.format(_PAIR_TEXT)} AS pair_checksum FROM hits GROUP BY rule_code")
+def generation_audit(spark, sf_dir):
+    return candidates.generation_audit(_rule_hits(spark, sf_dir))
+
+
+@_query(f"{_HITS} SELECT key_l, key_r, count(DISTINCT rule_code) AS rules FROM hits GROUP BY key_l, key_r HAVING count(DISTINCT rule_code) > 1")
+def rule_exclusion_violations(spark, sf_dir):
+    return candidates.exclusion_violations(_rule_hits(spark, sf_dir))
+
+
+@_query("SELECT o_orderkey FROM orders WHERE substr(sha256(CAST(o_custkey AS VARCHAR)), 1, 2) < '10' OR substr(sha256(o_orderpriority || '|' || o_custkey), 1, 2) < '10'")
+def block_preserving_sample(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    return candidates.block_preserving_sample(orders, [["o_custkey"], ["o_orderpriority", "o_custkey"]], 0x10).select("o_orderkey")

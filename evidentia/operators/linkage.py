@@ -140,6 +140,7 @@ def estimate_m(pairs: DataFrame, comparisons: Sequence[Comparison], u: dict[str,
 
 def decisions(scored: DataFrame, direct: Column, agrees: Column, medium: Column) -> DataFrame:
     """Every pair goes to review; direct identifiers that disagree elsewhere come first."""
+    # Reasons and priorities.
     reason = F.when(direct & ~agrees, "UNCALIBRATED_DIRECT_IDENTIFIER_HETEROGENEOUS").when(direct, "UNCALIBRATED_DIRECT_IDENTIFIER_CONSISTENT").otherwise("UNCALIBRATED_PROBABILISTIC_MODEL")
     priority = F.when(direct & ~agrees, "HIGH").when(medium, "MEDIUM").otherwise("STANDARD")
     return scored.withColumns({"decision_outcome": F.lit("REVIEW"), "decision_reason": reason, "review_priority": priority, "is_accepted_edge": F.lit(False)})
