@@ -6,7 +6,6 @@ import gc
 import time
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,14 +117,6 @@ def table_bytes(df: DataFrame, column: str = "text") -> int:
     return (df.agg(F.sum(F.octet_length(F.col(column).cast("string")))).first()[0] or 0) // 2
 
 
-def prefix_sums(sizes: Iterable[int]) -> Iterator[int]:
-    """Sum of all sizes before each."""
-    total = 0
-    for size in sizes:
-        yield total
-        total += size
-
-
 def tokenizer_path(name: str) -> str:
     """A vocabulary file of the installed public tokenizers."""
     import public_tokenizers

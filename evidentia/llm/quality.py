@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import SPACE_CLASS, SPACES, text_or_empty, words_of
+from evidentia.llm.common import SPACES, text_or_empty, words_of
 
 SYMBOLS = "#*$%&|<>"
 #: Common function words of the four languages.
