@@ -29,8 +29,8 @@ from evidentia.llm.common import bounded_batches, text_or_empty
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MERGES = 2
-#: Parts and neighbours remembered by one worker, and the longest part.
-REMEMBERED, NEIGHBOURS, LONGEST = 500_000, 500_000, 64
+#: Parts and neighbours remembered by one worker, and the longest stretch.
+REMEMBERED, NEIGHBOURS, LONGEST = 600_000, 500_000, 64
 _LOADED: dict[str, Transducer] = {}
 
 
@@ -93,6 +93,7 @@ class Transducer:
         self.emitted = [b"" if kind == CONTROL else bytes([int(text[3:5], 16)]) if kind == BYTE else " ⁇ ".encode() if kind == UNKNOWN else text.replace(MARK, " ").encode() for text, _, kind in self.pieces]
         self.weights: dict[tuple[str, str], float] = {}
         self.parts: dict[str, bytes] = {}
+        self.stretches: dict[str, bytes] = {}
         self.runs: dict[int, list[int]] = {}
 
     @classmethod
@@ -163,12 +164,19 @@ class Transducer:
 
     def _part(self, part: str) -> bytes:
         """Ids of a part without spaces, cut where its neighbours are joined by no piece."""
-        ids, start = [], 0
-        for k in range(1, len(part) + 1):
-            if k == len(part) or (part[k - 1], part[k]) not in self.joined:
-                ids += [i for piece in self._path(part[start:k]) for i in self._emit(piece)]
-                start = k
-        return np.array(ids, "<u4").tobytes()
+        joined, known = self.joined, self.stretches
+        ends = [k for k, pair in enumerate(zip(part, part[1:], strict=False), 1) if pair not in joined]
+        out, start = [], 0
+        for end in [*ends, len(part)]:
+            stretch = part[start:end]
+            ids = known.get(stretch)
+            if ids is None:
+                ids = np.array([i for piece in self._path(stretch) for i in self._emit(piece)], "<u4").tobytes()
+                if end - start <= LONGEST and len(known) < REMEMBERED:
+                    known[stretch] = ids
+            out.append(ids)
+            start = end
+        return b"".join(out)
 
     def _run(self, length: int) -> list[int]:
         """Ids of so many marks that no other piece took."""
@@ -184,15 +192,14 @@ class Transducer:
         words = text.replace(MARK, " ").split(" ")
         if not self.prefix:
             raise ValueError("only models with a space before the text are compiled")
-        out = []
         known = self.parts
-        for word in words:
-            ids = known.get(word)
-            if ids is None:
-                ids = self._part(MARK + word)
-                if len(word) <= LONGEST and len(known) < REMEMBERED:
-                    known[word] = ids
-            out.append(ids)
+        new = set(words).difference(known)
+        for word in new:
+            known[word] = self._part(MARK + word)
+        out = list(map(known.__getitem__, words))
+        if len(known) > REMEMBERED:
+            for word in new:
+                del known[word]
         if "" not in words:
             return b"".join(out)
         alone, joined, run = np.array([self.mark], "<u4").tobytes(), [], 0
