@@ -29,8 +29,8 @@ from evidentia.llm.ngram_trie import CODEBOOK, Trie
 END, BEGIN = 1, 2
 MU = 20.0
 #: Tokens of a chunk, and bytes of the table, as its files tell, that one shard should serve.
-CHUNK = 1 << 21
-SHARD_BYTES = 12 << 20
+CHUNK = 1 << 20
+SHARD_BYTES = 6 << 20
 REMEMBERED = 400_000
 _NULL = -(1 << 63)
 _ROW = "kind int, shard int, chunk long, a binary, b binary, c binary"
