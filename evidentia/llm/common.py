@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import tempfile
 import time
 import uuid
 import zlib
@@ -39,11 +40,11 @@ def fold_column(name: str, folds: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a local one is set only where the session names none."""
+    """The shared scratch folder that the session names; where it names none, a local one on a local master, else one in the warehouse."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file:///tmp/evidentia-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", found)
+        local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
+        found = f"file://{tempfile.gettempdir()}/evidentia-checkpoints" if local else f"{spark.conf.get('spark.sql.warehouse.dir')}/evidentia-checkpoints"
     return found.rstrip("/")
 
 
