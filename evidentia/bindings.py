@@ -224,8 +224,7 @@ def coordinate_contraction(spark, sf_dir):
 @_query()
 def bng_to_wgs84(spark, sf_dir):
     points = _table(spark, sf_dir, "part").select("p_partkey", (F.lit(200000.0) + F.col("p_partkey") * 7919 % 400000).alias("e"), (F.lit(50000.0) + F.col("p_partkey") * 104729 % 900000).alias("n"))
-    lon, lat = geo.grid_to_lonlat(F.col("e"), F.col("n"))
-    out = points.select("p_partkey", "e", "n", lon.alias("lon"), lat.alias("lat"), geo.coordinate_key("coordinate", "v3", F.col("e"), F.col("n")).alias("coordinate_key"))
+    out = geo.with_lonlat(points, F.col("e"), F.col("n")).withColumn("coordinate_key", geo.coordinate_key("coordinate", "v3", F.col("e"), F.col("n")))
     return out.withColumn("bounds_status", geo.bounds_status(F.col("lon"), F.col("lat")))
 
 

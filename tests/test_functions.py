@@ -66,9 +66,8 @@ def test_bands_dates_and_small_numbers(spark):
 
 def test_grid_to_lonlat(spark):
     df = spark.createDataFrame([(530000.0, 180000.0), (529985.0, 179952.5)], "e double, n double")
-    lon, lat = geo.grid_to_lonlat(F.col("e"), F.col("n"))
     expected = [(-0.12835394047946935, 51.50399082763378), (-0.12858742477613924, 51.503567408226914)]
-    for r, e in zip(df.select(lon, lat).collect(), expected, strict=True):
+    for r, e in zip(geo.with_lonlat(df, F.col("e"), F.col("n")).select("lon", "lat").collect(), expected, strict=True):
         assert abs(r[0] - e[0]) < 1e-6 and abs(r[1] - e[1]) < 1e-6
 
 
