@@ -84,10 +84,22 @@ def _may_match() -> Column:
     )
 
 
-_PAIR = ["x.d AS xd", "x.s AS xs", "y.d AS yd", "y.s AS ys"]
+_PAIR = ["x.d AS xd", "x.s AS xs", "y.d AS yd", "y.s AS ys", "bit_count(x.b ^ y.b) AS e"]
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Distinct later lines (d, s) of the pairs (xd, xs, yd, ys, e) that are similar by their words.
+
+    A line needs one match, so each is held against its most likely one first, and only what that leaves against all.
+    """
+    best = F.min(F.struct("e", "yd", "ys")).alias("y")
+    first = scratch_table(pairs.groupBy("xd", "xs").agg(best).select("xd", "xs", "y.yd", "y.ys"), "likely-pairs")
+    sure = scratch_table(_similar(docs, first), "likely-lines", large=True)
+    rest = pairs.join(sure.select(F.col("d").alias("xd"), F.col("s").alias("xs")), ["xd", "xs"], "left_anti").join(first, ["xd", "xs", "yd", "ys"], "left_anti")
+    return sure.unionByName(_similar(docs, scratch_table(rest.select("xd", "xs", "yd", "ys"), "other-pairs", large=True)))
+
+
+def _similar(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Distinct later lines (d, s) of the pairs that are similar by their words."""
     num, den = THRESHOLD
     wanted = scratch_table(pairs.select(F.col("xd").alias("d"), F.col("xs").alias("s")).unionByName(pairs.select(F.col("yd").alias("d"), F.col("ys").alias("s"))).distinct(), "wanted-lines")
