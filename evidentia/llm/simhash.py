@@ -184,8 +184,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """docs with one row of each component: the smallest doc_id (any before null), of its rows the least text hash."""
-    found = near_duplicates(docs, shingle)
+    """docs with one row of each component of near_duplicates."""
+    return first_rows(docs, near_duplicates(docs, shingle))
+
+
+def first_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """docs with one row of each group of found: the smallest doc_id (any before null), of its rows the least text hash."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
     kept = found.groupBy("group").agg(first).select(F.coalesce("first.doc_id", F.lit(_NULL)).alias("__d"), F.col("first.text_hash").alias("__h"))
     keys = [F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)).alias("__d"), F.xxhash64(text_or_empty()).alias("__h")]

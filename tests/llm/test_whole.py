@@ -1,0 +1,45 @@
+"""Whole jobs: each test fails where a part of the work is left out."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from evidentia.llm import nearcopies
+
+
+def shingled(text):
+    words = text.lower().split()
+    return frozenset(" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def near_corpus():
+    """Families of texts of 100 to 1000 words with a few words changed, above and below the threshold."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    out = []
+    for size in (100, 100, 250, 250, 1000):
+        base = [word() for _ in range(size)]
+        out.append(" ".join(base))
+        for share in (0.01, 0.01, 0.02, 0.03, 0.05, 0.1):
+            text = list(base)
+            for at in rng.sample(range(size), max(1, int(size * share))):
+                text[at] = word()
+            out.append(" ".join(text))
+    return [*out, "", " \n", "a b", "A  b", None, out[0].upper()]
+
+
+@pytest.mark.parametrize("seen", [4, 1])
+def test_near_copies_against_brute_force(spark, monkeypatch, seen):
+    monkeypatch.setattr(nearcopies, "SAMPLE", 1)
+    monkeypatch.setattr(nearcopies, "SEEN", seen)
+    corpus = near_corpus()
+    sets = [shingled(t or "") for t in corpus]
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(corpus)], "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, "").collect()}
+    assert kept == set(root)
