@@ -34,12 +34,13 @@ class Permutation:
         self.half = max(1, -(-max(1, n - 1).bit_length() // 2))
         self.mask = (1 << self.half) - 1
         self.bytes = -(-self.half // 8)
-        self.key = hashlib.blake2b(kind.encode() + b"\0" + str(n).encode(), key=key[:64], digest_size=32).digest()
+        size = str(n).encode() if n.bit_length() < 8192 else n.to_bytes(2 * self.bytes + 1, "little")
+        self.key = hashlib.blake2b(kind.encode() + b"\0" + size, key=key[:64], digest_size=32).digest()
 
     def _round(self, k: int, right: int) -> int:
         out, block = b"", 0
         while len(out) < self.bytes:
-            out += hashlib.blake2b(bytes([k, block & 255]) + right.to_bytes(self.bytes, "little"), key=self.key, digest_size=min(64, self.bytes)).digest()
+            out += hashlib.blake2b(bytes([k]) + block.to_bytes(1 if block < 256 else 4, "little") + right.to_bytes(self.bytes, "little"), key=self.key, digest_size=min(64, self.bytes)).digest()
             block += 1
         return int.from_bytes(out[: self.bytes], "little") & self.mask
 
@@ -98,6 +99,8 @@ class Pseudonyms:
 
     def permutation(self, kind: str, n: int) -> Permutation:
         if (kind, n) not in self.permutations:
+            if len(self.permutations) >= self.remembered // 10:
+                self.permutations.clear()
             self.permutations[kind, n] = Permutation(self.key, kind, n)
         return self.permutations[kind, n]
 
@@ -163,7 +166,7 @@ class Pseudonyms:
             n = (self.LAST - self.FIRST).days + 1
             new = self.FIRST + datetime.timedelta(days=self.permutation("date", n)((day - self.FIRST).days))
             out = [""] * 3
-            out[y], out[m], out[d] = f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"
+            out[y], out[m], out[d] = f"{new.year:04d}", f"{new.month:0{len(parts[m])}d}", f"{new.day:0{len(parts[d])}d}"
             marks = re.findall(r"[-/.]", text)
             return out[0] + marks[0] + out[1] + marks[1] + out[2]
         return None
@@ -171,14 +174,20 @@ class Pseudonyms:
     def _classes(self, kind: str, text: str) -> str:
         """Permuted among the texts with letters and digits of the same classes in the same places."""
         sets = [next((s for s in (string.digits, string.ascii_lowercase, string.ascii_uppercase) if c in s), c) for c in text]
-        x, n = 0, 1
-        for c, s in zip(text, sets, strict=True):
-            x, n = x * len(s) + s.index(c), n * len(s)
+        x, n, sizes = 0, 1, []
+        for at in range(0, len(text), _STEP):  # in steps, as long numbers are slow
+            y, size = 0, 1
+            for c, s in zip(text[at : at + _STEP], sets[at : at + _STEP], strict=True):
+                y, size = y * len(s) + s.index(c), size * len(s)
+            x, n = x * size + y, n * size
+            sizes.append(size)
         x = self.permutation(kind, n)(x)
         out = []
-        for s in reversed(sets):
-            x, k = divmod(x, len(s))
-            out.append(s[k])
+        for k in range(len(sizes) - 1, -1, -1):
+            x, y = divmod(x, sizes[k])
+            for s in reversed(sets[k * _STEP : (k + 1) * _STEP]):
+                y, c = divmod(y, len(s))
+                out.append(s[c])
         return "".join(reversed(out))
 
     def email(self, text: str) -> str:
@@ -199,35 +208,53 @@ class Pseudonyms:
     def rewrite(self, text: str) -> tuple[str, dict[str, int]]:
         """The text with its pseudonyms, and how many of each kind."""
         found: dict[str, int] = {}
-
-        def put(match: re.Match) -> str:
-            group = match.lastgroup
-            whole, value, kind = match.group(), match.group(group), group.rstrip("_")
-            new = self.replaced(kind, value)
-            if new is None:
-                return whole
-            found[kind] = found.get(kind, 0) + 1
-            at = match.start(group) - match.start()
-            return whole[:at] + new + whole[at + len(value) :]
-
         if not _HINT.search(text):
             return text, found
-        return _VALUES.sub(put, text), found
+        out, done, at = [], 0, 0
+        while match := _VALUES.search(text, at):
+            group = match.lastgroup
+            kind = group.rstrip("_")
+            for start, end in _card_spans(text, match) if kind == "card" else [match.span(group)]:
+                new = self.replaced(kind, text[start:end])
+                if new is not None:
+                    found[kind] = found.get(kind, 0) + 1
+                    out += [text[done:start], new]
+                    done = at = end
+                    break
+            else:  # what follows its first word may still hold a value
+                at = _WORD.search(text, match.start()).end()
+        return "".join([*out, text[done:]]), found
 
 
 #: Nothing to find without one of these.
-_HINT = re.compile(r"[0-9@]")
+_HINT = re.compile(r"[0-9@]|AKIA|ASIA|(?i:password|passwd|pwd|secret|token|api_?key|access_?key)")
+_WORD = re.compile(r"[^\W_]+")
+#: Characters that `_classes` takes at a time.
+_STEP = 512
 _VALUES = re.compile(
     r"(?P<email>(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}\b)"
     r"|(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
-    r"|(?i:\b(?:password|passwd|pwd|secret|token|api_?key|access_?key)\b\s*[=:]\s*[\"']?)(?P<secret>[A-Za-z0-9_+/=.-]{8,200})"
+    r"|(?i:\b(?:password|passwd|pwd|secret|token|api_?key|access_?key)\b\s*[=:]\s*[\"']?)(?P<secret>[A-Za-z0-9_+/=.-]{8,})"
     r"|\b(?:AKIA|ASIA)(?P<secret_>[A-Z0-9]{16})\b"
     r"|(?<![\w.])(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![\w]|\.[0-9])"
-    r"|(?<![\w./-])(?P<date>[0-9]{4}(?:-[0-9]{2}-|/[0-9]{2}/|\.[0-9]{2}\.)[0-9]{2}|[0-9]{2}(?:-[0-9]{2}-|/[0-9]{2}/|\.[0-9]{2}\.)[0-9]{4})(?![\w/-]|\.[0-9])"
+    r"|(?<![\w./-])(?P<date>[0-9]{4}(?:-[0-9]{1,2}-|/[0-9]{1,2}/|\.[0-9]{1,2}\.)[0-9]{1,2}|[0-9]{1,2}(?:-[0-9]{1,2}-|/[0-9]{1,2}/|\.[0-9]{1,2}\.)[0-9]{4})(?![\w/-]|\.[0-9])"
     r"|(?<![\w-])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])"
-    r"|(?<![\w+])(?P<phone>\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?!\w|\.[0-9])"
-    r"|(?<![\w.-])(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?![\w-])"
+    r"|(?<![\w+])(?P<phone>\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?!\w|\.[0-9])"
+    r"|(?<![\w.-])(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?!\w|-[A-Za-z_])"
 )
+#: How cards are written, the most usual first; digits that follow one (an expiry date, a code) are not part of it.
+_CARDS = [
+    re.compile(rf"(?:{x})(?!\w|-[A-Za-z_])")
+    for x in ("[0-9]{4}(?:[ -][0-9]{4}){3}", "[0-9]{13,19}", "[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}", "[0-9]{4}(?:[ -][0-9]{4}){3}[ -][0-9]{1,3}", "[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,3}", "[0-9]{6}[ -][0-9]{13}")
+]
+
+
+def _card_spans(text: str, match: re.Match) -> Iterator[tuple[int, int]]:
+    """Where a card that begins with the match may end: as cards are written, then the longest run of digits."""
+    for pattern in _CARDS:
+        if found := pattern.match(text, match.start()):
+            yield found.span()
+    yield match.span("card")
 
 
 def _rewritten(batches: Iterator[pa.RecordBatch], key: bytes) -> Iterator[pa.RecordBatch]:
