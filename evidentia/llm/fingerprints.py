@@ -3,7 +3,9 @@
 A K-mer of code points is an anchor if its least S-mer (by hash) stands at its first or last place. That depends on the
 K-mer alone, so equal passages have equal anchors wherever they stand. A fingerprint is the SKETCH least distinct
 anchor hashes, 32 bits each, in base64; likeness is the share of common hashes among the least of both (1 for two empty
-texts). A text without an anchor (fewer than K characters, or none by chance) has one hash, of the whole text; an
+texts). That is a sample of long texts, so `match_edited` and `match_next` come from all anchors: an anchor is its hash
+and how many like it came before in its text, and the share is of those that both texts have in the same order, the
+most that can be so, among all of both (1 for two empty texts). A text without an anchor (fewer than K characters, or none by chance) has one hash, of the whole text; an
 empty one none. Null text counts as empty. The next document is the one with the next smaller doc_id, and after the
 last the first; rows that share a doc_id follow in the order of their texts, a null doc_id comes last. One document is
 its own next. Rows are dealt by ranges of doc_id, and each range also gets the first document of the range after it.
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +36,7 @@ RANGE_BYTES = 2 << 20
 MOST_RANGES = 1 << 14
 _NULL = -(1 << 63)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-_FINGERPRINTED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_FINGERPRINTED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, match_edited double, match_next double"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -60,11 +63,20 @@ def syncmers(text: str) -> tuple[np.ndarray, np.ndarray]:
     return at, _mix(first[at] * _A + s_mers[at + S])
 
 
+def _hashes(text: str) -> np.ndarray:
+    """Hashes of the anchors in their order; of a text without any, of the whole text."""
+    _, hashes = syncmers(text)
+    if len(hashes) or not text:
+        return hashes
+    return np.array([xxhash.xxh32_intdigest(text.encode("utf-8", "surrogatepass"))], np.uint64) << np.uint64(32)
+
+
 def sketch(text: str) -> np.ndarray:
     """The least distinct anchor hashes."""
-    _, hashes = syncmers(text)
-    if not len(hashes):
-        return np.array([xxhash.xxh32_intdigest(text.encode("utf-8", "surrogatepass"))] if text else [], np.uint32)
+    return _least(_hashes(text))
+
+
+def _least(hashes: np.ndarray) -> np.ndarray:
     short = (hashes >> np.uint64(32)).astype(np.uint32)
     if len(short) > 8 * SKETCH:  # the least few, with room for repeats
         few = np.unique(np.partition(short, 4 * SKETCH)[: 4 * SKETCH])
@@ -73,6 +85,34 @@ def sketch(text: str) -> np.ndarray:
     return np.unique(short)[:SKETCH]
 
 
+def _numbered(hashes: np.ndarray) -> np.ndarray:
+    """Distinct keys of the anchors in their order: the hash and how many like it came before."""
+    order = np.argsort(hashes, kind="stable")
+    sorted_, at = hashes[order], np.arange(len(hashes))
+    fresh = np.concatenate([[True], sorted_[1:] != sorted_[:-1]])[: len(hashes)]
+    keys = np.empty_like(hashes)
+    keys[order] = sorted_ + (at - np.maximum.accumulate(np.where(fresh, at, 0))).astype(np.uint64) * _A
+    return keys
+
+
+def match(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of the numbered anchors a and b that both have in the same order."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    places = j[np.argsort(i)]
+    n = len(places)
+    if n > 1 and (places[1:] < places[:-1]).any():  # the longest rising run
+        ends: list[int] = []
+        for x in places.tolist():
+            if not ends or x > ends[-1]:
+                ends.append(x)
+            else:
+                ends[bisect_left(ends, x)] = x
+        n = len(ends)
+    return n / (len(a) + len(b) - n)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     both = np.union1d(a, b)[:SKETCH]
     if not len(both):
@@ -102,19 +142,26 @@ class _Doc:
     doc_id: int | None
     text: str
     marks: np.ndarray
+    anchors: np.ndarray
+
+
+def _doc(key: int, text: str) -> _Doc:
+    hashes = _hashes(text)
+    return _Doc(None if key == _NULL else key, text, _least(hashes), _numbered(hashes))
 
 
 def _row(doc: _Doc, after: _Doc) -> tuple:
     n = len(doc.text)
     edited = doc.text[: n - n // 2] + after.text[: n // 2]
-    marks = sketch(edited)
+    hashes = _hashes(edited)
+    marks = _least(hashes)
     sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-    return doc.doc_id, n, sha, printed(doc.marks), printed(marks), likeness(doc.marks, marks), likeness(doc.marks, after.marks)
+    return doc.doc_id, n, sha, printed(doc.marks), printed(marks), likeness(doc.marks, marks), likeness(doc.marks, after.marks), match(doc.anchors, _numbered(hashes)), match(doc.anchors, after.anchors)
 
 
 def _fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a range in their order, then the first document of the next range (role 1)."""
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4]
     names = [x.split()[0] for x in _FINGERPRINTED.split(", ")]
     range_, held = None, None
     for batch in batches:
@@ -124,7 +171,7 @@ def _fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 range_, held = bucket, None
             elif held is None:  # the next range's first document had come
                 continue
-            doc = _Doc(None if key == _NULL else key, text, sketch(text))
+            doc = _doc(key, text)
             if held is not None:
                 out.append(_row(held, doc))
             held = None if role else doc
@@ -133,7 +180,7 @@ def _fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, match_edited, match_next."""
     spark = docs.sparkSession
     bounded_batches(spark)
     slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)).alias("key"), text_or_empty().alias("text"))

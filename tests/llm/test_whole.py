@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from evidentia.llm import nearcopies, pii
+from evidentia.llm import fingerprints, nearcopies, pii
 
 
 def shingled(text):
@@ -82,3 +82,36 @@ def test_equal_dates_stay_equal():
     tool = pii.Pseudonyms()
     padded, plain = tool.rewrite("05/06/2024")[0], tool.rewrite("5/6/2024")[0]
     assert list(map(int, padded.split("/"))) == list(map(int, plain.split("/")))
+
+
+def plain_match(a, b):
+    """Longest common subsequence of the anchors, each numbered among its likes, by brute force."""
+    def numbered(text):
+        seen, out = {}, []
+        for h in fingerprints.syncmers(text)[1].tolist():
+            out.append((h, seen.get(h, 0)))
+            seen[h] = seen.get(h, 0) + 1
+        return out or ([text] if text else [])
+
+    x, y = numbered(a), numbered(b)
+    row = [0] * (len(y) + 1)
+    for u in x:
+        new = [0]
+        for k, v in enumerate(y):
+            new.append(row[k] + 1 if u == v else max(new[k], row[k + 1]))
+        row = new
+    return row[-1] / (len(x) + len(y) - row[-1]) if x or y else 1.0
+
+
+def test_all_anchors_are_matched(spark):
+    rng = random.Random(9)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, line = prose(300), prose(40)
+    texts = [prose(6000) + passage + prose(6000), prose(9000) + passage + prose(2000), "", "", "short", "short", line * 20, prose(50) + line * 30, passage[150:] + passage[:150], passage]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprints.fingerprint(docs).collect()}
+    for k, text in enumerate(texts):
+        after = texts[k - 1]
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        assert (got[k].match_edited, got[k].match_next) == (plain_match(text, edited), plain_match(text, after))
+    assert got[1].match_next > 0.005
