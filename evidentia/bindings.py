@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -230,8 +231,8 @@ def bng_to_wgs84(spark, sf_dir):
 
 @_query("""SELECT user_id, l AS left_count, r AS right_count, l * r AS pair_product, CASE WHEN greatest(l, r) <= 20 AND l * r <= 300 THEN 'ADMIT' ELSE 'SUPPRESS' END AS admission
 FROM (SELECT user_id, count(*) FILTER (WHERE event_id % 2 = 0) AS l, count(*) FILTER (WHERE event_id % 2 = 1) AS r FROM events WHERE event_id % 3 = 0 GROUP BY user_id) WHERE l > 0 AND r > 0""")
-def block_profile_caps(spark, sf_dir):
-    events = _table(spark, sf_dir, "events").filter("event_id % 3 = 0").withColumn("side", F.when(F.col("event_id") % 2 == 0, "L").otherwise("R"))
+def block_profile_caps(spark, sf_dir, whole=False):
+    events = _table(spark, sf_dir, "events").filter("true" if whole else "event_id % 3 = 0").withColumn("side", F.when(F.col("event_id") % 2 == 0, "L").otherwise("R"))
     return linkage.block_profile(events, ["user_id"], "side", "L", "R", 20, 300)
 
 
@@ -265,16 +266,17 @@ _PAIRS_SQL = """SELECT a.p_partkey AS key_l, b.p_partkey AS key_r, a.p_name AS n
 FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey AND a.p_partkey % 3 = b.p_partkey % 3"""
 
 
-def _pairs(spark, sf_dir):
+def _pairs(spark, sf_dir, whole=False):
+    """Pairs of the same brand; unless whole, only of keys that are alike modulo 3."""
     part = _table(spark, sf_dir, "part")
     left = part.select("p_brand", F.col("p_partkey").alias("key_l"), F.col("p_name").alias("name_l"), F.when(F.col("p_partkey") % 9 != 0, F.col("p_type")).alias("type_l"), F.col("p_size").alias("size_l"), (F.col("p_partkey") % 3).alias("m"))
     right = part.select("p_brand", F.col("p_partkey").alias("key_r"), F.col("p_name").alias("name_r"), F.col("p_type").alias("type_r"), F.col("p_size").alias("size_r"), (F.col("p_partkey") % 3).alias("m"))
-    return linkage.cross_pairs(left, right, ["p_brand", "m"], F.col("key_l") < F.col("key_r"))
+    return linkage.cross_pairs(left.drop("m") if whole else left, right.drop("m") if whole else right, ["p_brand"] if whole else ["p_brand", "m"], F.col("key_l") < F.col("key_r"))
 
 
 @_query(f"SELECT key_l, key_r, round(jaro_winkler_similarity(name_l, name_r), 9) AS similarity, CASE WHEN name_l = name_r THEN 'EXACT' WHEN jaro_winkler_similarity(name_l, name_r) >= 0.95 THEN 'HIGH' WHEN jaro_winkler_similarity(name_l, name_r) >= 0.88 THEN 'MEDIUM' ELSE 'ELSE' END AS level FROM ({_PAIRS_SQL}) WHERE size_l = size_r")
-def jaro_winkler_levels(spark, sf_dir):
-    pairs = _pairs(spark, sf_dir).filter("size_l = size_r").withColumn("s", similarity.jaro_winkler("name_l", "name_r"))
+def jaro_winkler_levels(spark, sf_dir, whole=False):
+    pairs = _pairs(spark, sf_dir, whole).filter("size_l = size_r").withColumn("s", similarity.jaro_winkler("name_l", "name_r"))
     level = F.when(F.col("name_l") == F.col("name_r"), "EXACT").when(F.col("s") >= 0.95, "HIGH").when(F.col("s") >= 0.88, "MEDIUM").otherwise("ELSE")
     return pairs.select("key_l", "key_r", F.round("s", 9).alias("similarity"), level.alias("level"))
 
@@ -298,19 +300,19 @@ def _level_sql(c: linkage.Comparison) -> str:
 _SCORED_SQL = f"SELECT *, round(log2(0.000001::DOUBLE / 0.999999::DOUBLE) + {' + '.join(map(_weight_sql, COMPARISONS))}, 6) AS match_weight, {', '.join(_level_sql(c) + ' AS gamma_' + c.name for c in COMPARISONS)} FROM ({_PAIRS_SQL})"
 
 
-def _scored(spark, sf_dir):
-    return linkage.score(_pairs(spark, sf_dir), COMPARISONS).withColumn("match_weight", F.round("match_weight", 6))
+def _scored(spark, sf_dir, whole=False):
+    return linkage.score(_pairs(spark, sf_dir, whole), COMPARISONS).withColumn("match_weight", F.round("match_weight", 6))
 
 
 @_query(f"SELECT key_l, key_r, gamma_name, gamma_type, gamma_size, match_weight, round(1 / (1 + pow(2.0::DOUBLE, -match_weight)), 9) AS match_probability FROM ({_SCORED_SQL})")
-def fellegi_sunter_score(spark, sf_dir):
+def fellegi_sunter_score(spark, sf_dir, whole=False):
     probability = F.round(1 / (1 + F.pow(F.lit(2.0), -F.col("match_weight"))), 9)
-    return _scored(spark, sf_dir).select("key_l", "key_r", "gamma_name", "gamma_type", "gamma_size", "match_weight", probability.alias("match_probability"))
+    return _scored(spark, sf_dir, whole).select("key_l", "key_r", "gamma_name", "gamma_type", "gamma_size", "match_weight", probability.alias("match_probability"))
 
 
 @_query()
 def em_training(spark, sf_dir):
-    pairs = _pairs(spark, sf_dir)
+    pairs = _pairs(spark, sf_dir, whole=True)
     u = linkage.estimate_u(pairs, COMPARISONS)
     m, prior, rounds = linkage.estimate_m(pairs, COMPARISONS, u, 0.01)
     rows = [(c.name, x.name, float(m[c.name][x.name]), float(u[c.name][x.name]), float(prior), rounds) for c in COMPARISONS for x in c.levels]
@@ -324,8 +326,8 @@ def term_frequencies(spark, sf_dir):
 
 @_query(f"""SELECT key_l, key_r, CASE WHEN size_l = size_r AND gamma_name <> 'EXACT' THEN 'UNCALIBRATED_DIRECT_IDENTIFIER_HETEROGENEOUS' WHEN size_l = size_r THEN 'UNCALIBRATED_DIRECT_IDENTIFIER_CONSISTENT' ELSE 'UNCALIBRATED_PROBABILISTIC_MODEL' END AS decision_reason,
 CASE WHEN size_l = size_r AND gamma_name <> 'EXACT' THEN 'HIGH' WHEN gamma_type = 'EXACT' THEN 'MEDIUM' ELSE 'STANDARD' END AS review_priority, 'REVIEW' AS decision_outcome, false AS is_accepted_edge FROM ({_SCORED_SQL})""")
-def decision_policy(spark, sf_dir):
-    scored = _scored(spark, sf_dir)
+def decision_policy(spark, sf_dir, whole=False):
+    scored = _scored(spark, sf_dir, whole)
     out = linkage.decisions(scored, F.col("size_l") == F.col("size_r"), F.col("gamma_name") == "EXACT", F.col("gamma_type") == "EXACT")
     return out.select("key_l", "key_r", "decision_reason", "review_priority", "decision_outcome", "is_accepted_edge")
 
@@ -334,27 +336,27 @@ _ENDS_SQL = f"WITH s AS ({_SCORED_SQL}), e AS (SELECT key_l AS key, key_r AS oth
 
 
 @_query(f"{_ENDS_SQL} SELECT key, other, match_weight, CAST(row_number() OVER w AS INTEGER) AS alternative_rank, round(match_weight - lead(match_weight) OVER w, 6) AS margin_to_next FROM e WINDOW w AS (PARTITION BY key ORDER BY match_weight DESC, other)")
-def endpoint_rank_margin(spark, sf_dir):
-    return linkage.alternatives(_scored(spark, sf_dir)).withColumn("margin_to_next", F.round("margin_to_next", 6))
+def endpoint_rank_margin(spark, sf_dir, whole=False):
+    return linkage.alternatives(_scored(spark, sf_dir, whole)).withColumn("margin_to_next", F.round("margin_to_next", 6))
 
 
 @_query(f"{_ENDS_SQL} SELECT key, count(*) AS candidate_count, max(match_weight) AS top_weight, arg_max(other, struct_pack(a := match_weight, b := -other)) AS top_other FROM e GROUP BY key")
-def endpoint_summary(spark, sf_dir):
-    return linkage.endpoint_summary(_scored(spark, sf_dir))
+def endpoint_summary(spark, sf_dir, whole=False):
+    return linkage.endpoint_summary(_scored(spark, sf_dir, whole))
 
 
 @_query(f"""{_ENDS_SQL}, g AS (SELECT key, p_type AS target, count(*) AS member_count, max(match_weight) AS top_weight FROM e JOIN part ON other = p_partkey GROUP BY ALL)
 SELECT *, CAST(row_number() OVER w AS INTEGER) AS target_rank, count(*) OVER (PARTITION BY key) AS target_count, round(top_weight - lead(top_weight) OVER w, 6) AS margin_to_next FROM g WINDOW w AS (PARTITION BY key ORDER BY top_weight DESC, target)""")
-def target_alternatives(spark, sf_dir):
+def target_alternatives(spark, sf_dir, whole=False):
     targets = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("other"), F.col("p_type").alias("target"))
-    return linkage.target_alternatives(_scored(spark, sf_dir), targets).withColumn("margin_to_next", F.round("margin_to_next", 6))
+    return linkage.target_alternatives(_scored(spark, sf_dir, whole), targets).withColumn("margin_to_next", F.round("margin_to_next", 6))
 
 
 @_query(f"""{_ENDS_SQL}, c AS (SELECT key, count(*) AS n FROM e WHERE match_weight > -20 GROUP BY key)
 SELECT p_partkey AS key, coalesce(n, 0) AS candidate_count, CASE WHEN n IS NULL THEN 'SINGLETON_NO_CANDIDATE' ELSE 'UNRESOLVED_REVIEW' END AS hypothesis_type FROM part LEFT JOIN c ON p_partkey = key""")
-def hypothesis_closure(spark, sf_dir):
+def hypothesis_closure(spark, sf_dir, whole=False):
     population = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"))
-    return linkage.hypotheses(population, _scored(spark, sf_dir).filter("match_weight > -20"))
+    return linkage.hypotheses(population, _scored(spark, sf_dir, whole).filter("match_weight > -20"))
 
 
 @_query("""SELECT c_custkey AS record_key, 'run-1' AS run_key, c_mktsegment AS target, TIMESTAMP '2020-01-01' AS valid_from, TIMESTAMP '2021-01-01' AS valid_to, false AS is_current FROM customer WHERE c_custkey % 2 = 0
@@ -435,9 +437,9 @@ def two_way_closure(spark, sf_dir):
 
 @_query("""WITH a AS (SELECT l_partkey AS k, count(DISTINCT struct_pack(a := l_suppkey, b := l_returnflag)) AS n, min(l_suppkey) AS s, min(l_returnflag) AS f FROM lineitem WHERE l_orderkey % 20 = 0 GROUP BY 1)
 SELECT p_partkey AS k, coalesce(n, 0) AS allocation_count, CASE WHEN n = 1 THEN s END AS l_suppkey, CASE WHEN n = 1 THEN f END AS l_returnflag, CASE WHEN n IS NULL THEN 'MISSING_IN_RELEASE' WHEN n = 1 THEN 'RESOLVED_UNIQUE' ELSE 'CONFLICTING_ALLOCATIONS' END AS location_status FROM part LEFT JOIN a ON p_partkey = k""")
-def resolved_location(spark, sf_dir):
+def resolved_location(spark, sf_dir, whole=False):
     required = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"))
-    allocations = _table(spark, sf_dir, "lineitem").filter("l_orderkey % 20 = 0").select(F.col("l_partkey").alias("k"), "l_suppkey", "l_returnflag")
+    allocations = _table(spark, sf_dir, "lineitem").filter("true" if whole else "l_orderkey % 20 = 0").select(F.col("l_partkey").alias("k"), "l_suppkey", "l_returnflag")
     return facts.located(required, allocations, "k", ["l_suppkey", "l_returnflag"])
 
 
@@ -478,3 +480,13 @@ def rule_exclusion_violations(spark, sf_dir):
 def block_preserving_sample(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     return candidates.block_preserving_sample(orders, [["o_custkey"], ["o_orderpriority", "o_custkey"]], 0x10).select("o_orderkey")
+
+
+#: What the SQL of these queries leaves out. Each also runs over its whole tables, as <name>_whole.
+_CUTS = {"block_profile_caps": " WHERE event_id % 3 = 0", "resolved_location": " WHERE l_orderkey % 20 = 0"} | dict.fromkeys(
+    ("jaro_winkler_levels", "fellegi_sunter_score", "decision_policy", "endpoint_rank_margin", "endpoint_summary", "target_alternatives", "hypothesis_closure"),
+    " AND a.p_partkey % 3 = b.p_partkey % 3",
+)
+for _name, _cut in _CUTS.items():
+    QUERIES[f"{_name}_whole"] = partial(QUERIES[_name], whole=True)
+    ORACLE_SQL[f"{_name}_whole"] = ORACLE_SQL[_name].replace(_cut, "")
