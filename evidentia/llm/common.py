@@ -71,7 +71,7 @@ def free_shuffles(spark: SparkSession) -> None:
         time.sleep(1)
 
 
-def scratch_table(df: DataFrame, name: str, codec: str = "zstd", large: bool = False) -> DataFrame:
+def scratch_table(df: DataFrame, name: str, codec: str = "zstd", large: bool = False, options: dict[str, str] | None = None) -> DataFrame:
     """df written once to the shared folder and read back: cuts the lineage and survives lost executors.
 
     large: much was shuffled to make it, which is freed at once.
@@ -80,7 +80,7 @@ def scratch_table(df: DataFrame, name: str, codec: str = "zstd", large: bool = F
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", codec).parquet(path)
+    df.write.options(**(options or {})).option("compression", codec).parquet(path)
     if large:
         free_shuffles(spark)
     table = spark.read.schema(df.schema).parquet(path)

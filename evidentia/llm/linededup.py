@@ -1,15 +1,18 @@
 """Line dedup: an exact set-similarity join of lines, in DataFrame operations only.
 
-A line is a \\n-split part of a text with at least one word; its tokens are its distinct words. Lines are ordered by
-(doc_id, hash of the whole text, line number); a null doc_id comes first. A line is removed if an earlier one has a
-token set with Jaccard similarity THRESHOLD or more, itself removed or not. Parts without a word stay; null text stays
-null. Rows alike in doc_id and text count as one document and keep the same lines. Any other column is passed through.
-
-Equal lines are met by one aggregation. Between different ones the join is a prefix filter: tokens are ordered by rarity (uses of their hash bucket in all texts, of a table of fixed size), lines that are similar enough share a token
-among their first n - ceil(t n) + 1, and a pair goes on only if sizes, the places of the shared token and the parity
-bitmaps of both sets (whose differing bits never exceed the differing tokens) allow the similarity. What is left is
-verified on the words themselves. Tokens with long lists do not pair all their lines: lines are first held against the
-earliest of each list, and only those not yet removed meet the rest.
+A line is a \\n-split part of a text with at least one word; its tokens are its distinct words, by their 64-bit hashes.
+Lines are ordered by (doc_id, hash of the whole text, line number); a null doc_id comes first. A line is removed if an
+earlier one has a token set with Jaccard similarity THRESHOLD or more, itself removed or not. Parts without a word stay;
+null text stays null. Rows alike in doc_id and text count as one document and keep the same lines. Any other column is
+passed through, whatever its name. An empty table gives an empty one.
+
+Texts are split once, into a table of token sets. Equal lines are met by one aggregation. Between different ones the join
+is a prefix filter: tokens are ordered by rarity (lines with their hash bucket, of a table of fixed size), lines that are
+similar enough share a token among their first n - ceil(t n) + 1, and a pair goes on only if sizes, the places of the
+shared token and the parity bitmaps of both sets (whose differing bits never exceed the differing tokens) allow the
+similarity. A line needs one match, so its likeliest pair (fewest differing bits) is verified on the token sets first, and
+only lines which that leaves meet all their other pairs. Lists above LIST lines first meet their earliest line alone; of
+them, too, only the lines left meet the rest, in salted parts.
 """
 
 from __future__ import annotations
@@ -17,141 +20,180 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import SPACES, drop_tables, scratch_table, words_of
+from evidentia.llm.common import SPACES, drop_tables, scratch_table, spread
 
 #: Similarity as a fraction.
 THRESHOLD = (4, 5)
 #: Buckets of the rarity table.
-BUCKETS = 1 << 16
-#: Lists up to this length pair their lines at once.
+BUCKETS = 1 << 17
+#: Lists up to this length pair their lines at once; longer ones are dealt in parts of it.
 LIST = 1024
-#: A side of a join is broadcast up to so many rows of two longs, counted before.
+#: A side of a join is broadcast up to so many rows of a few longs, counted before.
 BROADCAST_ROWS = 1_000_000
-_LINE_BITS = 24
+#: Prefix tokens that one task of the join should sort.
+POSTED = 1 << 19
+#: A line's place is 33 bits of its text's hash and its number, which no text exceeds.
+_LINE_BITS = 31
 _LEAST = -(1 << 63)
+#: Larger dictionaries than usual, as the same tokens come again and again.
+_TOKENS_AS = {"parquet.dictionary.page.size": str(16 << 20), "parquet.block.size": str(32 << 20)}
 
 
 def _doc_key() -> list[Column]:
-    """What orders the documents: the id, and 39 bits of the text's hash."""
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), F.shiftrightunsigned(F.xxhash64("text"), 25).alias("h")]
+    """What orders the documents: the id, and 33 bits of the text's hash."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), F.shiftrightunsigned(F.xxhash64(F.col("text").cast("string")), _LINE_BITS).alias("h")]
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """d and s place a line; its text has a word."""
+def _token_sets(docs: DataFrame) -> DataFrame:
+    """d and s place a line, k1 and k2 are 128 bits of its text, t has its tokens; none for lines without a word."""
     split = docs.select(*_doc_key(), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
-    place = F.shiftleft(F.col("h"), _LINE_BITS).bitwiseOR(F.col("line_no").cast("long"))
-    return split.filter(F.btrim("line", F.lit(SPACES)) != "").select("d", place.alias("s"), "line")
+    place = F.shiftleft("h", _LINE_BITS).bitwiseOR(F.col("line_no").cast("long"))
+    spaced = F.col("line")
+    for mark in SPACES:
+        if mark not in " \n":
+            spaced = F.replace(spaced, F.lit(mark), F.lit(" "))
+    words = F.transform(F.split(spaced, " "), lambda w: F.xxhash64(w))
+    return split.select("d", place.alias("s"), F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"), F.array_distinct(F.array_remove(words, F.xxhash64(F.lit("")))).alias("t"))
 
 
-def _rarity(docs: DataFrame) -> bytes:
-    """A level from 1 to 127 for every token bucket, by the logarithm of its uses in all texts.
-
-    It only orders tokens, for which any order is right, so texts are split at spaces alone.
-    """
-    words = docs.select(F.explode(F.split(F.col("text").cast("string"), " ")).alias("w"))
-    uses = words.select(F.xxhash64("w").bitwiseAND(BUCKETS - 1).cast("int").alias("b")).groupBy("b").agg(F.count("*").alias("n")).collect()
-    levels = bytearray([1] * BUCKETS)
-    for r in uses:
-        levels[r.b] = min(127, 1 + 3 * r.n.bit_length() + (4 * r.n >> r.n.bit_length() - 1) - 4)
-    return bytes(levels)
+def _bucket(token: Column) -> Column:
+    return token.bitwiseAND(BUCKETS - 1).cast("int")
 
 
-def _hashed() -> list[Column]:
-    """128 bits of a line's text."""
-    return [F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2")]
+def _rarity(sets: DataFrame) -> Column:
+    """An array with a level from 1 to 127 for every token bucket, by the logarithm of the lines that have it."""
+    uses = sets.select(F.explode("t").alias("t")).groupBy(_bucket(F.col("t")).alias("b")).agg(F.count("*").alias("n")).toPandas()
+    levels = [1] * BUCKETS
+    for b, n in zip(uses["b"].tolist(), uses["n"].tolist(), strict=True):
+        levels[b] = min(127, 1 + 3 * n.bit_length() + (4 * n >> n.bit_length() - 1) - 4)
+    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<tinyint>")
 
 
-def _sketched(lines: DataFrame, levels: bytes) -> DataFrame:
-    """d, s, the line's token number, parity bitmap and prefix of tokens by rarity."""
+def _keyed(sets: DataFrame, levels: Column) -> DataFrame:
+    """d, s, the line's token number n, its parity bitmap of 128 bits (b0, b1) and its prefix of tokens by rarity."""
     num, den = THRESHOLD
-    level = lambda t: F.ascii(F.substring(F.lit(levels), t.bitwiseAND(BUCKETS - 1).cast("int") + 1, 1).cast("string")).cast("long")
-    key = lambda t: F.shiftleft(level(t), 56).bitwiseOR(t.bitwiseAND((1 << 56) - 1))
-    tokens = lines.select("d", "s", "k1", "k2", F.sort_array(F.array_distinct(F.transform(words_of(F.col("line")), lambda w: key(F.xxhash64(w))))).alias("tokens"))
-    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))
-    bitmap = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(bit(t)))
-    prefix = F.slice("tokens", 1, F.expr(f"cast(size(tokens) - (size(tokens) * {num} + {den - 1}) DIV {den} + 1 AS int)"))
-    return tokens.select("d", "s", "k1", "k2", F.size("tokens").alias("n"), bitmap.alias("b"), prefix.alias("prefix"))
+    key = lambda t: F.shiftleft(F.get(levels, _bucket(t)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
+    ordered = sets.select("d", "s", F.sort_array(F.transform("t", key)).alias("t"))
+    half = lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(1).cast("long"))
+    flip = lambda on, t: F.call_function("shiftleft", on, t.bitwiseAND(63).cast("int"))
+    b0 = F.aggregate("t", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(flip(half(t).bitwiseXOR(F.lit(1).cast("long")), t)))
+    b1 = F.aggregate("t", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(flip(half(t), t)))
+    prefix = F.slice("t", 1, F.expr(f"cast(size(t) - (size(t) * {num}L + {den - 1}) DIV {den} + 1 AS int)"))
+    return ordered.select("d", "s", F.size("t").alias("n"), b0.alias("b0"), b1.alias("b1"), prefix.alias("prefix"))
+
+
+def _posted(keys: DataFrame) -> DataFrame:
+    return keys.select("d", "s", "n", "b0", "b1", F.posexplode("prefix").alias("p", "token"))
+
+
+_DIFFER = "bit_count(x.b0 ^ y.b0) + bit_count(x.b1 ^ y.b1)"
+_PAIR = ["x.d AS xd", "x.s AS xs", "y.d AS yd", "y.s AS ys", f"cast({_DIFFER} AS int) AS e"]
 
 
 def _may_match() -> Column:
     """Later line x and earlier line y that share a token at their places p: sizes, places and bitmaps allow the similarity."""
     num, den = THRESHOLD
-    overlap = f"((x.n + y.n) * {num} + {num + den - 1}) DIV {num + den}"
-    differ = "bit_count(x.b ^ y.b)"
+    differ = f"(x.n + y.n - 2 * (((x.n + y.n) * {num}L + {num + den - 1}) DIV {num + den}))"
     return F.expr(
-        f"(x.d > y.d OR (x.d = y.d AND x.s > y.s)) AND x.n * {den} >= y.n * {num} AND y.n * {den} >= x.n * {num} "
-        f"AND least(x.n - x.p, y.n - y.p) >= {overlap} AND {differ} <= x.n + y.n - 2 * ({overlap})"
+        f"(x.d > y.d OR (x.d = y.d AND x.s > y.s)) AND x.n * {den}L >= y.n * {num}L AND y.n * {den}L >= x.n * {num}L "
+        f"AND x.p + y.p <= {differ} AND {_DIFFER} <= {differ}"
     )
 
 
-_PAIR = ["x.d AS xd", "x.s AS xs", "y.d AS yd", "y.s AS ys", "bit_count(x.b ^ y.b) AS e"]
+def _paired(x: DataFrame, y: DataFrame, on: tuple[str, ...] = ("token",)) -> DataFrame:
+    """Pairs of entries that share a token and may match."""
+    same = F.lit(True)
+    for c in on:
+        same &= F.col(f"x.{c}") == F.col(f"y.{c}")
+    return x.alias("x").join(y.alias("y"), same & _may_match()).selectExpr(*_PAIR)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Distinct later lines (d, s) of the pairs (xd, xs, yd, ys, e) that are similar by their words.
+def _if_few(rows: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
 
-    A line needs one match, so each is held against its most likely one first, and only what that leaves against all.
-    """
-    best = F.min(F.struct("e", "yd", "ys")).alias("y")
-    first = scratch_table(pairs.groupBy("xd", "xs").agg(best).select("xd", "xs", "y.yd", "y.ys"), "likely-pairs")
-    sure = scratch_table(_similar(docs, first), "likely-lines", large=True)
-    rest = pairs.join(sure.select(F.col("d").alias("xd"), F.col("s").alias("xs")), ["xd", "xs"], "left_anti").join(first, ["xd", "xs", "yd", "ys"], "left_anti")
-    return sure.unionByName(_similar(docs, scratch_table(rest.select("xd", "xs", "yd", "ys"), "other-pairs", large=True)))
+
+def _hot_lists(posted: DataFrame) -> DataFrame:
+    """Tokens of lists above LIST, counted exactly where their bucket is above it; as `token` and `parts` of LIST lines."""
+    full = posted.groupBy(_bucket(F.col("token")).alias("b")).agg(F.count("*").alias("n")).filter(F.col("n") > LIST).select("b")
+    full = scratch_table(full, "full-buckets")  # BUCKETS rows at most
+    near = posted.withColumn("b", _bucket(F.col("token"))).join(F.broadcast(full), "b", "left_semi")
+    return near.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > LIST).select("token", F.expr(f"cast((n + {LIST - 1}) DIV {LIST} AS int)").alias("parts"))
 
 
-def _similar(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Distinct later lines (d, s) of the pairs that are similar by their words."""
+def _similar(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Distinct later lines (d, s) of the pairs that are similar by their token sets."""
     num, den = THRESHOLD
-    wanted = scratch_table(pairs.select(F.col("xd").alias("d"), F.col("xs").alias("s")).unionByName(pairs.select(F.col("yd").alias("d"), F.col("ys").alias("s"))).distinct(), "wanted-lines")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    sets = _lines(docs).join(wanted, ["d", "s"]).groupBy("d", "s").agg(F.min("line").alias("line"))
-    sets = scratch_table(sets.select("d", "s", F.array_distinct(words_of(F.col("line"))).alias("w")), "line-sets", large=True)
-    x, y = sets.select(F.col("d").alias("xd"), F.col("s").alias("xs"), F.col("w").alias("xw")), sets.select(F.col("d").alias("yd"), F.col("s").alias("ys"), F.col("w").alias("yw"))
-    both = pairs.join(x, ["xd", "xs"]).join(y, ["yd", "ys"]).withColumn("o", F.size(F.array_intersect("xw", "yw")))
-    similar = both.filter(F.expr(f"o * {den} >= (size(xw) + size(yw) - o) * {num}"))
+    wanted = pairs.select(F.col("xd").alias("d"), F.col("xs").alias("s")).unionByName(pairs.select(F.col("yd").alias("d"), F.col("ys").alias("s"))).distinct()
+    wanted = scratch_table(wanted, "wanted-lines")
+    found = sets.select("d", "s", "t").join(_if_few(wanted, wanted.count()), ["d", "s"])
+    found = scratch_table(found.groupBy("d", "s").agg(F.first("t").alias("t")), "wanted-sets")
+    x, y = (found.select(*(F.col(c).alias(f"{side}{c}") for c in ("d", "s", "t"))) for side in "xy")
+    both = pairs.join(x, ["xd", "xs"]).join(y, ["yd", "ys"]).withColumn("o", F.size(F.array_intersect("xt", "yt")))
+    similar = both.filter(F.expr(f"o * {den}L >= (size(xt) + size(yt) - o) * {num}L"))
     return similar.select(F.col("xd").alias("d"), F.col("xs").alias("s")).distinct()
 
 
+def _late_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
+    """(d, s) of the lines that resemble an earlier, different one."""
+    spark = sets.sparkSession
+    posted = _posted(keys)
+    hot = scratch_table(_hot_lists(posted), "hot-lists")
+    n_hot = hot.count()
+    entries = keys.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    parts = spread(spark, entries, POSTED)
+    marked = _if_few(hot.select("token"), n_hot)
+    dealt = (posted.join(marked, "token", "left_anti") if n_hot else posted).repartition(parts, "token")
+    pairs = _paired(dealt, dealt)
+    if n_hot:
+        long_ = scratch_table(posted.join(_if_few(hot, n_hot), "token"), "hot-entries")
+        leaders = long_.groupBy("token").agg(F.min(F.struct("d", "s", "n", "b0", "b1", "p")).alias("y")).select("token", "y.*")
+        pairs = pairs.unionByName(_paired(long_, _if_few(leaders, n_hot)))
+    best = pairs.groupBy("xd", "xs").agg(F.min_by("yd", "e").alias("yd"), F.min_by("ys", "e").alias("ys"), F.count("*").alias("n"))
+    best = scratch_table(best, "likely-pairs", large=True)
+    sure = scratch_table(_similar(sets, best.select("xd", "xs", "yd", "ys")), "likely-lines")
+    n_sure = sure.count()
+    left = best.filter("n > 1").select(F.col("xd").alias("d"), F.col("xs").alias("s"))
+    if n_hot:
+        left = left.unionByName(long_.select("d", "s")).distinct()
+    left = scratch_table(left.join(_if_few(sure, n_sure), ["d", "s"], "left_anti"), "lines-left")
+    few = left.count()
+    if not few:
+        return sure
+    open_ = scratch_table(posted.join(_if_few(left, few), ["d", "s"], "left_semi"), "entries-left")
+    tokens = scratch_table(open_.select("token").distinct(), "tokens-left")
+    sought = posted.join(_if_few(tokens, tokens.count()), "token", "left_semi")
+    salted = lambda rows, salt: rows.join(_if_few(hot, n_hot), "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", salt)
+    x = salted(open_, F.pmod(F.xxhash64("d", "s"), F.col("parts").cast("long")).cast("int"))
+    y = salted(sought, F.explode(F.expr("sequence(0, parts - 1)")))
+    others = _paired(x, y, ("token", "part")).drop("e").distinct().join(best.select("xd", "xs", "yd", "ys"), ["xd", "xs", "yd", "ys"], "left_anti")
+    others = scratch_table(others, "other-pairs", large=True)
+    return sure.unionByName(_similar(sets, others))
+
+
 def removed_lines(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """(d, s) of every line to remove, and the scratch tables that this is read from."""
-    lines = _lines(docs)
-    first = F.min(F.struct("d", "s", "line")).alias("first")
-    texts = lines.select(*_hashed(), "d", "s", "line").groupBy("k1", "k2").agg(first).select("k1", "k2", "first.*")
-    sets = scratch_table(_sketched(texts, _rarity(docs)), "line-keys", large=True)
-    posted = sets.select("d", "s", "n", "b", F.posexplode("prefix").alias("p", "token")).filter("token IS NOT NULL")
-    long_lists = posted.groupBy("token").agg(F.count("*").alias("long")).filter(F.col("long") > LIST).select("token")
-    long_lists = scratch_table(long_lists, "long-lists")
-    few = long_lists.count()
-    marked = F.broadcast(long_lists) if few <= BROADCAST_ROWS else long_lists
-    short = posted.join(marked, "token", "left_anti") if few else posted
-    found = scratch_table(short.alias("x").join(short.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR).distinct(), "line-pairs", large=True)
-    pairs, near = found, None
-    if few:
-        hot = scratch_table(posted.join(marked, "token", "left_semi").select("d", "s", "n", "b", "p", "token"), "long-lists")
-        leaders = hot.groupBy("token").agg(F.min(F.struct("d", "s", "n", "b", "p")).alias("y")).select("token", "y.*")
-        to_leaders = hot.alias("x").join(leaders.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR).distinct()
-        near = scratch_table(_verified(docs, scratch_table(to_leaders, "leader-pairs")), "near-lines")
-        rest = hot.join(near, ["d", "s"], "left_anti")
-        pairs = pairs.unionByName(rest.alias("x").join(hot.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR))
-    if few:
-        pairs = scratch_table(pairs.distinct(), "pairs")
-        drop_tables(found)
-    late = _verified(docs, pairs)
-    firsts = sets.select("k1", "k2", F.col("d").alias("fd"), F.col("s").alias("fs"))
-    repeats = lines.select(*_hashed(), "d", "s").join(firsts, ["k1", "k2"]).filter((F.col("d") != F.col("fd")) | (F.col("s") != F.col("fs"))).select("d", "s")
-    out = repeats.unionByName(late)
-    return (out, [sets, pairs]) if near is None else (out.unionByName(near), [sets, pairs, near])
+    table = scratch_table(_token_sets(docs), "token-sets", options=_TOKENS_AS)
+    sets = table.filter(F.size("t") > 0)
+    again = sets.groupBy("k1", "k2").agg(F.min(F.struct("d", "s")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    again = scratch_table(again.select("k1", "k2", F.col("first.d").alias("fd"), F.col("first.s").alias("fs")), "repeated-lines")
+    met = sets.join(_if_few(again, again.count()), ["k1", "k2"], "left")
+    is_first = F.col("fd").isNull() | ((F.col("d") == F.col("fd")) & (F.col("s") == F.col("fs")))
+    keys = scratch_table(_keyed(met.filter(is_first), _rarity(sets)), "line-keys")
+    late = _late_lines(sets, keys)
+    return met.filter(~is_first).select("d", "s").unionByName(late), [table, keys]
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """docs with its text rid of removed lines, and `__n_lines` and `__n_removed` (lines with a word, and those removed)."""
+    """docs with its text rid of removed lines, and `__n_lines` and `__n_removed` (lines with a word, and those removed).
+
+    These two take the place of columns of their names.
+    """
     removed, tables = removed_lines(docs)
     gone = removed.select("d", F.shiftrightunsigned("s", _LINE_BITS).alias("h"), F.col("s").bitwiseAND((1 << _LINE_BITS) - 1).cast("int").alias("line_no"))
     gone = scratch_table(gone.groupBy("d", "h").agg(F.collect_set("line_no").alias("gone")), "removed-lines", large=True)
     drop_tables(*tables)
     few = gone.agg(F.count("*"), F.sum(F.size("gone"))).first()
-    names = docs.columns
+    names = [c for c in docs.columns if c not in ("__n_lines", "__n_removed")]
     rest = [F.col(f"`{c}`") for c in names if c != "text"]
     d, h = _doc_key()
     mine = docs.select(F.struct(*(rest or [F.lit(0).alias("none")])).alias("__row"), d.alias("__d"), h.alias("__h"), F.col("text").cast("string").alias("__text"))
