@@ -12,7 +12,7 @@ similar enough share a token among their first n - ceil(t n) + 1, and a pair goe
 shared token and the parity bitmaps of both sets (whose differing bits never exceed the differing tokens) allow the
 similarity. A line needs one match, so its likeliest pair (fewest differing bits) is verified on the token sets first, and
 only lines which that leaves meet all their other pairs. Lists above LIST lines first meet their earliest line alone; of
-them, too, only the lines left meet the rest, in salted parts.
+them, too, only the lines left meet the rest, dealt by classes of size, of which a line can match three at most.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from evidentia.llm.common import SPACES, drop_tables, scratch_table, spread
 THRESHOLD = (4, 5)
 #: Buckets of the rarity table.
 BUCKETS = 1 << 17
-#: Lists up to this length pair their lines at once; longer ones are dealt in parts of it.
+#: Lists up to this length pair their lines at once.
 LIST = 1024
 #: A side of a join is broadcast up to so many rows of a few longs, counted before.
 BROADCAST_ROWS = 1_000_000
@@ -48,11 +48,11 @@ def _token_sets(docs: DataFrame) -> DataFrame:
     """d and s place a line, k1 and k2 are 128 bits of its text, t has its tokens; none for lines without a word."""
     split = docs.select(*_doc_key(), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
     place = F.shiftleft("h", _LINE_BITS).bitwiseOR(F.col("line_no").cast("long"))
-    spaced = F.col("line")
+    rare, spaced, line = F.lit(False), F.col("line"), F.col("line")
     for mark in SPACES:
         if mark not in " \n":
-            spaced = F.replace(spaced, F.lit(mark), F.lit(" "))
-    words = F.transform(F.split(spaced, " "), lambda w: F.xxhash64(w))
+            rare, spaced = rare | F.contains(line, F.lit(mark)), F.replace(spaced, F.lit(mark), F.lit(" "))
+    words = F.transform(F.split(F.when(rare, spaced).otherwise(line), " "), lambda w: F.xxhash64(w))
     return split.select("d", place.alias("s"), F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"), F.array_distinct(F.array_remove(words, F.xxhash64(F.lit("")))).alias("t"))
 
 
@@ -62,24 +62,22 @@ def _bucket(token: Column) -> Column:
 
 def _rarity(sets: DataFrame) -> Column:
     """An array with a level from 1 to 127 for every token bucket, by the logarithm of the lines that have it."""
-    uses = sets.select(F.explode("t").alias("t")).groupBy(_bucket(F.col("t")).alias("b")).agg(F.count("*").alias("n")).toPandas()
-    levels = [1] * BUCKETS
-    for b, n in zip(uses["b"].tolist(), uses["n"].tolist(), strict=True):
-        levels[b] = min(127, 1 + 3 * n.bit_length() + (4 * n >> n.bit_length() - 1) - 4)
-    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<tinyint>")
+    spark = sets.sparkSession
+    uses = sets.select(F.explode("t").alias("t")).groupBy(_bucket(F.col("t")).alias("b")).agg(F.count("*").alias("n"))
+    level = F.coalesce(F.least(F.lit(127), F.lit(1) + F.floor(4 * F.log2("n"))).cast("int"), F.lit(1)).alias("level")
+    every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(uses, "b", "left").select("b", level)
+    levels = every.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "level"))), lambda x: x["level"].cast("string")), ",")).first()[0]
+    return F.split(F.lit(levels), ",").cast("array<tinyint>")
 
 
 def _keyed(sets: DataFrame, levels: Column) -> DataFrame:
     """d, s, the line's token number n, its parity bitmap of 128 bits (b0, b1) and its prefix of tokens by rarity."""
     num, den = THRESHOLD
-    key = lambda t: F.shiftleft(F.get(levels, _bucket(t)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
-    ordered = sets.select("d", "s", F.sort_array(F.transform("t", key)).alias("t"))
-    half = lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(1).cast("long"))
-    flip = lambda on, t: F.call_function("shiftleft", on, t.bitwiseAND(63).cast("int"))
-    b0 = F.aggregate("t", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(flip(half(t).bitwiseXOR(F.lit(1).cast("long")), t)))
-    b1 = F.aggregate("t", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(flip(half(t), t)))
-    prefix = F.slice("t", 1, F.expr(f"cast(size(t) - (size(t) * {num}L + {den - 1}) DIV {den} + 1 AS int)"))
-    return ordered.select("d", "s", F.size("t").alias("n"), b0.alias("b0"), b1.alias("b1"), prefix.alias("prefix"))
+    key = lambda t: F.shiftleft(levels[t.bitwiseAND(BUCKETS - 1)].cast("long"), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
+    parity = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
+    b0, b1 = parity(F.filter("t", lambda t: t < 0)), parity(F.filter("t", lambda t: t >= 0))
+    ordered = sets.select("d", "s", F.size("t").alias("n"), b0.alias("b0"), b1.alias("b1"), F.sort_array(F.transform("t", key)).alias("t"))
+    return ordered.select("d", "s", "n", "b0", "b1", F.slice("t", 1, F.expr(f"cast(n - (n * {num}L + {den - 1}) DIV {den} + 1 AS int)")).alias("prefix"))
 
 
 def _posted(keys: DataFrame) -> DataFrame:
@@ -113,11 +111,11 @@ def _if_few(rows: DataFrame, n: int) -> DataFrame:
 
 
 def _hot_lists(posted: DataFrame) -> DataFrame:
-    """Tokens of lists above LIST, counted exactly where their bucket is above it; as `token` and `parts` of LIST lines."""
+    """Tokens of lists above LIST, counted exactly where their bucket is above it."""
     full = posted.groupBy(_bucket(F.col("token")).alias("b")).agg(F.count("*").alias("n")).filter(F.col("n") > LIST).select("b")
     full = scratch_table(full, "full-buckets")  # BUCKETS rows at most
     near = posted.withColumn("b", _bucket(F.col("token"))).join(F.broadcast(full), "b", "left_semi")
-    return near.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > LIST).select("token", F.expr(f"cast((n + {LIST - 1}) DIV {LIST} AS int)").alias("parts"))
+    return near.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > LIST).select("token")
 
 
 def _similar(sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -141,7 +139,7 @@ def _late_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
     n_hot = hot.count()
     entries = keys.agg(F.sum(F.size("prefix"))).first()[0] or 0
     parts = spread(spark, entries, POSTED)
-    marked = _if_few(hot.select("token"), n_hot)
+    marked = _if_few(hot, n_hot)
     dealt = (posted.join(marked, "token", "left_anti") if n_hot else posted).repartition(parts, "token")
     pairs = _paired(dealt, dealt)
     if n_hot:
@@ -152,19 +150,20 @@ def _late_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
     best = scratch_table(best, "likely-pairs", large=True)
     sure = scratch_table(_similar(sets, best.select("xd", "xs", "yd", "ys")), "likely-lines")
     n_sure = sure.count()
-    left = best.filter("n > 1").select(F.col("xd").alias("d"), F.col("xs").alias("s"))
+    left = best.filter("n > 1").select(F.col("xd").alias("d"), F.col("xs").alias("s")).join(_if_few(sure, n_sure), ["d", "s"], "left_anti")
+    left = scratch_table(left, "lines-left")
+    open_ = posted.join(_if_few(left, left.count()), ["d", "s"], "left_semi")
     if n_hot:
-        left = left.unionByName(long_.select("d", "s")).distinct()
-    left = scratch_table(left.join(_if_few(sure, n_sure), ["d", "s"], "left_anti"), "lines-left")
-    few = left.count()
-    if not few:
+        open_ = open_.unionByName(long_.join(_if_few(sure, n_sure), ["d", "s"], "left_anti")).distinct()
+    open_ = scratch_table(open_, "entries-left")
+    if open_.isEmpty():
         return sure
-    open_ = scratch_table(posted.join(_if_few(left, few), ["d", "s"], "left_semi"), "entries-left")
     tokens = scratch_table(open_.select("token").distinct(), "tokens-left")
     sought = posted.join(_if_few(tokens, tokens.count()), "token", "left_semi")
-    salted = lambda rows, salt: rows.join(_if_few(hot, n_hot), "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", salt)
-    x = salted(open_, F.pmod(F.xxhash64("d", "s"), F.col("parts").cast("long")).cast("int"))
-    y = salted(sought, F.explode(F.expr("sequence(0, parts - 1)")))
+    size = lambda n: f"ln({n}) / ln(1.25D)"
+    classed = lambda rows, classes: rows.join(_if_few(hot.withColumn("hot", F.lit(True)), n_hot), "token", "left").withColumn("part", F.explode(F.when(F.col("hot"), F.expr(classes)).otherwise(F.array(F.lit(0).cast("long")))))
+    x = classed(open_, f"array(floor({size('n')}))")
+    y = classed(sought, f"sequence(floor({size('n * 0.8D')} - 1e-9D), floor({size('n * 1.25D')} + 1e-9D))")
     others = _paired(x, y, ("token", "part")).drop("e").distinct().join(best.select("xd", "xs", "yd", "ys"), ["xd", "xs", "yd", "ys"], "left_anti")
     others = scratch_table(others, "other-pairs", large=True)
     return sure.unionByName(_similar(sets, others))
