@@ -1,23 +1,27 @@
 """Language ID: an interpolated Kneser-Ney model of characters per language; the lowest cross-entropy per symbol wins.
 
-Words are runs of letters, in lower case, each with a mark before and after; a model never looks across words, so words
-met before are looked up. All models share sorted arrays of n-gram hashes with a column per language. Models learn from
-a bounded sample of labelled rows (SAMPLE_DOCS a language, each of SAMPLE_CHARS at most, picked by hash); of these one in
-CALIBRATION is kept out to fit the score (a logistic curve over the margin to the runner-up) and, per language, the
-cross-entropy above which a text is rejected.
+Words are runs of letters (Unicode category L), in lower case, each with a mark before and after; a model never looks
+across words, so words met before are looked up. All models share sorted arrays of n-gram hashes with a column per
+language; an n-gram that is in the arrays has its interpolated probability there, any other the weight of its context
+times that of its suffix. Models learn from a bounded sample of labelled rows: about SAMPLE_DOCS of each language, picked
+by hash, of each its first SAMPLE_CHARS characters. Of a language's rows one in CALIBRATION is kept out (none of a single
+one) to fit the score (a logistic curve over the margin to the runner-up) and the cross-entropy above which a text is
+rejected: as far above the QUANTILE of the language's own as that is above their middle, and as far as for all languages
+together where it has under FEW.
 
 A null text or one without a letter is `und`, score 0, rejected. Null labels teach nothing. Where no row is labelled all
-texts are `und`. Ties go to the language that sorts first. Each row gives one row.
+texts are `und`. Ties go to the language that sorts first. Each row gives one row. Predictions read whole texts.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,13 +32,16 @@ ORDER = 4
 SAMPLE_DOCS = 2000
 SAMPLE_CHARS = 20_000
 CALIBRATION = 5
+QUANTILE, FEW = 0.99, 5
 UND = "und"
 #: Short texts vary more: the rejection limit is higher by so many bits over the root of their symbols.
 SLACK = 12.0
 _START, _END = 2, 3
-_WORDS = re.compile(r"[^\W\d_]+")
-#: Words remembered by one worker, and the longest of them.
-REMEMBERED, LONGEST = 400_000, 40
+_WORDS = regex.compile(r"\p{L}+")
+#: Tokens and characters remembered by one worker.
+REMEMBERED, REMEMBERED_CHARS = 400_000, 16_000_000
+#: Tokens of a batch that are summed up at once.
+_AT_ONCE = 1 << 18
 
 
 def _spelt(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -64,12 +71,12 @@ def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Models:
-    """Per order: sorted n-gram hashes and their discounted shares, sorted context hashes and the weight they leave to
-    the lower order; a column per language and a last row for what is absent."""
+    """Per order: sorted n-gram hashes with the log2 of their interpolated probabilities, sorted context hashes with the
+    log2 of the weight they leave to the lower order; a column per language and a last row for what is absent."""
 
     langs: list[str]
     grams: list[np.ndarray]
-    shares: list[np.ndarray]
+    logs: list[np.ndarray]
     contexts: list[np.ndarray]
     weights: list[np.ndarray]
     floor: float
@@ -82,41 +89,45 @@ class Models:
         codes, ends = _spelt(words)
         hashes = _hashes(codes)
         starts = np.concatenate([[0], ends[:-1]])
-        place = np.ones(len(codes), bool)
-        for k in range(ORDER - 1):
-            place[starts + k] = False
-        at = np.flatnonzero(place)
-        p = np.full((len(at), len(self.langs)), self.floor)
-        for k in range(1, ORDER + 1):
-            share = self.shares[k][_find(self.grams[k], hashes[k][at])]
-            weight = self.weights[k][_find(self.contexts[k], hashes[k - 1][at - 1])]
-            p = share + weight * p
+        at = _symbols(len(codes), starts)
+        out = np.zeros((len(at), len(self.langs)))
+        open_ = np.arange(len(at))
+        for k in range(ORDER, 0, -1):
+            place = at[open_]
+            row = _find(self.grams[k], hashes[k][place])
+            met = row < len(self.grams[k])
+            out[open_[met]] += self.logs[k][row[met]]
+            open_, place = open_[~met], place[~met]
+            out[open_] += self.weights[k][_find(self.contexts[k], hashes[k - 1][place - 1])]
+        out[open_] += np.log2(self.floor)
         sizes = ends - starts - (ORDER - 1)
-        logs = np.log2(p)
-        return np.add.reduceat(logs, np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0), sizes.astype(np.float64)
+        return np.add.reduceat(out, np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0), sizes.astype(np.float64)
+
+
+def _symbols(n: int, starts: np.ndarray) -> np.ndarray:
+    """Places of what is predicted: all but the start marks."""
+    place = np.ones(n, bool)
+    for k in range(ORDER - 1):
+        place[starts + k] = False
+    return np.flatnonzero(place)
 
 
 class _Tally:
-    """Kneser-Ney statistics of one language, by order."""
+    """Kneser-Ney statistics of one language: per order the n-grams, their counts, contexts and suffixes."""
 
     def __init__(self, words: dict[str, int]):
         spelt, uses = list(words), np.fromiter(words.values(), np.int64, len(words))
         codes, ends = _spelt(spelt)
         hashes = _hashes(codes)
         starts = np.concatenate([[0], ends[:-1]])
-        place = np.ones(len(codes), bool)
-        for k in range(ORDER - 1):
-            place[starts + k] = False
-        at = np.flatnonzero(place)
-        times = np.repeat(uses, ends - starts - (ORDER - 1))
+        whole = _symbols(len(codes), starts)
+        counts = np.repeat(uses, ends - starts - (ORDER - 1))
         self.orders = {}
-        counts = times
-        whole = at
         for k in range(ORDER, 0, -1):
             grams, first, inverse = np.unique(hashes[k][whole], return_index=True, return_inverse=True)
             n = np.bincount(inverse, counts, len(grams))
             where = whole[first]
-            self.orders[k] = (grams, n, hashes[k - 1][where - 1])
+            self.orders[k] = (grams, n, hashes[k - 1][where - 1], hashes[k - 1][where])
             counts, whole = np.ones(len(where), np.int64), where  # each distinct n-gram continues its suffix once
 
 
@@ -124,26 +135,32 @@ def _fit_counts(samples: dict[str, dict[str, int]]) -> Models:
     langs = sorted(samples)
     if not langs:
         return Models([], [], [], [], [], 1.0, 1.0, 0.0, np.zeros(0))
-    tallies = {lang: _Tally(samples[lang]) for lang in langs}
-    grams, shares, contexts, weights = [np.zeros(0, np.uint64)], [np.zeros((1, len(langs)))], [np.zeros(0, np.uint64)], [np.zeros((1, len(langs)))]
+    tallies = [_Tally(samples[lang]) for lang in langs]
+    floor = 1.0 / (max(len(t.orders[1][0]) for t in tallies) + 257)
+    none = np.zeros(0, np.uint64)
+    grams, logs, contexts, weights = [none], [np.zeros((1, len(langs)))], [none], [np.zeros((1, len(langs)))]
+    lower = np.full((1, len(langs)), floor)  # of the order below, the last row for what it has not
     for k in range(1, ORDER + 1):
-        all_grams = np.unique(np.concatenate([t.orders[k][0] for t in tallies.values()]))
-        all_contexts = np.unique(np.concatenate([t.orders[k][2] for t in tallies.values()]))
-        share, weight = np.zeros((len(all_grams) + 1, len(langs))), np.ones((len(all_contexts) + 1, len(langs)))
-        for column, lang in enumerate(langs):
-            keys, n, context = tallies[lang].orders[k]
+        keys, at = np.unique(np.concatenate([t.orders[k][0] for t in tallies]), return_index=True)
+        heads, tails = (np.concatenate([t.orders[k][c] for t in tallies])[at] for c in (2, 3))
+        all_contexts = np.unique(heads)
+        share, weight = np.zeros((len(keys), len(langs))), np.ones((len(all_contexts) + 1, len(langs)))
+        for column, tally in enumerate(tallies):
+            own, n, context, _ = tally.orders[k]
             ones, twos = int((n == 1).sum()), int((n == 2).sum())
             discount = min(0.9, max(0.1, ones / (ones + 2 * twos))) if ones else 0.5
-            own, inverse = np.unique(context, return_inverse=True)
+            met, inverse = np.unique(context, return_inverse=True)
             total, kinds = np.bincount(inverse, n), np.bincount(inverse)
-            share[np.searchsorted(all_grams, keys), column] = np.maximum(n - discount, 0) / total[inverse]
-            weight[np.searchsorted(all_contexts, own), column] = discount * kinds / total
-        grams.append(all_grams)
-        shares.append(share)
+            share[np.searchsorted(keys, own), column] = np.maximum(n - discount, 0) / total[inverse]
+            weight[np.searchsorted(all_contexts, met), column] = discount * kinds / total
+        suffix = _find(grams[-1], tails) if k > 1 else np.zeros(len(keys), np.int64)
+        p = share + weight[np.searchsorted(all_contexts, heads)] * lower[suffix]
+        grams.append(keys)
+        logs.append(np.log2(p))
         contexts.append(all_contexts)
-        weights.append(weight)
-    symbols = max((len(t.orders[1][0]) for t in tallies.values()), default=1) + 1
-    return Models(langs, grams, shares, contexts, weights, 1.0 / (symbols + 256), 1.0, 0.0, np.full(len(langs), np.inf))
+        weights.append(np.log2(weight))
+        lower = p
+    return Models(langs, grams, logs, contexts, weights, floor, 1.0, 0.0, np.full(len(langs), np.inf))
 
 
 def _words(text: str) -> dict[str, int]:
@@ -154,106 +171,140 @@ def _words(text: str) -> dict[str, int]:
 
 
 def _calibrate(models: Models, held: list[tuple[str, str]]) -> None:
-    scorer = Scorer(models)
-    margins, right, best = [], [], {k: [] for k in range(len(models.langs))}
-    for lang, text in held:
-        entropy, _ = scorer.entropies(text)
-        if entropy is None:
-            continue
-        order = np.argsort(entropy, kind="stable")
-        margins.append(entropy[order[1]] - entropy[order[0]] if len(order) > 1 else 1.0)
-        right.append(models.langs[order[0]] == lang)
-        if right[-1]:
-            best[order[0]].append(entropy[order[0]])
-    x, y = np.array(margins), np.array(right, float)
-    if len(x):
-        slope, offset = 1.0, 0.0
-        y = (y * (len(y) - 1) + 0.5) / len(y)  # keeps the fit finite where all are right
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(slope * x + offset, -30, 30)))
-            w = p * (1 - p) + 1e-9
-            gradient = np.array([(x * (y - p)).sum(), (y - p).sum()]) - 1e-3 * np.array([slope, offset])
-            hessian = np.array([[(w * x * x).sum(), (w * x).sum()], [(w * x).sum(), w.sum()]]) + 1e-3 * np.eye(2)
-            step = np.linalg.solve(hessian, gradient)
-            slope, offset = slope + step[0], offset + step[1]
-            if np.abs(step).max() < 1e-9:
-                break
-        models.slope, models.offset = max(float(slope), 0.0), float(offset)
-    for k, values in best.items():
-        if len(values) >= 5:  # as far above the highest that was right as that is above the middle
-            models.limits[k] = 2 * max(values) - float(np.median(values))
+    entropies, _ = Scorer(models).entropies([text for _, text in held])
+    some = np.flatnonzero(~np.isnan(entropies[:, 0]))
+    entropies, truth = entropies[some], [held[k][0] for k in some.tolist()]
+    if not len(some):
+        return
+    best = entropies.argmin(axis=1)
+    x = _margins(entropies)
+    own = np.array([models.langs[k] == lang for k, lang in zip(best.tolist(), truth, strict=True)])
+    slope, offset = 1.0, 0.0
+    y = (own * (len(own) - 1) + 0.5) / len(own)  # keeps the fit finite where all are right
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(slope * x + offset, -30, 30)))
+        w = p * (1 - p) + 1e-9
+        gradient = np.array([(x * (y - p)).sum(), (y - p).sum()]) - 1e-3 * np.array([slope, offset])
+        hessian = np.array([[(w * x * x).sum(), (w * x).sum()], [(w * x).sum(), w.sum()]]) + 1e-3 * np.eye(2)
+        step = np.linalg.solve(hessian, gradient)
+        slope, offset = slope + step[0], offset + step[1]
+        if np.abs(step).max() < 1e-9:
+            break
+    models.slope, models.offset = max(float(slope), 0.0), float(offset)
+    lowest = entropies.min(axis=1)
+    groups = {k: lowest[own & (best == k)] for k in range(len(models.langs))}
+    gaps = np.concatenate([v - np.median(v) for v in groups.values() if len(v)] or [np.zeros(0)])
+    for k, values in groups.items():
+        if len(values) >= FEW:
+            models.limits[k] = 2 * np.quantile(values, QUANTILE) - np.median(values)
+        elif len(values) and len(gaps) >= FEW:
+            models.limits[k] = np.median(values) + 2 * np.quantile(gaps, QUANTILE)
+
+
+def _margins(entropies: np.ndarray) -> np.ndarray:
+    """How far the second language is behind the first; 1 where there is but one."""
+    if entropies.shape[1] < 2:
+        return np.ones(len(entropies))
+    two = np.partition(entropies, 1, axis=1)
+    return two[:, 1] - two[:, 0]
 
 
 class Scorer:
     def __init__(self, models: Models):
         self.models = models
         self.rows: dict[str, int] = {}
+        self.chars = 0
         self.table = np.zeros((1 << 12, len(models.langs) + 1))
 
     def _learn(self, tokens: list[str]) -> None:
         """A row per token: log2 probabilities of its words by language, then their symbols."""
         parts = [_WORDS.findall(t.lower()) for t in tokens]
-        words = list(dict.fromkeys(w for p in parts for w in p))
-        if words:
-            logs, sizes = self.models.log_probabilities(words)
-            values = np.column_stack([logs, sizes])
+        words = list(dict.fromkeys(chain.from_iterable(parts)))
         row = {w: k for k, w in enumerate(words)}
-        need = len(self.rows) + len(tokens)
+        start, need = len(self.rows), len(self.rows) + len(tokens)
         while len(self.table) < need:
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        for token, p in zip(tokens, parts, strict=True):
-            at = self.rows[token] = len(self.rows)
-            self.table[at] = values[[row[w] for w in p]].sum(axis=0) if p else 0.0
-
-    def learn(self, texts: list[str]) -> None:
-        """Make room and rows for the tokens of texts."""
-        if len(self.rows) > REMEMBERED:
+        self.table[start:need] = 0.0
+        if words:
+            logs, sizes = self.models.log_probabilities(words)
+            values = np.column_stack([logs, sizes])
+            counts = np.fromiter(map(len, parts), np.int64, len(parts))
+            some = np.flatnonzero(counts)
+            at = np.fromiter(map(row.__getitem__, chain.from_iterable(parts)), np.int64, int(counts.sum()))
+            self.table[start + some] = np.add.reduceat(values[at], np.concatenate([[0], np.cumsum(counts[some])[:-1]]), axis=0)
+        self.rows.update(zip(tokens, range(start, need), strict=True))
+        self.chars += sum(map(len, tokens))
+
+    def _sums(self, texts: list[list[str]]) -> np.ndarray:
+        """What the rows of each text's tokens add up to."""
+        if len(self.rows) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self.rows.clear()
-        new: set[str] = set()
-        for text in texts:
-            new |= set(text.split()).difference(self.rows)
-        if new:
+            self.chars = 0
+        if new := set().union(*texts).difference(self.rows):
             self._learn(sorted(new))
-
-    def entropies(self, text: str) -> tuple[np.ndarray, float] | tuple[None, float]:
-        """Cross-entropy in bits a symbol by language, None without a letter; and the symbols."""
-        tokens = text.split()
-        if any(t not in self.rows for t in set(tokens)):
-            self.learn([text])
-        at = np.fromiter(map(self.rows.__getitem__, tokens), np.int64, len(tokens))
-        total = self.table[at].sum(axis=0)
-        return (-total[:-1] / total[-1], total[-1]) if total[-1] else (None, 0.0)
-
-    def predict(self, text: str | None) -> tuple[str, float, bool]:
-        entropy, symbols = self.entropies(text) if text and self.models.langs else (None, 0.0)
-        if entropy is None:
-            return UND, 0.0, False
-        order = np.argsort(entropy, kind="stable")
-        margin = entropy[order[1]] - entropy[order[0]] if len(order) > 1 else 1.0
-        score = 1 / (1 + np.exp(-np.clip(self.models.slope * margin + self.models.offset, -30, 30)))
-        return self.models.langs[order[0]], float(score), bool(entropy[order[0]] <= self.models.limits[order[0]] + SLACK / symbols**0.5)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        at = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
+        out = np.zeros((len(texts), self.table.shape[1]))
+        some = np.flatnonzero(sizes)
+        if len(at) > 2 * _AT_ONCE:  # one very long text
+            out[some[0]] = np.bincount(at, minlength=len(self.rows)) @ self.table[: len(self.rows)]
+        elif len(some):
+            out[some] = np.add.reduceat(self.table[at], np.concatenate([[0], np.cumsum(sizes[some])[:-1]]), axis=0)
+        return out
+
+    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Cross-entropies in bits a symbol by text and language, nan without a letter; and the symbols of each text."""
+        totals, held, size = [], [], 0
+        for text in texts:
+            tokens = text.split() if text else []
+            if held and size + len(tokens) > _AT_ONCE:
+                totals.append(self._sums(held))
+                held, size = [], 0
+            held.append(tokens)
+            size += len(tokens)
+        totals.append(self._sums(held))
+        total = np.concatenate(totals)
+        symbols = total[:, -1]
+        return np.where(symbols[:, None] > 0, -total[:, :-1] / np.maximum(symbols, 1)[:, None], np.nan), symbols
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and acceptance of each text."""
+        models = self.models
+        none = np.ones(len(texts), bool)
+        if models.langs and texts:
+            entropies, symbols = self.entropies(texts)
+            none = np.isnan(entropies[:, 0])
+        if none.all():
+            return [UND] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
+        entropies[none] = 0.0
+        best = entropies.argmin(axis=1)
+        score = 1 / (1 + np.exp(-np.clip(models.slope * _margins(entropies) + models.offset, -30, 30)))
+        accepted = entropies.min(axis=1) <= models.limits[best] + SLACK / np.sqrt(np.maximum(symbols, 1))
+        return [UND if n else models.langs[k] for n, k in zip(none.tolist(), best.tolist(), strict=True)], np.where(none, 0.0, score), accepted & ~none
 
 
 def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Models:
     """Models from rows (doc_id, text, lang); about sample_docs of each language, picked by hash of the id and text."""
-    rows = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= sample_chars))
+    rows = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     pick = F.pmod(F.xxhash64(F.col("doc_id"), F.length("text")), F.lit(1 << 30))
     share: Column = F.lit(False)
     for lang, n in sizes.items():
         share |= (F.col("lang") == lang) & (pick <= int((1 << 30) * min(1.0, sample_docs / n)))
-    found = rows.filter(share).orderBy("doc_id", "text").collect() if sizes else []
+    found = rows.filter(share).select("doc_id", F.substring("text", 1, sample_chars).alias("text"), "lang").orderBy("doc_id", "text").collect() if sizes else []
     samples: dict[str, dict[str, int]] = {}
-    held = []
-    for k, r in enumerate(found):
-        if k % CALIBRATION == 0:
+    held: list[tuple[str, str]] = []
+    seen: dict[str, int] = {}
+    for r in found:
+        seen[r.lang] = seen.get(r.lang, 0) + 1
+        if seen[r.lang] % CALIBRATION == 0:
             held.append((r.lang, r.text))
             continue
         words = samples.setdefault(r.lang, {})
         for w, n in _words(r.text).items():
             words[w] = words.get(w, 0) + n
     models = _fit_counts({lang: words for lang, words in samples.items() if words})
-    if models.langs:
+    if models.langs and held:
         _calibrate(models, held)
     return models
 
@@ -263,10 +314,7 @@ def _predicted(batches: Iterator[pa.RecordBatch], models: Models) -> Iterator[pa
     scorer = Scorer(models)
     for batch in batches:
         *kept, text = batch.columns
-        texts = text.to_pylist()
-        if models.langs:
-            scorer.learn([t for t in texts if t])
-        langs, scores, accepted = zip(*map(scorer.predict, texts), strict=True) if texts else ((), (), ())
+        langs, scores, accepted = scorer.predict(text.to_pylist())
         made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())]
         yield pa.RecordBatch.from_arrays([*kept, *made], names=[*batch.schema.names[:-1], "lang_pred", "score", "accepted"])
 
