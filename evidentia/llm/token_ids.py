@@ -2,7 +2,8 @@
 
 The byte-level split never joins what stands before a space that a visible character follows, nor a lone line end to
 its neighbours, nor a letter to a mark after it. So a text may be cut there and each part encoded by itself; parts that
-recur are looked up. Every part goes through the tokenizers library.
+recur are looked up. Every part goes through the tokenizers library. A text that holds a special token of the tokenizer
+is not cut: the library gives that token its own id, as in any call of its own.
 """
 
 from __future__ import annotations
@@ -22,14 +23,16 @@ _LOADED: dict[str, IdEncoder] = {}
 
 
 class IdEncoder:
-    """Texts to little-endian unsigned 32-bit ids, without special tokens."""
+    """Texts to little-endian unsigned 32-bit ids, none added."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Whether words joined by single spaces may hold a special token that none of them holds.
+        self.joins = any(c.isspace() for token in self.special for c in token)
         self.remembered = remembered
         self.after_space: dict[str, bytes] = {}
         #: Ids whose first byte is a space or a line end, which the vocabulary writes as U+0120 and U+010A.
@@ -56,7 +59,7 @@ class IdEncoder:
 
         Those without other white space go as one text, which is cut where ids begin with a space or line end.
         """
-        odd = [w for w in words if w[0].isspace() and w[0] != "\n" or len(w.split()) > 1 or w[-1].isspace() and w != "\n"]
+        odd = words if self.joins else [w for w in words if w[0].isspace() and w[0] != "\n" or len(w.split()) > 1 or w[-1].isspace() and w != "\n"]
         self.after_space.update(zip(odd, self._plain([w if w[0] == "\n" else " " + w for w in odd]), strict=True))
         even = [w for w in words if w not in self.after_space] if odd else words
         if even:
@@ -69,6 +72,8 @@ class IdEncoder:
 
     def _parts(self, text: str) -> tuple[list[str], set[str]]:
         """The text's first part, then those that follow a space or begin with a line end; and which of these are new."""
+        if any(token in text for token in self.special):
+            return [text], set()
         if "\n\n" not in text and " \n" not in text:
             parts = text.replace("\n", " \n").split(" ")
             new = set(parts[1:]).difference(self.after_space)

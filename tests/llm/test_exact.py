@@ -22,6 +22,7 @@ from evidentia.llm.token_ids import IdEncoder
 
 BPE, PIECES = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
 TEXT = st.text("ab the,.!'s \n\té日▁🙂1", max_size=60)
+MARKED = st.lists(st.one_of(TEXT, st.sampled_from(["<|endoftext|>", "<|endof", "text|>"])), max_size=4).map("".join)
 
 
 @pytest.fixture(scope="module")
@@ -50,7 +51,7 @@ def docs(spark, corpus):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(TEXT, max_size=5))
+@given(st.lists(MARKED, max_size=5))
 def test_ids_are_the_library_s(texts):
     tokenizer = Tokenizer.from_file(BPE)
     expected = [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -265,36 +266,56 @@ def test_language_id(spark):
     assert [(r.lang_pred == "und", r.accepted) for r in langid.predict(odd, models).orderBy("doc_id").collect()] == [(False, False), (True, False), (True, False)]
 
 
-def test_kneser_ney_sums_to_one():
-    models = langid._fit_counts({"x": {"abab": 3, "ba": 2, "cab": 1}})
-    models.floor = 1 / 4  # a, b, c and the end
-    for context in ("", "a", "ab", "cc"):
-        whole = sum(2 ** models.log_probabilities([context + symbol])[0][0, 0] / 2 ** _last(models, context + symbol) for symbol in "abc")
-        ended = 2 ** models.log_probabilities([context])[0][0, 0]
-        assert math.isclose(whole + ended, _reached(models, context), rel_tol=1e-9)
-    logs, sizes = models.log_probabilities(["abab", "zz"])
-    assert logs[0, 0] > logs[1, 0] and sizes.tolist() == [5, 3]
-
-
-def _last(models, word):
-    """log2 probability of the word's end after the word."""
-    return models.log_probabilities([word])[0][0, 0] - math.log2(_reached(models, word))
-
-
-def _reached(models, word):
-    """Probability of the word's symbols without its end, by the recursion itself."""
-    marks, p = [langid._START] * (langid.ORDER - 1), 1.0
-    codes = [*marks, *map(ord, word)]
-    for k in range(len(marks), len(codes)):
-        q = models.floor
-        for n in range(1, langid.ORDER + 1):
-            gram = np.array(codes[max(0, k - n + 1) : k + 1], np.uint64)
-            share = models.shares[n][langid._find(models.grams[n], langid._hashes(np.array(codes[: k + 1], np.uint64))[n][-1:])][0, 0]
-            head = langid._hashes(np.array(codes[:k], np.uint64))[n - 1][-1:]
-            assert len(gram) <= n
-            q = share + models.weights[n][langid._find(models.contexts[n], head)][0, 0] * q
-        p *= q
-    return p
+def plain_kneser_ney(words, floor):
+    """log2 probability of a word and its end, from counts held in plain dictionaries."""
+    order, grams = langid.ORDER, {}
+    spelt = lambda w: chr(langid._START) * (order - 1) + w + chr(langid._END)
+    grams[order] = collections.Counter()
+    for w, uses in words.items():
+        for k in range(order - 1, len(spelt(w))):
+            grams[order][spelt(w)[k - order + 1 : k + 1]] += uses
+    for n in range(order - 1, 0, -1):
+        grams[n] = collections.Counter(g[1:] for g in grams[n + 1])
+
+    def p(gram):
+        if not gram:
+            return floor
+        counts = grams[len(gram)]
+        ones, twos = (sum(n == k for n in counts.values()) for k in (1, 2))
+        discount = min(0.9, max(0.1, ones / (ones + 2 * twos))) if ones else 0.5
+        after = [n for g, n in counts.items() if g[:-1] == gram[:-1]]
+        if not after:
+            return p(gram[1:])
+        return max(counts[gram] - discount, 0) / sum(after) + discount * len(after) / sum(after) * p(gram[1:])
+
+    return lambda w: sum(math.log2(p(spelt(w)[k - order + 1 : k + 1])) for k in range(order - 1, len(spelt(w))))
+
+
+def test_kneser_ney_against_plain_counts():
+    rng = random.Random(8)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(1, 7)))
+    samples = {"x": collections.Counter(word("abc") for _ in range(60)), "y": collections.Counter(word("bcdé") for _ in range(40)), "z": {"q": 1}}
+    models = langid._fit_counts(samples)
+    asked = [*samples["x"], *samples["y"], *(word("abcdéq") for _ in range(40)), "日本"]
+    logs, sizes = models.log_probabilities(asked)
+    assert sizes.tolist() == [len(w) + 1 for w in asked]
+    for column, lang in enumerate(models.langs):
+        plain = plain_kneser_ney(samples[lang], models.floor)
+        assert np.allclose(logs[:, column], [plain(w) for w in asked], rtol=1e-9)
+
+
+def test_language_rules(spark, monkeypatch):
+    long, short = "xaxo " * 7000, "bebi " * 30  # long rows teach by their first characters
+    rows = [(k, long if k % 2 else short, "xx" if k % 2 else "yy") for k in range(40)]
+    models = langid.fit(spark.createDataFrame([*rows, (40, "solo", "zz"), (41, "untold", None)], "doc_id long, text string, lang string"))
+    assert models.langs == ["xx", "yy", "zz"]
+    scorer = langid.Scorer(models)
+    assert scorer.predict(["½ ² Ⅷ _ 12", "xaxo", None, "bebi 7", "", "solo"])[0] == ["und", "xx", "und", "yy", "und", "zz"]
+    corpus = [long + short, "xaxo½bebi", *["xaxo bebi"] * 5, " ", "bebi " * 50]
+    at_once = langid.Scorer(models).entropies(corpus)[0]
+    monkeypatch.setattr(langid, "_AT_ONCE", 8)
+    monkeypatch.setattr(langid, "REMEMBERED", 1)
+    assert np.allclose(langid.Scorer(models).entropies(corpus)[0], at_once, equal_nan=True)
 
 
 @settings(max_examples=100, deadline=None)
