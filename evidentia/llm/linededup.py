@@ -12,7 +12,8 @@ similar enough share a token among their first n - ceil(t n) + 1, and a pair goe
 shared token and the parity bitmaps of both sets (whose differing bits never exceed the differing tokens) allow the
 similarity. A line needs one match, so its likeliest pair (fewest differing bits) is verified on the token sets first, and
 only lines which that leaves meet all their other pairs. Lists above LIST lines first meet their earliest line alone; of
-them, too, only the lines left meet the rest, dealt by classes of size, of which a line can match three at most.
+them, too, only the lines left meet the rest, dealt by classes of size, of which a line can match
+three or four at most, unless they are few enough to be broadcast to all lists.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ def _doc_key() -> list[Column]:
 
 
 def _token_sets(docs: DataFrame) -> DataFrame:
-    """d and s place a line, k1 and k2 are 128 bits of its text, t has its tokens; none for lines without a word."""
+    """d and s place a line, k1 and k2 are 128 bits of its text, t has its n tokens; n is 0 for lines without a word."""
     split = docs.select(*_doc_key(), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
     place = F.shiftleft("h", _LINE_BITS).bitwiseOR(F.col("line_no").cast("long"))
     rare, spaced, line = F.lit(False), F.col("line"), F.col("line")
@@ -53,7 +54,8 @@ def _token_sets(docs: DataFrame) -> DataFrame:
         if mark not in " \n":
             rare, spaced = rare | F.contains(line, F.lit(mark)), F.replace(spaced, F.lit(mark), F.lit(" "))
     words = F.transform(F.split(F.when(rare, spaced).otherwise(line), " "), lambda w: F.xxhash64(w))
-    return split.select("d", place.alias("s"), F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"), F.array_distinct(F.array_remove(words, F.xxhash64(F.lit("")))).alias("t"))
+    tokens = split.select("d", place.alias("s"), F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"), F.array_distinct(F.array_remove(words, F.xxhash64(F.lit("")))).alias("t"))
+    return tokens.withColumn("n", F.size("t"))
 
 
 def _bucket(token: Column) -> Column:
@@ -76,7 +78,7 @@ def _keyed(sets: DataFrame, levels: Column) -> DataFrame:
     key = lambda t: F.shiftleft(levels[t.bitwiseAND(BUCKETS - 1)].cast("long"), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
     parity = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
     b0, b1 = parity(F.filter("t", lambda t: t < 0)), parity(F.filter("t", lambda t: t >= 0))
-    ordered = sets.select("d", "s", F.size("t").alias("n"), b0.alias("b0"), b1.alias("b1"), F.sort_array(F.transform("t", key)).alias("t"))
+    ordered = sets.select("d", "s", "n", b0.alias("b0"), b1.alias("b1"), F.sort_array(F.transform("t", key)).alias("t"))
     return ordered.select("d", "s", "n", "b0", "b1", F.slice("t", 1, F.expr(f"cast(n - (n * {num}L + {den - 1}) DIV {den} + 1 AS int)")).alias("prefix"))
 
 
@@ -131,13 +133,27 @@ def _similar(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return similar.select(F.col("xd").alias("d"), F.col("xs").alias("s")).distinct()
 
 
+def _classed(x: DataFrame, y: DataFrame, hot: DataFrame, n_hot: int) -> tuple[DataFrame, DataFrame]:
+    """Entries of later lines x and of their tokens' lists in y, dealt by `part`: for hot tokens a class of size.
+
+    A line stands in its own class; an earlier one in those of all sizes that it can match, three or four.
+    """
+    tokens = scratch_table(x.select("token").distinct(), "tokens-left")
+    sought = y.join(_if_few(tokens, tokens.count()), "token", "left_semi")
+    marked = _if_few(hot.withColumn("hot", F.lit(True)), n_hot)
+    size = lambda n: f"ln({n}) / ln(1.25D)"
+    dealt = lambda rows, classes: rows.join(marked, "token", "left").withColumn("part", F.explode(F.when(F.col("hot"), F.expr(classes)).otherwise(F.array(F.lit(0).cast("long")))))
+    return dealt(x, f"array(floor({size('n')}))"), dealt(sought, f"sequence(floor({size('n * 0.8D')} - 1e-9D), floor({size('n * 1.25D')} + 1e-9D))")
+
+
 def _late_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
     """(d, s) of the lines that resemble an earlier, different one."""
     spark = sets.sparkSession
     posted = _posted(keys)
     hot = scratch_table(_hot_lists(posted), "hot-lists")
     n_hot = hot.count()
-    entries = keys.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    num, den = THRESHOLD
+    entries = keys.agg(F.expr(f"sum(n - (n * {num}L + {den - 1}) DIV {den} + 1)")).first()[0] or 0
     parts = spread(spark, entries, POSTED)
     marked = _if_few(hot, n_hot)
     dealt = (posted.join(marked, "token", "left_anti") if n_hot else posted).repartition(parts, "token")
@@ -156,15 +172,14 @@ def _late_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
     if n_hot:
         open_ = open_.unionByName(long_.join(_if_few(sure, n_sure), ["d", "s"], "left_anti")).distinct()
     open_ = scratch_table(open_, "entries-left")
-    if open_.isEmpty():
+    left_over = open_.count()
+    if not left_over:
         return sure
-    tokens = scratch_table(open_.select("token").distinct(), "tokens-left")
-    sought = posted.join(_if_few(tokens, tokens.count()), "token", "left_semi")
-    size = lambda n: f"ln({n}) / ln(1.25D)"
-    classed = lambda rows, classes: rows.join(_if_few(hot.withColumn("hot", F.lit(True)), n_hot), "token", "left").withColumn("part", F.explode(F.when(F.col("hot"), F.expr(classes)).otherwise(F.array(F.lit(0).cast("long")))))
-    x = classed(open_, f"array(floor({size('n')}))")
-    y = classed(sought, f"sequence(floor({size('n * 0.8D')} - 1e-9D), floor({size('n * 1.25D')} + 1e-9D))")
-    others = _paired(x, y, ("token", "part")).drop("e").distinct().join(best.select("xd", "xs", "yd", "ys"), ["xd", "xs", "yd", "ys"], "left_anti")
+    if left_over <= BROADCAST_ROWS:
+        others = _paired(F.broadcast(open_), posted)
+    else:
+        others = _paired(*_classed(open_, posted, hot, n_hot), ("token", "part"))
+    others = others.drop("e").distinct().join(best.select("xd", "xs", "yd", "ys"), ["xd", "xs", "yd", "ys"], "left_anti")
     others = scratch_table(others, "other-pairs", large=True)
     return sure.unionByName(_similar(sets, others))
 
@@ -172,7 +187,7 @@ def _late_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """(d, s) of every line to remove, and the scratch tables that this is read from."""
     table = scratch_table(_token_sets(docs), "token-sets", options=_TOKENS_AS)
-    sets = table.filter(F.size("t") > 0)
+    sets = table.filter("n > 0")
     again = sets.groupBy("k1", "k2").agg(F.min(F.struct("d", "s")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     again = scratch_table(again.select("k1", "k2", F.col("first.d").alias("fd"), F.col("first.s").alias("fs")), "repeated-lines")
     met = sets.join(_if_few(again, again.count()), ["k1", "k2"], "left")
