@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from evidentia.llm import cutting_stock
 from evidentia.llm.common import bounded_batches, scratch_table, text_or_empty
-from evidentia.llm.token_ids import IdEncoder
+from evidentia.llm.token_ids import IdEncoder, grouped
 
 END = 0
 CAPACITY = 1024
@@ -38,9 +38,9 @@ def cuts(tokens: int, capacity: int, quantum: int) -> list[int]:
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, quantum: int) -> Iterator[pa.RecordBatch]:
     encoder = IdEncoder.shared(path)
     end = np.array([END], "<u4").tobytes()
-    for batch in batches:
+    for batch in grouped(batches, 1):
         columns: list[list] = [[], [], [], [], []]
-        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
             ids += end
             start = 0
             for length in cuts(len(ids) // 4, capacity, quantum):

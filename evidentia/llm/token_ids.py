@@ -1,27 +1,47 @@
 """Token ids of whole texts, with a bounded memory of words met before.
 
 The byte-level split never joins what stands before a space that a visible character follows, nor a lone line end to
-its neighbours, nor a letter to a mark after it. So a text may be cut there and each part encoded by itself; parts that
-recur are looked up. Every part goes through the tokenizers library. A text that holds a special token of the tokenizer
-is not cut: the library gives that token its own id, as in any call of its own.
+its neighbours, nor a letter to a mark after it. So a text may be cut there and its words be encoded by themselves; a
+batch's distinct words are found in Arrow, and those that were met before are looked up. Every word goes through the
+tokenizers library. A text with any other white space, or with a special token of the tokenizer, is not cut: the library
+encodes it whole, and gives a special token its own id, as in any call of its own.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words remembered by one worker; beyond it new words are encoded whenever they come.
-REMEMBERED = 800_000
+REMEMBERED = 1_000_000
+#: Bytes of the texts that are encoded at once; a longer text is by itself.
+AT_ONCE = 1 << 23
 #: A word that ends in one of these after a letter is its stem and the mark.
 MARKS = ".,;:!?"
-_CUT = re.compile(r" (?=\S)")
+#: White space that is not one space or line end between visible characters (RE2).
+_ODD = r"[\t\x0b\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]|\A[ \n]|[ \n]\z|\A\z"
 _LOADED: dict[str, IdEncoder] = {}
 
 
+def grouped(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to AT_ONCE bytes of their text column: the larger, the fewer distinct words a text."""
+    held, size = [], 0
+    for batch in batches:
+        more = pc.sum(pc.binary_length(batch.column(text))).as_py() or 0
+        if held and size + more > AT_ONCE:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        if batch.num_rows:
+            held.append(batch)
+            size += more
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 class IdEncoder:
     """Texts to little-endian unsigned 32-bit ids, none added."""
 
@@ -31,14 +51,15 @@ class IdEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        #: Whether words joined by single spaces may hold a special token that none of them holds.
-        self.joins = any(c.isspace() for token in self.special for c in token)
         self.remembered = remembered
-        self.after_space: dict[str, bytes] = {}
+        #: A word's place in starts and sizes, which say where its ids stand in the pool; what is beyond the words' number is overwritten.
+        self.place: dict[str, int] = {}
+        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.pool, self.used = np.zeros(1 << 18, "<u4"), 0
         #: Ids whose first byte is a space or a line end, which the vocabulary writes as U+0120 and U+010A.
         self.opens = np.zeros(self.vocabulary, bool)
-        self.opens[[i for token, i in self.tokenizer.get_vocab().items() if token[0] in "\u0120\u010a"]] = True
-        self.marks = dict(zip(MARKS, self._plain(list(MARKS)), strict=True))
+        self.opens[[i for token, i in self.tokenizer.get_vocab().items() if token[0] in "ĠĊ"]] = True
+        self.marks = {m: int(ids[0]) for m, ids in zip(MARKS, self._whole(list(MARKS)), strict=True)}
 
     @classmethod
     def shared(cls, path: str) -> IdEncoder:
@@ -51,55 +72,91 @@ class IdEncoder:
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size()
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        """Remember words as they stand after a space, or after what precedes their line end.
-
-        Those without other white space go as one text, which is cut where ids begin with a space or line end.
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _gathered(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The pool's ids of these stretches, one after another."""
+        ends = np.cumsum(sizes)
+        return self.pool[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def _put(self, at: int, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Ids of the words from place `at` on."""
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while at + len(sizes) > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.starts[at : at + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[at : at + len(sizes)] = sizes
+        self.used += len(ids)
+
+    def _learn(self, words: list[str]) -> dict[str, int]:
+        """Places of new words, as they stand after a space, or after what precedes their line end.
+
+        They go as one text, which is cut where ids begin with a space or line end.
         """
-        odd = words if self.joins else [w for w in words if w[0].isspace() and w[0] != "\n" or len(w.split()) > 1 or w[-1].isspace() and w != "\n"]
-        self.after_space.update(zip(odd, self._plain([w if w[0] == "\n" else " " + w for w in odd]), strict=True))
-        even = [w for w in words if w not in self.after_space] if odd else words
-        if even:
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join([w if w[0] == "\n" else " " + w for w in even])], add_special_tokens=False)[0].ids, "<u4")
-            ends = [*(np.flatnonzero(self.opens[ids])[1:] * 4).tolist(), ids.nbytes]
-            whole, start = ids.tobytes(), 0
-            for w, end in zip(even, ends, strict=True):
-                self.after_space[w] = whole[start:end]
-                start = end
-
-    def _parts(self, text: str) -> tuple[list[str], set[str]]:
-        """The text's first part, then those that follow a space or begin with a line end; and which of these are new."""
-        if any(token in text for token in self.special):
-            return [text], set()
-        if "\n\n" not in text and " \n" not in text:
-            parts = text.replace("\n", " \n").split(" ")
-            new = set(parts[1:]).difference(self.after_space)
-            if not any(not p or p[0].isspace() and p[0] != "\n" for p in new):
-                return parts, new
-        parts = _CUT.split(text)
-        return parts, set(parts[1:]).difference(self.after_space)
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text."""
-        known, unseen, cuts = self.after_space, set(), []
-        for text in texts:
-            parts, new = self._parts(text)
-            cuts.append(parts)
-            unseen |= new
-        stems = {p[:-1] for p in unseen if p[-1] in MARKS and len(p) > 1 and p[-2].isalpha()}.difference(known)
-        whole = [p for p in unseen if p not in stems and not (p[-1] in MARKS and len(p) > 1 and p[-2].isalpha())]
-        fresh = [*stems, *whole]
-        self._learn(fresh)
-        for p in unseen:
-            if p not in known:
-                known[p] = known[p[:-1]] + self.marks[p[-1]]
-        heads = self._plain([parts[0] for parts in cuts])
-        get = known.__getitem__
-        for k, parts in enumerate(cuts):
-            yield heads[k] + b"".join(map(get, parts[1:]))
-        if len(known) > self.remembered:
-            for p in unseen.union(stems):
-                del known[p]
+        marked = [w for w in words if w[-1] in MARKS and len(w) > 1 and w[-2].isalpha()]
+        known = self.place
+        stems = [w for w in dict.fromkeys([w[:-1] for w in marked]) if w not in known]
+        bare = list(dict.fromkeys([*stems, *(w for w in words if not (w[-1] in MARKS and len(w) > 1 and w[-2].isalpha()))]))
+        new = dict(zip(bare, range(len(known), len(known) + len(bare)), strict=True))
+        if bare:
+            ids = self._whole(["".join([w if w[0] == "\n" else " " + w for w in bare])])[0]
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) != len(bare):
+                raise ValueError("words and their ids differ")
+            self._put(len(known), ids, np.diff(np.append(starts, len(ids))))
+        if marked:
+            at = np.array([new[s] if (s := w[:-1]) in new else known[s] for w in marked], np.int64)
+            sizes = self.sizes[at] + 1
+            ids = np.zeros(int(sizes.sum()), "<u4")
+            last = np.zeros(len(ids), bool)
+            last[np.cumsum(sizes) - 1] = True
+            ids[~last] = self._gathered(self.starts[at], self.sizes[at])
+            ids[last] = [self.marks[w[-1]] for w in marked]
+            first = len(known) + len(new)
+            self._put(first, ids, sizes)
+            new.update(zip(marked, range(first, first + len(marked)), strict=True))
+        return new
+
+    def _cut(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of texts that may be cut."""
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        words = lists.flatten().dictionary_encode()
+        distinct, index = words.dictionary.to_pylist(), words.indices.to_numpy()
+        heads = self._whole([distinct[k] for k in index[np.append(0, ends[:-1])].tolist()])
+        get, used = self.place.get, self.used
+        places = np.array([get(w, -1) for w in distinct], np.int64)
+        unseen = np.flatnonzero(places < 0).tolist()
+        new = self._learn([distinct[k] for k in unseen]) if unseen else {}
+        places[unseen] = [new[distinct[k]] for k in unseen]
+        at = places[index]
+        starts, sizes = self.starts[at], self.sizes[at]
+        kept, sizes[np.append(0, ends[:-1])] = self.used, 0
+        ids, stops = self._gathered(starts, sizes).tobytes(), (4 * np.cumsum(sizes)[ends - 1]).tolist()
+        if len(self.place) + len(new) <= self.remembered:
+            self.place.update(new)
+            self.used = kept
+        else:
+            self.used = used
+        for head, start, stop in zip(heads, [0, *stops[:-1]], stops, strict=True):
+            yield head.tobytes() + ids[start:stop]
+
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
+        """The ids of each text, in order."""
+        column = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        odd = pc.match_substring_regex(column, _ODD)
+        for token in self.special:
+            odd = pc.or_(odd, pc.match_substring(column, token))
+        odd, sizes = odd.to_numpy(zero_copy_only=False), pc.binary_length(column).to_numpy()
+        start = 0
+        while start < len(column):
+            end, size = start + 1, int(sizes[start])
+            while end < len(column) and odd[end] == odd[start] and size + sizes[end] <= AT_ONCE:
+                size += int(sizes[end])
+                end += 1
+            part = column.slice(start, end - start)
+            yield from (ids.tobytes() for ids in self._whole(part.to_pylist())) if odd[start] else self._cut(part)
+            start = end

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from evidentia.llm import rans
 from evidentia.llm.common import bounded_batches, scratch_table, spread, table_bytes, text_or_empty
-from evidentia.llm.token_ids import IdEncoder
+from evidentia.llm.token_ids import IdEncoder, grouped
 
 END = 0
 BLOCK_IDS = 1 << 20
@@ -52,9 +52,8 @@ def _tokenised(batches: Iterator[pa.RecordBatch], path: str, block_ids: int) ->
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=[x.split()[0] for x in _RAW.split(", ")])
 
     none = np.zeros(0, np.int64)
-    for batch in batches:
-        texts = batch.column(1).to_pylist()
-        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
+    for batch in grouped(batches, 1):
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
             held.append(ids + end)
             doc_ids.append(NULL_ID if doc_id is None else doc_id)
             size += len(ids) // 4 + 1
