@@ -5,6 +5,9 @@ permuted there under the key, and written back with the separators it had. The p
 only, so equal values get equal pseudonyms in every document, and different ones stay different. Pseudonyms pass the
 same validation. Values that are not valid stay as they are, as does all other text. Null text stays null, an empty one
 empty; each row gives one row, whatever else it holds.
+
+The key is the caller's, or the session's (KEY_SETTING). Where neither names one, a random key is made for the
+application: values are linked within its run, and nobody can undo them afterwards.
 """
 
 from __future__ import annotations
@@ -12,18 +15,28 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import secrets
 import string
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evidentia.llm.common import bounded_batches
 
 ROUNDS = 10
-KEY = b"evidentia-pseudonyms-1"
+#: The session setting that holds the key, as text.
+KEY_SETTING = "spark.evidentia.pseudonyms.key"
+_OWN_KEYS: dict[str, bytes] = {}
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The session's key, else this application's own random one."""
+    if named := spark.conf.get(KEY_SETTING, None):
+        return named.encode()
+    return _OWN_KEYS.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
 
 
 class Permutation:
@@ -35,7 +48,7 @@ class Permutation:
         self.mask = (1 << self.half) - 1
         self.bytes = -(-self.half // 8)
         size = str(n).encode() if n.bit_length() < 8192 else n.to_bytes(2 * self.bytes + 1, "little")
-        self.key = hashlib.blake2b(kind.encode() + b"\0" + size, key=key[:64], digest_size=32).digest()
+        self.key = hashlib.blake2b(kind.encode() + b"\0" + size, key=hashlib.blake2b(key).digest(), digest_size=32).digest()
 
     def _round(self, k: int, right: int) -> int:
         out, block = b"", 0
@@ -92,7 +105,7 @@ class Pseudonyms:
 
     KINDS = ("card", "iban", "ssn", "phone", "ip", "date", "email", "secret")
 
-    def __init__(self, key: bytes = KEY, remembered: int = 100_000):
+    def __init__(self, key: bytes, remembered: int = 100_000):
         self.key, self.remembered = key, remembered
         self.made: dict[tuple[str, str], str | None] = {}
         self.permutations: dict[tuple[str, int], Permutation] = {}
@@ -153,21 +166,24 @@ class Pseudonyms:
     FIRST, LAST = datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)
 
     def date(self, text: str) -> str | None:
-        """Year first, or day and month in the order that gives a date (day first where both do)."""
-        parts = re.split(r"[-/.]", text)
-        orders = ((0, 1, 2),) if len(parts[0]) == 4 else ((2, 1, 0), (2, 0, 1))
-        for y, m, d in orders:
+        """Year first, or day first, or month first where only that gives a date; the pseudonym reads the same way.
+
+        Month-first dates have a day above 12, and so have their pseudonyms: no two spellings of different days meet.
+        """
+        parts, marks = re.split(r"[-/.]", text), re.findall(r"[-/.]", text)
+        for y, m, d in ((0, 1, 2),) if len(parts[0]) == 4 else ((2, 1, 0), (2, 0, 1)):
             try:
                 day = datetime.date(int(parts[y]), int(parts[m]), int(parts[d]))
             except ValueError:
                 continue
             if not self.FIRST <= day <= self.LAST:
                 return None
-            n = (self.LAST - self.FIRST).days + 1
-            new = self.FIRST + datetime.timedelta(days=self.permutation("date", n)((day - self.FIRST).days))
+            permute = self.permutation("date", (self.LAST - self.FIRST).days + 1)
+            said = lambda x: self.FIRST + datetime.timedelta(days=x)
+            late = (y, m, d) == (2, 0, 1)
+            new = said(_walk(permute, (day - self.FIRST).days, lambda x: not late or said(x).day > 12))
             out = [""] * 3
             out[y], out[m], out[d] = f"{new.year:04d}", f"{new.month:0{len(parts[m])}d}", f"{new.day:0{len(parts[d])}d}"
-            marks = re.findall(r"[-/.]", text)
             return out[0] + marks[0] + out[1] + marks[1] + out[2]
         return None
 
@@ -270,12 +286,17 @@ def _rewritten(batches: Iterator[pa.RecordBatch], key: bytes) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays(columns, names=["__row", "__text", "__n", "__kinds"])
 
 
-def pseudonymise(docs: DataFrame, key: bytes = KEY, column: str = "text") -> DataFrame:
-    """docs with its text rewritten, and `__n` (values replaced) and `__kinds` (their kinds, sorted, by commas)."""
+def pseudonymise(docs: DataFrame, key: bytes | None = None, column: str = "text") -> DataFrame:
+    """docs with its text rewritten, and `__n` (values replaced) and `__kinds` (their kinds, sorted, by commas).
+
+    These two take the place of columns of their names.
+    """
     bounded_batches(docs.sparkSession)
-    rest = [F.col(f"`{c}`") for c in docs.columns if c != column]
+    key = session_key(docs.sparkSession) if key is None else key
+    names = [c for c in docs.columns if c not in ("__n", "__kinds")]
+    rest = [F.col(f"`{c}`") for c in names if c != column]
     slim = docs.select(F.struct(*(rest or [F.lit(0).alias("none")])).alias("__row"), F.col(column).cast("string").alias("__text"))
     schema = T.StructType([slim.schema[0], T.StructField("__text", T.StringType()), T.StructField("__n", T.LongType()), T.StructField("__kinds", T.StringType())])
     out = slim.mapInArrow(lambda b: _rewritten(b, key), schema)
-    shown = [F.col("__text").alias(column) if c == column else F.col("__row").getField(c).alias(c) for c in docs.columns]
+    shown = [F.col("__text").alias(column) if c == column else F.col("__row").getField(c).alias(c) for c in names]
     return out.select(*shown, "__n", "__kinds")

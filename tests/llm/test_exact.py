@@ -20,6 +20,7 @@ from evidentia.llm import cutting_stock, fingerprints, langid, linededup, lm, ng
 from evidentia.llm.common import fold_of, scratch_path, tokenizer_path
 from evidentia.llm.token_ids import IdEncoder
 
+KEY = b"a key of these tests"
 BPE, PIECES = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
 TEXT = st.text("ab the,.!'s \n\té日▁🙂1", max_size=60)
 MARKED = st.lists(st.one_of(TEXT, st.sampled_from(["<|endoftext|>", "<|endof", "text|>"])), max_size=4).map("".join)
@@ -150,7 +151,7 @@ def test_quality_features(spark, corpus, monkeypatch, bits):
 def test_permutations_and_formats():
     walk = pii.Permutation(b"k", "x", 777)
     assert sorted(map(walk, range(777))) == list(range(777)) and all(walk.inverse(walk(k)) == k for k in range(777))
-    tool = pii.Pseudonyms()
+    tool = pii.Pseudonyms(KEY)
     one, found = tool.rewrite("card 4337 1665 9846 4399, mail a.b@x.example.com, 1984-02-29, 10.1.2.3, GB82 WEST 1234 5698 7654 32, 123-45-6789")
     assert found == {"card": 1, "email": 1, "date": 1, "ip": 1, "iban": 1, "ssn": 1}
     digits = re.search(r"card ([\d ]+),", one)[1].replace(" ", "")
@@ -241,9 +242,10 @@ def plain_lines(corpus):
     return out
 
 
-@pytest.mark.parametrize("longest", [256, 2])
-def test_line_dedup(docs, corpus, monkeypatch, longest):
+@pytest.mark.parametrize("longest,few", [(256, 1_000_000), (2, 1_000_000), (2, 0)])
+def test_line_dedup(docs, corpus, monkeypatch, longest, few):
     monkeypatch.setattr(linededup, "LIST", longest)  # 2 sends nearly all by way of the earliest of each list
+    monkeypatch.setattr(linededup, "BROADCAST_ROWS", few)  # 0 joins all by shuffles
     expected = plain_lines(corpus)
     assert expected != corpus
     assert {r.doc_id: r.text for r in linededup.dedup_lines(docs).collect()} == dict(enumerate(expected))
@@ -360,5 +362,5 @@ def test_pipeline(spark, corpus, tmp_path):
     for (k, _), t in zip(kept, lines, strict=True):
         left.setdefault(seen[plain_fingerprint(t)], (k, t))
     tokenizer = Tokenizer.from_file(BPE)
-    expected = {k: len(tokenizer.encode(pii.Pseudonyms().rewrite(t)[0], add_special_tokens=False).ids) + 1 for k, t in left.values()}
+    expected = {k: len(tokenizer.encode(pii.Pseudonyms(KEY).rewrite(t)[0], add_special_tokens=False).ids) + 1 for k, t in left.values()}
     assert got.groupby("doc_id").length.sum().to_dict() == expected
