@@ -490,3 +490,5 @@ _CUTS = {"block_profile_caps": " WHERE event_id % 3 = 0", "resolved_location": "
 for _name, _cut in _CUTS.items():
     QUERIES[f"{_name}_whole"] = partial(QUERIES[_name], whole=True)
     ORACLE_SQL[f"{_name}_whole"] = ORACLE_SQL[_name].replace(_cut, "")
+
+from evidentia import domain_bindings  # noqa: E402, F401  (adds its queries to these)

@@ -60,19 +60,42 @@ def first_number_token(text: Column) -> Column:
     return F.nullif(F.regexp_extract(normalise_address(text), r"(?:^| )([0-9]+[A-Z]?)(?= |$)", 1), F.lit(""))
 
 
+def role_component(text: Column) -> Column:
+    """Letters, digits, slashes and hyphens of a text, in upper case."""
+    return F.nullif(F.regexp_replace(F.upper(text.cast("string")), "[^A-Z0-9/-]+", ""), F.lit(""))
+
+
 def unit_identifier(text: Column) -> Column:
     """A unit's number or letters without the word before it."""
     upper = F.regexp_replace(F.upper(text.cast("string")), rf"^({'|'.join(UNITS)}) *", "")
     return F.nullif(F.regexp_replace(upper, "[^A-Z0-9/-]+", ""), F.lit(""))
 
 
-_DESIGNATOR = r"(^|[^A-Z0-9])([0-9]+[A-Z]?( *- *[0-9]+[A-Z]?)?)[ ,.]*$"
+#: Fixed value: a building's number or range of numbers, each with a letter at most, that no letter or digit touches.
+DESIGNATOR = "[0-9]+[A-Z]?(?: *- *[0-9]+[A-Z]?)?"
+_ALONE = rf"(?<![A-Z0-9])({DESIGNATOR})(?![A-Z0-9])"
+
+
+def _dense(text: Column) -> Column:
+    return F.nullif(F.regexp_replace(text, " +", ""), F.lit(""))
+
+
+def first_designator(text: Column) -> Column:
+    """The first number or range in a text."""
+    return _dense(F.regexp_extract(F.upper(text.cast("string")), _ALONE, 1))
+
+
+def only_designator(text: Column) -> Column:
+    """The number or range that a text ends with, if no other one stands alone in it and it has no slash."""
+    upper = F.upper(text.cast("string"))
+    all_ = F.regexp_extract_all(upper, F.lit(_ALONE), F.lit(1))
+    return F.when((F.size(all_) == 1) & ~F.contains(upper, F.lit("/")) & upper.rlike(rf"{_ALONE}[ ,.]*$"), _dense(F.get(all_, F.lit(0))))
 
 
-def number_designator(text: Column) -> Column:
-    """The number or range a text ends with, if it holds no other number and no slash."""
+def complete_number_designator(text: Column) -> Column:
+    """The number or range that a text ends with, if it holds no other number and no slash."""
     upper = F.upper(text.cast("string"))
-    found = F.nullif(F.regexp_replace(F.regexp_extract(upper, _DESIGNATOR, 2), " +", ""), F.lit(""))
+    found = _dense(F.regexp_extract(upper, rf"(?:^|[^A-Z0-9])({DESIGNATOR})[ ,.]*$", 1))
     numbers = F.size(F.regexp_extract_all(upper, F.lit("([0-9]+)"), F.lit(1)))
     return F.when(~F.contains(upper, F.lit("/")) & (numbers == F.when(F.contains(found, F.lit("-")), 2).otherwise(1)), found)
 

@@ -73,31 +73,32 @@ def _rarity(sets: DataFrame) -> Column:
 
 
 def _keyed(sets: DataFrame, levels: Column) -> DataFrame:
-    """d, s, the line's token number n, its parity bitmap of 128 bits (b0, b1) and its prefix of tokens by rarity."""
+    """d, s, the line's token number n, its parity bitmap of 96 bits (b0, b1) and its prefix of tokens by rarity."""
     num, den = THRESHOLD
     key = lambda t: F.shiftleft(levels[t.bitwiseAND(BUCKETS - 1)].cast("long"), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
-    parity = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
-    b0, b1 = parity(F.filter("t", lambda t: t < 0)), parity(F.filter("t", lambda t: t >= 0))
+    parity = lambda some, last: F.aggregate(some, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(last).cast("int"))))
+    b0, b1 = parity(F.filter("t", lambda t: t < 0), 63), parity(F.filter("t", lambda t: t >= 0), 31)
     ordered = sets.select("d", "s", "n", b0.alias("b0"), b1.alias("b1"), F.sort_array(F.transform("t", key)).alias("t"))
     return ordered.select("d", "s", "n", "b0", "b1", F.slice("t", 1, F.expr(f"cast(n - (n * {num}L + {den - 1}) DIV {den} + 1 AS int)")).alias("prefix"))
 
 
 def _posted(keys: DataFrame) -> DataFrame:
-    return keys.select("d", "s", "n", "b0", "b1", F.posexplode("prefix").alias("p", "token"))
+    """A row for each token of a prefix; np is the line's token number above the token's place, 32 bits each."""
+    entries = keys.select("d", "s", "n", "b0", "b1", F.posexplode("prefix").alias("p", "token"))
+    return entries.select("d", "s", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("p").cast("long")).alias("np"), "b0", "b1", "token")
 
 
+_SIZE, _PLACE = "shiftright({0}.np, 32)", "({0}.np & 4294967295L)"
 _DIFFER = "bit_count(x.b0 ^ y.b0) + bit_count(x.b1 ^ y.b1)"
 _PAIR = ["x.d AS xd", "x.s AS xs", "y.d AS yd", "y.s AS ys", f"cast({_DIFFER} AS int) AS e"]
 
 
 def _may_match() -> Column:
-    """Later line x and earlier line y that share a token at their places p: sizes, places and bitmaps allow the similarity."""
+    """Later line x and earlier line y that share a token at their places: sizes, places and bitmaps allow the similarity."""
     num, den = THRESHOLD
-    differ = f"(x.n + y.n - 2 * (((x.n + y.n) * {num}L + {num + den - 1}) DIV {num + den}))"
-    return F.expr(
-        f"(x.d > y.d OR (x.d = y.d AND x.s > y.s)) AND x.n * {den}L >= y.n * {num}L AND y.n * {den}L >= x.n * {num}L "
-        f"AND x.p + y.p <= {differ} AND {_DIFFER} <= {differ}"
-    )
+    (xn, yn), (xp, yp) = ([part.format(side) for side in "xy"] for part in (_SIZE, _PLACE))
+    differ = f"({xn} + {yn} - 2 * ((({xn} + {yn}) * {num} + {num + den - 1}) DIV {num + den}))"
+    return F.expr(f"(x.d > y.d OR (x.d = y.d AND x.s > y.s)) AND {xn} * {den} >= {yn} * {num} AND {yn} * {den} >= {xn} * {num} AND {xp} + {yp} <= {differ} AND {_DIFFER} <= {differ}")
 
 
 def _paired(x: DataFrame, y: DataFrame, on: tuple[str, ...] = ("token",)) -> DataFrame:
@@ -143,7 +144,7 @@ def _classed(x: DataFrame, y: DataFrame, hot: DataFrame, n_hot: int) -> tuple[Da
     marked = _if_few(hot.withColumn("hot", F.lit(True)), n_hot)
     size = lambda n: f"ln({n}) / ln(1.25D)"
     dealt = lambda rows, classes: rows.join(marked, "token", "left").withColumn("part", F.explode(F.when(F.col("hot"), F.expr(classes)).otherwise(F.array(F.lit(0).cast("long")))))
-    return dealt(x, f"array(floor({size('n')}))"), dealt(sought, f"sequence(floor({size('n * 0.8D')} - 1e-9D), floor({size('n * 1.25D')} + 1e-9D))")
+    return dealt(x, f"array(floor({size('shiftright(np, 32)')}))"), dealt(sought, f"sequence(floor({size('shiftright(np, 32) * 0.8D')} - 1e-9D), floor({size('shiftright(np, 32) * 1.25D')} + 1e-9D))")
 
 
 def _late_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
@@ -160,7 +161,7 @@ def _late_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
     pairs = _paired(dealt, dealt)
     if n_hot:
         long_ = scratch_table(posted.join(_if_few(hot, n_hot), "token"), "hot-entries")
-        leaders = long_.groupBy("token").agg(F.min(F.struct("d", "s", "n", "b0", "b1", "p")).alias("y")).select("token", "y.*")
+        leaders = long_.groupBy("token").agg(F.min(F.struct("d", "s", "np", "b0", "b1")).alias("y")).select("token", "y.*")
         pairs = pairs.unionByName(_paired(long_, _if_few(leaders, n_hot)))
     best = pairs.groupBy("xd", "xs").agg(F.min_by("yd", "e").alias("yd"), F.min_by("ys", "e").alias("ys"), F.count("*").alias("n"))
     best = scratch_table(best, "likely-pairs", large=True)

@@ -14,19 +14,32 @@ def conflict_class(count: Column, distinct: Column) -> Column:
     return F.when(count == 1, "UNIQUE").when(distinct == 1, "EXACT_DUPLICATE").otherwise("CONFLICT")
 
 
+def _hashed(df: DataFrame, key: Sequence[str], payload: Column) -> DataFrame:
+    """Keys with 128 bits of their rows' payloads; a NULL payload is a value of its own."""
+    seen = F.coalesce(F.concat(F.lit("V"), payload.cast("string")), F.lit("N"))
+    return df.select(*key, F.xxhash64(seen).alias("__a"), F.xxhash64(F.lit(1), seen).alias("__b"))
+
+
 def natural_key_classes(df: DataFrame, key: Sequence[str], payload: Column) -> DataFrame:
-    """Per key: rows, distinct payloads and the conflict class. NULL payloads count as one value.
+    """Per key: rows, distinct payloads and the conflict class. NULL payloads count as one value."""
+    found = _hashed(df, key, payload).groupBy(*key).agg(F.count("*").alias("row_count"), F.countDistinct("__a", "__b").alias("distinct_payloads"))
+    return found.withColumn("conflict_status", conflict_class(F.col("row_count"), F.col("distinct_payloads")))
 
-    Two payload extremes tell one value from several, so the aggregation combines before its only shuffle.
+
+def conflict_classes(df: DataFrame, key: Sequence[str], payload: Column) -> DataFrame:
+    """Per key: rows and the conflict class alone.
+
+    The two extremes tell one payload from several, so rows combine before the only shuffle, however many a key has.
     """
-    seen = df.select(*key, F.coalesce(F.concat(F.lit("V"), payload.cast("string")), F.lit("N")).alias("__p"))
-    found = seen.groupBy(*key).agg(F.count("*").alias("row_count"), F.countDistinct("__p").alias("distinct_payloads"))
-    return found.withColumn("conflict_status", conflict_class(F.col("row_count"), F.col("distinct_payloads")))
+    ends = [f(c).alias(f"{n}{c}") for c in ("__a", "__b") for n, f in (("min", F.min), ("max", F.max))]
+    found = _hashed(df, key, payload).groupBy(*key).agg(F.count("*").alias("row_count"), *ends)
+    one = (F.col("min__a") == F.col("max__a")) & (F.col("min__b") == F.col("max__b"))
+    return found.select(*key, "row_count", conflict_class(F.col("row_count"), F.when(one, 1).otherwise(2)).alias("conflict_status"))
 
 
 def classify_rows(df: DataFrame, key: Sequence[str], payload: Column) -> DataFrame:
     """df with each row's key count and class."""
-    return df.join(natural_key_classes(df, key, payload), list(key))
+    return df.join(conflict_classes(df, key, payload), list(key))
 
 
 def representatives(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

@@ -35,7 +35,7 @@ def test_postcodes(spark):
 
 
 def test_numbers_and_units(spark):
-    assert values(spark, text.number_designator, ["11-13", "BRIGHTHAMPTON, 55 - 57", "11/13", "11 AND 13", "11AB", "A11", "5a."]) == ["11-13", "55-57", None, None, None, None, "5A"]
+    assert values(spark, text.complete_number_designator, ["11-13", "BRIGHTHAMPTON, 55 - 57", "11/13", "11 AND 13", "11AB", "A11", "5a."]) == ["11-13", "55-57", None, None, None, None, "5A"]
     assert values(spark, text.unit_identifier, ["Flat 5A", "5a", None]) == ["5A", "5A", None]
     assert values(spark, text.first_number_token, ["Flat 5A, 11 High St", "none"]) == ["5A", None]
 
