@@ -11,15 +11,16 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words remembered by one worker; beyond it new words are encoded whenever they come.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 #: Bytes of the texts that are encoded at once; a longer text is by itself.
-AT_ONCE = 1 << 23
+AT_ONCE = 1 << 22
 #: A word that ends in one of these after a letter is its stem and the mark.
 MARKS = ".,;:!?"
 #: White space that is not one space or line end between visible characters (RE2).
@@ -128,7 +129,7 @@ class IdEncoder:
         distinct, index = words.dictionary.to_pylist(), words.indices.to_numpy()
         heads = self._whole([distinct[k] for k in index[np.append(0, ends[:-1])].tolist()])
         get, used = self.place.get, self.used
-        places = np.array([get(w, -1) for w in distinct], np.int64)
+        places = np.fromiter(map(get, distinct, repeat(-1)), np.int64, len(distinct))
         unseen = np.flatnonzero(places < 0).tolist()
         new = self._learn([distinct[k] for k in unseen]) if unseen else {}
         places[unseen] = [new[distinct[k]] for k in unseen]
