@@ -7,6 +7,7 @@ import tempfile
 import time
 import uuid
 import zlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,20 @@ SPACES = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[ \x09-\x0D]"
 
 
+class Names(dict):
+    """64-bit names of words, made as they come and remembered up to a bound."""
+
+    def __init__(self, make: Callable[[bytes], int], most: int = 400_000):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, word: bytes) -> int:
+        name = self.make(word)
+        if len(self) < self.most:
+            self[word] = name
+        return name
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -7,9 +7,9 @@ doc_id it reaches. Rows that share a doc_id link like any others; a null doc_id
 
 Two fingerprints within RADIUS agree in one of RADIUS + 1 bit blocks, so the trees are built per (block, value) shard:
 nodes are distinct fingerprints, a child's key is its Hamming distance to the parent, and a search follows only edges
-within the radius. A tree's shard is dealt by key instead of broadcast, as it grows with the corpus. Shards above
-SHARD nodes are linked without a tree, exactly too: fingerprints at distance 2 or less share one that is at most one
-bit from both, so each is joined to its 65 such neighbours and no group exceeds 65.
+within the radius. A tree's shard is dealt by key instead of broadcast, as it grows with the corpus. A shard above SHARD
+nodes is split by RADIUS + 1 blocks of the bits that its nodes do not share yet, and so once more; what agrees in three
+such blocks has some 19 bits left to differ in, which bounds the last trees.
 """
 
 from __future__ import annotations
@@ -23,16 +23,27 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import bounded_batches, scratch_table, text_or_empty
+from evidentia.llm.common import bounded_batches, drop_tables, scratch_table, text_or_empty
 
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
-#: Distinct fingerprints up to which a shard gets a tree.
+#: Distinct fingerprints up to which a shard gets one tree.
 SHARD = 2048
-#: First bit and width of the blocks.
 _NULL = -(1 << 63)
-BLOCKS = ((0, 22), (22, 21), (43, 21))
+
+
+def _split(mask: int, parts: int) -> list[int]:
+    """The mask with each of so many blocks of the bits that it lacks."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    ends = [k * len(free) // parts for k in range(parts + 1)]
+    return [mask | sum(1 << b for b in free[i:j]) for i, j in zip(ends, ends[1:], strict=False)]
+
+
+#: Bits that shards agree in, by depth and path.
+_MASKS = [_split(0, RADIUS + 1)]
+for _ in range(2):
+    _MASKS.append([m for mask in _MASKS[-1] for m in _split(mask, RADIUS + 1)])
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -47,13 +58,13 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * bits > len(grams), bitorder="little").tobytes(), "little")
 
 
-def _signed(x: int) -> int:
+def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        values = [_signed(fingerprint(x, shingle)) for x in batch.column(2).to_pylist()]
+        values = [signed(fingerprint(x, shingle)) for x in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values, pa.int64())], names=["doc_id", "text_hash", "fp"])
 
 
@@ -117,14 +128,14 @@ def _links(frames: Iterator[pd.DataFrame], radius: int) -> Iterator[pd.DataFrame
 
     def flush() -> pd.DataFrame:
         found = shard_links(members, radius) if len(members) > 1 else []
-        return pd.DataFrame([(_signed(a), _signed(b)) for a, b in found], columns=["a", "b"], dtype="int64")
+        return pd.DataFrame([(signed(a), signed(b)) for a, b in found], columns=["a", "b"], dtype="int64")
 
     for frame in frames:
-        for block, value, fp in zip(frame["block"].tolist(), frame["value"].tolist(), frame["fp"].tolist(), strict=True):
-            if (block, value) != shard:
+        for *key, fp in zip(*(frame[c].tolist() for c in ("depth", "path", "value", "fp")), strict=True):
+            if key != shard:
                 if len(members) > 1:
                     yield flush()
-                shard, members = (block, value), []
+                shard, members = key, []
             members.append(fp & ((1 << 64) - 1))
     if len(members) > 1:
         yield flush()
@@ -132,22 +143,28 @@ def _links(frames: Iterator[pd.DataFrame], radius: int) -> Iterator[pd.DataFrame
 
 def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Links (a, b) between distinct fingerprints that give their components; no shard emits all its pairs."""
-    if radius != len(BLOCKS) - 1:
+    if radius != RADIUS:
         raise ValueError("the blocks are made for a radius of 2")
-    blocks = F.array(*(F.struct(F.lit(k).alias("block"), F.shiftrightunsigned("fp", at).bitwiseAND((1 << width) - 1).alias("value")) for k, (at, width) in enumerate(BLOCKS)))
-    keyed = distinct.select("fp", F.explode(blocks).alias("x")).select("x.block", "x.value", "fp")
-    sizes = keyed.groupBy("block", "value").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = keyed.join(sizes, ["block", "value"])
-    small = shared.filter(F.col("n") <= SHARD).select("block", "value", "fp")
-    spark = distinct.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = small.repartition(parts, "block", "value").sortWithinPartitions("block", "value", "fp")
-    trees = dealt.mapInPandas(lambda f: _links(f, radius), "a long, b long")
-    large = shared.filter(F.col("n") > SHARD).select("fp").distinct()
-    near = large.select("fp", F.explode(F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(_signed(1 << k))) for k in range(64)))).alias("near"))
-    joined = near.groupBy("near").agg(F.min("fp").alias("b"), F.collect_set("fp").alias("all")).filter(F.size("all") > 1)
-    stars = joined.select(F.explode("all").alias("a"), "b").filter("a != b")
-    return trees.unionByName(stars).distinct()
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shard = lambda path, mask: F.struct(path.alias("path"), F.col("fp").bitwiseAND(mask).alias("value"))
+    keyed = distinct.select("fp", F.explode(F.array(*(shard(F.lit(k), F.lit(signed(m))) for k, m in enumerate(_MASKS[0])))).alias("x"))
+    found = None
+    for depth in range(len(_MASKS)):
+        keyed = keyed.select(F.lit(depth).alias("depth"), "x.path", "x.value", "fp")
+        sizes = scratch_table(keyed.groupBy("depth", "path", "value").agg(F.count("*").alias("n")).filter("n > 1"), "shard-sizes")
+        shared = keyed.join(sizes, ["depth", "path", "value"])
+        more = depth + 1 < len(_MASKS) and not sizes.filter(F.col("n") > SHARD).isEmpty()
+        small = shared.filter(F.col("n") <= SHARD) if more else shared
+        dealt = small.select("depth", "path", "value", "fp").repartition(parts, "depth", "path", "value").sortWithinPartitions("depth", "path", "value", "fp")
+        trees = dealt.mapInPandas(lambda f: _links(f, radius), "a long, b long")
+        found = trees if found is None else found.unionByName(trees)
+        if not more:
+            break
+        masks = F.array(*(F.lit(signed(m)) for m in _MASKS[depth + 1]))
+        child = lambda k: F.col("path") * (RADIUS + 1) + k
+        large = scratch_table(shared.filter(F.col("n") > SHARD).select("path", "fp"), "large-shards")
+        keyed = large.select("fp", F.explode(F.array(*(shard(child(k), F.get(masks, child(k))) for k in range(RADIUS + 1)))).alias("x"))
+    return found.distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -165,7 +182,8 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        edges = scratch_table(small.filter("a != b").distinct(), "edges")
+        old, edges = edges, scratch_table(small.filter("a != b").distinct(), "edges")
+        drop_tables(old)
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

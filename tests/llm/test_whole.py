@@ -31,10 +31,9 @@ def near_corpus():
     return [*out, "", " \n", "a b", "A  b", None, out[0].upper()]
 
 
-@pytest.mark.parametrize("seen", [4, 1])
-def test_near_copies_against_brute_force(spark, monkeypatch, seen):
-    monkeypatch.setattr(nearcopies, "SAMPLE", 1)
-    monkeypatch.setattr(nearcopies, "SEEN", seen)
+@pytest.mark.parametrize("packed", [4096, 2])
+def test_near_copies_against_brute_force(spark, monkeypatch, packed):
+    monkeypatch.setattr(nearcopies, "PACKED", packed)
     corpus = near_corpus()
     sets = [shingled(t or "") for t in corpus]
     root = list(range(len(sets)))
