@@ -22,37 +22,102 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def replace(df: DataFrame, path: str) -> None:
-    """Write beside, then swap; readers of the old files must have ended."""
+_POINTER = "_CURRENT"
+
+
+def _write_pointer(spark: SparkSession, path: str, version: str) -> None:
+    """Name the table's version; readers see the old name or the new one, never none."""
+    fs, folder = _fs(spark, path)
+    path_of, jvm = spark._jvm.org.apache.hadoop.fs.Path, spark._jvm
+    staged = path_of(folder, f".{_POINTER}-{uuid.uuid4().hex}")
+    out = fs.create(staged, True)
+    try:
+        out.write(version.encode())
+    finally:
+        out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(folder).toUri(), spark._jsc.hadoopConfiguration())
+    renames = jvm.java.lang.reflect.Array.newInstance(jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
+    renames[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(staged, path_of(folder, _POINTER), renames)
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Where a table's rows are: the version that its pointer names, or the folder itself where it has none."""
+    fs, folder = _fs(spark, path)
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(folder, _POINTER)
+    if not fs.exists(pointer):
+        return path
+    stream = fs.open(pointer)
+    try:
+        name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return f"{path}/{name}"
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(current_path(spark, path))
+
+
+def replace(df: DataFrame, path: str, keep: int = 2) -> None:
+    """A new version of the table, written whole before the pointer moves to it.
+
+    A crash leaves the old version in force. The last `keep` versions stay, so plans that read the one before go on.
+    """
     spark = df.sparkSession
-    staging, old = f"{path}.staging-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    df.write.parquet(staging)
-    fs, p = _fs(spark, path)
-    path_of = spark._jvm.org.apache.hadoop.fs.Path
-    if fs.exists(p):
-        fs.rename(p, path_of(old))
-    fs.rename(path_of(staging), p)
-    fs.delete(path_of(old), True)
+    fs, folder = _fs(spark, path)
+    before = sorted((f.getModificationTime(), f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().startswith("version-")) if fs.exists(folder) else []
+    version = f"version-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    _write_pointer(spark, path, version)
+    for _, name in before[: max(0, len(before) + 1 - keep)]:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, name), True)
 
 
 def append_if_absent(new: DataFrame, path: str, key: list[str]) -> None:
-    """Rows whose key the table has not; keys repeated within the batch are an error, as which row stays would be open."""
+    """Rows whose key the table has not; keys repeated within the batch are an error, as which row stays would be open.
+
+    new is evaluated once, into a staging folder. Only stored rows within the batch's range of its first key column are
+    looked at, which Parquet's statistics skip by row group.
+    """
     spark = new.sparkSession
-    if not new.groupBy(*key).count().filter("count > 1").isEmpty():
-        raise ValueError(f"keys {key} repeat within the batch")
-    if exists(spark, path):
-        new = new.join(spark.read.parquet(path).select(*key), key, "left_anti")
-    new.write.mode("append").parquet(path)
+    fs, _ = _fs(spark, path)
+    staging = f"{path}.staging-{uuid.uuid4().hex}"
+    new.write.parquet(staging)
+    try:
+        staged = spark.read.schema(new.schema).parquet(staging)
+        if not staged.groupBy(*key).count().filter("count > 1").isEmpty():
+            raise ValueError(f"keys {key} repeat within the batch")
+        if exists(spark, path):
+            first = F.col(key[0])
+            low, high = staged.agg(F.min(first), F.max(first)).first()
+            near = first.isNull() if low is None else first.isNull() | first.between(low, high)
+            staged = staged.join(read(spark, path).filter(near).select(*key), key, "left_anti")
+        staged.write.mode("append").parquet(current_path(spark, path))
+    finally:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(staging), True)
 
 
 def upsert(new: DataFrame, path: str, key: list[str]) -> None:
+    """Rows of the same key give way to the new ones; the others stay."""
     spark = new.sparkSession
     if exists(spark, path):
-        old = spark.read.parquet(path)
-        new = new.unionByName(old.join(new.select(*key), key, "left_anti"), allowMissingColumns=True)
+        new = new.unionByName(read(spark, path).join(new.select(*key), key, "left_anti"), allowMissingColumns=True)
     replace(new, path)
 
 
+def delete_rows(spark: SparkSession, path: str, key: str, values: list[str]) -> None:
+    """Take rows out of a table, as a retry does with what a failed run left."""
+    replace(read(spark, path).filter(~F.col(key).isin(values) | F.col(key).isNull()), path)
+
+
+def update_from(table: DataFrame, found: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """table with the columns that found has for a key; others keep theirs."""
+    new = found.select(*key, *(F.col(c).alias(f"__{c}") for c in columns))
+    joined = table.join(new, key, "left")
+    return joined.select(*(F.coalesce(f"__{c}", c).alias(c) if c in columns else F.col(c) for c in table.columns))
+
+
 def publish_pointer(spark: SparkSession, path: str, name: str, key: str) -> None:
     upsert(spark.createDataFrame([(name, key)], "name string, published_key string"), path, ["name"])
 

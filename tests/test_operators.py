@@ -1,4 +1,5 @@
 import datetime
+import json
 import zipfile
 
 import pytest
@@ -125,7 +126,11 @@ def test_archives_load_once(spark, tmp_path):
 def test_parse_cache(spark):
     fake = lambda _: [("flat 5", "unit"), ("11", "house_number"), ("high street", "road")]
     got = addresses.components("x", fake)
-    assert (got["parse_status"], got["unit"], got["building"], got["road"]) == ("COMPLETE", "5", "11", "HIGH STREET")
+    assert (got["parse_status"], got["unit_identifier_comparison"], got["building_number_designator"], got["road_comparison"]) == ("COMPLETE", "5", "11", "HIGH STREET")
+    assert json.loads(got["ordered_components_json"])[1] == {"ordinal": 2, "value": "11", "label": "house_number"}
+    for number, expected in (("12 rear", None), ("11/13", None), ("11 and 13", None), ("brighthampton, 55 - 57", "55-57"), ("5a.", "5A"), ("11ab", None), (None, None)):
+        assert addresses.building_number(number) == expected
+    assert addresses.components("x", lambda _: [("12 rear", "house_number"), ("a road", "road")])["parse_status"] == "INCOMPLETE"
     requests = spark.createDataFrame([("Flat 5, 11 High Street",), ("Flat 5, 11 High Street",), ("boom",)], "parser_input string")
 
     def flaky(text):
