@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +29,19 @@ def read_header(path: str) -> list[str]:
             raise ValueError(f"empty file: {path}") from None
 
 
+def header_of(spark: SparkSession, path: str) -> list[str]:
+    """The first record of a file in any file system; its first mebibyte is read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        head = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(spark._jvm.org.apache.commons.io.input.BoundedInputStream(stream, 1 << 20)))
+    finally:
+        stream.close()
+    if not head:
+        raise ValueError(f"empty file: {path}")
+    return next(csv.reader(io.StringIO(head.decode("utf-8-sig", "ignore"), newline="")))
+
+
 def check_header(path: str, expected: Sequence[str]) -> None:
     if tuple(found := read_header(path)) != tuple(expected):
         raise HeaderDrift(f"Source header drift: {found} instead of {list(expected)}")
@@ -45,9 +59,11 @@ def read_strict(spark: SparkSession, path: str, columns: Sequence[str], header:
     return rows.withColumn("source_row_number", F.monotonically_increasing_id() + 1)
 
 
-def with_lineage(rows: DataFrame, namespace: str, release: str, file_id: str, content_sha256: str, member: str, run_id: str, contract: str, loaded_at, parent: str | None = None) -> DataFrame:
-    """The nine lineage columns before the raw ones; the key names content, member and row, not the load."""
-    key = stable_sha256(namespace, "v1", F.lit(content_sha256), F.lit(member), F.col("source_row_number"))
+def with_lineage(
+    rows: DataFrame, namespace: str, release: str, file_id: str, content: Sequence[Column], member: str, run_id: str, contract: str, loaded_at, version: str = "v1", parent: str | None = None
+) -> DataFrame:
+    """The nine lineage columns before the raw ones; a row's key names its content (columns before its number), not the load."""
+    key = stable_sha256(namespace, version, *content, F.col("source_row_number"))
     lineage = {
         "source_record_key": key, "dataset_release_id": F.lit(release), "source_file_id": F.lit(file_id), "parent_source_file_id": F.lit(parent).cast("string"), "source_member_path": F.lit(member),
         "source_row_number": F.col("source_row_number"), "pipeline_run_id": F.lit(run_id), "parser_contract_version": F.lit(contract), "loaded_at": F.lit(loaded_at),

@@ -1,6 +1,7 @@
 import datetime
 import json
 import zipfile
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from evidentia.operators import calibrate, facts, linkage, profile, quality, store
 from evidentia.plans import addresses
 from evidentia.sources import archive, csv
+from evidentia.sources.manifest import Manifest, ManifestConflict
 from evidentia.streaming import incremental
 
 
@@ -41,13 +43,22 @@ def test_append_upsert_and_pointer(spark, tmp_path):
         store.append_if_absent(rows((1, "a"), (2, "b")), path, ["k"])
     store.append_if_absent(rows((2, "z"), (3, "c")), path, ["k"])
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "b"), (3, "c")]
+    before = store.read(spark, path)
     store.upsert(rows((2, "z")), path, ["k"])
-    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "z"), (3, "c")]
+    assert sorted(map(tuple, store.read(spark, path).collect())) == [(1, "a"), (2, "z"), (3, "c")]
+    assert before.count() == 3
+    for v in "xyz":
+        store.upsert(rows((2, v)), path, ["k"])
+        store.append_if_absent(rows((2, "n"), (4, v)), path, ["k"])
+    assert sorted(map(tuple, store.read(spark, path).collect())) == [(1, "a"), (2, "z"), (3, "c"), (4, "x")]
+    assert len([*(tmp_path / "t").glob("version-*")]) == 2
+    store.delete_rows(spark, path, "v", ["c"])
+    assert store.read(spark, path).count() == 3
     with pytest.raises(ValueError):
         store.append_if_absent(rows((9, "a"), (9, "b")), path, ["k"])
     for key in ("x", "y"):
         store.publish_pointer(spark, f"file://{tmp_path}/p", "current", key)
-    assert [tuple(r) for r in spark.read.parquet(f"file://{tmp_path}/p").collect()] == [("current", "y")]
+    assert [tuple(r) for r in store.read(spark, f"file://{tmp_path}/p").collect()] == [("current", "y")]
 
 
 def test_publication_states():
@@ -101,26 +112,85 @@ def test_csv_keeps_empty_text_and_order(spark, tmp_path):
         csv.check_header(str(file), ["a", "b"])
 
 
-def test_archives_load_once(spark, tmp_path):
-    path = tmp_path / "a.zip"
+def zipped(path, **members):
     with zipfile.ZipFile(path, "w") as z:
-        z.writestr("certificates-2026.csv", "ID,Cost\n1,\n2,GBP 100 - GBP 350\n")
-        z.writestr("notes.txt", "no route")
-    routes = [archive.Route(r"certificates-\d{4}\.csv$", "certificate", "certificate-row", "v1")]
-    manifest, got = archive.Manifest(), {}
-    release = manifest.register_release("p", "d", "2026", year="2026")
-    for _ in range(2):
-        archive.load_members(spark, str(path), routes, manifest, release, "run", datetime.datetime(2026, 1, 1), archive.collected(got))
-    rows = got["certificate"].orderBy("source_row_number").collect()
+        for name, content in members.items():
+            z.writestr(name.replace("_", "-") + ".csv" if name != "notes" else "notes.txt", content)
+    return f"file://{path}"
+
+
+def test_archives_load_once(spark, tmp_path):
+    state = Manifest(spark, f"file://{tmp_path}/control")
+    release, run, write = state.register_release("p", "d", "2026", year="2026"), state.start_run("load"), archive.into_tables(f"file://{tmp_path}/raw")
+    load = lambda path, routes=archive.ROUTES["certificates"]: archive.load_archive(spark, path, routes, state, release, run, write, f"file://{tmp_path}/scratch")
+    certificates, recommendations = "ID,Cost\n1,\n2,GBP 100 - GBP 350\n", "ID,Item\n1,x\n"
+    first = zipped(tmp_path / "a.zip", certificates_2026=certificates, recommendations_2026=recommendations, notes="no route")
+    assert load(first) == {"loaded": 2, "skipped": 0} and load(first) == {"loaded": 0, "skipped": 2}
+    rows = spark.read.parquet(f"{tmp_path}/raw/raw_certificate").orderBy("source_row_number").collect()
     assert [(r.id_raw, r.cost_raw) for r in rows] == [("1", ""), ("2", "GBP 100 - GBP 350")] and rows[0].source_record_key != rows[1].source_record_key
-    assert len(manifest.files) == len(manifest.containers) == 1
-    with pytest.raises(ValueError):
-        manifest.register_release("p", "d", "2026", year="2027")
-    with zipfile.ZipFile(tmp_path / "b.zip", "w") as z:
-        z.writestr("certificates-2027.csv", "")
-    with pytest.raises(ValueError):
-        archive.load_members(spark, str(tmp_path / "b.zip"), routes, manifest, release, "run", datetime.datetime(2026, 1, 1), archive.collected(got))
-    assert [f["status"] for f in manifest.files.values()] == ["LOADED", "FAILED"]
+    assert not [*(tmp_path / "scratch").glob("members*/*")]
+    # the same members repacked, and one under another name
+    assert load(zipped(tmp_path / "b.zip", recommendations_2027=recommendations, certificates_2026=certificates)) == {"loaded": 0, "skipped": 2}
+    files, held = state.table("files").collect(), state.table("containers").collect()
+    assert sorted((f.file_kind, f.status, f.observed_rows) for f in files) == [("ZIP_ARCHIVE", "LOADED", 3), ("ZIP_ARCHIVE", "LOADED", 3), ("ZIP_MEMBER", "LOADED", 1), ("ZIP_MEMBER", "LOADED", 2)]
+    assert len(held) == 4 and spark.read.parquet(f"{tmp_path}/raw/raw_certificate").count() == 2
+    # a manifest of a later driver knows all of it
+    assert Manifest(spark, f"file://{tmp_path}/control").register_release("p", "d", "2026", year="2026")["release_id"] == release["release_id"]
+    with pytest.raises(ManifestConflict):
+        state.register_release("p", "d", "2026", year="2027")
+    with pytest.raises(ManifestConflict):
+        load(first, [replace(r, contract="v2") for r in archive.ROUTES["certificates"]])
+    with pytest.raises(ManifestConflict):
+        load(first, archive.ROUTES["certificates"][:1])
+    state.end_run(run)
+    assert state.table("runs").first().status == "SUCCEEDED"
+
+
+def test_failed_members_are_tried_again(spark, tmp_path):
+    state = Manifest(spark, f"file://{tmp_path}/control")
+    release, run, kept = state.register_release("p", "d", "2026"), state.start_run("load"), []
+    path = zipped(tmp_path / "a.zip", certificates_2025="ID\n1\n", certificates_2026="")
+
+    def write(target, rows):
+        kept.append(target)
+        return rows.count()
+
+    for _ in range(2):
+        with pytest.raises(ValueError, match="empty file"):
+            archive.load_archive(spark, path, archive.ROUTES["certificates"], state, release, run, write, f"file://{tmp_path}/scratch")
+    status = {f.file_name: (f.status, f.error is None) for f in state.table("files").collect()}
+    assert status == {"a.zip": ("PARTIAL", False), "certificates-2025.csv": ("LOADED", True), "certificates-2026.csv": ("FAILED", False)}
+    assert kept == ["raw_certificate"] and state.table("releases").first().status == "PARTIAL"
+
+
+def test_files_and_their_headers(spark, tmp_path):
+    state = Manifest(spark, f"file://{tmp_path}/control")
+    release, (route,) = state.register_release("p", "lad", "2025"), archive.ROUTES["districts"]
+    got = []
+
+    def write(target, rows):
+        got.extend(rows.collect())
+        return rows.count()
+
+    good, bad, sale = (tmp_path / f"{n}.csv" for n in ("good", "bad", "sale"))
+    good.write_text("LAD25CD,LAD25NM,LAD25NMW,ObjectId\nW06000001,Isle of Anglesey,Ynys Môn,1\nE06000001,Hartlepool,,2\n")
+    bad.write_text("LAD25CD,LAD25NM,ObjectId\n")
+    assert [archive.load_file(spark, f"file://{good}", route, state, release, "run", write) for _ in range(2)] == ["LOADED", "SKIPPED"]
+    assert [(r.lad25nm_raw, r.lad25nmw_raw) for r in got] == [("Isle of Anglesey", "Ynys Môn"), ("Hartlepool", "")] and len({r.source_record_key for r in got}) == 2
+    with pytest.raises(csv.HeaderDrift, match="Source header drift"):
+        archive.load_file(spark, f"file://{bad}", route, state, release, "run", write)
+    assert {f.file_name: f.status for f in state.table("files").collect()} == {"good.csv": "LOADED", "bad.csv": "FAILED"}
+    sale.write_text('"{1}","100","2020-01-02 00:00",' + ",".join(['""'] * 13) + "\n")
+    got.clear()
+    archive.load_file(spark, f"file://{sale}", archive.ROUTES["sales"][0], state, release, "run", write)
+    assert got[0].transaction_id_raw == "{1}" and got[0].county_raw == ""
+    ids = {f.file_name: f.file_id for f in state.table("files").collect()}
+    counts = [(ids["good.csv"], 2, 1, 1, "PASSED"), (ids["sale.csv"], 1, 1, 0, "PASSED")]
+    schema = "file_id string, observed_rows long, accepted_rows long, quarantined_rows long, reconciliation_status string"
+    with pytest.raises(ManifestConflict):
+        state.publish_counts(spark.createDataFrame(counts[:1], schema))
+    state.publish_counts(spark.createDataFrame(counts, schema))
+    assert {f.file_name: f.accepted_rows for f in state.table("files").collect()} == {"good.csv": 1, "bad.csv": None, "sale.csv": 1}
 
 
 def test_parse_cache(spark):
