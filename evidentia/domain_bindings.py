@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from evidentia.bindings import _key_sql, _query, _table, _weight_sql
 from evidentia.functions.keys import stable_sha256
 from evidentia.functions.text import POSTCODE, normalise_address, unit_identifier
-from evidentia.operators import linkage
+from evidentia.operators import calibrate, linkage, quality
 from evidentia.plans import addresses, identity, scoring, silver
 
 RUN = "run-1"
@@ -404,3 +404,70 @@ def candidate_fanout(spark, sf_dir):
 @_query(f"WITH scoring_rows AS MATERIALIZED ({_SCORING}), {_FANOUT_SIDES}, f AS ({_FANOUT}) SELECT 'compatible_road_count' AS fanout, count(*) AS row_count, CAST(sum(n) AS BIGINT) AS total_pair_count, count(*) FILTER (WHERE n = 0) AS zero_pair_count, count(*) FILTER (WHERE n > 0) AS positive_pair_count, min(n) AS minimum, quantile_cont(n, 0.5)::DOUBLE AS median, quantile_cont(n, 0.9)::DOUBLE AS p90, quantile_cont(n, 0.99)::DOUBLE AS p99, max(n) AS maximum, count(*) FILTER (WHERE n > 20) AS over_20_count, count(*) FILTER (WHERE n > 100) AS over_100_count FROM (SELECT compatible_road_count AS n FROM f)")
 def fanout_summary(spark, sf_dir):
     return addresses.fanout_summary(_fanout(spark, sf_dir), "compatible_road_count")
+
+
+# --- checks and profiles ---
+@_query(f"WITH o AS ({_POPULATION}), k AS (SELECT identity_observation_key AS stored_key, {_key_sql('observation', 'v1', 'source_dataset', 'source_record_key')} AS expected_key, source_record_key FROM o) SELECT 'x' || stored_key AS stored_key, expected_key FROM k WHERE source_record_key LIKE '%7'")
+def key_contract_violations(spark, sf_dir):
+    population = _population(spark, sf_dir)
+    damaged = population.withColumn("identity_observation_key", F.when(F.col("source_record_key").like("%7"), F.concat(F.lit("x"), F.col("identity_observation_key"))).otherwise(F.col("identity_observation_key")))
+    return quality.wrong_keys(damaged, "identity_observation_key", stable_sha256("observation", "v1", "source_dataset", "source_record_key"))
+
+
+@_query("""WITH l AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN 'RESOLVED_UNIQUE' WHEN p_partkey % 3 = 1 THEN 'MISSING_IN_RELEASE' ELSE 'OTHER' END AS location_status, CASE WHEN p_partkey % 4 > 0 THEN p_size END AS easting FROM part)
+SELECT k, location_status FROM l WHERE location_status = 'OTHER' OR (location_status = 'RESOLVED_UNIQUE' AND easting IS NULL) OR (location_status = 'MISSING_IN_RELEASE' AND easting IS NOT NULL)""")
+def outcome_gating(spark, sf_dir):
+    status = F.when(F.col("p_partkey") % 3 == 0, "RESOLVED_UNIQUE").when(F.col("p_partkey") % 3 == 1, "MISSING_IN_RELEASE").otherwise("OTHER")
+    rows = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), status.alias("location_status"), F.when(F.col("p_partkey") % 4 > 0, F.col("p_size")).alias("easting"))
+    return quality.gating_violations(rows, "k", "location_status", {"RESOLVED_UNIQUE": ((), ("easting",)), "MISSING_IN_RELEASE": (("easting",), ())})
+
+
+@_query("SELECT 'children,parented' AS totals, a AS most, b AS least FROM (SELECT (SELECT count(*) FROM lineitem) AS a, (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND o_orderkey % 5 <> 0) AS b) WHERE a <> b")
+def aggregate_reconciliation(spark, sf_dir):
+    items, orders = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "orders")
+    parented = items.join(orders.filter("o_orderkey % 5 <> 0"), F.col("l_orderkey") == F.col("o_orderkey"))
+    count = lambda df: df.agg(F.count("*"))
+    by_flag = items.groupBy("l_returnflag").agg(F.count("*").alias("n")).agg(F.sum("n"))
+    return quality.unequal_totals({"children": count(items), "parented": count(parented), "by_flag": by_flag}, [("children", "parented"), ("children", "by_flag")])
+
+
+@_query("SELECT count(*) AS expected_count, count(*) FILTER (WHERE o_orderkey % 9 <> 0) AS found_count, count(*) FILTER (WHERE o_orderkey % 9 = 0) = 0 AS closed FROM orders")
+def population_closure(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders")
+    return quality.closed_population(orders, orders.filter("o_orderkey % 9 <> 0"), F.col("o_orderkey"))
+
+
+@_query("SELECT 'p' || o_orderkey AS record_key, 'DECISION' AS violation FROM orders WHERE o_orderkey % 7 = 0 UNION ALL SELECT 'h' || o_orderkey, 'HYPOTHESIS' FROM orders WHERE o_orderkey % 11 = 0 UNION ALL SELECT 'c' || o_orderkey, 'CLUSTER' FROM orders WHERE o_orderkey % 13 = 0")
+def uncalibrated_promotions(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey")
+    named = lambda letter: F.concat(F.lit(letter), "o_orderkey")
+    decided = orders.select(named("p").alias("candidate_pair_key"), (F.col("o_orderkey") % 14 == 0).alias("is_accepted_edge"), F.when(F.col("o_orderkey") % 14 == 7, "MATCH").otherwise("REVIEW").alias("decision_outcome"))
+    found = orders.select(named("h").alias("identity_hypothesis_key"), F.when(F.col("o_orderkey") % 11 == 0, "PROMOTED").otherwise("NOT_PROMOTED_UNCALIBRATED").alias("registry_promotion_status"))
+    clusters = orders.select(named("c").alias("identity_cluster_key"), (F.col("o_orderkey") % 26 == 0).alias("is_registry_promoted"), F.when(F.col("o_orderkey") % 26 == 13, "MERGED").otherwise("SINGLETON").alias("cluster_kind"))
+    return identity.promotions(found, decided, clusters)
+
+
+_GROUPS = f"WITH o AS (SELECT * FROM ({_EPC})), g AS (SELECT uprn, count(*) AS size, count(DISTINCT address_comparison) AS address_count, count(DISTINCT postcode) AS postcode_count, count(DISTINCT property_type) AS property_type_count FROM o WHERE uprn IS NOT NULL GROUP BY uprn), p AS (SELECT uprn, sum(n * (n - 1) // 2) AS exact_pairs FROM (SELECT uprn, address_comparison, count(*) AS n FROM o WHERE uprn IS NOT NULL GROUP BY ALL) GROUP BY uprn)"
+
+
+@_query(f"{_GROUPS} SELECT count(*) AS identifier_groups, CAST(sum(size) AS BIGINT) AS observations, max(size) AS maximum_group_size, quantile_cont(size, 0.5)::DOUBLE AS median_group_size, quantile_cont(size, 0.99)::DOUBLE AS p99_group_size, count(*) FILTER (WHERE address_count > 1) AS groups_with_multiple_addresses, count(*) FILTER (WHERE postcode_count > 1) AS groups_with_multiple_postcode, count(*) FILTER (WHERE property_type_count > 1) AS groups_with_multiple_property_type, CAST(sum(size * (size - 1) // 2) AS BIGINT) AS all_pairs, CAST(sum(exact_pairs) AS BIGINT) AS exact_address_pairs, CAST(sum(size * (size - 1) // 2 - exact_pairs) AS BIGINT) AS discordant_address_pairs FROM g JOIN p USING (uprn)")
+def identifier_heterogeneity(spark, sf_dir):
+    return linkage.identifier_heterogeneity(_certificates(spark, sf_dir), "uprn", "address_comparison", ("postcode", "property_type"))
+
+
+_TOKEN = "regexp_extract(upper({0}), '(^| )([0-9]+[A-Z]?)', 2)"
+_ALIGNED = f"""SELECT e.source_record_key AS key, s.source_record_key AS sale_key, s.paon, s.saon, s.street, row_number() OVER (PARTITION BY e.source_record_key ORDER BY sha256(s.source_record_key)) AS r FROM (SELECT *, regexp_extract_all(address_comparison, '(^| )([0-9]+[A-Z]?)', 2) AS t FROM ({_EPC}) WHERE postcode_parse_status = 'VALID') e
+JOIN ({_SALES}) s ON e.postcode = s.postcode AND e.t[1] = {_TOKEN.format('s.saon')} AND e.t[2] = {_TOKEN.format('s.paon')} AND contains(e.address_comparison, upper(s.street))"""
+
+
+@_query(f"WITH one AS (SELECT * FROM ({_ALIGNED}) WHERE r = 1) SELECT key, sale_key, paon AS expected_house_number, saon AS expected_unit, street AS expected_road, count(*) OVER () AS weak_label_population_count FROM one ORDER BY sha256('w|' || key) LIMIT 50")
+def weak_label_sample(spark, sf_dir):
+    rows = _certificates(spark, sf_dir).filter("postcode_parse_status = 'VALID'").select(F.col("source_record_key").alias("key"), "postcode", F.col("address_comparison").alias("premise"), F.regexp_extract_all("address_comparison", F.lit("(^| )([0-9]+[A-Z]?)"), F.lit(2)).alias("numbers"))
+    return calibrate.weak_label_sample(rows, _sales(spark, sf_dir).withColumnRenamed("source_record_key", "sale_key"), "w", 50)
+
+
+@_query("SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 2 = 0 THEN 'v0' END, CASE o_orderstatus WHEN 'F' THEN 'v1' WHEN 'O' THEN 'v2' END) AS rule_version FROM orders")
+def rule_version_backfill(spark, sf_dir):
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 2 == 0, "v0").alias("rule_version"))
+    versions = spark.createDataFrame([("F", "v1"), ("O", "v2")], "o_orderstatus string, rule_version string")
+    return calibrate.rule_versions(rows, versions, ["o_orderstatus"], "rule_version").drop("o_orderstatus")

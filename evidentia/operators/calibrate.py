@@ -43,12 +43,23 @@ def import_labels(current: DataFrame, new: DataFrame, sampled: DataFrame, vocabu
 
 
 def threshold_sweep(labelled: DataFrame, weight: str, truth: str, first: int = -20, last: int = 40) -> DataFrame:
-    """Confusion counts and rates at every whole threshold; one pass over the rows per threshold's share of a small range."""
-    steps = labelled.sparkSession.range(first, last + 1).withColumnRenamed("id", "threshold")
-    yes, over = F.col(truth), F.col(weight) >= F.col("threshold")
-    counts = labelled.select(weight, truth).crossJoin(F.broadcast(steps)).groupBy("threshold").agg(
-        F.count_if(over & yes).alias("true_positive"), F.count_if(over & ~yes).alias("false_positive"), F.count_if(~over & yes).alias("false_negative"), F.count_if(~over & ~yes).alias("true_negative")
-    )
+    """Confusion counts and rates at every whole threshold.
+
+    A row is at or above all thresholds up to the floor of its weight, so rows are counted by that, clipped to the range,
+    and the counts of a few dozen steps are added up from the top.
+    """
+    step = F.least(F.greatest(F.floor(weight).cast("long"), F.lit(first - 1)), F.lit(last)).alias("threshold")
+    yes = F.col(truth)
+    counted = labelled.filter(F.col(weight).isNotNull()).groupBy(step).agg(F.count_if(yes).alias("__yes"), F.count_if(~yes).alias("__no"))
+    every = labelled.sparkSession.range(first - 1, last + 1).withColumnRenamed("id", "threshold")
+    steps = every.join(F.broadcast(counted), "threshold", "left").fillna(0, ["__yes", "__no"])
+    above = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    below = Window.orderBy("threshold").rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(0).cast("long")
+    counts = steps.select(
+        "threshold", F.sum("__yes").over(above).alias("true_positive"), F.sum("__no").over(above).alias("false_positive"),
+        F.coalesce(F.sum("__yes").over(below), none).alias("false_negative"), F.coalesce(F.sum("__no").over(below), none).alias("true_negative"),
+    ).filter(F.col("threshold") >= first)
     ratio = lambda a, b: F.col(a) / F.nullif(F.col(a) + F.col(b), F.lit(0))
     rates = counts.withColumns({"precision": ratio("true_positive", "false_positive"), "recall": ratio("true_positive", "false_negative"), "specificity": ratio("true_negative", "false_positive")})
     return rates.withColumn("f1_score", 2 * F.col("precision") * F.col("recall") / F.nullif(F.col("precision") + F.col("recall"), F.lit(0)))
@@ -59,3 +70,25 @@ def evaluate(labelled: DataFrame, weight: str, truth: str, least: int = 100) ->
     if n < least or yes in (0, n):
         raise ValueError(f"{n} labels, {yes} matches: {least} labels of both classes are needed")
     return threshold_sweep(labelled, weight, truth)
+
+
+def rule_versions(rows: DataFrame, versions: DataFrame, key: Sequence[str], column: str) -> DataFrame:
+    """rows with an empty rule version filled from the version in force for their rule; set ones stay."""
+    known = versions.select(*key, F.col(column).alias("__version"))
+    return rows.join(F.broadcast(known), list(key), "left").withColumn(column, F.coalesce(column, "__version")).select(*rows.columns)
+
+
+def weak_label_sample(rows: DataFrame, sales: DataFrame, seed: str, n: int) -> DataFrame:
+    """Certificates whose unit, house number and street are told by a sale of the same postcode, one sale each.
+
+    rows: key, postcode, premise, numbers (its number tokens in order). sales: sale_key, postcode, paon, saon, street.
+    Of several sales the first by hash is taken; the number of rows that have one stands beside each.
+    """
+    token = lambda c: F.regexp_extract(F.upper(c), "(^| )([0-9]+[A-Z]?)", 2)
+    told = sales.select("sale_key", "postcode", token("saon").alias("u"), token("paon").alias("h"), "paon", "saon", "street", F.upper("street").alias("s"))
+    asked = rows.select("key", "postcode", "premise", F.get("numbers", F.lit(0)).alias("u"), F.get("numbers", F.lit(1)).alias("h"))
+    met = asked.join(told, ["postcode", "u", "h"]).filter(F.contains("premise", "s"))
+    one = met.groupBy("key").agg(F.min(F.struct(F.sha2("sale_key", 256).alias("r"), "sale_key", "paon", "saon", "street")).alias("x"))
+    total = one.agg(F.count("*").alias("weak_label_population_count"))
+    picked = one.orderBy(seeded(seed, F.col("key"))).limit(n)
+    return picked.crossJoin(F.broadcast(total)).select("key", "x.sale_key", F.col("x.paon").alias("expected_house_number"), F.col("x.saon").alias("expected_unit"), F.col("x.street").alias("expected_road"), "weak_label_population_count")

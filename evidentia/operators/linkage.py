@@ -176,3 +176,21 @@ def hypotheses(population: DataFrame, pairs: DataFrame) -> DataFrame:
     counts = endpoints(pairs, []).groupBy("key").agg(F.count("*").alias("candidate_count"))
     out = population.select("key").join(counts, "key", "left").fillna(0, ["candidate_count"])
     return out.withColumn("hypothesis_type", F.when(F.col("candidate_count") == 0, "SINGLETON_NO_CANDIDATE").otherwise("UNRESOLVED_REVIEW"))
+
+
+def identifier_heterogeneity(df: DataFrame, identifier: str, address: str, others: Sequence[str]) -> DataFrame:
+    """One row: how many identifiers have several addresses or other values, and how many of their pairs agree on the address.
+
+    Rows are first counted by identifier and address, so no identifier's pairs are ever made.
+    """
+    known = df.filter(F.col(identifier).isNotNull())
+    by_address = known.groupBy(identifier, address).agg(F.count("*").alias("n"), *(F.collect_set(c).alias(c) for c in others))
+    several = {c: F.size(F.array_distinct(F.flatten(F.collect_list(c)))).alias(f"{c}_count") for c in others}
+    half = lambda n: (F.col(n) * (F.col(n) - 1) / 2).cast("long")
+    groups = by_address.groupBy(identifier).agg(F.sum("n").alias("size"), F.count_if(F.col(address).isNotNull()).alias("address_count"), F.sum(half("n")).alias("exact_pairs"), *several.values())
+    whole = half("size")
+    return groups.agg(
+        F.count("*").alias("identifier_groups"), F.sum("size").alias("observations"), F.max("size").alias("maximum_group_size"), F.percentile("size", 0.5).alias("median_group_size"), F.percentile("size", 0.99).alias("p99_group_size"),
+        F.count_if(F.col("address_count") > 1).alias("groups_with_multiple_addresses"), *(F.count_if(F.col(f"{c}_count") > 1).alias(f"groups_with_multiple_{c}") for c in others),
+        F.sum(whole).alias("all_pairs"), F.sum("exact_pairs").alias("exact_address_pairs"), F.sum(whole - F.col("exact_pairs")).alias("discordant_address_pairs"),
+    )

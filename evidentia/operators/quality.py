@@ -84,3 +84,35 @@ def interval_violations(df: DataFrame, key: str) -> DataFrame:
     shape = df.filter((F.col("valid_to") < F.col("valid_from")) | (F.col("is_current") != F.col("valid_to").isNull())).select(key)
     several = df.filter("is_current").groupBy(key).count().filter("count > 1").select(key)
     return shape.unionByName(several).distinct()
+
+
+def wrong_keys(df: DataFrame, key: str, expected: Column) -> DataFrame:
+    """Rows whose stored key is not the one computed anew."""
+    return df.filter(~F.col(key).eqNullSafe(expected)).select(F.col(key).alias("stored_key"), expected.alias("expected_key"))
+
+
+def gating_violations(df: DataFrame, key: str, status: str, rules: dict[str, tuple[Sequence[str], Sequence[str]]]) -> DataFrame:
+    """Rows whose status does not go with their columns: rules give, by status, those that must be NULL and those that must not."""
+    broken: Column = ~F.col(status).isin(*rules) | F.col(status).isNull()
+    for value, (empty, filled) in rules.items():
+        wrong = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in empty] + [F.col(c).isNull() for c in filled], F.lit(False))
+        broken = broken | ((F.col(status) == value) & wrong)
+    return df.filter(broken).select(key, status)
+
+
+def unequal_totals(totals: dict[str, DataFrame], same: Sequence[Sequence[str]]) -> DataFrame:
+    """Groups of one-row counts that ought to be equal and are not: a row for each, with all counts as JSON."""
+    one = reduce(lambda a, b: a.crossJoin(b), (df.toDF(name) for name, df in totals.items()))
+    rows = [F.struct(F.lit(",".join(group)).alias("totals"), F.greatest(*group).alias("most"), F.least(*group).alias("least")) for group in same]
+    return one.select(F.inline(F.array(*rows))).filter("most <> least")
+
+
+def closed_population(a: DataFrame, b: DataFrame, key: Column) -> DataFrame:
+    """Whether two populations have the same keys, by count and checksum: one row, `closed` true or false."""
+    from evidentia.operators.profile import population_checksum
+
+    left, right = population_checksum(a, key), population_checksum(b, key)
+    columns = ("row_count", "min_key", "max_key", "key_checksum")
+    both = left.toDF(*(f"a_{c}" for c in columns)).crossJoin(right.toDF(*(f"b_{c}" for c in columns)))
+    same = reduce(lambda x, y: x & y, (F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")) for c in columns))
+    return both.select(F.col("a_row_count").alias("expected_count"), F.col("b_row_count").alias("found_count"), same.alias("closed"))

@@ -179,8 +179,3 @@ def promotions(found: DataFrame, decided: DataFrame, clusters: DataFrame) -> Dat
     out = bad(decided, "candidate_pair_key", F.col("is_accepted_edge") | (F.col("decision_outcome") != "REVIEW"), "DECISION")
     out = out.unionByName(bad(found, "identity_hypothesis_key", F.col("registry_promotion_status") != "NOT_PROMOTED_UNCALIBRATED", "HYPOTHESIS"))
     return out.unionByName(bad(clusters, "identity_cluster_key", F.col("is_registry_promoted") | (F.col("cluster_kind") != "SINGLETON"), "CLUSTER"))
-
-
-def wrong_keys(df: DataFrame, key: str, expected: Column) -> DataFrame:
-    """Rows whose stored key is not the one computed anew."""
-    return df.filter(~F.col(key).eqNullSafe(expected)).select(key, expected.alias("expected_key"))
