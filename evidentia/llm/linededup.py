@@ -46,7 +46,7 @@ def _doc_key() -> list[Column]:
 
 
 def _token_sets(docs: DataFrame) -> DataFrame:
-    """d and s place a line, k1 and k2 are 128 bits of its text, t has its n tokens; n is 0 for lines without a word."""
+    """d and s place a line, k1 and k2 are 95 bits of its text's hash, t has its n tokens; n is 0 for lines without a word."""
     split = docs.select(*_doc_key(), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
     place = F.shiftleft("h", _LINE_BITS).bitwiseOR(F.col("line_no").cast("long"))
     rare, spaced, line = F.lit(False), F.col("line"), F.col("line")
@@ -54,7 +54,7 @@ def _token_sets(docs: DataFrame) -> DataFrame:
         if mark not in " \n":
             rare, spaced = rare | F.contains(line, F.lit(mark)), F.replace(spaced, F.lit(mark), F.lit(" "))
     words = F.transform(F.split(F.when(rare, spaced).otherwise(line), " "), lambda w: F.xxhash64(w))
-    tokens = split.select("d", place.alias("s"), F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"), F.array_distinct(F.array_remove(words, F.xxhash64(F.lit("")))).alias("t"))
+    tokens = split.select("d", place.alias("s"), F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").bitwiseAND((1 << 31) - 1).cast("int").alias("k2"), F.array_distinct(F.array_remove(words, F.xxhash64(F.lit("")))).alias("t"))
     return tokens.withColumn("n", F.size("t"))
 
 
@@ -73,11 +73,11 @@ def _rarity(sets: DataFrame) -> Column:
 
 
 def _keyed(sets: DataFrame, levels: Column) -> DataFrame:
-    """d, s, the line's token number n, its parity bitmap of 96 bits (b0, b1) and its prefix of tokens by rarity."""
+    """d, s, the line's token number n, its parity bitmap of 128 bits (b0, b1) and its prefix of tokens by rarity."""
     num, den = THRESHOLD
     key = lambda t: F.shiftleft(levels[t.bitwiseAND(BUCKETS - 1)].cast("long"), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
-    parity = lambda some, last: F.aggregate(some, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(last).cast("int"))))
-    b0, b1 = parity(F.filter("t", lambda t: t < 0), 63), parity(F.filter("t", lambda t: t >= 0), 31)
+    parity = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
+    b0, b1 = parity(F.filter("t", lambda t: t < 0)), parity(F.filter("t", lambda t: t >= 0))
     ordered = sets.select("d", "s", "n", b0.alias("b0"), b1.alias("b1"), F.sort_array(F.transform("t", key)).alias("t"))
     return ordered.select("d", "s", "n", "b0", "b1", F.slice("t", 1, F.expr(f"cast(n - (n * {num}L + {den - 1}) DIV {den} + 1 AS int)")).alias("prefix"))
 
