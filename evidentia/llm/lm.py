@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,12 +94,14 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     doc_ids: list[int] = []
     lengths: list[int] = []
     tokens: list[np.ndarray] = []
-    size = 0
+    size = number = 0
+    part = TaskContext.get().partitionId()
 
     def row() -> pa.RecordBatch:
+        nonlocal number
         ids, sizes = np.array(doc_ids, np.int64), np.array(lengths, np.int64)
         names, token = np.unique(np.concatenate(tokens), return_inverse=True)
-        name = xxhash.xxh64_intdigest(ids.tobytes() + sizes.tobytes() + token.tobytes() + names.tobytes()) >> 1
+        name, number = part << 32 | number, number + 1
         return _batch([(TEXTS, -1, name, names.tobytes(), token.astype("<u4").tobytes(), ids.tobytes() + sizes.tobytes())])
 
     for batch in batches:
@@ -223,12 +226,12 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
     bounded_batches(spark)
     slim = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     shards = spread(spark, table_bytes(docs), SHARD_BYTES)
-    parts = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def dealt(rows: DataFrame) -> DataFrame:
-        return rows.repartition(parts, "shard").sortWithinPartitions("shard", "chunk")
+        return rows.repartitionById(shards, "shard").sortWithinPartitions("chunk")
 
     texts = scratch_table(slim.mapInArrow(_chunked, _ROW), "lm-texts")
+    parts = 1 + (texts.agg(F.max(F.shiftright("chunk", 32))).first()[0] or 0)
     tokens = scratch_table(dealt(texts.mapInArrow(lambda b: _asked(b, shards, folds, fold, False), _ROW)).mapInArrow(_answered_tokens, _ROW), "lm-tokens", large=True)
     sums = [np.frombuffer(bytes(r.a), "<i8") for r in tokens.filter(F.col("kind") == TOTALS).select("a").collect()]
     total, distinct = (int(sum(s[k] for s in sums)) for k in (0, 1))
@@ -236,5 +239,5 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
     documents = slim.filter(trained).count()
     pairs = scratch_table(dealt(texts.mapInArrow(lambda b: _asked(b, shards, folds, fold, True), _ROW)).mapInArrow(_answered_pairs, _ROW), "lm-pairs", large=True)
     together = texts.unionByName(tokens.filter(F.col("kind") == TOKENS)).unionByName(pairs)
-    ordered = together.repartition(parts, "chunk").sortWithinPartitions("chunk", F.when(F.col("kind") == TEXTS, 9).otherwise(F.col("kind")), "shard")
+    ordered = together.repartitionById(parts, F.shiftright("chunk", 32).cast("int")).sortWithinPartitions("chunk", F.when(F.col("kind") == TEXTS, 9).otherwise(F.col("kind")), "shard")
     return ordered.mapInArrow(lambda b: _scored(b, shards, folds, fold, total, distinct, documents), _SCORED)

@@ -351,6 +351,14 @@ def test_lm_scores(spark, docs, corpus, monkeypatch):
         assert math.isclose(r.score, expected, rel_tol=1e-6)  # uses this small are exact in the trie
 
 
+def test_lm_scores_repeated_rows(spark, docs):
+    """Equal partitions, and equal rows in partitions of their own, are scored row by row."""
+    once = sorted(map(tuple, lm.score(docs).select("doc_id", "n_tokens").collect()))
+    assert sorted(map(tuple, lm.score(docs.union(docs)).select("doc_id", "n_tokens").collect())) == sorted(once * 2)
+    same = spark.createDataFrame([(1, "a b a")] * 8, "doc_id long, text string").repartition(8)
+    assert [tuple(r) for r in lm.score(same).select("doc_id", "n_tokens", "train_tokens").collect()] == [(1, 4, 0 if fold_of(1, 7) == 2 else 32)] * 8
+
+
 def test_pipeline(spark, corpus, tmp_path):
     """The stages in their order against plain versions."""
     rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(corpus)]
