@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import partial
 
@@ -110,8 +111,21 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN lo <= hi THEN C
 CASE WHEN shape = 'RANGE' AND lo > hi THEN 'INVALID_BOUNDS' WHEN shape = 'RANGE' THEN 'RANGE_PARSED' WHEN shape = 'SINGLE' THEN 'SINGLE_VALUE_PARSED' ELSE shape END AS status FROM v""")
 def money_text_parse(spark, sf_dir):
     raw = _table(spark, sf_dir, "lineitem").withColumn("r", F.expr(_COST))
-    cost = parse.money(F.col("r"))
-    return raw.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cost["low"].cast("double").alias("low"), cost["high"].cast("double").alias("high"), cost["status"].alias("status"))
+    cost = parse.with_money(raw.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "r"), F.col("r"))
+    return cost.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"), "status")
+
+
+_COSTS = "CASE l_partkey % 9 WHEN 0 THEN 'Â£' || l_suppkey WHEN 1 THEN '£' || l_suppkey || '99999999999999999999' WHEN 2 THEN 'GBP ' || (l_suppkey + 1) || ' - £' || l_suppkey WHEN 3 THEN 'gbp 5 - gbp ' || (5 + l_suppkey) WHEN 4 THEN '€5' WHEN 5 THEN '' WHEN 6 THEN '1,000' WHEN 7 THEN '£ 5' ELSE '£' || l_suppkey || '.5' END"
+
+
+@_query(rf"""WITH r AS (SELECT nullif(trim({_COSTS}), '') AS t FROM lineitem), s AS (SELECT t, CASE WHEN t IS NULL THEN 'MISSING' WHEN contains(t, 'Â£') THEN 'ENCODING_ERROR' WHEN regexp_matches(t, '[$€₹¥]') THEN 'NON_GBP_CURRENCY'
+ WHEN regexp_full_match(upper(t), '(£|GBP\s*){_AMOUNT}\s*-\s*(£|GBP\s*){_AMOUNT}') THEN 'RANGE' WHEN regexp_full_match(upper(t), '(£|GBP\s*){_AMOUNT}') THEN 'SINGLE' WHEN regexp_full_match(t, '{_AMOUNT}') THEN 'BARE_NUMBER_UNSUPPORTED' ELSE 'UNSUPPORTED_FORMAT' END AS shape FROM r),
+v AS (SELECT shape, try_cast(split_part(d, '-', 1) AS DECIMAL(18,2)) AS lo, CASE shape WHEN 'RANGE' THEN try_cast(split_part(d, '-', 2) AS DECIMAL(18,2)) ELSE try_cast(d AS DECIMAL(18,2)) END AS hi FROM (SELECT shape, CASE WHEN shape IN ('RANGE', 'SINGLE') THEN regexp_replace(upper(t), 'GBP|£|,|\s', '', 'g') END AS d FROM s)),
+w AS (SELECT CASE WHEN shape IN ('RANGE', 'SINGLE') AND (lo IS NULL OR hi IS NULL) THEN 'NUMERIC_OVERFLOW' WHEN shape = 'RANGE' AND lo > hi THEN 'INVALID_BOUNDS' WHEN shape = 'RANGE' THEN 'RANGE_PARSED' WHEN shape = 'SINGLE' THEN 'SINGLE_VALUE_PARSED' ELSE shape END AS status, lo, hi FROM v)
+SELECT status, count(*) AS row_count, sum(CASE WHEN lo <= hi THEN lo END)::DOUBLE AS low_total, sum(CASE WHEN lo <= hi THEN hi END)::DOUBLE AS high_total FROM w GROUP BY status""")
+def money_statuses(spark, sf_dir):
+    cost = parse.with_money(_table(spark, sf_dir, "lineitem").select(F.expr(_COSTS).alias("r")), F.col("r"))
+    return cost.groupBy("status").agg(F.count("*").alias("row_count"), F.sum("low").cast("double").alias("low_total"), F.sum("high").cast("double").alias("high_total"))
 
 
 _BANDS_SQL = "".join(f" WHEN s >= {n} THEN '{b}'" for n, b in parse.BANDS)
@@ -222,11 +236,43 @@ def coordinate_contraction(spark, sf_dir):
     return facts.contract_requests(requests, "x", "y")
 
 
-@_query()
+def _lonlat_sql(points: str) -> str:
+    """The same closed form as `geo.with_lonlat`, in steps of SQL."""
+    a, b = geo.AIRY
+    e2 = 1 - (b * b) / (a * a)
+    per = 1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256
+    m = lambda x: a * geo.SCALE * (per * x - (3 * e2 / 8 + 3 * e2**2 / 32 + 45 * e2**3 / 1024) * math.sin(2 * x) + (15 * e2**2 / 256 + 45 * e2**3 / 1024) * math.sin(4 * x) - 35 * e2**3 / 3072 * math.sin(6 * x))
+    k = (1 - math.sqrt(1 - e2)) / (1 + math.sqrt(1 - e2))
+    d = lambda x: f"({x!r}::DOUBLE)"
+    (sx, sy, sz), (rx, ry, rz), scale = geo.SHIFT, (math.radians(v / 3600) for v in geo.TURN), 1 + geo.PPM * 1e-6
+    wa, wb = geo.WGS84
+    we2 = 1 - (wb * wb) / (wa * wa)
+    steps = [
+        f"e - {d(geo.EAST0)} AS dx, (n - {d(geo.NORTH0)} + {d(m(geo.LAT0))}) / {d(a * geo.SCALE * per)} AS mu",
+        f"mu + {d(1.5 * k - 27 / 32 * k**3)} * sin(2 * mu) + {d(21 / 16 * k**2 - 55 / 32 * k**4)} * sin(4 * mu) + {d(151 / 96 * k**3)} * sin(6 * mu) + {d(1097 / 512 * k**4)} * sin(8 * mu) AS f",
+        f"1 - {d(e2)} * pow(sin(f), 2) AS w, tan(f) AS t, 1 / cos(f) AS sec",
+        f"w / {d(1 - e2)} AS q, dx / ({d(a * geo.SCALE)} / sqrt(w)) AS x, t * t AS t2",
+        f"f - t * q * x * x / 2 * (1 - x * x / 12 * (5 + 3 * t2 + (q - 1) * (1 - 9 * t2)) + pow(x, 4) / 360 * (61 + 90 * t2 + 45 * t2 * t2)) AS phi, {d(geo.LON0)} + sec * x * (1 - x * x / 6 * (q + 2 * t2) + pow(x, 4) / 120 * (5 + 28 * t2 + 24 * t2 * t2) - pow(x, 6) / 5040 * (61 + 662 * t2 + 1320 * t2 * t2 + 720 * pow(t2, 3))) AS lam",
+        f"{d(a)} / sqrt(1 - {d(e2)} * pow(sin(phi), 2)) AS r",
+        f"r * cos(phi) * cos(lam) AS u, r * cos(phi) * sin(lam) AS v, r * {d(1 - e2)} * sin(phi) AS z",
+        f"{d(sx)} + {d(scale)} * u - {d(rz)} * v + {d(ry)} * z AS u2, {d(sy)} + {d(rz)} * u + {d(scale)} * v - {d(rx)} * z AS v2, {d(sz)} - {d(ry)} * u + {d(rx)} * v + {d(scale)} * z AS z2",
+        f"sqrt(u2 * u2 + v2 * v2) AS p, atan2(z2 * {d(wa)}, sqrt(u2 * u2 + v2 * v2) * {d(wb)}) AS h",
+        f"degrees(atan2(v2, u2)) AS lon, degrees(atan2(z2 + {d(we2 / (1 - we2) * wb)} * pow(sin(h), 3), p - {d(we2 * wa)} * pow(cos(h), 3))) AS lat",
+    ]
+    for step in steps:
+        points = f"SELECT *, {step} FROM ({points})"
+    return points
+
+
+_GRID = "SELECT p_partkey, (200000 + p_partkey * 7919 % 400000)::DOUBLE AS e, (50000 + p_partkey * 104729 % 900000)::DOUBLE AS n FROM part"
+_BOUNDS = f"CASE WHEN lon BETWEEN {geo.LON_BOUNDS[0]} AND {geo.LON_BOUNDS[1]} AND lat BETWEEN {geo.LAT_BOUNDS[0]} AND {geo.LAT_BOUNDS[1]} THEN 'WITHIN' ELSE 'OUT_OF_BOUNDS' END"
+
+
+@_query(f"SELECT p_partkey, e, n, round(lon, 9) AS lon, round(lat, 9) AS lat, {_key_sql('coordinate', 'v3', 'CAST(e AS DECIMAL(12,3))', 'CAST(n AS DECIMAL(12,3))')} AS coordinate_key, {_BOUNDS} AS bounds_status FROM ({_lonlat_sql(_GRID)})")
 def bng_to_wgs84(spark, sf_dir):
     points = _table(spark, sf_dir, "part").select("p_partkey", (F.lit(200000.0) + F.col("p_partkey") * 7919 % 400000).alias("e"), (F.lit(50000.0) + F.col("p_partkey") * 104729 % 900000).alias("n"))
     out = geo.with_lonlat(points, F.col("e"), F.col("n")).withColumn("coordinate_key", geo.coordinate_key("coordinate", "v3", F.col("e"), F.col("n")))
-    return out.withColumn("bounds_status", geo.bounds_status(F.col("lon"), F.col("lat")))
+    return out.withColumn("bounds_status", geo.bounds_status(F.col("lon"), F.col("lat"))).withColumns({c: F.round(c, 9) for c in ("lon", "lat")})
 
 
 @_query("""SELECT user_id, l AS left_count, r AS right_count, l * r AS pair_product, CASE WHEN greatest(l, r) <= 20 AND l * r <= 300 THEN 'ADMIT' ELSE 'SUPPRESS' END AS admission
@@ -310,12 +356,45 @@ def fellegi_sunter_score(spark, sf_dir, whole=False):
     return _scored(spark, sf_dir, whole).select("key_l", "key_r", "gamma_name", "gamma_type", "gamma_size", "match_weight", probability.alias("match_probability"))
 
 
-@_query()
+_LEVELS = [(c, x) for c in COMPARISONS for x in c.levels]
+_RANDOM_PAIRS = 1_000_000
+_BOTH = "SELECT a.p_partkey AS key_l, b.p_partkey AS key_r, a.p_name AS name_l, b.p_name AS name_r, CASE WHEN a.p_partkey % 9 = 0 THEN NULL ELSE a.p_type END AS type_l, b.p_type AS type_r, a.p_size AS size_l, b.p_size AS size_r"
+_WANTED = (1 + math.isqrt(1 + 8 * _RANDOM_PAIRS)) // 2
+
+
+def _em_sql() -> str:
+    """Expectation maximisation over the counts of patterns, a row of the recursion per round."""
+    name = lambda kind, c, x: f"{kind}_{c.name}_{x.name.lower()}"
+    product = lambda kind: " * ".join(f"CASE g_{c.name} " + " ".join(f"WHEN '{x.name}' THEN {name(kind, c, x)}" for x in c.levels) + " ELSE 1.0::DOUBLE END" for c in COMPARISONS)
+    gammas = ", ".join(f"{_level_sql(c)} AS g_{c.name}" for c in COMPARISONS)
+    total = lambda c: " + ".join(f"count(*) FILTER (WHERE g_{c.name} = '{x.name}')" for x in c.levels)
+    us = ", ".join(f"greatest(count(*) FILTER (WHERE g_{c.name} = '{x.name}'), 0.5)::DOUBLE / greatest({total(c)}, 1) AS {name('u', c, x)}" for c, x in _LEVELS)
+    kept = ", ".join(["it", "prior", *(name("m", c, x) for c, x in _LEVELS)])
+    sums = ", ".join(f"1e-9::DOUBLE + coalesce(sum(p * n) FILTER (WHERE g_{c.name} = '{x.name}'), 0) AS {name('s', c, x)}" for c, x in _LEVELS)
+    new = ", ".join(f"{name('s', c, x)} / ({' + '.join(name('s', c, y) for y in c.levels)}) AS {name('w', c, x)}" for c, x in _LEVELS)
+    moved = ", ".join(f"abs({name('w', c, x)} - {name('m', c, x)})" for c, x in _LEVELS)
+    rows = " UNION ALL ".join(f"SELECT '{c.name}' AS comparison, '{x.name}' AS level, round({name('m', c, x)}, 6) AS m, round({name('u', c, x)}, 6) AS u, round(prior, 6) AS prior, it AS rounds FROM last" for c, x in _LEVELS)
+    picked = f"SELECT * FROM part WHERE CAST('0x' || substr(sha256('42|' || p_partkey), 1, 8) AS BIGINT) < CAST(floor(4294967296 * least(1.0::DOUBLE, {_WANTED}::DOUBLE / (SELECT count(*) FROM part))) AS BIGINT)"
+    return f"""WITH RECURSIVE picked AS MATERIALIZED ({picked}), random AS (SELECT {gammas} FROM ({_BOTH} FROM picked a JOIN picked b ON a.p_partkey < b.p_partkey)), us AS MATERIALIZED (SELECT {us} FROM random),
+pat AS MATERIALIZED (SELECT g_name, g_type, g_size, count(*)::DOUBLE AS n FROM (SELECT {gammas} FROM ({_BOTH} FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey)) GROUP BY ALL),
+em AS (SELECT 0 AS it, 0.01::DOUBLE AS prior, {', '.join(f"{x.m}::DOUBLE AS {name('m', c, x)}" for c, x in _LEVELS)}, false AS done UNION ALL
+SELECT it + 1, least(greatest(s / greatest(t, 1), 1e-12::DOUBLE), 1 - 1e-12::DOUBLE), {', '.join(name('w', c, x) for c, x in _LEVELS)}, greatest({moved}) < 1e-4 FROM (SELECT {kept}, s, t, {new} FROM (SELECT {kept}, sum(p * n) AS s, sum(n) AS t, {sums}
+FROM (SELECT em.*, pat.*, prior * {product('m')} / (prior * {product('m')} + (1 - prior) * {product('u')}) AS p FROM em, pat, us WHERE NOT done AND it < 15) GROUP BY {kept}))), last AS (SELECT * FROM em, us ORDER BY it DESC LIMIT 1) {rows}"""
+
+
+@_query(_em_sql())
 def em_training(spark, sf_dir):
-    pairs = _pairs(spark, sf_dir, whole=True)
-    u = linkage.estimate_u(pairs, COMPARISONS)
-    m, prior, rounds = linkage.estimate_m(pairs, COMPARISONS, u, 0.01)
-    rows = [(c.name, x.name, float(m[c.name][x.name]), float(u[c.name][x.name]), float(prior), rounds) for c in COMPARISONS for x in c.levels]
+    """u from all pairs of a bounded random sample of parts, m from the pairs that share a brand."""
+    from evidentia.plans.scoring import sampled_pairs
+
+    part = _table(spark, sf_dir, "part")
+    side = lambda s, kind: part.select(F.col("p_partkey").cast("string").alias(f"key_{s}"), F.col("p_name").alias(f"name_{s}"), kind.alias(f"type_{s}"), F.col("p_size").alias(f"size_{s}"), F.col("p_partkey").alias(f"n_{s}"))
+    left, right = side("l", F.when(F.col("p_partkey") % 9 != 0, F.col("p_type"))), side("r", F.col("p_type"))
+    ends = sampled_pairs(part.select(F.col("p_partkey").cast("string").alias("unique_id")), _RANDOM_PAIRS)
+    ends = ends.select(F.least(F.col("key_l").cast("long"), F.col("key_r").cast("long")).cast("string").alias("key_l"), F.greatest(F.col("key_l").cast("long"), F.col("key_r").cast("long")).cast("string").alias("key_r"))
+    u = linkage.estimate_u(ends.join(left, "key_l").join(right, "key_r"), COMPARISONS)
+    m, prior, rounds = linkage.estimate_m(_pairs(spark, sf_dir, whole=True), COMPARISONS, u, 0.01)
+    rows = [(c.name, x.name, round(float(m[c.name][x.name]), 6), round(float(u[c.name][x.name]), 6), round(float(prior), 6), rounds) for c, x in _LEVELS]
     return spark.createDataFrame(rows, "comparison string, level string, m double, u double, prior double, rounds int")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.functions.text import blank_to_null, full_match, trimmed
@@ -40,28 +40,37 @@ def band(score: Column) -> Column:
     return out.otherwise("G")
 
 
+#: How amounts, pounds and other currencies are written.
 _AMOUNT = r"[0-9][0-9,]*(\.[0-9]{1,2})?"
 _POUNDS = rf"(£|GBP[ \t\n\f\r]*){_AMOUNT}"
 _OTHER_CURRENCIES = "[$€₹¥]"
 
 
-def money(text: Column) -> dict[str, Column]:
-    """low, high (decimal(18,2)) and status of a cost in pounds, one amount or a range."""
-    shown = blank_to_null(text)
-    upper = F.upper(shown)
+def _step(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns made once: later steps read them, where a projection would be merged and each use made anew."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
+def with_money(df: DataFrame, text: Column, low: str = "low", high: str = "high", status: str = "status") -> DataFrame:
+    """df with low and high (decimal(18,2)) and status of a cost in pounds, one amount or a range."""
+    c, kept = F.col, df.columns
+    out = _step(df, __shown=blank_to_null(text))
+    out = _step(out, __upper=F.upper("__shown"))
     shape = (
-        F.when(shown.isNull(), "MISSING")
-        .when(F.contains(shown, F.lit("Â£")), "ENCODING_ERROR")
-        .when(shown.rlike(_OTHER_CURRENCIES), "NON_GBP_CURRENCY")
-        .when(full_match(upper, rf"{_POUNDS}\s*-\s*{_POUNDS}"), "RANGE")
-        .when(full_match(upper, _POUNDS), "SINGLE")
-        .when(full_match(shown, _AMOUNT), "BARE_NUMBER_UNSUPPORTED")
+        F.when(c("__shown").isNull(), "MISSING")
+        .when(F.contains("__shown", F.lit("Â£")), "ENCODING_ERROR")
+        .when(c("__shown").rlike(_OTHER_CURRENCIES), "NON_GBP_CURRENCY")
+        .when(full_match(c("__upper"), rf"{_POUNDS}\s*-\s*{_POUNDS}"), "RANGE")
+        .when(full_match(c("__upper"), _POUNDS), "SINGLE")
+        .when(full_match(c("__shown"), _AMOUNT), "BARE_NUMBER_UNSUPPORTED")
         .otherwise("UNSUPPORTED_FORMAT")
     )
-    digits = F.regexp_replace(upper, r"GBP|£|,|\s", "")
-    low, high = (F.split_part(digits, F.lit("-"), F.lit(k)).try_cast("decimal(18,2)") for k in (1, 2))
-    high = F.when(shape == "RANGE", high).otherwise(low)
-    ranged, parsed = shape.isin("RANGE", "SINGLE"), low.isNotNull() & high.isNotNull()
-    status = F.when(ranged & ~parsed, "NUMERIC_OVERFLOW").when(ranged & (low > high), "INVALID_BOUNDS").when(shape == "RANGE", "RANGE_PARSED").when(shape == "SINGLE", "SINGLE_VALUE_PARSED").otherwise(shape)
-    good = ranged & parsed & (low <= high)
-    return {"low": F.when(good, low), "high": F.when(good, high), "status": status}
+    out = _step(out, __shape=shape)
+    ranged = c("__shape").isin("RANGE", "SINGLE")
+    out = _step(out, __digits=F.when(ranged, F.regexp_replace("__upper", r"GBP|£|,|\s", "")))
+    first, second = (F.split_part("__digits", F.lit("-"), F.lit(k)).try_cast("decimal(18,2)") for k in (1, 2))
+    out = _step(out, __low=first, __high=F.when(c("__shape") == "RANGE", second).otherwise(first))
+    parsed, ordered = c("__low").isNotNull() & c("__high").isNotNull(), c("__low") <= c("__high")
+    said = F.when(ranged & ~parsed, "NUMERIC_OVERFLOW").when(ranged & ~ordered, "INVALID_BOUNDS").when(c("__shape") == "RANGE", "RANGE_PARSED").when(c("__shape") == "SINGLE", "SINGLE_VALUE_PARSED").otherwise(c("__shape"))
+    good = ranged & parsed & ordered
+    return out.select(*(c(f"`{k}`") for k in kept), F.when(good, c("__low")).alias(low), F.when(good, c("__high")).alias(high), said.alias(status))

@@ -17,9 +17,13 @@ def full_match(text: Column, pattern: str) -> Column:
     return text.rlike(rf"\A(?:{pattern})\z")
 
 
+#: The spaces of all scripts (Unicode category Zs).
+SPACES = "".join(map(chr, (0x20, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)))
+
+
 def trimmed(text: Column) -> Column:
     """Without spaces of any script at the ends."""
-    return F.regexp_replace(text.cast("string"), r"^\p{Zs}+|\p{Zs}+$", "")
+    return F.btrim(text.cast("string"), F.lit(SPACES))
 
 
 def blank_to_null(text: Column) -> Column:

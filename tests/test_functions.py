@@ -49,8 +49,7 @@ def test_header_names():
 def test_money(spark):
     raw = ["£100", "GBP 100 - GBP 350", "£1,000.50 - £20", "$5", "5", " ", "Â£5", "about 5", "£99999999999999999999"]
     df = spark.createDataFrame([(r,) for r in raw], "x string")
-    cost = parse.money(F.col("x"))
-    got = [(r[0] and float(r[0]), r[1] and float(r[1]), r[2]) for r in df.select(cost["low"], cost["high"], cost["status"]).collect()]
+    got = [(r.low and float(r.low), r.high and float(r.high), r.status) for r in parse.with_money(df, F.col("x")).collect()]
     assert got == [
         (100, 100, "SINGLE_VALUE_PARSED"), (100, 350, "RANGE_PARSED"), (None, None, "INVALID_BOUNDS"), (None, None, "NON_GBP_CURRENCY"), (None, None, "BARE_NUMBER_UNSUPPORTED"),
         (None, None, "MISSING"), (None, None, "ENCODING_ERROR"), (None, None, "UNSUPPORTED_FORMAT"), (None, None, "NUMERIC_OVERFLOW"),
