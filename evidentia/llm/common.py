@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import time
@@ -17,6 +19,28 @@ SPACES = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[ \x09-\x0D]"
 
 
+_CACHES: dict[str, Callable[[], object]] = {}
+
+
+def owns(name: str, clear: Callable[[], object]) -> None:
+    """An operator's memory in a worker process, and how to let go of it."""
+    _CACHES[name] = clear
+
+
+def trim() -> None:
+    """Give freed memory back, which else stays with a worker process as long as that lives."""
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def alone(name: str) -> None:
+    """Workers serve one operator after another: let go of what the others remember."""
+    for owner, clear in _CACHES.items():
+        if owner != name:
+            clear()
+    trim()
+
+
 class Names(dict):
     """64-bit names of words, made as they come and remembered up to a bound."""
 

@@ -1,25 +1,29 @@
-"""An n-gram trie of two levels with Elias-Fano sequences, kept in one buffer that can be memory-mapped.
+"""A model of one and two words as a trie with Elias-Fano sequences, kept in one buffer that can be memory-mapped.
 
-Level 1 has the contexts; level 2 has, for each context, the words that follow it, as ranks in the trie's vocabulary.
-A context's range in level 2 comes from a monotone sequence of pointers. Level 2 is itself monotone, as context k's
-ranks are raised by k times the vocabulary, so a word is sought as the successor of its rank relative to the context.
-Values are pair probabilities quantised to one byte: uses up to EXACT have a code each, more use logarithmic steps.
+Level 1 has the contexts, a monotone sequence of 64-bit names, each with its back-off weight. Level 2 has, for each
+context, the words that follow it, as ranks in the trie's vocabulary (another monotone sequence of names). A context's
+range in level 2 comes from a monotone sequence of pointers. Level 2 is itself monotone, as context k's ranks are raised
+by k times the vocabulary, so a word is sought as the successor of its rank relative to the context. Values are smoothed
+probabilities and back-off weights, quantised to 16 bits by their logarithm.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-EXACT = 128
-_STEPS = 255 - EXACT
-#: Uses by code: exact ones, then in equal ratios up to 2**40.
-CODEBOOK = np.concatenate([np.arange(EXACT + 1), EXACT * 2.0 ** (np.arange(1, _STEPS + 1) * ((40 - 7) / _STEPS))])
+#: Codes are steps of log10 from 0 down to LEAST; code 0 is for what is absent.
+LEAST = -16.0
+_CODES = (1 << 16) - 2
 
 
-def quantise(uses: np.ndarray) -> np.ndarray:
-    """Code of the nearest use in the codebook."""
-    at = np.searchsorted(CODEBOOK, uses).clip(1, len(CODEBOOK) - 1)
-    return np.where(uses <= CODEBOOK[0], 0, at - (uses - CODEBOOK[at - 1] < CODEBOOK[at] - uses)).astype(np.uint8)
+def quantise(p: np.ndarray) -> np.ndarray:
+    """Codes from 1 of probabilities or weights: the nearest step of their logarithm."""
+    return (1 + np.rint(np.clip(np.log10(p) / LEAST, 0.0, 1.0) * _CODES)).astype(np.uint16)
+
+
+def log10_of(codes: np.ndarray) -> np.ndarray:
+    """The logarithms of codes from 1."""
+    return (codes.astype(np.float64) - 1) * (LEAST / _CODES)
 
 
 class EliasFano:
@@ -40,14 +44,18 @@ class EliasFano:
             at = np.arange(n, dtype=np.uint64) * np.uint64(bits)
             word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
             part = values & np.uint64((1 << bits) - 1)
-            np.bitwise_or.at(low, word, part << shift)
-            over = shift + np.uint64(bits) > 64
-            np.bitwise_or.at(low, word[over] + 1, part[over] >> (np.uint64(64) - shift[over]))
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))  # places share words in runs
+            low[word[first]] = np.bitwise_or.reduceat(part << shift, first)
+            over = np.flatnonzero(shift + np.uint64(bits) > 64)
+            low[word[over] + 1] |= part[over] >> (np.uint64(64) - shift[over])
         places = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
         high = np.zeros(((universe >> bits) + n + 64) // 64 + 1, np.uint64)
-        np.bitwise_or.at(high, places >> 6, np.uint64(1) << (places & 63).astype(np.uint64))
+        if n:
+            word = places >> 6
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            high[word[first]] = np.bitwise_or.reduceat(np.uint64(1) << (places & 63).astype(np.uint64), first)
         ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)[:-1]])
-        return cls(np.array([n, bits, universe], np.int64), low, high, ones)
+        return cls(np.array([n, bits], np.int64), low, high, ones)
 
     def parts(self) -> list[np.ndarray]:
         return [self.head, self.low, self.high, self.ones]
@@ -92,51 +100,58 @@ class EliasFano:
 
 
 class Trie:
-    def __init__(self, words: np.ndarray, contexts: np.ndarray, pointers: EliasFano, followers: EliasFano, codes: np.ndarray):
-        self.words, self.contexts, self.pointers, self.followers, self.codes = words, contexts, pointers, followers, codes
+    def __init__(self, words: EliasFano, contexts: EliasFano, weights: np.ndarray, pointers: EliasFano, followers: EliasFano, codes: np.ndarray):
+        self.words, self.contexts, self.weights, self.pointers, self.followers, self.codes = words, contexts, weights, pointers, followers, codes
 
     @classmethod
-    def of(cls, contexts: np.ndarray, words: np.ndarray, uses: np.ndarray) -> Trie:
-        """From pairs of 64-bit names and their uses; repeated pairs add up."""
-        names, word = np.unique(words, return_inverse=True)
-        heads, head = np.unique(contexts, return_inverse=True)
-        key = head.astype(np.int64) * max(1, len(names)) + word
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        total = np.add.reduceat(uses[order], first) if len(first) else np.zeros(0, np.int64)
-        key = key[first]
-        starts = np.searchsorted(key, np.arange(len(heads) + 1, dtype=np.int64) * max(1, len(names)))
-        return cls(names, heads, EliasFano.of(starts, len(key) + 1), EliasFano.of(key, max(1, len(heads) * len(names))), quantise(total))
-
-    def save(self, path: str) -> None:
-        """All levels in one file: a table of sizes, then the arrays."""
-        parts = [self.words, self.contexts, *self.pointers.parts(), *self.followers.parts(), self.codes]
-        with open(path, "wb") as file:
-            file.write(np.array([p.nbytes for p in parts], "<i8").tobytes())
-            for p in parts:
-                file.write(p.tobytes() + bytes(-p.nbytes % 8))
+    def of(cls, contexts: np.ndarray, weights: np.ndarray, words: np.ndarray, context: np.ndarray, word: np.ndarray, p: np.ndarray) -> Trie:
+        """From sorted names of contexts with their back-off weights, sorted names of words, and the pairs, sorted, by places in these with their probabilities."""
+        size = max(1, len(words))
+        starts = np.searchsorted(context, np.arange(len(contexts) + 1))
+        followers = EliasFano.of(context.astype(np.int64) * size + word, max(1, len(contexts) * size))
+        return cls(EliasFano.of(words, 1 << 64), EliasFano.of(contexts, 1 << 64), quantise(weights), EliasFano.of(starts, len(context) + 1), followers, quantise(p))
+
+    def to_bytes(self) -> bytes:
+        """All levels in one buffer: a table of sizes, then the arrays."""
+        parts = [*self.words.parts(), *self.contexts.parts(), self.weights, *self.pointers.parts(), *self.followers.parts(), self.codes]
+        return b"".join([np.array([p.nbytes for p in parts], "<i8").tobytes(), *(p.tobytes() + bytes(-p.nbytes % 8) for p in parts)])
 
     @classmethod
-    def load(cls, path: str) -> Trie:
-        """The levels as views of the memory-mapped file."""
-        raw = np.memmap(path, np.uint8, "r")
-        kinds = [np.uint64, np.uint64, *[np.int64, np.uint64, np.uint64, np.int64] * 2, np.uint8]
+    def mapped(cls, buffer) -> Trie:
+        """The levels as views of a buffer or memory map."""
+        raw = np.frombuffer(buffer, np.uint8)
+        sequence = [np.int64, np.uint64, np.uint64, np.int64]
+        kinds = [*sequence, *sequence, np.uint16, *sequence, *sequence, np.uint16]
         at, parts = 8 * len(kinds), []
         for size, kind in zip(raw[:at].view("<i8").tolist(), kinds, strict=True):
             parts.append(raw[at : at + size].view(kind))
             at += size + -size % 8
-        return cls(parts[0], parts[1], EliasFano(*parts[2:6]), EliasFano(*parts[6:10]), parts[10])
+        return cls(EliasFano(*parts[:4]), EliasFano(*parts[4:8]), parts[8], EliasFano(*parts[9:13]), EliasFano(*parts[13:17]), parts[17])
+
+    @staticmethod
+    def _rank(sequence: EliasFano, names: np.ndarray) -> np.ndarray:
+        """Places of names in a level; -1 for what it has not."""
+        out = np.full(len(names), -1, np.int64)
+        at = sequence.successor(names)
+        inside = np.flatnonzero(at < sequence.n)
+        same = inside[sequence.get(at[inside]) == names[inside]]
+        out[same] = at[same]
+        return out
+
+    def backoff(self, contexts: np.ndarray) -> np.ndarray:
+        """Codes of the contexts' back-off weights; 0 for those that the trie has not."""
+        out, at = np.zeros(len(contexts), np.uint16), self._rank(self.contexts, contexts)
+        out[at >= 0] = self.weights[at[at >= 0]]
+        return out
 
     def lookup(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Codes of the pairs; 0 for what the trie has not."""
-        out = np.zeros(len(words), np.uint8)
+        """Codes of the probabilities of pairs of names; 0 for those that the trie has not."""
+        out = np.zeros(len(words), np.uint16)
         if not len(self.codes):
             return out
-        head = np.searchsorted(self.contexts, contexts).clip(0, len(self.contexts) - 1)
-        rank = np.searchsorted(self.words, words).clip(0, len(self.words) - 1)
-        some = np.flatnonzero((self.contexts[head] == contexts) & (self.words[rank] == words))
-        sought = head[some].astype(np.int64) * len(self.words) + rank[some]
+        head, rank = self._rank(self.contexts, contexts), self._rank(self.words, words)
+        some = np.flatnonzero((head >= 0) & (rank >= 0))
+        sought = head[some] * self.words.n + rank[some]
         at = self.followers.successor(sought)
         inside = at < self.pointers.get(head[some] + 1).astype(np.int64)
         some, sought, at = some[inside], sought[inside], at[inside]
