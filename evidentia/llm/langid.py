@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evidentia.llm.common import bounded_batches
+from evidentia.llm.common import alone, bounded_batches, trim
 
 ORDER = 4
 SAMPLE_DOCS = 2000
@@ -311,12 +311,15 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int =
 
 def _predicted(batches: Iterator[pa.RecordBatch], models: Models) -> Iterator[pa.RecordBatch]:
     """The text is the last column; it gives way to the prediction."""
+    alone("langid")
     scorer = Scorer(models)
     for batch in batches:
         *kept, text = batch.columns
         langs, scores, accepted = scorer.predict(text.to_pylist())
         made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())]
         yield pa.RecordBatch.from_arrays([*kept, *made], names=[*batch.schema.names[:-1], "lang_pred", "score", "accepted"])
+    del scorer
+    trim()
 
 
 def predict(docs: DataFrame, models: Models, keep: list[str | Column] | None = None) -> DataFrame:

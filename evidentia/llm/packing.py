@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidentia.llm import cutting_stock
-from evidentia.llm.common import bounded_batches, scratch_table, text_or_empty
+from evidentia.llm.common import alone, bounded_batches, scratch_table, text_or_empty
 from evidentia.llm.token_ids import IdEncoder, grouped
 
 END = 0
@@ -36,6 +36,7 @@ def cuts(tokens: int, capacity: int, quantum: int) -> list[int]:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, quantum: int) -> Iterator[pa.RecordBatch]:
+    alone("token_ids")
     encoder = IdEncoder.shared(path)
     end = np.array([END], "<u4").tobytes()
     for batch in grouped(batches, 1):

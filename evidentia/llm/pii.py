@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evidentia.llm.common import bounded_batches
+from evidentia.llm.common import alone, bounded_batches
 
 ROUNDS = 10
 #: The session setting that holds the key, as text.
@@ -274,6 +274,7 @@ def _card_spans(text: str, match: re.Match) -> Iterator[tuple[int, int]]:
 
 
 def _rewritten(batches: Iterator[pa.RecordBatch], key: bytes) -> Iterator[pa.RecordBatch]:
+    alone("pii")
     tool = Pseudonyms(key)
     for batch in batches:
         texts, counts, kinds = [], [], []

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import bounded_batches, text_or_empty
+from evidentia.llm.common import bounded_batches, owns, text_or_empty
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -32,6 +32,7 @@ MERGES = 2
 #: Parts and neighbours remembered by one worker, and the longest stretch.
 REMEMBERED, NEIGHBOURS, LONGEST = 600_000, 500_000, 64
 _LOADED: dict[str, Transducer] = {}
+owns("sentencepiece", _LOADED.clear)
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:

@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from evidentia.llm.common import owns
+
 #: Words remembered by one worker; beyond it new words are encoded whenever they come.
 REMEMBERED = 700_000
 #: Bytes of the texts that are encoded at once; a longer text is by itself.
@@ -26,6 +28,7 @@ MARKS = ".,;:!?"
 #: White space that is not one space or line end between visible characters (RE2).
 _ODD = r"[\t\x0b\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]|\A[ \n]|[ \n]\z|\A\z"
 _LOADED: dict[str, IdEncoder] = {}
+owns("token_ids", _LOADED.clear)
 
 
 def grouped(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:

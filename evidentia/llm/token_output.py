@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.llm import rans
-from evidentia.llm.common import bounded_batches, scratch_table, spread, table_bytes, text_or_empty
+from evidentia.llm.common import alone, bounded_batches, scratch_table, spread, table_bytes, text_or_empty
 from evidentia.llm.token_ids import IdEncoder, grouped
 
 END = 0
@@ -38,6 +38,7 @@ _READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def _tokenised(batches: Iterator[pa.RecordBatch], path: str, block_ids: int) -> Iterator[pa.RecordBatch]:
+    alone("token_ids")
     encoder = IdEncoder.shared(path)
     end = np.array([END], "<u4").tobytes()
     counts = np.zeros(encoder.vocabulary, np.int64)
