@@ -1,12 +1,12 @@
 """Document fingerprints: closed syncmers, and what a text shares with its edited form and with the next document.
 
 A K-mer of code points is an anchor if its least S-mer (by hash) stands at its first or last place. That depends on the
-K-mer alone, so equal passages have equal anchors wherever they stand. A fingerprint is the SKETCH least distinct
-anchor hashes, 32 bits each, in base64; likeness is the share of common hashes among the least of both (1 for two empty
-texts). That is a sample of long texts, so `match_edited` and `match_next` come from all anchors: an anchor is its hash
-and how many like it came before in its text, and the share is of those that both texts have in the same order, the
-most that can be so, among all of both (1 for two empty texts). A text without an anchor (fewer than K characters, or none by chance) has one hash, of the whole text; an
-empty one none. Null text counts as empty. The next document is the one with the next smaller doc_id, and after the
+K-mer alone, so equal passages have equal anchors wherever they stand. Texts are matched by position over all their
+anchors: an anchor is its hash and how many like it came before in its text, and likeness (`near_edited`, `near_next`)
+is the share of those that both texts have in the same order, the most that can be so, among all of both (1 for two
+empty texts). The fingerprint that is shown is the SKETCH least distinct anchor hashes, 32 bits each, in base64;
+`sketch_edited` and `sketch_next` are what it alone tells, the share of common hashes among the least of both. A text
+without an anchor (fewer than K characters, or none by chance) has one hash, of the whole text; an empty one none. Null text counts as empty. The next document is the one with the next smaller doc_id, and after the
 last the first; rows that share a doc_id follow in the order of their texts, a null doc_id comes last. One document is
 its own next. Rows are dealt by ranges of doc_id, and each range also gets the first document of the range after it.
 """
@@ -36,7 +36,7 @@ RANGE_BYTES = 2 << 20
 MOST_RANGES = 1 << 14
 _NULL = -(1 << 63)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-_FINGERPRINTED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, match_edited double, match_next double"
+_FINGERPRINTED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, sketch_edited double, sketch_next double"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -156,7 +156,7 @@ def _row(doc: _Doc, after: _Doc) -> tuple:
     hashes = _hashes(edited)
     marks = _least(hashes)
     sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-    return doc.doc_id, n, sha, printed(doc.marks), printed(marks), likeness(doc.marks, marks), likeness(doc.marks, after.marks), match(doc.anchors, _numbered(hashes)), match(doc.anchors, after.anchors)
+    return doc.doc_id, n, sha, printed(doc.marks), printed(marks), match(doc.anchors, _numbered(hashes)), match(doc.anchors, after.anchors), likeness(doc.marks, marks), likeness(doc.marks, after.marks)
 
 
 def _fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +180,7 @@ def _fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, match_edited, match_next."""
+    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, sketch_edited, sketch_next."""
     spark = docs.sparkSession
     bounded_batches(spark)
     slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)).alias("key"), text_or_empty().alias("text"))

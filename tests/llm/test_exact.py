@@ -2,6 +2,8 @@
 
 import base64
 import collections
+import datetime
+import hashlib
 import math
 import random
 import re
@@ -211,6 +213,31 @@ def test_links_of_close_fingerprints(spark, monkeypatch, shard):
     assert groups(roots) == groups({signed(k): signed(v) for k, v in expected.items()})
 
 
+def plain_syncmers(text):
+    """Places of the K-mers whose least S-mer, by hash, is the first or the last."""
+    mask, (a, b, c) = (1 << 64) - 1, (int(x) for x in (fingerprints._A, fingerprints._B, fingerprints._C))
+
+    def mixed(x):
+        x = (x ^ x >> 30) * b & mask
+        x = (x ^ x >> 27) * c & mask
+        return x ^ x >> 31
+
+    def s_mer(chars):
+        two = [(x * a + y) & mask for x, y in zip(chars[::2], chars[1::2], strict=True)]
+        four = [(x * b + y) & mask for x, y in zip(two[::2], two[1::2], strict=True)]
+        return mixed((four[0] * c + four[1]) & mask)
+
+    codes, k, s = [*map(ord, text)], fingerprints.K, fingerprints.S
+    inner = [s_mer(codes[i : i + s]) for i in range(len(codes) - s + 1)]
+    return [i for i in range(len(codes) - k + 1) if min(inner[i : i + k - s + 1]) in (inner[i], inner[i + k - s])]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text("ab c\né🙂", max_size=120))
+def test_syncmers_against_brute_force(text):
+    assert fingerprints.syncmers(text)[0].tolist() == plain_syncmers(text)
+
+
 def test_syncmers_and_edits(docs, corpus):
     text = corpus[2] * 3
     at, _ = fingerprints.syncmers(text)
@@ -224,7 +251,8 @@ def test_syncmers_and_edits(docs, corpus):
         assert (r.n_chars, r.fingerprint, r.edited_fingerprint) == (len(t), fingerprints.printed(fingerprints.sketch(t)), fingerprints.printed(fingerprints.sketch(edited)))
         mine, next_ = (set(np.frombuffer(base64.b64decode(x), "<u4").tolist()) for x in (r.fingerprint, got[(k - 1) % len(corpus)].fingerprint))
         least = sorted(mine | next_)[: fingerprints.SKETCH]
-        assert r.near_next == (sum(x in mine and x in next_ for x in least) / len(least) if least else 1.0)
+        assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert r.sketch_next == (sum(x in mine and x in next_ for x in least) / len(least) if least else 1.0)
 
 
 def plain_lines(corpus):
@@ -379,12 +407,44 @@ def test_pipeline(spark, corpus, tmp_path):
     """The stages in their order against plain versions."""
     rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(corpus)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
-    got = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    spark.conf.set(pii.KEY_SETTING, KEY.decode())
+    try:
+        got = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
     kept = [(k, t) for k, t in enumerate(corpus) if any(c.isalpha() for c in t)]
     lines = plain_lines([t for _, t in kept])
-    seen, left = plain_components({plain_fingerprint(t) for t in lines}), {}
-    for (k, _), t in zip(kept, lines, strict=True):
-        left.setdefault(seen[plain_fingerprint(t)], (k, t))
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if (w := t.lower().split()) else frozenset() for t in lines]
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    left = {kept[r][0]: lines[r] for r in set(root)}
     tokenizer = Tokenizer.from_file(BPE)
-    expected = {k: len(tokenizer.encode(pii.Pseudonyms(KEY).rewrite(t)[0], add_special_tokens=False).ids) + 1 for k, t in left.values()}
+    expected = {k: len(tokenizer.encode(pii.Pseudonyms(KEY).rewrite(t)[0], add_special_tokens=False).ids) + 1 for k, t in left.items()}
     assert got.groupby("doc_id").length.sum().to_dict() == expected
+
+
+def test_pseudonym_keys(spark):
+    docs = spark.createDataFrame([(1, "card 4337 1665 9846 4399")], "doc_id long, text string")
+    once = lambda: pii.pseudonymise(docs).first().text
+    own = once()
+    assert own == once() and "4337" not in own  # a random key holds for the application
+    spark.conf.set(pii.KEY_SETTING, "another")
+    try:
+        assert once() == pii.Pseudonyms(b"another").rewrite("card 4337 1665 9846 4399")[0] != own
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+
+
+def test_dates_stay_apart():
+    """No two spellings of different days meet, over all days and the spellings that can be read in only one way."""
+    tool, seen = pii.Pseudonyms(KEY), {}
+    first = datetime.date(1999, 1, 1)
+    for k in range(3 * 365):
+        day = first + datetime.timedelta(days=k)
+        for text in {f"{day:%d/%m/%Y}", *([f"{day:%m/%d/%Y}"] if day.day > 12 else [])}:
+            new = tool.date(text)
+            assert seen.setdefault(new, text) == text and tool.date(new)
+        assert tool.date(f"{day:%Y-%m-%d}") == "-".join(reversed(tool.date(f"{day:%d-%m-%Y}").split("-")))

@@ -114,5 +114,5 @@ def test_all_anchors_are_matched(spark):
     for k, text in enumerate(texts):
         after = texts[k - 1]
         edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
-        assert (got[k].match_edited, got[k].match_next) == (plain_match(text, edited), plain_match(text, after))
-    assert got[1].match_next > 0.005
+        assert (got[k].near_edited, got[k].near_next) == (plain_match(text, edited), plain_match(text, after))
+    assert got[1].near_next > 0.005
