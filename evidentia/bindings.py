@@ -293,6 +293,25 @@ def candidate_pairs_self(spark, sf_dir):
     return linkage.self_pairs(_table(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id")
 
 
+@_query("SELECT a.event_id AS key_l, b.event_id AS key_r, a.user_id AS user_id FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_id < b.event_id")
+def candidate_pairs_salted(spark, sf_dir):
+    """Blocks of more than sixteen rows are dealt among several tasks."""
+    return linkage.self_pairs(_table(spark, sf_dir, "events"), ["user_id"], "event_id", most=16)
+
+
+@_query("SELECT user_id, count(*) AS event_count, CAST(sum(CAST(value > 50 AS INTEGER)) AS BIGINT) AS large_count, list_contains(list(event_type), 'click') AS has_click, array_to_string(list(event_id ORDER BY ts, event_id)[1:3], ',') AS first_events, concat(min(event_type), NULL, max(event_type)) AS kinds FROM events WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey IS NULL) GROUP BY user_id")
+def user_lists(spark, sf_dir):
+    """Sums of conditions, lists in order, membership, and a gate that is the same for all rows."""
+    events = _table(spark, sf_dir, "events")
+    gate = _table(spark, sf_dir, "orders").filter("o_orderkey IS NULL").limit(1).select(F.lit(True).alias("broken"))
+    open_ = events.join(F.broadcast(gate), F.lit(True), "left_anti")
+    first = F.slice(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id"))), lambda x: x["event_id"].cast("string")), 1, 3)
+    return open_.groupBy("user_id").agg(
+        F.count("*").alias("event_count"), F.sum((F.col("value") > 50).cast("long")).alias("large_count"), F.array_contains(F.collect_set("event_type"), "click").alias("has_click"),
+        F.array_join(first, ",").alias("first_events"), F.concat_ws("", F.min("event_type"), F.lit(None), F.max("event_type")).alias("kinds"),
+    )
+
+
 @_query("SELECT c_custkey, s_suppkey, c_nationkey AS nation FROM customer JOIN supplier ON c_nationkey = s_nationkey WHERE c_custkey % 10 <> s_suppkey % 10")
 def candidate_pairs_cross(spark, sf_dir):
     left = _table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"))

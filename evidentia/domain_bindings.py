@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from evidentia.bindings import _key_sql, _query, _table, _weight_sql
 from evidentia.functions.keys import stable_sha256
 from evidentia.functions.text import POSTCODE, normalise_address, unit_identifier
-from evidentia.operators import calibrate, linkage, quality
+from evidentia.operators import calibrate, linkage, quality, store
 from evidentia.plans import addresses, identity, scoring, silver
 
 RUN = "run-1"
@@ -281,7 +281,7 @@ _SCORED = f"WITH scoring_rows AS MATERIALIZED ({_SCORING}), pairs AS ({_CANDIDAT
 
 @_query(f"{_SCORED} SELECT * FROM scores")
 def pair_scores(spark, sf_dir):
-    rows = _scoring_rows(_population(spark, sf_dir))
+    rows = store.stage(_scoring_rows(_population(spark, sf_dir)), "scoring-rows")
     return scoring.scores(_candidates(rows), rows)
 
 
@@ -295,9 +295,9 @@ _SUMMARY = f"{_DECIDED}, summary AS (SELECT key, count(*) AS candidate_count, co
 
 
 def _decided(spark, sf_dir):
-    population = _population(spark, sf_dir)
-    rows = _scoring_rows(population)
-    found = scoring.scores(_candidates(rows), rows)
+    population = store.stage(_population(spark, sf_dir), "population")
+    rows = store.stage(_scoring_rows(population), "scoring-rows")
+    found = store.stage(scoring.scores(_candidates(rows), rows), "scores")
     same = F.col("uprn_comparison_level") == "EXACT"
     return population, rows, linkage.decisions(found, same, F.col("premise_address_comparison_level") == "EXACT", F.col("postcode_comparison_level") == "EXACT")
 
@@ -471,3 +471,21 @@ def rule_version_backfill(spark, sf_dir):
     rows = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 2 == 0, "v0").alias("rule_version"))
     versions = spark.createDataFrame([("F", "v1"), ("O", "v2")], "o_orderstatus string, rule_version string")
     return calibrate.rule_versions(rows, versions, ["o_orderstatus"], "rule_version").drop("o_orderstatus")
+
+
+_BANDS_OF = """CASE WHEN match_weight < 0 THEN 'BELOW_0' WHEN match_weight < 10 THEN '0_TO_10' WHEN match_weight < 20 THEN '10_TO_20' WHEN match_weight < 30 THEN '20_TO_30' ELSE '30_AND_ABOVE' END AS score_band,
+CASE WHEN greatest(a.candidate_count, b.candidate_count) <= 1 THEN '1' WHEN greatest(a.candidate_count, b.candidate_count) <= 5 THEN '2_TO_5' WHEN greatest(a.candidate_count, b.candidate_count) <= 20 THEN '6_TO_20' ELSE 'ABOVE_20' END AS fan_out_band,
+CASE WHEN greatest(c.target_count, d.target_count) <= 1 THEN '1' WHEN greatest(c.target_count, d.target_count) <= 3 THEN '2_TO_3' ELSE 'ABOVE_3' END AS ambiguity_band"""
+_STRATA = "review_priority, score_band, fan_out_band, ambiguity_band, agreement"
+
+
+@_query(f"""{_SUMMARY}, t AS (SELECT unique_id AS other, CASE WHEN source_dataset = 'EPC_CERTIFICATE' AND uprn IS NOT NULL THEN uprn ELSE concat_ws('|', postcode, premise_address_comparison) END AS target FROM scoring_rows), m AS (SELECT key, count(DISTINCT target) AS target_count FROM ends JOIN t USING (other) GROUP BY key),
+r AS (SELECT s.candidate_pair_key, CASE WHEN uprn_comparison_level = 'EXACT' AND premise_address_comparison_level <> 'EXACT' THEN 'HIGH' WHEN postcode_comparison_level = 'EXACT' THEN 'MEDIUM' ELSE 'STANDARD' END AS review_priority, {_BANDS_OF},
+concat_ws('+', CASE WHEN postcode_comparison_level = 'EXACT' THEN 'POSTCODE' END, CASE WHEN premise_address_comparison_level = 'EXACT' THEN 'PREMISE' END) AS agreement FROM scores s JOIN summary a ON s.key_l = a.key JOIN summary b ON s.key_r = b.key JOIN m c ON s.key_l = c.key JOIN m d ON s.key_r = d.key)
+SELECT *, CAST(row_number() OVER w AS INTEGER) AS sample_rank FROM r WINDOW w AS (PARTITION BY {_STRATA} ORDER BY sha256('seed|' || candidate_pair_key)) QUALIFY row_number() OVER w <= 20""")
+def calibration_sample(spark, sf_dir):
+    population, rows, decided = _decided(spark, sf_dir)
+    targets = identity.target_hypotheses(population).select(F.col("identity_run_observation_key").alias("other"), "target_hypothesis_key")
+    ambiguity = linkage.endpoints(decided, []).join(targets, "other").groupBy("key").agg(F.countDistinct("target_hypothesis_key").alias("target_count"))
+    found = calibrate.calibration_rows(decided, identity.observation_summary(decided), ambiguity)
+    return calibrate.quota_sample(found, _STRATA.split(", "), F.col("candidate_pair_key"), "seed", 20)

@@ -92,3 +92,29 @@ def weak_label_sample(rows: DataFrame, sales: DataFrame, seed: str, n: int) -> D
     total = one.agg(F.count("*").alias("weak_label_population_count"))
     picked = one.orderBy(seeded(seed, F.col("key"))).limit(n)
     return picked.crossJoin(F.broadcast(total)).select("key", "x.sale_key", F.col("x.paon").alias("expected_house_number"), F.col("x.saon").alias("expected_unit"), F.col("x.street").alias("expected_road"), "weak_label_population_count")
+
+
+def _band(value: Column, limits: Sequence[tuple[int, str]], last: str, strict: bool = False) -> Column:
+    out = F.when(F.lit(False), "")
+    for limit, name in limits:
+        out = out.when(value < limit if strict else value <= limit, name)
+    return out.otherwise(last)
+
+
+def calibration_rows(decided: DataFrame, summary: DataFrame, ambiguity: DataFrame) -> DataFrame:
+    """Pairs with what both ends know, in bands: score, fan-out (the larger of both ends), ambiguity (targets), agreement.
+
+    decided: key_l, key_r, candidate_pair_key, match_weight, review_priority and the comparison levels. summary: key,
+    candidate_count. ambiguity: key, target_count. Each end joins both, so a pair meets four small rows.
+    """
+    out = decided
+    for side in "lr":
+        ends = summary.select(F.col("key").alias(f"key_{side}"), F.col("candidate_count").alias(f"fan_out_{side}"))
+        targets = ambiguity.select(F.col("key").alias(f"key_{side}"), F.col("target_count").alias(f"targets_{side}"))
+        out = out.join(ends, f"key_{side}").join(targets, f"key_{side}")
+    # The limits of the bands.
+    score = _band(F.col("match_weight"), ((0, "BELOW_0"), (10, "0_TO_10"), (20, "10_TO_20"), (30, "20_TO_30")), "30_AND_ABOVE", strict=True)
+    fan_out = _band(F.greatest("fan_out_l", "fan_out_r"), ((1, "1"), (5, "2_TO_5"), (20, "6_TO_20")), "ABOVE_20")
+    targets = _band(F.greatest("targets_l", "targets_r"), ((1, "1"), (3, "2_TO_3")), "ABOVE_3")
+    agreement = F.concat_ws("+", F.when(F.col("postcode_comparison_level") == "EXACT", "POSTCODE"), F.when(F.col("premise_address_comparison_level") == "EXACT", "PREMISE"))
+    return out.select("candidate_pair_key", "review_priority", score.alias("score_band"), fan_out.alias("fan_out_band"), targets.alias("ambiguity_band"), agreement.alias("agreement"))

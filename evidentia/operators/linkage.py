@@ -27,11 +27,18 @@ def self_block_sizes(df: DataFrame, block: Sequence[str]) -> DataFrame:
     return df.groupBy(*block).agg(F.count("*").alias("block_size")).withColumn("pair_count", (n * (n - 1) / 2).cast("long"))
 
 
-def self_pairs(df: DataFrame, block: Sequence[str], key: str) -> DataFrame:
-    """Pairs (key_l < key_r) within equal, known blocks. Profile the blocks first and drop those over their cap."""
-    left = df.select(F.col(key).alias("key_l"), *block)
-    right = df.select(F.col(key).alias("key_r"), *block)
-    return left.join(right, list(block)).filter("key_l < key_r")
+def self_pairs(df: DataFrame, block: Sequence[str], key: str, most: int | None = None) -> DataFrame:
+    """Pairs (key_l < key_r) within equal, known blocks. Profile the blocks first and drop those over their cap.
+
+    most: split blocks with more rows among several tasks.
+    """
+    left = df.select(F.col(key).alias("key_l"), *block).dropna(subset=list(block))
+    right = df.select(F.col(key).alias("key_r"), *block).dropna(subset=list(block))
+    on = list(block)
+    if most:
+        left, right = split_blocks(left, right, block, "key_l", most)
+        on.append("__part")
+    return left.join(right, on).filter("key_l < key_r").select(*block, "key_l", "key_r")
 
 
 def cross_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], residual: Column | None = None) -> DataFrame:
@@ -40,6 +47,19 @@ def cross_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], residua
     return pairs if residual is None else pairs.filter(residual)
 
 
+def split_blocks(left: DataFrame, right: DataFrame, block: Sequence[str], key: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with `__part`, to be joined on besides the block: a block with more than `most` rows on the right is dealt
+    among several tasks. Its left rows stand in one part each, by the hash of their key, its right rows in all.
+
+    Only blocks above `most` are listed, so that list is a small share of the rows; it is broadcast where it is.
+    """
+    large = right.groupBy(*block).agg(F.count("*").alias("__n")).filter(F.col("__n") > most).select(*block, F.ceil(F.col("__n") / most).cast("int").alias("__parts"))
+    parts = F.coalesce("__parts", F.lit(1))
+    mine = left.join(large, list(block), "left").withColumn("__part", F.pmod(F.xxhash64(key), parts.cast("long")).cast("int")).drop("__parts")
+    theirs = right.join(large, list(block), "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    return mine, theirs
+
+
 @dataclass(frozen=True)
 class Level:
     """An agreement level: a condition over the pair, its probabilities among matches and non-matches."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,6 +120,53 @@ def update_from(table: DataFrame, found: DataFrame, key: list[str], columns: lis
     return joined.select(*(F.coalesce(f"__{c}", c).alias(c) if c in columns else F.col(c) for c in table.columns))
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """df written once to the folder that the session shares, and read back: what several later plans read.
+
+    It survives lost executors. The folder is the session's checkpoint folder; where it names none, one of the machine on a
+    local master, else one in the warehouse.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
+        folder = f"file://{tempfile.gettempdir()}/evidentia-checkpoints" if local else f"{spark.conf.get('spark.sql.warehouse.dir')}/evidentia-checkpoints"
+    path = f"{folder.rstrip('/')}/evidentia-stage/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class RefreshProhibited(RuntimeError):
+    """The table keeps history and is not to be built anew."""
+
+
+def forbid_refresh(spark: SparkSession, path: str, full_refresh: bool) -> None:
+    """Guard of a ledger: a full refresh would lose what it alone remembers."""
+    if full_refresh and exists(spark, path):
+        raise RefreshProhibited(path)
+
+
+def view(df: DataFrame, name: str) -> None:
+    """A name for a plan in the session's catalog; it is evaluated wherever it is read."""
+    df.createOrReplaceTempView(name)
+
+
+def schema_name(folder: str | None, target: str, default: str = "main") -> str:
+    """Where a model goes: its folder's own schema, else the target's, without a prefix of either."""
+    return (folder or target or default).strip().lower()
+
+
+def catalog_columns(spark: SparkSession) -> DataFrame:
+    """Columns of all tables and views that the session knows."""
+    rows = [(t.database or "", t.name, c.name, c.dataType) for t in spark.catalog.listTables() for c in spark.catalog.listColumns(t.name)]
+    return spark.createDataFrame(rows, "table_schema string, table_name string, column_name string, data_type string")
+
+
+def audited(df: DataFrame, now: datetime.datetime, name: str = "recorded_at") -> DataFrame:
+    """df with the time of its run, taken once by the driver: evaluated again, a plan gives the same."""
+    return df.withColumn(name, F.lit(now))
+
+
 def publish_pointer(spark: SparkSession, path: str, name: str, key: str) -> None:
     upsert(spark.createDataFrame([(name, key)], "name string, published_key string"), path, ["name"])
 

@@ -59,6 +59,11 @@ def read_strict(spark: SparkSession, path: str, columns: Sequence[str], header:
     return rows.withColumn("source_row_number", F.monotonically_increasing_id() + 1)
 
 
+def read_labels(spark: SparkSession, path: str) -> DataFrame:
+    """A headed file of labels, all columns text; empty fields are NULL."""
+    return spark.read.options(header=True, inferSchema=False, quote='"', escape='"', multiLine=True, mode="FAILFAST").csv(path)
+
+
 def with_lineage(
     rows: DataFrame, namespace: str, release: str, file_id: str, content: Sequence[Column], member: str, run_id: str, contract: str, loaded_at, version: str = "v1", parent: str | None = None
 ) -> DataFrame:

@@ -221,3 +221,103 @@ def test_stream_appends_once(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         incremental.append_new(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), f"file://{tmp_path}/out", ["k"], f"{tmp_path}/ck").awaitTermination()
     assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_artifacts(tmp_path):
+    from evidentia.operators import artifacts
+    from evidentia.plans.scoring import MODEL
+
+    digest = artifacts.save_model(MODEL, tmp_path / "model.json")
+    assert artifacts.load_model(tmp_path / "model.json", digest) == MODEL
+    with pytest.raises(artifacts.ArtifactDrift):
+        artifacts.load_model(tmp_path / "model.json", "0" * 64)
+    with pytest.raises(FileExistsError):
+        artifacts.save_model(MODEL, tmp_path / "model.json")
+    manifest = artifacts.write_report(tmp_path / "report", {"summary": {"rows": 1}})
+    with pytest.raises(FileExistsError):
+        artifacts.write_report(tmp_path / "report", {})
+    whole = artifacts.directory_fingerprint(tmp_path / "report")
+    artifacts.verify_install(manifest | {"": whole}, tmp_path / "report")
+    (tmp_path / "report" / "summary.json").write_text("{}")
+    assert artifacts.directory_fingerprint(tmp_path / "report") != whole
+    for wrong in (manifest, {"missing": whole}):
+        with pytest.raises(artifacts.ArtifactDrift):
+            artifacts.verify_install(wrong, tmp_path / "report")
+    with artifacts.ResourceMonitor(tmp_path, 0.01).running() as seen:
+        pass
+    assert seen.peak_rss > 1 << 20 and seen.least_free > 0 and seen.elapsed >= 0
+
+
+def test_transform_pin(spark):
+    from evidentia.functions import geo
+    from evidentia.operators import artifacts
+
+    def point():
+        row = geo.with_lonlat(spark.createDataFrame([(530000.0, 180000.0)], "e double, n double"), F.col("e"), F.col("n")).first()
+        return row.lon, row.lat
+
+    artifacts.assert_pinned(point, point(), 1e-9)
+    with pytest.raises(artifacts.ArtifactDrift):
+        artifacts.assert_pinned(point, (0.0, 51.5))
+
+
+def test_scores_are_published_once(spark):
+    from evidentia.plans import scoring
+
+    pairs = spark.createDataFrame([("p1",), ("p2",)], "candidate_pair_key string")
+    none = spark.createDataFrame([], "identity_run_key string")
+    found = scoring.publishable(pairs, pairs, none, "run", "s1", "m1", "sha").collect()
+    assert len({r.match_score_key for r in found}) == 2 and {r.model_status for r in found} == {"UNCALIBRATED"}
+    with pytest.raises(scoring.ScoringBlocked):
+        scoring.publishable(pairs, pairs, spark.createDataFrame([("run",)], none.schema), "run", "s1", "m1", "sha")
+    for scored in (pairs.limit(1), pairs.union(pairs)):
+        with pytest.raises(scoring.ScoringBlocked):
+            scoring.publishable(pairs, scored, none, "run", "s1", "m1", "sha")
+
+
+def test_model_training(spark):
+    """Values of the five comparisons are found again: sessions train what they do not block on."""
+    from evidentia.plans import scoring
+
+    rows = []
+    for k in range(300):
+        place = (f"AB{k % 60} 1XY", f"AB{k % 60} 1", f"{k % 50} HIGH STREET {k % 60}", str(k % 50), "HOUSE" if k % 2 else "FLAT")
+        rows += [(f"a{k}", str(k), *place), (f"b{k}", str(k), *place[:2], place[2] + ("" if k % 4 else "S"), *place[3:])]
+    df = spark.createDataFrame(rows, "unique_id string, uprn string, postcode string, postcode_sector string, premise_address_comparison string, premise_number_token string, property_class string")
+    blocked = lambda *on: linkage.self_pairs(df, list(on), "unique_id").select("key_l", "key_r")
+    model = scoring.train(df, [(blocked("uprn"), ["uprn"]), (blocked("postcode", "premise_address_comparison"), ["postcode", "premise_address"])], most_pairs=5000)
+    levels = {(c.name, x.name): x for c in model for x in c.levels}
+    assert model[0] == scoring.MODEL[0]
+    assert levels["postcode", "EXACT"].m > 0.9 and levels["postcode", "EXACT"].u < 0.1
+    assert 0.6 < levels["premise_address", "EXACT"].m < 0.9 and levels["premise_address", "JARO_WINKLER_GE_0_95"].m > 0.1
+    scored = scoring.scores(blocked("uprn").withColumn("candidate_pair_key", F.concat_ws("|", "key_l", "key_r")), df, model)
+    assert scored.filter("uprn_comparison_level <> 'EXACT'").count() == 0 and scored.filter("match_probability > 0.99").count() > 200
+
+
+def test_gate_of_hypotheses(spark):
+    from evidentia.plans import identity
+
+    schema = "candidate_pair_key string, key_l string, key_r string, match_weight double, decision_outcome string"
+    decided = spark.createDataFrame([("p", "a", "b", 3.0, "REVIEW")], schema)
+    population = spark.createDataFrame([(True, "run", x, x) for x in "abc"], "is_identity_eligible boolean, identity_run_key string, identity_run_observation_key string, identity_observation_key string")
+    found = identity.hypotheses(population, decided, decided)
+    assert sorted((r.identity_run_observation_key, r.hypothesis_outcome, r.candidate_count) for r in found.collect()) == [("a", "UNRESOLVED_REVIEW", 1), ("b", "UNRESOLVED_REVIEW", 1), ("c", "SINGLETON_NO_CANDIDATE", 0)]
+    for candidates, decisions in ((decided, decided.limit(0)), (decided.limit(0), decided), (decided, decided.union(decided))):
+        with pytest.raises(identity.IncompletePublication):
+            identity.hypotheses(population, candidates, decisions)
+
+
+def test_guards_and_names(spark, tmp_path):
+    path = f"file://{tmp_path}/ledger"
+    store.forbid_refresh(spark, path, True)
+    store.replace(spark.createDataFrame([(1,)], "k int"), path)
+    store.forbid_refresh(spark, path, False)
+    with pytest.raises(store.RefreshProhibited):
+        store.forbid_refresh(spark, path, True)
+    store.view(store.read(spark, path), "ledger_view")
+    assert store.catalog_columns(spark).filter("table_name = 'ledger_view'").first().column_name == "k"
+    assert [store.schema_name(*x) for x in (("Silver ", "t"), (None, "T"), (None, ""))] == ["silver", "t", "main"]
+    (tmp_path / "labels.csv").write_text('row,label\n001,MATCH\n002,\n')
+    assert [tuple(r) for r in csv.read_labels(spark, f"file://{tmp_path}/labels.csv").collect()] == [("001", "MATCH"), ("002", None)]
+    now = datetime.datetime(2026, 1, 1)
+    assert store.audited(spark.range(2), now).select("recorded_at").distinct().first()[0] == now
