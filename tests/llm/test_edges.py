@@ -7,15 +7,16 @@ import corpus_pipeline
 from evidentia.llm import fingerprints, langid, linededup, lm, packing, pii, quality, sentencepiece_fst, simhash, token_output
 from evidentia.llm.common import scratch_path, tokenizer_path
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, `count` long, h string, d int, row string, fp long, `a.b` int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, `count` long, h string, d int, row string, fp long, `a.b` int, __row string, __text string, gone int, shard int, __parts int"
 LONG = "alpha beta gamma " * 30_000
 BPE = tokenizer_path("byte_bpe_50k.json")
 
 
 def rows():
     texts = [None, "", " \n\t ", "a", "The cat sat on the mat and that was all of it.", "The cat sat on the mat and that was all of it.", "x" * 40_000, LONG, "é日本🙂\r\nb", "\n\n\n"]
-    out = [(k, t, "en" if k % 2 else None, None, None, 1, "q", 2, "r", 7, 1) for k, t in enumerate(texts)]
-    return [*out, out[4], (4, "another text", "fr", "s", 3, None, None, None, None, None, None), (None, "no id", None, None, None, 1, "q", 2, "r", 7, 1)]
+    more = ("x", "y", 3, 4, 5)
+    out = [(k, t, "en" if k % 2 else None, None, None, 1, "q", 2, "r", 7, 1, *more) for k, t in enumerate(texts)]
+    return [*out, out[4], (4, "another text", "fr", "s", 3, *[None] * 11), (None, "no id", None, None, None, 1, "q", 2, "r", 7, 1, *more)]
 
 
 @pytest.fixture(scope="module")

@@ -95,6 +95,42 @@ def test_numeral_system_segments_and_damage():
         rans.decode(table, block[:-1] + bytes([block[-1] ^ 1]))
 
 
+def test_packed_pieces(spark, corpus):
+    """Every id of every document is in one piece, pieces are where they say, sequences are gapless and little is padded."""
+    long = [" ".join(corpus[:n]) for n in (20, 60, 3)]
+    texts = [*corpus, *long, "x <|endoftext|> y"]
+    docs = spark.createDataFrame([*enumerate(texts), (len(texts), None)], "doc_id long, text string")
+    tokenizer = Tokenizer.from_file(BPE)
+    ids = {k: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for k, t in enumerate([*texts, None])}
+    seen, filled = collections.Counter(), collections.defaultdict(list)
+    for r in packing.pack(docs, BPE).collect():
+        piece = ids[r.doc_id][r.start : r.start + r.length]
+        assert r.ids_crc32 == zlib.crc32(np.array(piece, "<u4").tobytes()) and r.doc_tokens == len(ids[r.doc_id]) and len(piece) == r.length
+        seen.update((r.doc_id, k) for k in range(r.start, r.start + r.length))
+        filled[r.sequence_id].append((r.offset, r.length))
+    assert set(seen.values()) == {1} and len(seen) == sum(map(len, ids.values()))
+    ends = []
+    for pieces in filled.values():
+        end = 0
+        for offset, length in sorted(pieces):
+            assert offset == end
+            end += length
+        ends.append(end)
+    assert max(ends) <= packing.CAPACITY and len(ends) <= 1.05 * sum(ends) / packing.CAPACITY + 2
+    assert sorted(filled) == list(range(len(filled)))
+
+
+def test_piece_digests(spark, corpus):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = [*corpus[:40], "日本🙂 é", "", None, "  two  spaces "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in sentencepiece_fst.digest(docs, PIECES).collect():
+        ids = library.encode(texts[r.doc_id] or "")
+        raw = np.array(ids, "<u4").tobytes()
+        expected = (len(ids), sum(library.is_byte(i) for i in ids), zlib.crc32(raw), library.decode(ids) == (texts[r.doc_id] or ""))
+        assert (r.n_pieces, r.n_byte_pieces, r.ids_crc32, r.round_trip) == expected
+
+
 def test_token_files(spark, docs, corpus):
     folder = scratch_path(spark, "files")
     token_output.write(docs, folder, BPE, block_ids=200)
