@@ -46,33 +46,43 @@ def _tokenised(batches: Iterator[pa.RecordBatch], path: str, block_ids: int) ->
     held: list[bytes] = []
     doc_ids: list[int] = []
 
-    def row(symbols: np.ndarray, tallies: np.ndarray) -> pa.RecordBatch:
+    def row(ids: np.ndarray, symbols: np.ndarray, tallies: np.ndarray) -> pa.RecordBatch:
         lengths = np.array([len(x) // 4 for x in held], "<u4")
-        values = [part, block, before, size, np.array(doc_ids, "<i8").tobytes(), lengths.tobytes(), b"".join(held), symbols.astype(np.int32), tallies]
+        values = [part, block, before, size, np.array(doc_ids, "<i8").tobytes(), lengths.tobytes(), ids.astype(kind).tobytes(), symbols.astype(np.int32), tallies]
         types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=[x.split()[0] for x in _RAW.split(", ")])
 
-    none = np.zeros(0, np.int64)
+    def all_held() -> np.ndarray:
+        nonlocal counts
+        ids = np.frombuffer(b"".join(held), "<u4")
+        counts += np.bincount(ids, minlength=len(counts))
+        return ids
+
+    none, kind = np.zeros(0, np.int64), _kind(encoder.vocabulary)
     for batch in grouped(batches, 1):
         for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
             held.append(ids + end)
             doc_ids.append(NULL_ID if doc_id is None else doc_id)
             size += len(ids) // 4 + 1
             if size >= block_ids:
-                counts += np.bincount(np.frombuffer(b"".join(held), "<u4"), minlength=len(counts))
-                yield row(none, none)
+                yield row(all_held(), none, none)
                 block, before, size, held, doc_ids = block + 1, before + size, 0, [], []
-    counts += np.bincount(np.frombuffer(b"".join(held), "<u4"), minlength=len(counts))
+    last = all_held()
     if counts.any():
         seen = counts.nonzero()[0]
-        yield row(seen, counts[seen])
+        yield row(last, seen, counts[seen])
+
+
+def _kind(vocabulary: int) -> str:
+    """How ids are stored until they are coded."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def _coded(batches: Iterator[pa.RecordBatch], freq: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _coded(batches: Iterator[pa.RecordBatch], freq: np.ndarray, kind: str) -> Iterator[pa.RecordBatch]:
     table = rans.Table.from_frequencies(freq)
     for batch in batches:
         for x in batch.to_pylist():
-            payload = rans.encode(table, np.frombuffer(x["doc_ids"], "<i8"), np.frombuffer(x["lengths"], "<u4"), np.frombuffer(x["ids"], "<u4"))
+            payload = rans.encode(table, np.frombuffer(x["doc_ids"], "<i8"), np.frombuffer(x["lengths"], "<u4"), np.frombuffer(x["ids"], kind))
             yield pa.RecordBatch.from_pylist([{"part": x["part"], "block": x["block"], "before": x["before"], "n": x["n"], "payload": payload}], schema=pa.schema([("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())]))
 
 
@@ -100,7 +110,8 @@ def write(docs: DataFrame, to: str, tokenizer: str, block_ids: int = BLOCK_IDS)
     slim = docs.select("doc_id", text_or_empty().alias("text"))
     ranges = spread(spark, table_bytes(docs), RANGE_BYTES, MOST_RANGES)
     ordered = slim.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    raw = scratch_table(ordered.mapInArrow(lambda b: _tokenised(b, tokenizer, block_ids), _RAW), "token-ids", large=True)
+    raw = scratch_table(ordered.mapInArrow(lambda b: _tokenised(b, tokenizer, block_ids), _RAW), "token-ids", codec="snappy", large=True)
+    kind = _kind(IdEncoder.shared(tokenizer).vocabulary)
     tallies = raw.select(F.explode(F.arrays_zip("symbols", "counts")).alias("x")).groupBy("x.symbols").agg(F.sum("x.counts").alias("n")).collect()
     counts = np.zeros(max((r.symbols for r in tallies), default=-1) + 1, np.int64)
     for r in tallies:
@@ -109,7 +120,7 @@ def write(docs: DataFrame, to: str, tokenizer: str, block_ids: int = BLOCK_IDS)
     spark.createDataFrame([(freq.tobytes(),)], "freq binary").coalesce(1).write.parquet(f"{to}/table")
     per_part = raw.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part")
     per_part.write.parquet(f"{to}/parts")
-    raw.select("part", "block", "before", "n", "doc_ids", "lengths", "ids").mapInArrow(lambda b: _coded(b, freq), _CODED).write.option("compression", "none").parquet(f"{to}/blocks")
+    raw.select("part", "block", "before", "n", "doc_ids", "lengths", "ids").mapInArrow(lambda b: _coded(b, freq, kind), _CODED).write.option("compression", "none").parquet(f"{to}/blocks")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
