@@ -569,6 +569,16 @@ def generation_audit(spark, sf_dir):
     return candidates.generation_audit(_rule_hits(spark, sf_dir))
 
 
+@_query(f"""WITH o AS ({_OBSERVED}), z AS (SELECT 'DIRECT_IDENTIFIER' AS rule_code, CAST(identifier AS VARCHAR) AS block, source FROM o WHERE identifier IS NOT NULL UNION ALL SELECT 'POSTCODE_PREMISE', concat_ws('|', postcode, premise), source FROM o UNION ALL SELECT 'SECTOR_PREMISE', concat_ws('|', sector, premise), source FROM o
+UNION ALL SELECT 'UNIT_BUILDING_ROAD', concat_ws('|', postcode, unit, building), source FROM o WHERE unit IS NOT NULL), s AS (SELECT rule_code, block, count(*) FILTER (WHERE source = 'A') AS a, count(*) FILTER (WHERE source = 'B') AS b FROM z GROUP BY ALL),
+p AS (SELECT *, CASE WHEN rule_code = 'DIRECT_IDENTIFIER' THEN b * (b - 1) // 2 ELSE a * b END AS pairs FROM s), f AS (SELECT *, rule_code <> 'UNIT_BUILDING_ROAD' OR (greatest(a, b) <= 20 AND pairs <= 100) AS fits FROM p WHERE pairs > 0)
+SELECT rule_code, count(*) AS block_count, max(greatest(a, b)) AS largest_side, max(pairs) AS largest_pairs, CAST(sum(pairs) AS BIGINT) AS pair_count, CAST(sum(CASE WHEN fits THEN pairs ELSE 0 END) AS BIGINT) AS admitted_pairs, CAST(sum(CASE WHEN fits THEN 0 ELSE pairs END) AS BIGINT) AS suppressed_pairs, count(*) FILTER (WHERE NOT fits) AS suppressed_blocks FROM f GROUP BY rule_code""")
+def rule_profile(spark, sf_dir):
+    """The policy comes from its seed file."""
+    observed = spark.sql(_OBSERVED.replace("FROM orders", "FROM {orders}"), orders=_table(spark, sf_dir, "orders"))
+    return candidates.profile_rules(observed, candidates.read_policy(spark))
+
+
 @_query(f"{_HITS} SELECT key_l, key_r, count(DISTINCT rule_code) AS rules FROM hits GROUP BY key_l, key_r HAVING count(DISTINCT rule_code) > 1")
 def rule_exclusion_violations(spark, sf_dir):
     return candidates.exclusion_violations(_rule_hits(spark, sf_dir))

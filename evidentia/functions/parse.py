@@ -33,6 +33,15 @@ def date_of(text: Column, pattern: str = "y-M-d") -> Column:
     return F.try_to_timestamp(trimmed(text), F.lit(pattern)).cast("date")
 
 
+#: How sources write a moment or a day.
+MOMENTS = ("y-M-d H:m", "y-M-d H:m:s", "y-M-d")
+
+
+def timestamp_of(text: Column) -> Column:
+    """A moment in any of the sources' forms; NULL for any other."""
+    return F.coalesce(*(F.try_to_timestamp(trimmed(text), F.lit(p)) for p in MOMENTS))
+
+
 def band(score: Column) -> Column:
     out = F.when(score.isNull(), F.lit(None))
     for least, letter in BANDS:

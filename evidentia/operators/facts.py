@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evidentia.operators.store import append_if_absent, exists, read, stage
+
 
 def parent_status(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """children with ORPHAN, CONFLICTING or MATCHED, from parents (key, conflict_status)."""
@@ -47,3 +49,17 @@ def located(required: DataFrame, allocations: DataFrame, key: str, values: Seque
     out = required.select(key).distinct().join(found, key, "left").withColumn("allocation_count", n)
     out = out.withColumn("location_status", F.when(n == 0, "MISSING_IN_RELEASE").when(n == 1, "RESOLVED_UNIQUE").otherwise("CONFLICTING_ALLOCATIONS"))
     return out.withColumns({v: F.when(F.col("location_status") == "RESOLVED_UNIQUE", F.col(v)) for v in values})
+
+
+def transform_once(requests: DataFrame, path: str, key: str, transform: Callable[[DataFrame], DataFrame]) -> int:
+    """Add to the table at path what transform makes of the requests whose key it has not; how many were new.
+
+    A value is transformed once, whoever asks for it again.
+    """
+    spark = requests.sparkSession
+    wanted = requests.dropDuplicates([key])
+    if exists(spark, path):
+        wanted = wanted.join(read(spark, path).select(key), key, "left_anti")
+    made = stage(transform(wanted), "transformed")
+    append_if_absent(made, path, [key])
+    return made.count()

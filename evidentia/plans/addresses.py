@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from evidentia.functions.keys import stable_sha256
 from evidentia.functions.text import DESIGNATOR, UNITS, first_designator, has_token, normalise_address, only_designator, role_component, unit_identifier
 
+from evidentia.operators import store
+
 Parser = Callable[[str], list[tuple[str, str]]]
 _PARSED = (
     "ordered_components_json", "grouped_components_json", "parsed_house", "parsed_house_number", "parsed_unit", "parsed_road",
@@ -157,3 +160,27 @@ def closure_counts(requests: DataFrame, cache: DataFrame, contract: str) -> tupl
     wanted = requests.select("parser_input").distinct().withColumn("parse_key", stable_sha256("address-parse", contract, "parser_input"))
     done = wanted.join(cache.filter("error IS NULL").select("parse_key").distinct(), "parse_key", "left_semi")
     return wanted.count(), done.count()
+
+
+class ParseIncomplete(RuntimeError):
+    """Inputs without a result remain; what was parsed is kept, and nothing is published."""
+
+
+def parse_run(requests: DataFrame, folder: str, parser: Parser, contract: str) -> dict[str, int]:
+    """Parse what no earlier run has, store all outcomes of this one together, and publish the run if every input has a result.
+
+    Tables in folder: `results` by content, `attempts` with each run's outcomes and errors, `published`. Inputs that failed
+    are tried again by the next run.
+    """
+    spark = requests.sparkSession
+    results, attempts = f"{folder.rstrip('/')}/results", f"{folder.rstrip('/')}/attempts"
+    known = store.read(spark, results) if store.exists(spark, results) else spark.createDataFrame([], RESULT)
+    run = str(uuid.uuid4())
+    made = store.stage(parse_distinct(requests, known, parser, contract), "parsed")
+    made.select(F.lit(run).alias("parse_run_id"), "parse_key", "parse_status", "error").write.mode("append").parquet(attempts)
+    store.append_if_absent(made.filter("error IS NULL"), results, ["parse_key"])
+    inputs, done = closure_counts(requests, store.read(spark, results), contract)
+    if done < inputs:
+        raise ParseIncomplete(f"{inputs - done} of {inputs} inputs have no result")
+    store.publish_pointer(spark, f"{folder.rstrip('/')}/published", contract, run)
+    return {"inputs": inputs, "parsed": made.count()}

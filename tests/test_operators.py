@@ -321,3 +321,53 @@ def test_guards_and_names(spark, tmp_path):
     assert [tuple(r) for r in csv.read_labels(spark, f"file://{tmp_path}/labels.csv").collect()] == [("001", "MATCH"), ("002", None)]
     now = datetime.datetime(2026, 1, 1)
     assert store.audited(spark.range(2), now).select("recorded_at").distinct().first()[0] == now
+
+
+def test_policy_files(spark, tmp_path):
+    from evidentia.operators import candidates
+
+    policy = candidates.read_policy(spark)
+    assert [p for p in policy if p.enabled] == [p for p in candidates.DEFAULT_POLICY if p.enabled]
+    head = candidates.SEED.read_text().splitlines()[0]
+    for rows in ("A,1,true,,,true", "A,1,true,,,false\nB,1,true,,,false", "A,1,true,,,false\nA,2,true,,,false"):
+        (tmp_path / "p.csv").write_text(f"{head}\n{rows}\n")
+        with pytest.raises(ValueError):
+            candidates.read_policy(spark, f"file://{tmp_path}/p.csv")
+
+
+def test_transforms_run_once(spark, tmp_path):
+    path, calls = f"file://{tmp_path}/cache", []
+
+    def double(df):
+        calls.append(df.count())
+        return df.withColumn("y", F.col("x") * 2)
+
+    rows = lambda *x: spark.createDataFrame([(v,) for v in x], "x int")
+    assert [facts.transform_once(rows(*x), path, "x", double) for x in ((1, 2, 2), (2, 3), (1, 3))] == [2, 1, 0]
+    assert calls == [2, 1, 0] and sorted(map(tuple, store.read(spark, path).collect())) == [(1, 2), (2, 4), (3, 6)]
+
+
+def test_parse_runs(spark, tmp_path):
+    requests = spark.createDataFrame([("Flat 5, 11 High Street",), ("boom",), ("boom",)], "parser_input string")
+    folder = f"file://{tmp_path}/parse"
+
+    def flaky(text):
+        if text == "boom":
+            raise RuntimeError("no")
+        return addresses.rule_parser(text)
+
+    with pytest.raises(addresses.ParseIncomplete):
+        addresses.parse_run(requests, folder, flaky, "v1")
+    assert not store.exists(spark, f"{folder}/published")
+    assert addresses.parse_run(requests, folder, addresses.rule_parser, "v1") == {"inputs": 2, "parsed": 1}
+    assert addresses.parse_run(requests, folder, addresses.rule_parser, "v1") == {"inputs": 2, "parsed": 0}
+    attempts = spark.read.parquet(f"{folder}/attempts").collect()
+    assert sorted(a.parse_status for a in attempts) == ["COMPLETE", "FAILED", "INCOMPLETE"] and store.read(spark, f"{folder}/results").count() == 2
+
+
+def test_moments(spark):
+    from evidentia.functions import parse
+
+    raw = ["2020-01-02 03:04", "2020-01-02 03:04:05", " 2020-01-02", "2020-02-30", "x", None]
+    got = [r[0] and str(r[0]) for r in spark.createDataFrame([(x,) for x in raw], "x string").select(parse.timestamp_of(F.col("x"))).collect()]
+    assert got == ["2020-01-02 03:04:00", "2020-01-02 03:04:05", "2020-01-02 00:00:00", None, None, None]
