@@ -44,6 +44,15 @@ _NAMES = Names(xxhash.xxh64_intdigest)
 owns("lm", _NAMES.clear)
 
 
+def _packed(x: np.ndarray, kind: str) -> bytes:
+    """Numbers by planes of their bytes, as the upper ones are mostly alike and so compress."""
+    return np.ascontiguousarray(x.astype(kind).view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def _unpacked(raw: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
 def _mixed(x: np.ndarray, y: np.ndarray | None = None) -> np.ndarray:
     x = x * np.uint64(0x9E3779B97F4A7C15)
     if y is not None:
@@ -100,7 +109,7 @@ def _chunked(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Recor
         ids, sizes = np.array(doc_ids, np.int64), np.array(lengths, np.int64)
         names, token = np.unique(np.concatenate(tokens), return_inverse=True)
         name, number = part << 32 | number, number + 1
-        return _batch([(TEXTS, -1, name, names.tobytes(), token.astype("<u4").tobytes(), ids.tobytes() + sizes.tobytes())])
+        return _batch([(TEXTS, -1, name, names.tobytes(), _packed(token, "<u4"), _packed(np.concatenate([ids, sizes]), "<i8"))])
 
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -118,8 +127,8 @@ def _chunked(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Recor
 
 def _text(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Names, token places, ids and lengths of a text row."""
-    ids, sizes = np.frombuffer(row["c"], "<i8").reshape(2, -1)
-    return np.frombuffer(row["a"], "<u8"), np.frombuffer(row["b"], "<u4").astype(np.int64), ids, sizes
+    ids, sizes = _unpacked(row["c"], "<i8").reshape(2, -1)
+    return np.frombuffer(row["a"], "<u8"), _unpacked(row["b"], "<u4").astype(np.int64), ids, sizes
 
 
 def _trained(ids: np.ndarray, sizes: np.ndarray, folds: int, fold: int) -> np.ndarray:
@@ -131,12 +140,16 @@ def _asked_tokens(batches: Iterator[pa.RecordBatch], shards: int, folds: int, fo
     for batch in batches:
         for row in batch.to_pylist():
             names, token, ids, sizes = _text(row)
-            uses = np.bincount(token[_trained(ids, sizes, folds, fold)], minlength=len(names)).astype("<u4")
-            yield _batch([(TOKENS, k, row["chunk"], names[at].tobytes(), uses[at].tobytes()) for k, at in _by_shard((_mixed(names) % np.uint64(shards)).astype(np.int64))])
+            uses = np.bincount(token[_trained(ids, sizes, folds, fold)], minlength=len(names))
+            yield _batch([(TOKENS, k, row["chunk"], names[at].tobytes(), _packed(uses[at], "<u4")) for k, at in _by_shard((_mixed(names) % np.uint64(shards)).astype(np.int64))])
 
 
 def _joined(rows: list[dict], column: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(r[column] for r in rows), kind)
+    return np.concatenate([_unpacked(r[column], kind) for r in rows])
+
+
+def _names(rows: list[dict], column: str) -> np.ndarray:
+    return np.frombuffer(b"".join(r[column] for r in rows), "<u8")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> list[dict]:
@@ -146,12 +159,12 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> list[dict]:
 
 def _answered_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if rows := _rows(batches):
-        distinct, place = np.unique(_joined(rows, "a", "<u8"), return_inverse=True)
+        distinct, place = np.unique(_names(rows, "a"), return_inverse=True)
         totals = np.bincount(place, _joined(rows, "b", "<u4"), len(distinct)).astype("<i8")
         answer, at, out = totals[place], 0, []
         for r in rows:
             n = len(r["a"]) // 8
-            out.append((TOKENS, r["shard"], r["chunk"], answer[at : at + n].tobytes()))
+            out.append((TOKENS, r["shard"], r["chunk"], _packed(answer[at : at + n], "<i8")))
             at += n
         sums = np.array([totals.sum(), (totals > 0).sum()], "<i8")
         yield _batch([*out, (TOTALS, rows[0]["shard"], 0, sums.tobytes())])
@@ -177,7 +190,7 @@ def _counted(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Reco
         names = np.frombuffer(row["a"], "<u8")
         counts = np.zeros(len(names), "<i8")
         counts[np.concatenate([at for _, at in _by_shard((_mixed(names) % np.uint64(shards)).astype(np.int64))])] = _joined(answers, "a", "<i8")
-        yield _batch([(TEXTS, -1, row["chunk"], row["a"], row["b"], row["c"], counts.tobytes())])
+        yield _batch([(TEXTS, -1, row["chunk"], row["a"], row["b"], row["c"], _packed(counts, "<i8"))])
 
 
 def _asked_pairs(batches: Iterator[pa.RecordBatch], shards: int, folds: int, fold: int, total: int, distinct: int, documents: int, hot: int) -> Iterator[pa.RecordBatch]:
@@ -185,27 +198,29 @@ def _asked_pairs(batches: Iterator[pa.RecordBatch], shards: int, folds: int, fol
     for batch in batches:
         for row in batch.to_pylist():
             names, token, ids, sizes = _text(row)
-            counts = np.append(np.frombuffer(row["d"], "<i8"), documents)
+            counts = np.append(_unpacked(row["d"], "<i8"), documents)
             pairs = _Pairs(names, token, sizes)
-            uses = np.bincount(pairs.pair[_trained(ids, sizes, folds, fold)], minlength=len(pairs.first)).astype("<u4")
+            uses = np.bincount(pairs.pair[_trained(ids, sizes, folds, fold)], minlength=len(pairs.first))
             p1 = quantise((counts + 1) / (total + (distinct + 1)))[pairs.second]
             out = []
             for k, at, runs, lengths in pairs.sent(counts, shards, hot):
                 heads = at[runs]
-                a = pairs.first_name[heads].tobytes() + counts[pairs.first[heads]].astype("<i8").tobytes() + lengths.astype("<i8").tobytes()
-                out.append((PAIRS, k, row["chunk"], a, pairs.second_name[at].tobytes(), uses[at].tobytes(), p1[at].astype("<u2").tobytes()))
+                a = pairs.first_name[heads].tobytes() + _packed(counts[pairs.first[heads]], "<i8") + _packed(lengths, "<u4")
+                out.append((PAIRS, k, row["chunk"], a, pairs.second_name[at].tobytes(), _packed(uses[at], "<u4"), _packed(p1[at], "<u2")))
             yield _batch(out)
 
 
 def _answered_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not (rows := _rows(batches)):
         return
-    heads = [np.frombuffer(r["a"], "<u8").reshape(3, -1) for r in rows]
-    first, used, lengths = (np.concatenate([h[k] for h in heads]) for k in range(3))
+    runs = [len(r["a"]) // 20 for r in rows]
+    first = np.concatenate([np.frombuffer(r["a"], "<u8", n) for r, n in zip(rows, runs, strict=True)])
+    used = np.concatenate([_unpacked(r["a"][8 * n : 16 * n], "<i8") for r, n in zip(rows, runs, strict=True)])
+    lengths = np.concatenate([_unpacked(r["a"][16 * n :], "<u4") for r, n in zip(rows, runs, strict=True)]).astype(np.int64)
     contexts, some, context = np.unique(first, return_index=True, return_inverse=True)
-    used = used[some].astype(np.int64)
-    words, word = np.unique(_joined(rows, "b", "<u8"), return_inverse=True)
-    key, some, pair = np.unique(np.repeat(context, lengths.astype(np.int64)) * len(words) + word, return_index=True, return_inverse=True)
+    used = used[some]
+    words, word = np.unique(_names(rows, "b"), return_inverse=True)
+    key, some, pair = np.unique(np.repeat(context, lengths) * len(words) + word, return_index=True, return_inverse=True)
     uses = np.bincount(pair, _joined(rows, "c", "<u4"), len(key))
     of, to = key // len(words), key % len(words)
     met = np.flatnonzero(uses)
@@ -218,9 +233,9 @@ def _answered_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         codes, weights = mapped.lookup(contexts[of], words[to])[pair], mapped.backoff(contexts)[context]
         del mapped
     at, run, out = 0, 0, []
-    for r, head in zip(rows, heads, strict=True):
-        n, m = len(r["b"]) // 8, head.shape[1]
-        out.append((PAIRS, r["shard"], r["chunk"], codes[at : at + n].tobytes(), weights[run : run + m].tobytes()))
+    for r, m in zip(rows, runs, strict=True):
+        n = len(r["b"]) // 8
+        out.append((PAIRS, r["shard"], r["chunk"], _packed(codes[at : at + n], "<u2"), _packed(weights[run : run + m], "<u2")))
         at, run = at + n, run + m
     yield _batch(out)
 
@@ -228,7 +243,7 @@ def _answered_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _scored(batches: Iterator[pa.RecordBatch], shards: int, folds: int, fold: int, total: int, distinct: int, documents: int, hot: int) -> Iterator[pa.RecordBatch]:
     for row, answers in _with_answers(batches):
         names, token, ids, sizes = _text(row)
-        counts = np.append(np.frombuffer(row["d"], "<i8"), documents)
+        counts = np.append(_unpacked(row["d"], "<i8"), documents)
         pairs = _Pairs(names, token, sizes)
         codes, weights = np.zeros(len(pairs.first), np.uint16), np.zeros(len(counts), np.uint16)
         sent = [*pairs.sent(counts, shards, hot)]
