@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -54,3 +55,11 @@ def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
             known[pair] = None if pair[0] is None or pair[1] is None else jaro_winkler_of(*pair)
         out.append(known[pair])
     return pd.Series(out, dtype="float64")
+
+
+def with_similarity(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """df with the similarity of two columns: made once for each distinct pair that differs, known at once for the others."""
+    open_ = df.filter(F.col(a) != F.col(b)).select(a, b).distinct()
+    found = open_.withColumn("__similarity", jaro_winkler(a, b))
+    same = F.when(F.col(a) == F.col(b), F.when(F.col(a) == "", 0.0).otherwise(1.0))
+    return df.join(found, [a, b], "left").withColumn(name, F.coalesce(same, "__similarity")).drop("__similarity")

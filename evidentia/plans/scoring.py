@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.functions.keys import stable_sha256
-from evidentia.functions.similarity import jaro_winkler
+from evidentia.functions.similarity import with_similarity
 from evidentia.operators.linkage import PRIOR, Comparison, Level, estimate_m, estimate_u, score, term_frequencies, term_frequency_weight
 
 #: Compared columns.
@@ -46,13 +46,10 @@ BY_FREQUENCY = {"postcode": "postcode", "premise_address": "premise_address_comp
 
 
 def paired(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """pairs with both ends' features and the similarity of their premises (NULL where they are equal or unknown)."""
+    """pairs with both ends' features and the similarity of their premises (NULL where one is unknown)."""
     side = lambda s: rows.select(F.col("unique_id").alias(f"key_{s}"), *(F.col(c).alias(f"{c}_{s}") for c in FEATURES))
     both = pairs.join(side("l"), "key_l").join(side("r"), "key_r")
-    ends = ["premise_address_comparison_l", "premise_address_comparison_r"]
-    open_ = both.filter(F.col(ends[0]) != F.col(ends[1])).select(*ends).distinct()
-    known = open_.withColumn("premise_similarity", jaro_winkler(*ends))
-    return both.join(known, ends, "left")
+    return with_similarity(both, "premise_address_comparison_l", "premise_address_comparison_r", "premise_similarity")
 
 
 def term_weights(compared: DataFrame, rows: DataFrame, model: Sequence[Comparison] = MODEL) -> DataFrame:
