@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +19,11 @@ import pyarrow.compute as pc
 from evidentia.llm.common import owns
 
 #: Words remembered by one worker; beyond it new words are encoded whenever they come.
-REMEMBERED = 700_000
+REMEMBERED = 1_200_000
 #: Bytes of the texts that are encoded at once; a longer text is by itself.
 AT_ONCE = 1 << 22
+#: Bytes of the longest word that is remembered.
+LONGEST = 1 << 12
 #: A word that ends in one of these after a letter is its stem and the mark.
 MARKS = ".,;:!?"
 #: White space that is not one space or line end between visible characters (RE2).
@@ -31,6 +32,54 @@ _LOADED: dict[str, IdEncoder] = {}
 owns("token_ids", _LOADED.clear)
 
 
+_FACTORS = np.random.default_rng(7).integers(0, 1 << 63, (2, LONGEST), np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _hashes(words: pa.StringArray) -> np.ndarray:
+    """Two 64-bit hashes of each word, none of which is empty: sums of its bytes times odd factors by place."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    starts, sizes = ends[:-1] - ends[0], np.diff(ends)
+    place = np.minimum(np.arange(ends[-1] - ends[0]) - np.repeat(starts, sizes), LONGEST - 1)
+    values = np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]].astype(np.uint64) + np.uint64(1)
+    return np.stack([np.add.reduceat(f[place] * values, starts) for f in _FACTORS])
+
+
+class _Table:
+    """Places by the two hashes of a word, by open addressing in flat arrays."""
+
+    def __init__(self, most: int):
+        bits = max(4, (3 * most).bit_length())
+        self.mask = np.uint64((1 << bits) - 1)
+        self.first, self.second, self.place = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+
+    def _slot(self, first: np.ndarray) -> np.ndarray:
+        return ((first ^ (first >> np.uint64(32))) & self.mask).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the words; -1 for those that are not held."""
+        out, open_ = np.full(hashes.shape[1], -1, np.int64), np.arange(hashes.shape[1])
+        slot = self._slot(hashes[0])
+        while len(open_):
+            place = self.place[slot]
+            same = (place >= 0) & (self.first[slot] == hashes[0, open_]) & (self.second[slot] == hashes[1, open_])
+            out[open_[same]] = place[same]
+            on = (place >= 0) & ~same
+            open_, slot = open_[on], (slot[on] + 1) & int(self.mask)
+        return out
+
+    def add(self, hashes: np.ndarray, places: np.ndarray) -> None:
+        """Hold words that are not held yet."""
+        open_, slot = np.arange(len(places)), self._slot(hashes[0])
+        while len(open_):
+            free = np.flatnonzero(self.place[slot] < 0)
+            taken, first = np.unique(slot[free], return_index=True)
+            now = free[first]
+            self.first[taken], self.second[taken], self.place[taken] = hashes[0, open_[now]], hashes[1, open_[now]], places[open_[now]]
+            on = np.ones(len(open_), bool)
+            on[now] = False
+            open_, slot = open_[on], (slot[on] + 1) & int(self.mask)
+
+
 def grouped(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
     """Batches joined up to AT_ONCE bytes of their text column: the larger, the fewer distinct words a text."""
     held, size = [], 0
@@ -57,7 +106,7 @@ class IdEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.remembered = remembered
         #: A word's place in starts and sizes, which say where its ids stand in the pool; what is beyond the words' number is overwritten.
-        self.place: dict[str, int] = {}
+        self.table, self.known = _Table(remembered), 0
         self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.pool, self.used = np.zeros(1 << 18, "<u4"), 0
         #: Ids whose first byte is a space or a line end, which the vocabulary writes as U+0120 and U+010A.
@@ -95,54 +144,68 @@ class IdEncoder:
         self.sizes[at : at + len(sizes)] = sizes
         self.used += len(ids)
 
-    def _learn(self, words: list[str]) -> dict[str, int]:
-        """Places of new words, as they stand after a space, or after what precedes their line end.
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Places of new words, as they stand after a space, or after what precedes their line end; and new stems with theirs.
 
         They go as one text, which is cut where ids begin with a space or line end.
         """
-        marked = [w for w in words if w[-1] in MARKS and len(w) > 1 and w[-2].isalpha()]
-        known = self.place
-        stems = [w for w in dict.fromkeys([w[:-1] for w in marked]) if w not in known]
-        bare = list(dict.fromkeys([*stems, *(w for w in words if not (w[-1] in MARKS and len(w) > 1 and w[-2].isalpha()))]))
-        new = dict(zip(bare, range(len(known), len(known) + len(bare)), strict=True))
+        marked = [w[-1] in MARKS and len(w) > 1 and w[-2].isalpha() for w in words]
+        stems = [w[:-1] for w, m in zip(words, marked, strict=True) if m]
+        distinct = list(dict.fromkeys(stems))
+        at = self.table.find(_hashes(pa.array(distinct, pa.string()))) if distinct else np.zeros(0, np.int64)
+        new = dict.fromkeys([w for w, m in zip(words, marked, strict=True) if not m])
+        own = [w for w, place in zip(distinct, at.tolist(), strict=True) if place < 0 and w not in new]
+        bare = [*new, *own]
+        place = dict(zip(bare, range(self.known, self.known + len(bare)), strict=True))
         if bare:
             ids = self._whole(["".join([w if w[0] == "\n" else " " + w for w in bare])])[0]
             starts = np.flatnonzero(self.opens[ids])
             if len(starts) != len(bare):
                 raise ValueError("words and their ids differ")
-            self._put(len(known), ids, np.diff(np.append(starts, len(ids))))
-        if marked:
-            at = np.array([new[s] if (s := w[:-1]) in new else known[s] for w in marked], np.int64)
-            sizes = self.sizes[at] + 1
+            self._put(self.known, ids, np.diff(np.append(starts, len(ids))))
+        out = np.zeros(len(words), np.int64)
+        is_marked = np.array(marked, bool)
+        out[~is_marked] = np.arange(self.known, self.known + len(new))
+        if stems:
+            held = dict(zip(distinct, at.tolist(), strict=True))
+            of = np.array([place[w] if w in place else held[w] for w in stems], np.int64)
+            sizes = self.sizes[of] + 1
             ids = np.zeros(int(sizes.sum()), "<u4")
             last = np.zeros(len(ids), bool)
             last[np.cumsum(sizes) - 1] = True
-            ids[~last] = self._gathered(self.starts[at], self.sizes[at])
-            ids[last] = [self.marks[w[-1]] for w in marked]
-            first = len(known) + len(new)
+            ids[~last] = self._gathered(self.starts[of], self.sizes[of])
+            ids[last] = [self.marks[w[-1]] for w, m in zip(words, marked, strict=True) if m]
+            first = self.known + len(bare)
             self._put(first, ids, sizes)
-            new.update(zip(marked, range(first, first + len(marked)), strict=True))
-        return new
+            out[is_marked] = np.arange(first, first + len(stems))
+        return out, own, np.arange(self.known + len(new), self.known + len(bare))
 
     def _cut(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of texts that may be cut."""
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         ends = np.cumsum(pc.list_value_length(lists).to_numpy())
         words = lists.flatten().dictionary_encode()
-        distinct, index = words.dictionary.to_pylist(), words.indices.to_numpy()
-        heads = self._whole([distinct[k] for k in index[np.append(0, ends[:-1])].tolist()])
-        get, used = self.place.get, self.used
-        places = np.fromiter(map(get, distinct, repeat(-1)), np.int64, len(distinct))
-        unseen = np.flatnonzero(places < 0).tolist()
-        new = self._learn([distinct[k] for k in unseen]) if unseen else {}
-        places[unseen] = [new[distinct[k]] for k in unseen]
+        distinct, index = words.dictionary, words.indices.to_numpy()
+        begins = np.append(0, ends[:-1])
+        heads = self._whole(distinct.take(pa.array(index[begins])).to_pylist())
+        hashes, used = _hashes(distinct), self.used
+        places = self.table.find(hashes)
+        unseen = np.flatnonzero(places < 0)
+        stems: list[str] = []
+        if len(unseen):
+            places[unseen], stems, stem_places = self._learn(distinct.take(pa.array(unseen)).to_pylist())
         at = places[index]
         starts, sizes = self.starts[at], self.sizes[at]
-        kept, sizes[np.append(0, ends[:-1])] = self.used, 0
+        sizes[begins] = 0
         ids, stops = self._gathered(starts, sizes).tobytes(), (4 * np.cumsum(sizes)[ends - 1]).tolist()
-        if len(self.place) + len(new) <= self.remembered:
-            self.place.update(new)
-            self.used = kept
+        if not len(unseen):
+            pass
+        elif self.known + len(unseen) + len(stems) <= self.remembered:
+            short = unseen[pc.binary_length(distinct).to_numpy()[unseen] <= LONGEST]
+            self.table.add(hashes[:, short], places[short])
+            if kept := [k for k, w in enumerate(stems) if len(w.encode()) <= LONGEST]:
+                self.table.add(_hashes(pa.array([stems[k] for k in kept], pa.string())), stem_places[kept])
+            self.known += len(unseen) + len(stems)
         else:
             self.used = used
         for head, start, stop in zip(heads, [0, *stops[:-1]], stops, strict=True):
