@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -18,7 +19,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from evidentia.llm import cutting_stock, fingerprints, langid, linededup, lm, ngram_trie, packing, pii, quality, rans, sentencepiece_fst, simhash, token_output
+from evidentia.llm import cutting_stock, fingerprints, langid, linededup, lm, ngram_trie, packing, pii, quality, rans, sentencepiece_fst, simhash, token_ids, token_output
 from evidentia.llm.common import fold_of, scratch_path, tokenizer_path
 from evidentia.llm.token_ids import IdEncoder
 
@@ -95,6 +96,29 @@ def test_numeral_system_segments_and_damage():
         rans.decode(table, block[:-1] + bytes([block[-1] ^ 1]))
 
 
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.text("ab.,é\n", min_size=1, max_size=6), max_size=60), st.integers(1, 40))
+def test_word_tables(words, most):
+    """Words are found again, whatever else is held; few places make them meet."""
+    table, held = token_ids._Table(most), {}
+    for k in range(0, len(words), 7):
+        new = [w for w in dict.fromkeys(words[k : k + 7]) if w not in held][: most - len(held)]
+        if new:
+            table.add(token_ids._hashes(pa.array(new)), np.arange(len(held), len(held) + len(new)))
+            held |= {w: len(held) + i for i, w in enumerate(new)}
+    asked = [*dict.fromkeys(words), "other", "x" * 5000]
+    assert table.find(token_ids._hashes(pa.array(["skip", *asked]).slice(1))).tolist() == [held.get(w, -1) for w in asked]
+
+
+def test_ids_beyond_the_memory(corpus):
+    """Words that are not remembered are encoded whenever they come."""
+    tokenizer = Tokenizer.from_file(BPE)
+    encoder = IdEncoder(BPE, remembered=20)
+    for part in (corpus[:40], corpus[20:60], corpus[:10]):
+        assert list(encoder.encode(part)) == [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch(part, add_special_tokens=False)]
+    assert encoder.known <= 20
+
+
 def test_packed_pieces(spark, corpus):
     """Every id of every document is in one piece, pieces are where they say, sequences are gapless and little is padded."""
     long = [" ".join(corpus[:n]) for n in (20, 60, 3)]
