@@ -2,8 +2,8 @@
 
 The byte-level split never joins what stands before a space that a visible character follows, nor a lone line end to
 its neighbours, nor a letter to a mark after it. So a text may be cut there and its words be encoded by themselves; a
-batch's distinct words are found in Arrow, and those that were met before are looked up. Every word goes through the
-tokenizers library. A text with any other white space, or with a special token of the tokenizer, is not cut: the library
+batch's distinct words are found in Arrow, and those that were met before by two 64-bit hashes. Every new word goes
+through the tokenizers library. A text with any other white space, or with a special token of the tokenizer, is not cut: the library
 encodes it whole, and gives a special token its own id, as in any call of its own.
 """
 
