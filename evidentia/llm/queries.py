@@ -11,38 +11,46 @@ from evidentia.llm.common import documents, fold_column, scratch_path, tokenizer
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every whole text: their number, those of byte fallback, a crc32 of the ids, and whether they decode to the text."""
     return sentencepiece_fst.digest(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measures and its verdicts; a null text has no words."""
     judged = quality.judge(documents(spark, sf_dir))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their places in sequences of 1024; a null text is its end id alone."""
     return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text with pseudonyms, and how many of which kinds; a null text stays null."""
     made = pii.pseudonymise(documents(spark, sf_dir).select("doc_id", "text"))
     return made.withColumnsRenamed({"__n": "n_replaced", "__kinds": "kinds"})
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's fingerprint and its likeness to the edited and to the next text; a null text is empty."""
     return fingerprints.fingerprint(documents(spark, sf_dir))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's fingerprint and the smallest doc_id that links of two bits reach."""
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as read back from the files just written: where its ids start, their number and crc32."""
     folder = scratch_path(spark, "token-files")
     token_output.write(documents(spark, sf_dir), folder, tokenizer_path("byte_bpe_50k.json"))
     return token_output.read(spark, folder)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's predicted language, from models of the documents that are not held out."""
     docs = documents(spark, sf_dir)
     held_out = fold_column("doc_id", 4) == 2
     models = langid.fit(docs.filter(~held_out))
@@ -50,11 +58,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the lines that resemble an earlier one, and how many it had and lost."""
     cleaned = linededup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return cleaned.withColumnsRenamed({"__n_lines": "n_lines", "__n_removed": "n_removed"})
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's base score and model score, from the documents that are not held out."""
     return lm.score(documents(spark, sf_dir))
 
 
