@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidentia.llm import langid, linededup, nearcopies, packing, pii
+from evidentia.llm import langid, linededup, nearcopies, packing, pii, simhash
 from evidentia.llm.common import fold_column, scratch_table, tokenizer_path
 
 
@@ -31,8 +31,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (Jaccard similarity 0.8 or more of their five-word shingles) stays."""
-    return nearcopies.keep_one(docs)
+    """One document stays of each group that links make: SimHash fingerprints within two bits of each other, found by BK-trees
+    (as op6), and near copies which differ in more bits, by an exact join (Jaccard 0.8 or more of five-word shingles)."""
+    found = scratch_table(nearcopies.near_copies(docs), "near-copies")
+    return simhash.first_rows(docs, nearcopies.merged(found, simhash.near_duplicates(docs)))
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.llm.common import Names, alone, bounded_batches, owns, scratch_table, spread, table_bytes, text_or_empty, trim
-from evidentia.llm.simhash import SEED, components, first_rows, signed
+from evidentia.llm.simhash import SEED, components, signed
 
 SHINGLE = 5
 #: Similarity as a fraction.
@@ -227,6 +227,14 @@ def near_copies(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "text_hash", "s").join(groups, "s", "left").select("doc_id", "text_hash", F.coalesce("root", "s").alias("group"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one row of each component, as `simhash.first_rows` picks it."""
-    return first_rows(docs, near_copies(docs))
+def merged(found: DataFrame, others: DataFrame) -> DataFrame:
+    """found (doc_id, text_hash, group) with groups joined where a group of others (text_hash, group) reaches several.
+
+    Both kinds of groups depend on the text alone, so they meet by its hash.
+    """
+    met = others.select("text_hash", F.col("group").alias("other")).distinct().join(found.select("text_hash", "group").distinct(), "text_hash")
+    met = scratch_table(met.select("other", "group").distinct(), "met-groups")
+    least = met.groupBy("other").agg(F.min("group").alias("b"))
+    edges = met.join(least, "other").filter("group <> b").select(F.col("group").alias("a"), "b")
+    roots = components(edges).withColumnRenamed("node", "group")
+    return found.join(roots, "group", "left").select("doc_id", "text_hash", F.coalesce("root", "group").alias("group"))

@@ -116,3 +116,18 @@ def test_all_anchors_are_matched(spark):
         edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
         assert (got[k].near_edited, got[k].near_next) == (plain_match(text, edited), plain_match(text, after))
     assert got[1].near_next > 0.005
+
+
+def test_groups_of_fingerprints_count_in_the_pipeline(spark):
+    """Texts alike in most of their words by number, which sets of shingles do not show."""
+    often = "one two three four five " * 300
+    texts = [often + " ".join(f"{c}{k}" for k in range(30)) for c in "xy"]
+    assert 5 * len(shingled(texts[0]) & shingled(texts[1])) < 4 * len(shingled(texts[0]) | shingled(texts[1]))
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, "something else altogether that stays"])], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, "").collect()) == [0, 2]
+
+
+def test_groups_meet_through_either_kind_of_link(spark):
+    found = spark.createDataFrame([(1, 11, 5), (2, 12, 6), (3, 13, 6), (4, 14, 9)], "doc_id long, text_hash long, group long")
+    others = spark.createDataFrame([(11, 1), (12, 1), (13, 2), (14, 3)], "text_hash long, group long")
+    assert {r.doc_id: r.group for r in nearcopies.merged(found, others).collect()} == {1: 5, 2: 5, 3: 5, 4: 9}
