@@ -10,8 +10,9 @@ Texts are split once, into a table of token sets. Equal lines are met by one agg
 is a prefix filter: tokens are ordered by rarity (lines with their hash bucket, of a table of fixed size), lines that are
 similar enough share a token among their first n - ceil(t n) + 1, and a pair goes on only if sizes, the places of the
 shared token and the parity bitmaps of both sets (whose differing bits never exceed the differing tokens) allow the
-similarity. A line needs one match, so its likeliest pair (fewest differing bits) is verified on the token sets first, and
-only lines which that leaves meet all their other pairs. Lists above LIST lines first meet their earliest line alone; of
+similarity. A line needs one match: it first meets an early line of each of its PROBES rarest tokens, which settles
+nearly all of a group of near copies without pairing its members. Of the lines left, the likeliest pair (fewest differing
+bits) is verified on the token sets first, and only lines which that leaves meet all their other pairs. Lists above LIST lines first meet their earliest line alone; of
 them, too, only the lines left meet the rest, dealt by classes of size, of which a line can match
 three or four at most, unless they are few enough to be broadcast to all lists.
 """
@@ -27,6 +28,8 @@ from evidentia.llm.common import SPACES, drop_tables, scratch_table, spread
 THRESHOLD = (4, 5)
 #: Buckets of the rarity table.
 BUCKETS = 1 << 17
+#: Tokens by which a line first meets an earliest one.
+PROBES = 4
 #: Lists up to this length pair their lines at once.
 LIST = 1024
 #: A side of a join is broadcast up to so many rows of a few longs, counted before.
@@ -73,23 +76,23 @@ def _rarity(sets: DataFrame) -> Column:
 
 
 def _keyed(sets: DataFrame, levels: Column) -> DataFrame:
-    """d, s, the line's token number n, its parity bitmap of 128 bits (b0, b1) and its prefix of tokens by rarity."""
+    """d, s, the line's token number n, its parity bitmap b of 64 bits and its prefix of tokens by rarity."""
     num, den = THRESHOLD
     key = lambda t: F.shiftleft(levels[t.bitwiseAND(BUCKETS - 1)].cast("long"), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
-    parity = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
-    b0, b1 = parity(F.filter("t", lambda t: t < 0)), parity(F.filter("t", lambda t: t >= 0))
-    ordered = sets.select("d", "s", "n", b0.alias("b0"), b1.alias("b1"), F.sort_array(F.transform("t", key)).alias("t"))
-    return ordered.select("d", "s", "n", "b0", "b1", F.slice("t", 1, F.expr(f"cast(n - (n * {num}L + {den - 1}) DIV {den} + 1 AS int)")).alias("prefix"))
+    parity = F.aggregate("t", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
+    ordered = sets.select("d", "s", "n", parity.alias("b"), F.sort_array(F.transform("t", key)).alias("t"))
+    return ordered.select("d", "s", "n", "b", F.slice("t", 1, F.expr(f"cast(n - (n * {num}L + {den - 1}) DIV {den} + 1 AS int)")).alias("prefix"))
 
 
 def _posted(keys: DataFrame) -> DataFrame:
     """A row for each token of a prefix; np is the line's token number above the token's place, 32 bits each."""
-    entries = keys.select("d", "s", "n", "b0", "b1", F.posexplode("prefix").alias("p", "token"))
-    return entries.select("d", "s", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("p").cast("long")).alias("np"), "b0", "b1", "token")
+    rest = [c for c in keys.columns if c not in ("n", "prefix")]
+    entries = keys.select(*rest, "n", F.posexplode("prefix").alias("p", "token"))
+    return entries.select(*rest, F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("p").cast("long")).alias("np"), "token")
 
 
 _SIZE, _PLACE = "shiftright({0}.np, 32)", "({0}.np & 4294967295L)"
-_DIFFER = "bit_count(x.b0 ^ y.b0) + bit_count(x.b1 ^ y.b1)"
+_DIFFER = "bit_count(x.b ^ y.b)"
 _PAIR = ["x.d AS xd", "x.s AS xs", "y.d AS yd", "y.s AS ys", f"cast({_DIFFER} AS int) AS e"]
 
 
@@ -102,8 +105,9 @@ def _may_match() -> Column:
 
 
 def _paired(x: DataFrame, y: DataFrame, on: tuple[str, ...] = ("token",)) -> DataFrame:
-    """Pairs of entries that share a token and may match."""
-    same = F.lit(True)
+    """Pairs of entries that share a token and may match, of lines x that are open. That condition names both sides (y's is
+    never below 0), or it would make two exchanges of a table that is joined with itself."""
+    same = F.expr("x.open > least(y.open, 0)")
     for c in on:
         same &= F.col(f"x.{c}") == F.col(f"y.{c}")
     return x.alias("x").join(y.alias("y"), same & _may_match()).selectExpr(*_PAIR)
@@ -147,9 +151,26 @@ def _classed(x: DataFrame, y: DataFrame, hot: DataFrame, n_hot: int) -> tuple[Da
     return dealt(x, f"array(floor({size('shiftright(np, 32)')}))"), dealt(sought, f"sequence(floor({size('shiftright(np, 32) * 0.8D')} - 1e-9D), floor({size('shiftright(np, 32) * 1.25D')} + 1e-9D))")
 
 
+def _led_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
+    """(d, s) of the lines that resemble a line of the earliest document of one of their rarest tokens: a pair for each entry at most."""
+    probes = _posted(keys.withColumn("prefix", F.slice("prefix", 1, PROBES)))
+    first = [F.min("d").alias("d"), *(F.min_by(c, "d").alias(c) for c in ("s", "np", "b"))]
+    leaders = scratch_table(probes.groupBy("token").agg(*first, F.count("*").alias("n")).filter("n > 1").drop("n"), "probe-leaders")
+    y = _if_few(leaders, leaders.count())
+    pairs = probes.alias("x").join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR)
+    best = pairs.groupBy("xd", "xs").agg(F.min_by("yd", "e").alias("yd"), F.min_by("ys", "e").alias("ys"))
+    best = scratch_table(best, "led-pairs", large=True)
+    return scratch_table(_similar(sets, best), "led-lines")
+
+
 def _late_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
     """(d, s) of the lines that resemble an earlier, different one."""
     spark = sets.sparkSession
+    led = _led_lines(sets, keys)
+    n_led = led.count()
+    keys = keys.join(_if_few(led.withColumn("open", F.lit(0)), n_led), ["d", "s"], "left").withColumn("open", F.coalesce("open", F.lit(1)))
+    if n_led > BROADCAST_ROWS:
+        keys = scratch_table(keys, "open-keys", large=True)
     posted = _posted(keys)
     hot = scratch_table(_hot_lists(posted), "hot-lists")
     n_hot = hot.count()
@@ -161,11 +182,11 @@ def _late_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
     pairs = _paired(dealt, dealt)
     if n_hot:
         long_ = scratch_table(posted.join(_if_few(hot, n_hot), "token"), "hot-entries")
-        leaders = long_.groupBy("token").agg(F.min(F.struct("d", "s", "np", "b0", "b1")).alias("y")).select("token", "y.*")
+        leaders = long_.groupBy("token").agg(F.min(F.struct("d", "s", "np", "b", "open")).alias("y")).select("token", "y.*")
         pairs = pairs.unionByName(_paired(long_, _if_few(leaders, n_hot)))
     best = pairs.groupBy("xd", "xs").agg(F.min_by("yd", "e").alias("yd"), F.min_by("ys", "e").alias("ys"), F.count("*").alias("n"))
     best = scratch_table(best, "likely-pairs", large=True)
-    sure = scratch_table(_similar(sets, best.select("xd", "xs", "yd", "ys")), "likely-lines")
+    sure = scratch_table(led.unionByName(_similar(sets, best.select("xd", "xs", "yd", "ys"))), "likely-lines")
     n_sure = sure.count()
     left = best.filter("n > 1").select(F.col("xd").alias("d"), F.col("xs").alias("s")).join(_if_few(sure, n_sure), ["d", "s"], "left_anti")
     left = scratch_table(left, "lines-left")

@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from evidentia.llm import fingerprints, nearcopies, pii
+from evidentia.llm import fingerprints, linededup, nearcopies, pii
 
 KEY = b"a key of these tests"
 
@@ -131,3 +131,12 @@ def test_groups_meet_through_either_kind_of_link(spark):
     found = spark.createDataFrame([(1, 11, 5), (2, 12, 6), (3, 13, 6), (4, 14, 9)], "doc_id long, text_hash long, group long")
     others = spark.createDataFrame([(11, 1), (12, 1), (13, 2), (14, 3)], "text_hash long, group long")
     assert {r.doc_id: r.group for r in nearcopies.merged(found, others).collect()} == {1: 5, 2: 5, 3: 5, 4: 9}
+
+
+def test_a_group_of_near_lines_is_not_paired_with_itself(spark, monkeypatch):
+    made, plain = [], linededup._paired
+    monkeypatch.setattr(linededup, "_paired", lambda *a, **k: made.append(plain(*a, **k)) or made[-1])
+    base = " ".join(f"w{k}" for k in range(20))
+    docs = spark.createDataFrame([(k, f"{base} other{k}") for k in range(400)], "doc_id long, text string")
+    assert [r.doc_id for r in linededup.dedup_lines(docs).filter("text <> ''").collect()] == [0]
+    assert sum(x.count() for x in made) < 4000
