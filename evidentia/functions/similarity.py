@@ -57,9 +57,22 @@ def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def with_similarity(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
-    """df with the similarity of two columns: made once for each distinct pair that differs, known at once for the others."""
-    open_ = df.filter(F.col(a) != F.col(b)).select(a, b).distinct()
-    found = open_.withColumn("__similarity", jaro_winkler(a, b))
+#: Values whose pairs are all compared beforehand and broadcast.
+LISTED = 1000
+
+
+def with_similarity(df: DataFrame, a: str, b: str, name: str, values: DataFrame | None = None) -> DataFrame:
+    """df with the similarity of two columns: made once for each distinct pair that differs, known at once for the others.
+
+    values: one column with all values that these columns have. Where they are few, their pairs are compared and broadcast,
+    so that df is neither read twice nor shuffled.
+    """
+    few = None if values is None else values.toDF(a).dropna().distinct()
+    if few is not None and few.limit(LISTED + 1).count() <= LISTED:
+        open_ = few.crossJoin(few.toDF(b)).filter(F.col(a) != F.col(b))
+        found = F.broadcast(open_.withColumn("__similarity", jaro_winkler(a, b)))
+    else:
+        open_ = df.filter(F.col(a) != F.col(b)).select(a, b).distinct()
+        found = open_.withColumn("__similarity", jaro_winkler(a, b))
     same = F.when(F.col(a) == F.col(b), F.when(F.col(a) == "", 0.0).otherwise(1.0))
     return df.join(found, [a, b], "left").withColumn(name, F.coalesce(same, "__similarity")).drop("__similarity")

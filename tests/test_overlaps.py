@@ -1,10 +1,11 @@
-"""Candidate rules whose hits are not gathered, against the hits themselves."""
+"""Results that are found without gathering or making pairs, against the pairs themselves."""
 
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from evidentia.functions import similarity
 from evidentia.operators import candidates
 
 
@@ -35,3 +36,11 @@ def test_overlaps(observed, monkeypatch, loose):
     found = candidates.rule_overlaps(observed)
     assert rows(found) == rows(candidates.exclusion_violations(candidates.rule_hits(observed)))
     assert bool(found.count()) == loose
+
+
+def test_few_values_are_compared_beforehand(spark):
+    df = spark.createDataFrame([("MARTHA", "MARHTA"), ("A", "A"), ("", ""), (None, "A"), ("DIXON", "DICKSONX")], "a string, b string")
+    out = similarity.with_similarity(df, "a", "b", "s", df.select("a").union(df.select("b")))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, similarity.with_similarity(df, "a", "b", "s").collect()))
