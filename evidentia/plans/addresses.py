@@ -115,15 +115,20 @@ def summarise(evaluated: DataFrame) -> DataFrame:
 def candidate_fanout(parsed: DataFrame, sales: DataFrame) -> DataFrame:
     """How many sales each parsed address would meet by postcode and building number, by road exact or compatible, with and without the unit.
 
-    parsed: parse_key, postcode, building, unit, road. sales: postcode, building, unit, road. One join and one aggregation.
+    parsed: parse_key, postcode, building, unit, road. sales: postcode, building, unit, road. A road is compatible if it is a
+    run of words of the parsed one, so each distinct run looks up how many sales have it: no pairs are made.
     """
-    block = ["postcode", "building"]
-    right = sales.select(*block, F.col("unit").alias("sale_unit"), F.col("road").alias("sale_road"))
-    met = parsed.join(right, block, "left")
-    exact, compatible = F.col("road") == F.col("sale_road"), has_token(F.col("road"), F.col("sale_road"))
-    unit = F.col("unit") == F.col("sale_unit")
+    block = ["postcode", "building", "run"]
+    run = F.col("road").alias("run")
+    sold = sales.groupBy("postcode", "building", run).agg(F.count("*").alias("n"))
+    sold_unit = sales.groupBy("postcode", "building", run, "unit").agg(F.count("*").alias("n_unit"))
+    runs = F.expr("array_distinct(flatten(transform(sequence(1, size(words)), i -> transform(sequence(i, size(words)), j -> array_join(slice(words, i, j - i + 1), ' ')))))")
+    asked = parsed.withColumn("words", F.split("road", " ", -1)).withColumn("run", F.explode_outer(runs))
+    met = asked.join(sold, block, "left").join(sold_unit, [*block, "unit"], "left")
+    exact = F.col("run") == F.col("road")
+    total = lambda n, *on: F.coalesce(F.sum(F.when(on[0], F.col(n)) if on else F.col(n)), F.lit(0).cast("long"))
     return met.groupBy("parse_key").agg(
-        F.count_if(exact).alias("exact_road_count"), F.count_if(compatible).alias("compatible_road_count"), F.count_if(exact & unit).alias("exact_road_unit_count"), F.count_if(compatible & unit).alias("compatible_road_unit_count")
+        total("n", exact).alias("exact_road_count"), total("n").alias("compatible_road_count"), total("n_unit", exact).alias("exact_road_unit_count"), total("n_unit").alias("compatible_road_unit_count")
     )
 
 

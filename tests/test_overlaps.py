@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evidentia.functions import similarity
 from evidentia.operators import candidates
+from evidentia.plans import addresses
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +39,35 @@ def test_overlaps(observed, monkeypatch, loose):
     assert bool(found.count()) == loose
 
 
+def _most_rows(df):
+    """The most rows that a join of the plan made, once it has run."""
+    df.collect()
+    found, open_ = [0], [df._jdf.queryExecution().executedPlan()]
+    while open_:
+        node = open_.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            open_.append(node.executedPlan())
+            continue
+        if "QueryStage" in node.nodeName():
+            open_.append(node.plan())
+            continue
+        if "Join" in node.nodeName():
+            found.append(node.metrics().apply("numOutputRows").value())
+        open_ += [node.children().apply(k) for k in range(node.children().size())]
+    return max(found)
+
+
+def test_fan_out_makes_no_pairs(spark):
+    row = "postcode string, building string, unit string, road string"
+    parsed = spark.createDataFrame([(f"p{k}", "A1", "1", f"u{k % 2}", "OLD HIGH STREET") for k in range(100)] + [("none", "A1", "1", None, None), ("gaps", "A1", "1", "u0", "A  B")], f"parse_key string, {row}")
+    sales = spark.createDataFrame([("A1", "1", f"u{k % 4}", ("HIGH STREET", "OLD HIGH STREET", "IGH STREET", None)[k % 4]) for k in range(400)] + [("A1", "1", "u0", ""), ("A1", "1", "u0", "A  B")], row)
+    out = addresses.candidate_fanout(parsed, sales)
+    assert _most_rows(out) < 2000
+    got = {r.parse_key: tuple(r)[1:] for r in out.collect()}
+    assert got["p0"] == (100, 200, 0, 100) and got["p1"] == (100, 200, 100, 100)
+    assert got["none"] == (0, 0, 0, 0) and got["gaps"] == (1, 2, 1, 2)
+
+
 def test_few_values_are_compared_beforehand(spark):
     df = spark.createDataFrame([("MARTHA", "MARHTA"), ("A", "A"), ("", ""), (None, "A"), ("DIXON", "DICKSONX")], "a string, b string")
     out = similarity.with_similarity(df, "a", "b", "s", df.select("a").union(df.select("b")))
