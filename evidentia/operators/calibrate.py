@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evidentia.operators.store import stage
+
 
 def seeded(seed: str, key: Column) -> Column:
     return F.sha2(F.concat(F.lit(seed), F.lit("|"), key.cast("string")), 256)
@@ -78,17 +80,34 @@ def rule_versions(rows: DataFrame, versions: DataFrame, key: Sequence[str], colu
     return rows.join(F.broadcast(known), list(key), "left").withColumn(column, F.coalesce(column, "__version")).select(*rows.columns)
 
 
+#: Letters by which a street's places in a premise are found.
+OPENING = 4
+
+
 def weak_label_sample(rows: DataFrame, sales: DataFrame, seed: str, n: int) -> DataFrame:
     """Certificates whose unit, house number and street are told by a sale of the same postcode, one sale each.
 
     rows: key, postcode, premise, numbers (its number tokens in order). sales: sale_key, postcode, paon, saon, street.
-    Of several sales the first by hash is taken; the number of rows that have one stands beside each.
+    Of several sales the first by hash is taken; the number of rows that have one stands beside each. A street is told if the
+    premise contains it: the parts of the premise that begin as some street does, of that street's length, are looked up
+    among the streets of the same postcode, unit and number, of each of which one sale is kept. No pairs are made.
     """
     token = lambda c: F.regexp_extract(F.upper(c), "(^| )([0-9]+[A-Z]?)", 2)
     told = sales.select("sale_key", "postcode", token("saon").alias("u"), token("paon").alias("h"), "paon", "saon", "street", F.upper("street").alias("s"))
     asked = rows.select("key", "postcode", "premise", F.get("numbers", F.lit(0)).alias("u"), F.get("numbers", F.lit(1)).alias("h"))
-    met = asked.join(told, ["postcode", "u", "h"]).filter(F.contains("premise", "s"))
-    one = met.groupBy("key").agg(F.min(F.struct(F.sha2("sale_key", 256).alias("r"), "sale_key", "paon", "saon", "street")).alias("x"))
+    block = ["postcode", "u", "h", "s"]
+    first = F.min(F.struct(F.sha2("sale_key", 256).alias("r"), "sale_key", "paon", "saon", "street"))
+    told = stage(told.groupBy(*block).agg(first.alias("x")).filter("s IS NOT NULL"), "told-streets")
+    # Streets' openings of up to OPENING letters, with the lengths of the streets that begin so.
+    opening = F.left(F.col("s"), F.lit(OPENING))
+    openings = told.groupBy(opening.alias("opening")).agg(F.collect_set(F.length("s")).alias("lengths"))
+    openings = F.broadcast(openings) if openings.count() <= 100_000 else openings
+    places = asked.filter("premise IS NOT NULL").select("*", F.explode(F.sequence(F.lit(1), F.greatest(F.length("premise"), F.lit(1)))).alias("at"))
+    begun = places.select("*", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.substring("premise", F.col("at"), F.lit(k)).alias("opening")) for k in range(OPENING + 1)))).alias("o"))
+    begun = begun.filter("length(o.opening) = o.k").select("key", "postcode", "u", "h", "premise", "at", F.col("o.opening").alias("opening")).join(openings, "opening")
+    parts = begun.select("key", "postcode", "u", "h", F.col("premise"), "at", F.explode("lengths").alias("n")).filter("at + n - 1 <= length(premise)")
+    parts = parts.select("key", "postcode", "u", "h", F.expr("substring(premise, at, n)").alias("s")).distinct()
+    one = parts.join(told, block).groupBy("key").agg(F.min("x").alias("x"))
     total = one.agg(F.count("*").alias("weak_label_population_count"))
     picked = one.orderBy(seeded(seed, F.col("key"))).limit(n)
     return picked.crossJoin(F.broadcast(total)).select("key", "x.sale_key", F.col("x.paon").alias("expected_house_number"), F.col("x.saon").alias("expected_unit"), F.col("x.street").alias("expected_road"), "weak_label_population_count")

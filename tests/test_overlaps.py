@@ -1,12 +1,13 @@
 """Results that are found without gathering or making pairs, against the pairs themselves."""
 
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from evidentia.functions import similarity
-from evidentia.operators import candidates
+from evidentia.operators import calibrate, candidates
 from evidentia.plans import addresses
 
 
@@ -68,6 +69,17 @@ def test_fan_out_makes_no_pairs(spark):
     assert got["none"] == (0, 0, 0, 0) and got["gaps"] == (1, 2, 1, 2)
 
 
+def test_weak_labels_make_no_pairs(spark):
+    rows = spark.createDataFrame([(f"k{k}", "A1", "1 2 THE HIGH STREET END", ["1", "2"]) for k in range(100)], "key string, postcode string, premise string, numbers array<string>")
+    streets = ("High Street", "STREET", "e e", "", "Low Street", None)
+    sales = spark.createDataFrame([(f"s{k}", "A1", "2", "1", streets[k % 6]) for k in range(600)], "sale_key string, postcode string, paon string, saon string, street string")
+    out = calibrate.weak_label_sample(rows, sales, "w", 200)
+    assert _most_rows(out) < 6000  # places where a street may begin, and not 30,000 pairs
+    told = [k for k in range(600) if streets[k % 6] is not None and streets[k % 6].upper() in "1 2 THE HIGH STREET END"]
+    first = min((f"s{k}" for k in told), key=lambda s: hashlib.sha256(s.encode()).hexdigest())
+    assert {(r.key, r.sale_key, r.weak_label_population_count) for r in out.collect()} == {(f"k{k}", first, 100) for k in range(100)}
+
+
 def test_few_values_are_compared_beforehand(spark):
     df = spark.createDataFrame([("MARTHA", "MARHTA"), ("A", "A"), ("", ""), (None, "A"), ("DIXON", "DICKSONX")], "a string, b string")
     out = similarity.with_similarity(df, "a", "b", "s", df.select("a").union(df.select("b")))
