@@ -76,12 +76,13 @@ def _rarity(sets: DataFrame) -> Column:
 
 
 def _keyed(sets: DataFrame, levels: Column) -> DataFrame:
-    """d, s, the line's token number n, its parity bitmap b of 64 bits and its prefix of tokens by rarity."""
+    """d, s, the line's token number n, its parity bitmap of 128 bits (b0, b1) and its prefix of tokens by rarity."""
     num, den = THRESHOLD
     key = lambda t: F.shiftleft(levels[t.bitwiseAND(BUCKETS - 1)].cast("long"), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
-    parity = F.aggregate("t", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
-    ordered = sets.select("d", "s", "n", parity.alias("b"), F.sort_array(F.transform("t", key)).alias("t"))
-    return ordered.select("d", "s", "n", "b", F.slice("t", 1, F.expr(f"cast(n - (n * {num}L + {den - 1}) DIV {den} + 1 AS int)")).alias("prefix"))
+    parity = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
+    b0, b1 = parity(F.filter("t", lambda t: t < 0)), parity(F.filter("t", lambda t: t >= 0))
+    ordered = sets.select("d", "s", "n", b0.alias("b0"), b1.alias("b1"), F.sort_array(F.transform("t", key)).alias("t"))
+    return ordered.select("d", "s", "n", "b0", "b1", F.slice("t", 1, F.expr(f"cast(n - (n * {num}L + {den - 1}) DIV {den} + 1 AS int)")).alias("prefix"))
 
 
 def _posted(keys: DataFrame) -> DataFrame:
@@ -92,7 +93,7 @@ def _posted(keys: DataFrame) -> DataFrame:
 
 
 _SIZE, _PLACE = "shiftright({0}.np, 32)", "({0}.np & 4294967295L)"
-_DIFFER = "bit_count(x.b ^ y.b)"
+_DIFFER = "bit_count(x.b0 ^ y.b0) + bit_count(x.b1 ^ y.b1)"
 _PAIR = ["x.d AS xd", "x.s AS xs", "y.d AS yd", "y.s AS ys", f"cast({_DIFFER} AS int) AS e"]
 
 
@@ -154,7 +155,7 @@ def _classed(x: DataFrame, y: DataFrame, hot: DataFrame, n_hot: int) -> tuple[Da
 def _led_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
     """(d, s) of the lines that resemble a line of the earliest document of one of their rarest tokens: a pair for each entry at most."""
     probes = _posted(keys.withColumn("prefix", F.slice("prefix", 1, PROBES)))
-    first = [F.min("d").alias("d"), *(F.min_by(c, "d").alias(c) for c in ("s", "np", "b"))]
+    first = [F.min("d").alias("d"), *(F.min_by(c, "d").alias(c) for c in ("s", "np", "b0", "b1"))]
     leaders = scratch_table(probes.groupBy("token").agg(*first, F.count("*").alias("n")).filter("n > 1").drop("n"), "probe-leaders")
     y = _if_few(leaders, leaders.count())
     pairs = probes.alias("x").join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match()).selectExpr(*_PAIR)
@@ -182,7 +183,7 @@ def _late_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
     pairs = _paired(dealt, dealt)
     if n_hot:
         long_ = scratch_table(posted.join(_if_few(hot, n_hot), "token"), "hot-entries")
-        leaders = long_.groupBy("token").agg(F.min(F.struct("d", "s", "np", "b", "open")).alias("y")).select("token", "y.*")
+        leaders = long_.groupBy("token").agg(F.min(F.struct("d", "s", "np", "b0", "b1", "open")).alias("y")).select("token", "y.*")
         pairs = pairs.unionByName(_paired(long_, _if_few(leaders, n_hot)))
     best = pairs.groupBy("xd", "xs").agg(F.min_by("yd", "e").alias("yd"), F.min_by("ys", "e").alias("ys"), F.count("*").alias("n"))
     best = scratch_table(best, "likely-pairs", large=True)
