@@ -15,6 +15,7 @@ texts are `und`. Ties go to the language that sorts first. Each row gives one ro
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -284,29 +285,44 @@ class Scorer:
 
 
 def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Models:
-    """Models from rows (doc_id, text, lang); about sample_docs of each language, picked by hash of the id and text."""
+    """Models from rows (doc_id, text, lang); about sample_docs of each language, picked by hash of the id and text.
+
+    One task fits them, as texts and counts would weigh on the driver.
+    """
     rows = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     pick = F.pmod(F.xxhash64(F.col("doc_id"), F.length("text")), F.lit(1 << 30))
     share: Column = F.lit(False)
     for lang, n in sizes.items():
         share |= (F.col("lang") == lang) & (pick <= int((1 << 30) * min(1.0, sample_docs / n)))
-    found = rows.filter(share).select("doc_id", F.substring("text", 1, sample_chars).alias("text"), "lang").orderBy("doc_id", "text").collect() if sizes else []
+    if not sizes:
+        return _fit_counts({})
+    bounded_batches(rows.sparkSession)
+    found = rows.filter(share).select("doc_id", F.substring("text", 1, sample_chars).alias("text"), "lang").repartition(1).sortWithinPartitions("doc_id", "text")
+    made = found.mapInArrow(_fitted, "models binary").collect()
+    return pickle.loads(made[0].models) if made else _fit_counts({})
+
+
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The models of the sample's texts (doc_id, text, lang), which come in order; they are small, so the driver gets them alone."""
+    alone("langid")
     samples: dict[str, dict[str, int]] = {}
     held: list[tuple[str, str]] = []
     seen: dict[str, int] = {}
-    for r in found:
-        seen[r.lang] = seen.get(r.lang, 0) + 1
-        if seen[r.lang] % CALIBRATION == 0:
-            held.append((r.lang, r.text))
-            continue
-        words = samples.setdefault(r.lang, {})
-        for w, n in _words(r.text).items():
-            words[w] = words.get(w, 0) + n
+    for batch in batches:
+        for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            seen[lang] = seen.get(lang, 0) + 1
+            if seen[lang] % CALIBRATION == 0:
+                held.append((lang, text))
+                continue
+            words = samples.setdefault(lang, {})
+            for w, n in _words(text).items():
+                words[w] = words.get(w, 0) + n
     models = _fit_counts({lang: words for lang, words in samples.items() if words})
     if models.langs and held:
         _calibrate(models, held)
-    return models
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(models)], pa.binary())], names=["models"])
+    trim()
 
 
 def _predicted(batches: Iterator[pa.RecordBatch], models: Models) -> Iterator[pa.RecordBatch]:

@@ -394,6 +394,15 @@ def test_kneser_ney_against_plain_counts():
         assert np.allclose(logs[:, column], [plain(w) for w in asked], rtol=1e-9)
 
 
+def test_language_fit_leaves_texts_to_a_task(spark, monkeypatch):
+    """The driver, whose memory texts and counts would fill, only gets the models."""
+    monkeypatch.setattr(langid, "_words", None)  # in the driver; a worker imports its own
+    models = langid.fit(spark.createDataFrame([(k, "xaxo" if k % 2 else "bebi", "xx" if k % 2 else "yy") for k in range(20)], "doc_id long, text string, lang string"))
+    monkeypatch.undo()
+    assert models.langs == ["xx", "yy"] and langid.Scorer(models).predict(["xaxo", "bebi"])[0] == ["xx", "yy"]
+    assert langid.fit(spark.createDataFrame([], "doc_id long, text string, lang string")).langs == []
+
+
 def test_language_rules(spark, monkeypatch):
     long, short = "xaxo " * 7000, "bebi " * 30  # long rows teach by their first characters
     rows = [(k, long if k % 2 else short, "xx" if k % 2 else "yy") for k in range(40)]
