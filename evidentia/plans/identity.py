@@ -122,9 +122,14 @@ def hypotheses(population: DataFrame, candidates: DataFrame, decided: DataFrame)
     gaps = publication_gaps(candidates, decided).groupBy("gap").agg(F.count("*").alias("n")).orderBy("gap").collect()
     if gaps:
         raise IncompletePublication(", ".join(f"{r.gap}: {r.n}" for r in gaps))
-    run = ["identity_run_key", "identity_run_observation_key"]
     summary = observation_summary(decided).withColumnRenamed("key", "identity_run_observation_key")
-    found = population.filter("is_identity_eligible").select(*run, "identity_observation_key").join(summary, "identity_run_observation_key", "left")
+    return hypotheses_of(population.filter("is_identity_eligible"), summary)
+
+
+def hypotheses_of(eligible: DataFrame, summary: DataFrame) -> DataFrame:
+    """A hypothesis for every eligible observation by its summary, where its decisions were made of the candidates themselves."""
+    run = ["identity_run_key", "identity_run_observation_key"]
+    found = eligible.select(*run, "identity_observation_key").join(summary, run[1], "left")
     return found.select(
         stable_sha256("hypothesis", "v1", *run).alias("identity_hypothesis_key"), stable_sha256("singleton-cluster", "v1", *run).alias("identity_cluster_key"), *run, "identity_observation_key",
         F.when(F.col("candidate_count").isNull(), "SINGLETON_NO_CANDIDATE").otherwise("UNRESOLVED_REVIEW").alias("hypothesis_outcome"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from evidentia.functions import similarity
 from evidentia.operators import calibrate, candidates
-from evidentia.plans import addresses
+from evidentia.plans import addresses, identity, scoring
 
 
 @pytest.fixture(scope="module")
@@ -86,3 +86,21 @@ def test_few_values_are_compared_beforehand(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert sorted(map(repr, out.collect())) == sorted(map(repr, similarity.with_similarity(df, "a", "b", "s").collect()))
+
+
+def test_pairs_that_meet_in_blocks(spark):
+    """Scores and summaries of pairs made where a block's rows meet are those of pairs joined to their rows, and no pair is shuffled."""
+    rng = random.Random(9)
+    pick = lambda *values: rng.choice([None, *values])
+    made = [(f"u{rng.random()}", rng.choice("AB"), pick("1", "2"), pick("p1", "p2"), pick("s"), f"{rng.choice(['HIGH STREET', 'HIGH STREAT', 'MILL'])} {rng.randint(1, 4)}", pick("7", "8"), pick("FLAT", "HOUSE")) for _ in range(80)]
+    made += [(f"v{k}", s, None, "p1", None, p, None, None) for k, (s, p) in enumerate([("A", None), ("B", None), ("A", "MILL"), ("B", "MILL"), ("A", "LONE 9")])]
+    data = spark.createDataFrame(made, f"unique_id string, source_dataset string, {', '.join(f'{c} string' for c in scoring.FEATURES)}")
+    data = data.withColumn("no", F.nullif(F.regexp_extract("premise_address_comparison", "([0-9]+)$", 1), F.lit("")))
+    side = lambda source, name: data.filter(F.col("source_dataset") == source).select("no", F.col("unique_id").alias(name))
+    pairs = side("A", "a").join(side("B", "b"), "no").select(F.least("a", "b").alias("key_l"), F.greatest("a", "b").alias("key_r"))
+    plain = scoring.scores(pairs.withColumn("candidate_pair_key", scoring.stable_sha256("candidate-pair", "v1", "key_l", "key_r")), data)
+    found = scoring.scores_of(scoring.met(data, "no", "A", "B"))
+    assert plain.count() > 100 and rows(found) == rows(plain)
+    assert "key_l" not in "".join(x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x)
+    review = F.lit("REVIEW").alias("decision_outcome")
+    assert rows(identity.observation_summary(found.select("*", review))) == rows(identity.observation_summary(plain.select("*", review)))
