@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from evidentia.functions import similarity
+from evidentia.functions import keys, similarity
 from evidentia.operators import calibrate, candidates
 from evidentia.plans import addresses, identity, scoring, silver
 
@@ -40,6 +40,24 @@ def test_overlaps(observed, monkeypatch, loose):
     assert bool(found.count()) == loose
 
 
+@pytest.mark.parametrize("kept", ["true", "rule = 'DIRECT_IDENTIFIER'"])
+def test_audit_gathers_no_pairs(spark, observed, monkeypatch, kept):
+    monkeypatch.setattr(candidates, "PAIR_TASKS", 2)
+    monkeypatch.setattr(candidates, "LARGE_BLOCK", 8)
+    policy = [p for p in candidates.DEFAULT_POLICY if kept == "true" or p.rule == candidates.DIRECT]
+    more = spark.createDataFrame([(None, "B", 1, "p", "s", "1", 1, 1, "LANE"), (5, "A", None, "p", "s", "1", None, 1, "LANE"), (5, "B", 2, "p", "s", "1", None, 1, "LANE")], observed.schema)
+    found = candidates.rules_audit(observed.unionByName(more), policy)
+    assert rows(found) == rows(candidates.generation_audit(candidates.rule_hits(observed.unionByName(more), policy)))
+    assert not any(x in found._jdf.queryExecution().optimizedPlan().toString() for x in ("Expand", "key_l"))
+
+
+def test_checksum_of_digits(spark):
+    for n in (0, 1, 2, 57):
+        keys_ = spark.range(n).select(F.nullif(F.concat(F.lit("k"), F.col("id")), F.lit("k3")).alias("k"))
+        plain = keys_.agg(F.bit_xor(F.conv(F.substring(F.sha2("k", 256), 1, 15), 16, 10).cast("long"))).first()[0]
+        assert keys_.agg(keys.checksum(F.col("k"))).first()[0] == plain
+
+
 def _most_rows(df):
     """The most rows that a join of the plan made, once it has run."""
     df.collect()
