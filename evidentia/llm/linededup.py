@@ -11,10 +11,10 @@ is a prefix filter: tokens are ordered by rarity (lines with their hash bucket,
 similar enough share a token among their first n - ceil(t n) + 1, and a pair goes on only if sizes, the places of the
 shared token and the parity bitmaps of both sets (whose differing bits never exceed the differing tokens) allow the
 similarity. A line needs one match: it first meets an early line of each of its PROBES rarest tokens, which settles
-nearly all of a group of near copies without pairing its members. Of the lines left, the likeliest pair (fewest differing
-bits) is verified on the token sets first, and only lines which that leaves meet all their other pairs. Lists above LIST lines first meet their earliest line alone; of
-them, too, only the lines left meet the rest, dealt by classes of size, of which a line can match
-three or four at most, unless they are few enough to be broadcast to all lists.
+nearly all of a group of near copies without pairing its members. The pairs of the lines left are kept, each once. The likeliest
+(fewest differing bits) is verified on the token sets first, and only lines which that leaves have their other pairs
+verified. Lists above LIST lines first meet their earliest line alone; only their lines left meet the rest, dealt by
+classes of size, of which a line can match three or four at most, unless they are few enough to be broadcast.
 """
 
 from __future__ import annotations
@@ -43,14 +43,20 @@ _LEAST = -(1 << 63)
 _TOKENS_AS = {"parquet.dictionary.page.size": str(16 << 20), "parquet.block.size": str(32 << 20)}
 
 
-def _doc_key() -> list[Column]:
-    """What orders the documents: the id, and 33 bits of the text's hash."""
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), F.shiftrightunsigned(F.xxhash64(F.col("text").cast("string")), _LINE_BITS).alias("h")]
+def _doc_key(unique: bool) -> list[Column]:
+    """What orders the documents: the id, and 33 bits of the text's hash, 0 where ids are unique, as it orders nothing then."""
+    text_hash = F.lit(0).cast("long") if unique else F.shiftrightunsigned(F.xxhash64(F.col("text").cast("string")), _LINE_BITS)
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), text_hash.alias("h")]
 
 
-def _token_sets(docs: DataFrame) -> DataFrame:
+def _unique_ids(docs: DataFrame) -> bool:
+    one = docs.select(*_doc_key(True)).agg(F.count("*").alias("n"), F.countDistinct("d").alias("ids")).first()
+    return one.n == one.ids
+
+
+def _token_sets(docs: DataFrame, unique: bool) -> DataFrame:
     """d and s place a line, k1 and k2 are 95 bits of its text's hash, t has its n tokens; n is 0 for lines without a word."""
-    split = docs.select(*_doc_key(), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
+    split = docs.select(*_doc_key(unique), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
     place = F.shiftleft("h", _LINE_BITS).bitwiseOR(F.col("line_no").cast("long"))
     rare, spaced, line = F.lit(False), F.col("line"), F.col("line")
     for mark in SPACES:
@@ -86,13 +92,14 @@ def _keyed(sets: DataFrame, levels: Column) -> DataFrame:
 
 
 def _posted(keys: DataFrame) -> DataFrame:
-    """A row for each token of a prefix; np is the line's token number above the token's place, 32 bits each."""
-    rest = [c for c in keys.columns if c not in ("n", "prefix")]
-    entries = keys.select(*rest, "n", F.posexplode("prefix").alias("p", "token"))
-    return entries.select(*rest, F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("p").cast("long")).alias("np"), "token")
+    """A row for each token of a prefix; np is the line's token number above a bit for open lines and 31 bits of the token's place."""
+    rest = [c for c in keys.columns if c not in ("n", "prefix", "open")]
+    open_ = F.shiftleft(F.col("open").cast("long"), 31) if "open" in keys.columns else F.lit(0).cast("long")
+    entries = keys.select(*rest, "n", open_.alias("open"), F.posexplode("prefix").alias("p", "token"))
+    return entries.select(*rest, F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("open")).bitwiseOR(F.col("p").cast("long")).alias("np"), "token")
 
 
-_SIZE, _PLACE = "shiftright({0}.np, 32)", "({0}.np & 4294967295L)"
+_SIZE, _PLACE = "shiftright({0}.np, 32)", "({0}.np & 2147483647L)"
 _DIFFER = "bit_count(x.b0 ^ y.b0) + bit_count(x.b1 ^ y.b1)"
 _PAIR = ["x.d AS xd", "x.s AS xs", "y.d AS yd", "y.s AS ys", f"cast({_DIFFER} AS int) AS e"]
 
@@ -108,7 +115,7 @@ def _may_match() -> Column:
 def _paired(x: DataFrame, y: DataFrame, on: tuple[str, ...] = ("token",)) -> DataFrame:
     """Pairs of entries that share a token and may match, of lines x that are open. That condition names both sides (y's is
     never below 0), or it would make two exchanges of a table that is joined with itself."""
-    same = F.expr("x.open > least(y.open, 0)")
+    same = F.expr("(x.np & 2147483648L) > least(y.np, 0L)")
     for c in on:
         same &= F.col(f"x.{c}") == F.col(f"y.{c}")
     return x.alias("x").join(y.alias("y"), same & _may_match()).selectExpr(*_PAIR)
@@ -183,33 +190,31 @@ def _late_lines(sets: DataFrame, keys: DataFrame) -> DataFrame:
     pairs = _paired(dealt, dealt)
     if n_hot:
         long_ = scratch_table(posted.join(_if_few(hot, n_hot), "token"), "hot-entries")
-        leaders = long_.groupBy("token").agg(F.min(F.struct("d", "s", "np", "b0", "b1", "open")).alias("y")).select("token", "y.*")
+        leaders = long_.groupBy("token").agg(F.min(F.struct("d", "s", "np", "b0", "b1")).alias("y")).select("token", "y.*")
         pairs = pairs.unionByName(_paired(long_, _if_few(leaders, n_hot)))
+    pairs = scratch_table(pairs.groupBy("xd", "xs", "yd", "ys").agg(F.min("e").alias("e")), "candidate-pairs", large=True)
     best = pairs.groupBy("xd", "xs").agg(F.min_by("yd", "e").alias("yd"), F.min_by("ys", "e").alias("ys"), F.count("*").alias("n"))
-    best = scratch_table(best, "likely-pairs", large=True)
+    best = scratch_table(best, "likely-pairs")
     sure = scratch_table(led.unionByName(_similar(sets, best.select("xd", "xs", "yd", "ys"))), "likely-lines")
     n_sure = sure.count()
-    left = best.filter("n > 1").select(F.col("xd").alias("d"), F.col("xs").alias("s")).join(_if_few(sure, n_sure), ["d", "s"], "left_anti")
-    left = scratch_table(left, "lines-left")
-    open_ = posted.join(_if_few(left, left.count()), ["d", "s"], "left_semi")
+    left = best.filter("n > 1").join(_if_few(sure, n_sure), F.expr("xd = d AND xs = s"), "left_anti")
+    left = scratch_table(left.select("xd", "xs", F.col("yd").alias("bd"), F.col("ys").alias("bs")), "lines-left")
+    others = pairs.drop("e").join(_if_few(left, left.count()), ["xd", "xs"]).filter("yd <> bd OR ys <> bs").drop("bd", "bs")
     if n_hot:
-        open_ = open_.unionByName(long_.join(_if_few(sure, n_sure), ["d", "s"], "left_anti")).distinct()
-    open_ = scratch_table(open_, "entries-left")
-    left_over = open_.count()
-    if not left_over:
-        return sure
-    if left_over <= BROADCAST_ROWS:
-        others = _paired(F.broadcast(open_), posted)
-    else:
-        others = _paired(*_classed(open_, posted, hot, n_hot), ("token", "part"))
-    others = others.drop("e").distinct().join(best.select("xd", "xs", "yd", "ys"), ["xd", "xs", "yd", "ys"], "left_anti")
-    others = scratch_table(others, "other-pairs", large=True)
+        open_ = scratch_table(long_.join(_if_few(sure, n_sure), ["d", "s"], "left_anti"), "entries-left")
+        if open_.count() <= BROADCAST_ROWS:
+            met = _paired(F.broadcast(open_), long_)
+        else:
+            met = _paired(*_classed(open_, long_, hot, n_hot), ("token", "part"))
+        met = met.drop("e").distinct().join(pairs.select("xd", "xs", "yd", "ys"), ["xd", "xs", "yd", "ys"], "left_anti")
+        others = others.unionByName(met)
+    others = scratch_table(others, "other-pairs", large=bool(n_hot))
     return sure.unionByName(_similar(sets, others))
 
 
-def removed_lines(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """(d, s) of every line to remove, and the scratch tables that this is read from."""
-    table = scratch_table(_token_sets(docs), "token-sets", options=_TOKENS_AS)
+def removed_lines(docs: DataFrame, unique: bool = False) -> tuple[DataFrame, list[DataFrame]]:
+    """(d, s) of every line to remove, and the scratch tables that this is read from. unique: no doc_id comes twice."""
+    table = scratch_table(_token_sets(docs, unique), "token-sets", options=_TOKENS_AS)
     sets = table.filter("n > 0")
     again = sets.groupBy("k1", "k2").agg(F.min(F.struct("d", "s")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     again = scratch_table(again.select("k1", "k2", F.col("first.d").alias("fd"), F.col("first.s").alias("fs")), "repeated-lines")
@@ -225,14 +230,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     These two take the place of columns of their names.
     """
-    removed, tables = removed_lines(docs)
+    unique = _unique_ids(docs)
+    removed, tables = removed_lines(docs, unique)
     gone = removed.select("d", F.shiftrightunsigned("s", _LINE_BITS).alias("h"), F.col("s").bitwiseAND((1 << _LINE_BITS) - 1).cast("int").alias("line_no"))
     gone = scratch_table(gone.groupBy("d", "h").agg(F.collect_set("line_no").alias("gone")), "removed-lines", large=True)
     drop_tables(*tables)
     few = gone.agg(F.count("*"), F.sum(F.size("gone"))).first()
     names = [c for c in docs.columns if c not in ("__n_lines", "__n_removed")]
     rest = [F.col(f"`{c}`") for c in names if c != "text"]
-    d, h = _doc_key()
+    d, h = _doc_key(unique)
     mine = docs.select(F.struct(*(rest or [F.lit(0).alias("none")])).alias("__row"), d.alias("__d"), h.alias("__h"), F.col("text").cast("string").alias("__text"))
     gone = gone.select(F.col("d").alias("__d"), F.col("h").alias("__h"), "gone")
     if few[0] <= BROADCAST_ROWS and (few[1] or 0) <= 10 * BROADCAST_ROWS:

@@ -140,3 +140,22 @@ def test_a_group_of_near_lines_is_not_paired_with_itself(spark, monkeypatch):
     docs = spark.createDataFrame([(k, f"{base} other{k}") for k in range(400)], "doc_id long, text string")
     assert [r.doc_id for r in linededup.dedup_lines(docs).filter("text <> ''").collect()] == [0]
     assert sum(x.count() for x in made) < 4000
+
+
+def test_pairs_of_lines_are_made_once(spark, monkeypatch):
+    """Lines whose likeliest pair fails have their other pairs verified without joining the tokens again."""
+    made, plain = [], linededup._paired
+    monkeypatch.setattr(linededup, "_paired", lambda *a, **k: made.append(1) or plain(*a, **k))
+    base = " ".join(f"w{k}" for k in range(17))
+    lines = [f"{base} {' '.join(f'x{k}y{j}' for j in range(3))}" for k in range(80)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert {r.text for r in linededup.dedup_lines(docs).collect()} == set(lines)
+    assert len(made) == 1
+
+
+def test_line_dedup_of_repeated_ids(spark):
+    """Documents of one id are told apart by their texts."""
+    rows = [(1, "a b c"), (1, "d e f"), (1, "a b c"), (None, "g h i"), (None, "d e f\nj k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r.text for r in linededup.dedup_lines(docs).collect())
+    assert got == ["", "a b c", "a b c", "d e f\nj k", "g h i"]
