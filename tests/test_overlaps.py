@@ -140,7 +140,7 @@ def test_bridge_by_numbers(spark):
 def test_cross_pairs_are_dealt(spark, tmp_path):
     """A nation's pairs come from several tasks, and are those of the plain join."""
     spark.range(40).coalesce(1).selectExpr("id AS c_custkey", "int(nullif(id % 3, 2)) AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
-    spark.range(5000).selectExpr("id AS s_suppkey", "int(id % 2) AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(5000).coalesce(1).selectExpr("id AS s_suppkey", "int(id % 2) AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
     found = bindings.QUERIES["candidate_pairs_cross"](spark, str(tmp_path))
     plain = linkage.cross_pairs(spark.read.parquet(f"{tmp_path}/customer.parquet"), spark.read.parquet(f"{tmp_path}/supplier.parquet").withColumnRenamed("s_nationkey", "c_nationkey"), ["c_nationkey"], F.expr("c_custkey % 10 <> s_suppkey % 10"))
     both = [df.agg(F.count("*"), F.sum(F.xxhash64("c_custkey", "s_suppkey", nation).cast("decimal(38,0)"))).first() for df, nation in ((found, "nation"), (plain, "c_nationkey"))]
