@@ -86,14 +86,23 @@ def scoring_input(population: DataFrame, blocks: DataFrame) -> DataFrame:
     )
 
 
-def target_hypotheses(population: DataFrame) -> DataFrame:
-    """What an eligible observation points at: the number it was supplied with, else its postcode and premise."""
-    supplied = (F.col("source_dataset") == "EPC_CERTIFICATE") & F.col("uprn").isNotNull()
+def _supplied() -> Column:
+    return (F.col("source_dataset") == "EPC_CERTIFICATE") & F.col("uprn").isNotNull()
+
+
+def target_key() -> Column:
+    """The key of what a row of the population, or a scoring row, points at."""
     by_number = stable_sha256("target-hypothesis", "v1", "identity_run_key", F.lit("SUPPLIED_UPRN"), "uprn")
     by_address = stable_sha256("target-hypothesis", "v1", "identity_run_key", F.lit("ADDRESS_SIGNATURE"), "postcode", "premise_address_comparison")
+    return F.when(_supplied(), by_number).otherwise(by_address)
+
+
+def target_hypotheses(population: DataFrame) -> DataFrame:
+    """What an eligible observation points at: the number it was supplied with, else its postcode and premise."""
+    supplied = _supplied()
     value = F.when(supplied, F.col("uprn").cast("string")).otherwise(F.concat_ws("|", "postcode", "premise_address_comparison"))
     return population.filter("is_identity_eligible").select(
-        F.when(supplied, by_number).otherwise(by_address).alias("target_hypothesis_key"), "identity_run_key", "identity_run_observation_key", "identity_observation_key", "source_dataset", "event_date",
+        target_key().alias("target_hypothesis_key"), "identity_run_key", "identity_run_observation_key", "identity_observation_key", "source_dataset", "event_date",
         F.when(supplied, "SUPPLIED_UPRN").otherwise("ADDRESS_SIGNATURE").alias("target_hypothesis_type"), value.alias("target_hypothesis_value"), F.lit("EVIDENCE_GROUP_ONLY").alias("target_hypothesis_status"),
     )
 
@@ -159,6 +168,23 @@ def target_evidence(decided: DataFrame, targets: DataFrame) -> DataFrame:
         F.count("*").alias("supporting_candidate_count"), F.countDistinct("other").alias("counterpart_observation_count"), F.min("event_date").alias("first_counterpart_event_date"),
         F.max("event_date").alias("last_counterpart_event_date"), best.alias("b"),
     )
+    return _evidence(found)
+
+
+def met_target_evidence(scored: DataFrame, block: str) -> DataFrame:
+    """As `target_evidence` of pairs that come once each, with their block and both ends' target_hypothesis_key (as bytes) and
+    event_date: an end's pairs are all in one block, so they are summed up where they meet and none is shuffled."""
+    end = lambda s, o: F.struct(F.col(f"key_{s}").alias("key"), F.col(f"target_hypothesis_key_{o}").alias("target"), F.col(f"event_date_{o}").alias("event_date"))
+    ends = scored.select(block, F.explode(F.array(end("l", "r"), end("r", "l"))).alias("e"), "candidate_pair_key", "match_weight")
+    best = F.min(F.struct((-F.col("match_weight")).alias("w"), "candidate_pair_key"))
+    found = ends.groupBy(block, F.col("e.key").alias("key"), F.col("e.target").alias("target")).agg(
+        F.count("*").alias("supporting_candidate_count"), F.count("*").alias("counterpart_observation_count"), F.min("e.event_date").alias("first_counterpart_event_date"),
+        F.max("e.event_date").alias("last_counterpart_event_date"), best.alias("b"),
+    )
+    return _evidence(found.withColumn("target_hypothesis_key", F.lower(F.hex("target"))))
+
+
+def _evidence(found: DataFrame) -> DataFrame:
     return found.select(
         stable_sha256("target-alternative", "v1", "key", "target_hypothesis_key").alias("target_alternative_key"), "key", "target_hypothesis_key", "supporting_candidate_count",
         "counterpart_observation_count", "first_counterpart_event_date", "last_counterpart_event_date", (-F.col("b.w")).alias("top_match_weight"), F.col("b.candidate_pair_key").alias("top_candidate_pair_key"),

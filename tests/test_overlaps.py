@@ -1,6 +1,7 @@
 """Results that are found without gathering or making pairs, against the pairs themselves."""
 
 import hashlib
+import os
 import random
 
 import pytest
@@ -147,3 +148,28 @@ def test_cross_pairs_are_dealt(spark, tmp_path):
     assert both[0] == both[1] and both[0][0] > 40_000
     tasks = found.select("nation", F.spark_partition_id().alias("task")).groupBy("nation").agg(F.countDistinct("task").alias("n"))
     assert min(r.n for r in tasks.collect()) > 1
+
+
+def test_evidence_is_summed_up_in_blocks(spark, tmp_path):
+    """As of decisions that are joined to targets, with no pair in an exchange; ids that come twice take that way."""
+    parts = [("high st 1", "p1"), ("high st 1", "p2"), ("mill 1", "p1"), ("mill 2", None), ("9", "p3"), ("none", "p1"), (None, "p1")]
+    made = [(f"u{k:02}", "AB"[k % 2], str(k % 3) if k % 4 else None, parts[k % 7][1], "s", parts[k % 7][0], "7", "FLAT", f"2020-01-{1 + k % 9:02}") for k in range(60)]
+    data = spark.createDataFrame(made, f"unique_id string, source_dataset string, {', '.join(f'{c} string' for c in scoring.FEATURES)}, event_date string")
+    data = data.withColumns({"no": F.nullif(F.regexp_extract("premise_address_comparison", "([0-9]+)$", 1), F.lit("")), "identity_run_key": F.lit("r"), "target_hypothesis_key": F.sha2(F.concat_ws("|", "postcode", "premise_address_comparison"), 256)})
+    met = lambda df, *more: scoring.met(df, "no", "A", "B", more)
+    plain = identity.target_evidence(scoring.scores_of(met(data)), data.select(F.col("unique_id").alias("identity_run_observation_key"), "target_hypothesis_key", "event_date"))
+    more = ("target_hypothesis_key", "event_date")
+    short = data.withColumn("target_hypothesis_key", F.unhex("target_hypothesis_key"))
+    found = identity.met_target_evidence(scoring.scores_of(met(short, *more), keep=["no", *(f"{c}_{s}" for s in "lr" for c in more)]), "no")
+    assert plain.count() > 20 and rows(found) == rows(plain)
+    assert "key_l" not in "".join(x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
+def test_target_evidence_stages_no_pairs(spark, monkeypatch):
+    from evidentia import domain_bindings
+
+    staged = []
+    monkeypatch.setattr(domain_bindings.store, "stage", lambda df, name, f=domain_bindings.store.stage: staged.append(name) or f(df, name))
+    assert bindings.QUERIES["target_evidence"](spark, "/root/testdata/sf0.001").count()
+    assert "scores" not in staged
